@@ -54,18 +54,17 @@ def largest_output(lines: DataFrame) -> DataFrame:
 
 
 def counter_deltas(df: DataFrame, keys: list[str], order: list[Column], totals: dict[str, Column], last: dict[str, Column],
-                   chunk: Column) -> DataFrame:
-    """A cumulative counter to the increase of each event. A repeated total is no event; a total below the one before
-    is a reset, where the event's own usage (`last`) counts instead."""
+                   chunk: Column, watch: list[str] | None = None) -> DataFrame:
+    """A cumulative counter to the increase of each event. A repeated total is no event; when one of the `watch`ed
+    totals (default all) is below the one before, the counter was reset and the event's own usage (`last`) counts."""
     now = F.struct(*[v.alias(n) for n, v in totals.items()])
     seen = running(df, keys, order, {"_before": ("previous", now)}, chunk)
-    moved = seen.where(~F.coalesce(F.col("_before").eqNullSafe(now), F.lit(False)) | F.col("_before").isNull())
-    deltas = {n: F.coalesce(v, F.lit(0)) - F.coalesce(F.col(f"_before.{n}"), F.lit(0)) for n, v in totals.items()}
-    lowest = F.least(*deltas.values()) if len(deltas) > 1 else next(iter(deltas.values()))
-    out = moved
-    for n, delta in deltas.items():
-        out = out.withColumn(f"_d_{n}", F.when(lowest < 0, F.coalesce(last[n], F.lit(0))).otherwise(delta))
-    return out.select(*df.columns, *[F.col(f"_d_{n}").alias(f"{n}_delta") for n in totals])
+    moved = seen.where(F.col("_before").isNull() | ~F.col("_before").eqNullSafe(now))
+    watch = watch or list(totals)
+    delta = {n: F.coalesce(totals[n], F.lit(0)) - F.coalesce(F.col(f"_before.{n}"), F.lit(0)) for n in watch}
+    lowest = F.least(*delta.values()) if len(delta) > 1 else delta[watch[0]]
+    return moved.select(*df.columns, *[F.when(lowest < 0, F.coalesce(last[n], F.lit(0))).otherwise(d).alias(f"{n}_delta")
+                                       for n, d in delta.items()])
 
 
 def session_spend(snapshots: DataFrame) -> DataFrame:
