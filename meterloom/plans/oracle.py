@@ -1,0 +1 @@
+ORACLE = {}

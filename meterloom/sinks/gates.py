@@ -37,12 +37,12 @@ def _mark_copies(rows: DataFrame, held: DataFrame, key: list[str], by: str = "in
             .drop("_first", "_held"))
 
 
-def _append(rows: DataFrame, path: str, schema: str, partition: str | None = None) -> None:
+def append_rows(rows: DataFrame, path: str, schema: str, partition: str | None = None) -> None:
     writer = rows.select(*_columns(schema)).write.mode("append")
     (writer.partitionBy(partition) if partition else writer).parquet(path)
 
 
-def _settle(spark: SparkSession, classified: DataFrame, name: str) -> DataFrame:
+def settle(spark: SparkSession, classified: DataFrame, name: str) -> DataFrame:
     path = scratch(spark, name)
     classified.write.parquet(path)
     return spark.read.schema(classified.schema).parquet(path)
@@ -84,11 +84,11 @@ def add_readings(lines: DataFrame, path: str, errors_path: str, agent: str, dedu
                  machine: Column | None = None) -> DataFrame:
     """Appends new readings to one table and failed polls to the other; returns the classified lines."""
     spark = lines.sparkSession
-    done = _settle(spark, classify_readings(lines, stored(spark, path, schemas.ACCOUNT_QUOTAS),
+    done = settle(spark, classify_readings(lines, stored(spark, path, schemas.ACCOUNT_QUOTAS),
                                             stored(spark, errors_path, schemas.POLL_ERRORS), agent, dedup, machine), "readings")
     new = done.where(F.col("outcome") == "inserted")
-    _append(new.where(~F.col("is_error")), path, schemas.ACCOUNT_QUOTAS)
-    _append(new.where(F.col("is_error")), errors_path, schemas.POLL_ERRORS)
+    append_rows(new.where(~F.col("is_error")), path, schemas.ACCOUNT_QUOTAS)
+    append_rows(new.where(F.col("is_error")), errors_path, schemas.POLL_ERRORS)
     return done
 
 
@@ -129,8 +129,8 @@ def classify_snapshots(lines: DataFrame, held: DataFrame, dedup: bool = True) ->
 
 def add_snapshots(lines: DataFrame, path: str, dedup: bool = True) -> DataFrame:
     spark = lines.sparkSession
-    done = _settle(spark, classify_snapshots(lines, stored(spark, path, schemas.SESSION_SNAPSHOTS), dedup), "snapshots")
-    _append(done.where(F.col("outcome") == "inserted"), path, schemas.SESSION_SNAPSHOTS)
+    done = settle(spark, classify_snapshots(lines, stored(spark, path, schemas.SESSION_SNAPSHOTS), dedup), "snapshots")
+    append_rows(done.where(F.col("outcome") == "inserted"), path, schemas.SESSION_SNAPSHOTS)
     return done
 
 
@@ -146,8 +146,8 @@ def classify_telemetry(lines: DataFrame, held: DataFrame) -> DataFrame:
 
 def add_telemetry(lines: DataFrame, path: str) -> DataFrame:
     spark = lines.sparkSession
-    done = _settle(spark, classify_telemetry(lines, stored(spark, path, schemas.TELEMETRY)), "telemetry")
-    _append(done.where(F.col("outcome") == "inserted"), path, schemas.TELEMETRY)
+    done = settle(spark, classify_telemetry(lines, stored(spark, path, schemas.TELEMETRY)), "telemetry")
+    append_rows(done.where(F.col("outcome") == "inserted"), path, schemas.TELEMETRY)
     return done
 
 
@@ -158,13 +158,13 @@ def add_requests(rows: DataFrame, path: str, schema: str = schemas.REQUESTS) ->
     bad = F.coalesce("request_id", F.lit("")) == ""
     for c in counts:
         bad = bad | F.coalesce(F.col(c) < 0, F.lit(True))
-    settled = _settle(spark, rows, "requests")
+    settled = settle(spark, rows, "requests")
     first = settled.where(bad).select("request_id", *counts).first()
     if first is not None:
         raise ValueError(f"a request needs an id and non-negative counts: {first.asDict()}")
     held = stored(spark, path, schema)
-    new = _settle(spark, _mark_copies(settled, held, ["request_id"]).where(~F.col("copy")).drop("copy"), "new-requests")
-    _append(new, path, schema)
+    new = settle(spark, _mark_copies(settled, held, ["request_id"]).where(~F.col("copy")).drop("copy"), "new-requests")
+    append_rows(new, path, schema)
     return new.count()
 
 
@@ -176,7 +176,7 @@ def add_scan(spark: SparkSession, path: str, ts: int, complete_through_ts: int,
     held = stored(spark, path, schemas.SCANS)
     if held.where((F.col("ts") == ts) & (F.col("complete_through_ts") == complete_through_ts)).head(1):
         return "duplicate"
-    _append(row, path, schemas.SCANS)
+    append_rows(row, path, schemas.SCANS)
     return "inserted"
 
 
@@ -226,7 +226,7 @@ def parse_slots(lines: DataFrame, field: str = "$") -> DataFrame:
 
 def check_batch(rows: DataFrame, fault: Column, label: str = "slots") -> DataFrame:
     """The batch, settled, if no row has a fault; otherwise nothing of it may be stored and the first fault is raised."""
-    settled = _settle(rows.sparkSession, rows.withColumn("_fault", fault).drop("_v"), label)
+    settled = settle(rows.sparkSession, rows.withColumn("_fault", fault).drop("_v"), label)
     first = settled.where(F.col("_fault").isNotNull()).first()
     if first is not None:
         raise ValueError(f"{label} not stored: {first['_fault']}")
@@ -241,8 +241,8 @@ def add_slots(rows: DataFrame, path: str, machine: str | None = None, fault: Col
     if machine is not None:
         held = held.where(F.col("machine") == machine)
     fresh = good.dropDuplicates(schemas.SLOT_KEY).join(held.select(*schemas.SLOT_KEY), schemas.SLOT_KEY, "left_anti")
-    new = _settle(spark, fresh, "new-slots")
-    _append(new, path, schemas.SLOTS, "machine")
+    new = settle(spark, fresh, "new-slots")
+    append_rows(new, path, schemas.SLOTS, "machine")
     return new.count()
 
 
