@@ -4,12 +4,9 @@ from pyspark.sql import Column, functions as F
 
 from meterloom.fixed_values import TURN_PRICES, WRITE_1H_RATIO, WRITE_5M_RATIO
 
-_NUMBER = r"^(TINYINT|SMALLINT|INT|BIGINT|LONG|FLOAT|DOUBLE|DECIMAL\(.*\))$"
-
-
 def is_number(value: Column) -> Column:
-    """Whether a VARIANT holds a JSON number (a bool or a numeric text is none)."""
-    return F.coalesce(F.schema_of_variant(value).rlike(_NUMBER), F.lit(False))
+    """Whether a VARIANT holds a JSON number (a bool or a numeric text is none): only numbers print like one."""
+    return F.coalesce(F.to_json(value).rlike("^-?[0-9]"), F.lit(False))
 
 
 def is_missing(value: Column) -> Column:
@@ -19,7 +16,7 @@ def is_missing(value: Column) -> Column:
 
 def number(value: Column, to: str = "double") -> Column:
     """The VARIANT's number, or NULL when it holds anything else."""
-    return F.when(is_number(value), F.try_variant_get(value, "$", "double").cast(to))
+    return F.when(is_number(value), F.try_variant_get(value, "$", "double").try_cast(to))
 
 
 def whole_percent(pct: Column) -> Column:

@@ -7,6 +7,7 @@ from meterloom.functions.times import slot_middle
 from meterloom.operators.chunks import DAY, asof
 from meterloom.operators.quantiles import nearest_rank, upper_median
 from meterloom.operators.windows import steps, windows
+from meterloom.session import settle
 
 SPENT = ["usd", "unpriced", "requests", *TOKEN_COLUMNS, "tokens"]
 
@@ -14,10 +15,11 @@ SPENT = ["usd", "unpriced", "requests", *TOKEN_COLUMNS, "tokens"]
 def timeline(slots: DataFrame, *groups: str) -> DataFrame:
     """Spend per slot start (and group): what range joins read, so that they see five-minute totals, not slots."""
     every = sum((F.col(c) for c in TOKEN_COLUMNS[1:]), F.col(TOKEN_COLUMNS[0]))
-    return (slots.groupBy("ts", *groups).agg(
+    line = (slots.groupBy("ts", *groups).agg(
         F.coalesce(F.sum("usd"), F.lit(0.0)).alias("usd"), F.sum("tokens_without_usd").alias("unpriced"),
         F.sum("requests").alias("requests"), *[F.sum(c).alias(c) for c in TOKEN_COLUMNS], F.sum(every).alias("tokens"))
         .withColumn("mid", slot_middle(F.col("ts"))))
+    return settle(line, "timeline")
 
 
 def inside(win: DataFrame, line: DataFrame, span: int) -> DataFrame:
@@ -58,10 +60,10 @@ def spent_at_steps(step: DataFrame, line: DataFrame, kind: str) -> DataFrame:
     return both.where(F.col("_side") == 0).select(*step.columns, *SPENT)
 
 
-def fits(read: DataFrame, slots: DataFrame, kind: str, plans=PLANS) -> DataFrame:
+def fits(seen: DataFrame, line: DataFrame, kind: str, plans=PLANS) -> DataFrame:
     """Per window the budget B (USD at 100 %) of a line through the origin, pct = 100 usd / B, over its steps of 5 % or
     more, and R²; or why there is none."""
-    at = spent_at_steps(steps(read, kind, plans), timeline(slots), kind)
+    at = spent_at_steps(steps(seen, kind, plans), line, kind)
     x, y = F.col("usd"), F.col("pct")
     used = y >= MIN_PCT
     keys = ["plan", "reset", "start", "end", "cut", "peak"]
@@ -84,9 +86,9 @@ def fits(read: DataFrame, slots: DataFrame, kind: str, plans=PLANS) -> DataFrame
            .when((F.col("_n") < 3) | (F.col("_spent") == 0), F.lit("fewer than 3 readings at 5%+")))
     out = sums.withColumn("unpriced", share("_unpriced")).withColumn("cache_read", share("_read")).withColumn("why", why)
     fit = F.col("why").isNull() & (F.col("_xx") != 0) & (F.col("_xy") != 0)
-    return out.select(*keys, "steps", "usd", "tokens", "unpriced", "cache_read", "why",
+    return settle(out.select(*keys, "steps", "usd", "tokens", "unpriced", "cache_read", "why",
                       F.when(fit, F.col("_xx") * 100 / F.col("_xy")).alias("b"),
-                      F.when(fit & (sst != 0), F.lit(1.0) - sse / sst).alias("r2"))
+                      F.when(fit & (sst != 0), F.lit(1.0) - sse / sst).alias("r2")), f"fits-{kind}")
 
 
 def budget_table(fit: DataFrame) -> DataFrame:
@@ -100,32 +102,34 @@ def unpriced_windows(fit: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("windows"), F.min("start").alias("first_start"), F.max("end").alias("last_end")))
 
 
-def percent_reached(points: DataFrame, at: str, read: DataFrame, out: str, kind: str = "7d", plans=PLANS) -> DataFrame:
+def percent_reached(points: DataFrame, at: str, seen: DataFrame, out: str, kind: str = "7d", plans=PLANS) -> DataFrame:
     """Adds the percent the meter had reached at a time, in the window running then under the same plan: NULL where
     none ran, 0 before its first step. Windows of one plan end in the order they start, so the running one is the next
     to end, if it has begun."""
-    win = windows(read, kind, plans).groupBy("plan", "end").agg(F.min_by("start", F.struct("start", "reset")).alias("start"),
+    win = windows(seen, kind, plans).groupBy("plan", "end").agg(F.min_by("start", F.struct("start", "reset")).alias("start"),
                                                           F.min_by("reset", F.struct("start", "reset")).alias("reset"))
     hit = asof(points, win, at, "end", ["start", "reset"], "_win", keys=["plan"], forward=True, equal=False, span=90 * DAY)
-    ran = hit.withColumn("_reset", F.when(F.col("_win.start") <= F.col(at), F.col("_win.reset"))).drop("_win")
-    step = steps(read, kind, plans).select("plan", F.col("reset").alias("_reset"), "ts", "pct")
+    ran = settle(hit.withColumn("_reset", F.when(F.col("_win.start") <= F.col(at), F.col("_win.reset"))).drop("_win"), "running")
+    step = steps(seen, kind, plans).select("plan", F.col("reset").alias("_reset"), "ts", "pct")
     got = asof(ran, step, at, "ts", ["pct"], "_step", keys=["plan", "_reset"], tie=[F.col("pct")], span=90 * DAY)
     return (got.withColumn(out, F.when(F.col("_reset").isNotNull(), F.greatest(F.coalesce("_step.pct", F.lit(0.0)), F.lit(0.0))))
             .drop("_step", "_reset"))
 
 
-def windows_per_week(read: DataFrame, plans=PLANS) -> DataFrame:
+def windows_per_week(seen_5h: DataFrame, seen_7d: DataFrame, plans=PLANS) -> DataFrame:
     """Per 5-hour window the percent it gained and the 7-day percent gained meanwhile: their ratio says how many fill a
     week. Needs two steps, ten points gained, and a 7-day meter that moved."""
     first, last = F.struct("ts", "pct"), F.struct("ts", "pct")
-    ends = steps(read, "5h", plans).groupBy("plan", "reset", "start", "end").agg(
+    ends = steps(seen_5h, "5h", plans).groupBy("plan", "reset", "start", "end").agg(
         F.count(F.lit(1)).alias("_n"), F.min(first).alias("_first"), F.max(last).alias("_last")).where(F.col("_n") >= 2)
     flat = ends.select("plan", "reset", "start", F.col("_first.ts").alias("t0"), F.col("_last.ts").alias("t1"),
                        (F.col("_last.pct") - F.col("_first.pct")).alias("gain_5h"))
-    both = percent_reached(percent_reached(flat, "t0", read, "q0", plans=plans), "t1", read, "q1", plans=plans)
-    return (both.withColumn("gain_7d", F.col("q1") - F.col("q0"))
+    flat = settle(flat, "gains")
+    both = percent_reached(percent_reached(flat, "t0", seen_7d, "q0", plans=plans), "t1", seen_7d, "q1", plans=plans)
+    got = (both.withColumn("gain_7d", F.col("q1") - F.col("q0"))
             .where((F.col("gain_5h") >= 10) & (F.col("gain_7d") > 0))
             .select("plan", "reset", "start", "gain_5h", "gain_7d", (F.col("gain_5h") / F.col("gain_7d")).alias("ratio")))
+    return settle(got, "per-week")
 
 
 def _high(fit: DataFrame) -> DataFrame:
@@ -146,11 +150,11 @@ def plan_summary(fit_5h: DataFrame, fit_7d: DataFrame, ratios: DataFrame) -> Dat
     return out.fillna(0, ["n_5h", "n_7d", "n_ratio"])
 
 
-def one_percent_mix(fit_5h: DataFrame, slots: DataFrame) -> DataFrame:
+def one_percent_mix(fit_5h: DataFrame, line: DataFrame) -> DataFrame:
     """What one percent of a 5-hour window holds per plan, at the average mix: each token column per USD, times the
     upper-median budget of one percent."""
     high = _high(fit_5h)
-    spent = spent_in_windows(high.select("plan", "reset", "start", "end"), timeline(slots), "5h")
+    spent = spent_in_windows(high.select("plan", "reset", "start", "end"), line, "5h")
     mix = spent.groupBy("plan").agg(F.sum("usd").alias("_usd"), *[F.sum(c).alias(c) for c in TOKEN_COLUMNS])
     one = upper_median(high, ["plan"], F.col("b"), "_b")
     return mix.join(one, "plan").select("plan", *[

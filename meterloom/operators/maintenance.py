@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from meterloom import schemas
 from meterloom.operators.reconcile import compare_facts, fact_counts, label_machine, missing_from
+from meterloom.session import settle
 from meterloom.sinks import gates
 from meterloom.sources.tables import stored
 
@@ -19,7 +20,7 @@ def seed(spark: SparkSession, source: DataFrame, path: str, shared: DataFrame, m
     missing afterwards. Returns how many were copied."""
     held = stored(spark, path, schemas.ACCOUNT_QUOTAS)
     named = label_machine(source.withColumn("machine", F.lit(None).cast("string")), shared, machine)
-    new = gates.settle(spark, missing_from(named, held).dropDuplicates(["row_hash"]), "seed")
+    new = settle(missing_from(named, held).dropDuplicates(["row_hash"]), "seed")
     gates.append_rows(new, path, schemas.ACCOUNT_QUOTAS)
     left = missing_from(source, stored(spark, path, schemas.ACCOUNT_QUOTAS)).count()
     if left:

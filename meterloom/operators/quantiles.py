@@ -32,13 +32,12 @@ def exact_median(df: DataFrame, keys: list[str], value: str, name: str = "median
         .select(*keys, F.col("_b")[0].alias("_lo"), F.col("_b")[1].alias("_hi"), "_n"))
     placed = _with(rows, bracket, keys)
     v = F.col(value)
-    below = placed.where(v < F.col("_lo")).groupBy(*keys).agg(F.count(F.lit(1)).alias("_below"))
-    inside = (placed.where((v >= F.col("_lo")) & (v <= F.col("_hi"))).groupBy(*keys, value)
+    # Everything below the bracket is one row, valued NULL, which sorts first and so starts the count.
+    inside = (placed.where(v <= F.col("_hi")).groupBy(*keys, F.when(v >= F.col("_lo"), v).alias(value))
               .agg(F.count(F.lit(1)).alias("_m")))
-    upto = W.partitionBy(*keys).orderBy(value).rowsBetween(W.unboundedPreceding, 0)
-    ranked = _with(_with(inside.withColumn("_c", F.sum("_m").over(upto)), bracket.select(*keys, "_n"), keys),
-                   below, keys)
-    last = F.coalesce("_below", F.lit(0)) + F.col("_c")
+    upto = W.partitionBy(*keys).orderBy(F.asc_nulls_first(value)).rowsBetween(W.unboundedPreceding, 0)
+    ranked = _with(inside.withColumn("_c", F.sum("_m").over(upto)), bracket.select(*keys, "_n"), keys)
+    last = F.col("_c")
     low, high = F.floor((F.col("_n") + 1) / 2), F.floor(F.col("_n") / 2) + 1
     return (ranked.groupBy(*keys).agg(((F.min(F.when(last >= low, v)) + F.min(F.when(last >= high, v))) / 2).alias(name),
                                       F.max("_n").alias("n")))

@@ -6,6 +6,7 @@ from meterloom.fixed_values import REQUEST_PRICES, TOKEN_COLUMNS
 from meterloom.functions.numbers import difference, list_price_usd, tokens
 from meterloom.operators.quantiles import exact_median
 from meterloom.operators.slots import telemetry_requests
+from meterloom.session import settle
 
 REQUEST_TOKENS = ["input_tokens", "output_tokens", "cache_read_tokens", "cache_write_5m_tokens", "cache_write_1h_tokens"]
 
@@ -104,6 +105,7 @@ def price_errors(matched: DataFrame, prices=REQUEST_PRICES) -> DataFrame:
     ref = F.col("reported_cost_usd")
     rows = (matched.withColumn("ours", usd).where(F.col("ours").isNotNull() & (ref > 0))
             .select("model", "ours", ref.alias("ref"), (F.abs(F.col("ours") - ref) / ref).alias("err")))
+    rows = settle(rows, "price-errors")
     totals = rows.groupBy("model").agg(F.count_if(F.col("err") > 0.01).alias("off_by_1_percent"),
                                        (F.sum("ours") / F.sum("ref") - 1).alias("total_err"))
     return exact_median(rows, ["model"], "err", "median_err").join(totals, "model")

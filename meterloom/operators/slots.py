@@ -6,6 +6,7 @@ from meterloom.fixed_values import SLOT_S, STUB_MODEL, TOKEN_COLUMNS
 from meterloom.functions.numbers import tokens
 from meterloom.functions.times import iso, slot_start
 from meterloom.operators.dedup import first_by
+from meterloom.session import settle
 
 _REQUEST_TOKENS = ["input_tokens", "output_tokens", "cache_read_tokens", "cache_write_5m_tokens", "cache_write_1h_tokens"]
 
@@ -138,4 +139,4 @@ def countable_slots(slots: DataFrame) -> DataFrame:
 
 def active_starts(slots: DataFrame) -> DataFrame:
     """Start of every slot with a request: one row per five minutes at most."""
-    return slots.where(F.col("requests") > 0).select("ts").distinct()
+    return settle(slots.where(F.col("requests") > 0).select("ts").distinct(), "active")

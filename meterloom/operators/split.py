@@ -7,6 +7,7 @@ from meterloom.functions.text import kind_of_use, project
 from meterloom.functions.times import plan_at, slot_middle, slot_start
 from meterloom.operators.chunks import DAY, asof
 from meterloom.operators.windows import windows
+from meterloom.session import settle
 
 GROUPS = {
     "project": lambda: project(F.col("folder")),
@@ -26,26 +27,27 @@ def _grouped(slots: DataFrame, group: Column) -> DataFrame:
         F.count(F.lit(1)).alias("slots"))
 
 
-def periods(read: DataFrame, span: str, since: int = 0, plans=PLANS) -> DataFrame:
+def periods(seen: DataFrame, span: str, since: int = 0, plans=PLANS) -> DataFrame:
     """The 5-hour or 7-day windows that end after `since`."""
-    return windows(read, span, plans).where(F.col("end") > since)
+    return windows(seen, span, plans).where(F.col("end") > since)
 
 
 def placed_in_windows(slots: DataFrame, group: Column, period: DataFrame) -> DataFrame:
     """Each slot start and group with the period it falls in: the next to end after the slot's middle, if it has begun
     by then; NULL otherwise."""
     ends = period.groupBy("end").agg(F.min(F.struct("start", "plan", "peak")).alias("_p")).select("end", "_p.*")
-    times = slots.select("ts").distinct().withColumn("mid", slot_middle(F.col("ts")))
+    spent = settle(_grouped(slots, group), "grouped-slots")
+    times = spent.select("ts").distinct().withColumn("mid", slot_middle(F.col("ts")))
     hit = asof(times, ends, "mid", "end", ["start", "end", "plan", "peak"], "_p", forward=True, equal=False)
     inside = hit.withColumn("_p", F.when(F.col("_p.start") <= F.col("mid"), F.col("_p"))).select("ts", "mid", "_p.*")
-    return _grouped(slots, group).join(inside, "ts")
+    return spent.join(inside, "ts")
 
 
 def placed_in_days(slots: DataFrame, group: Column, since: int = 0, plans=PLANS) -> DataFrame:
     """Each slot start and group with its UTC day. A slot before `since` belongs to no day shown; one whose middle is in
     a day belongs to it (slots do not cross midnight)."""
     day = slot_start(F.col("ts"), DAY)
-    return (_grouped(slots, group).where(F.col("ts") >= since).withColumn("mid", slot_middle(F.col("ts")))
+    return (_grouped(slots.where(F.col("ts") >= since), group).withColumn("mid", slot_middle(F.col("ts")))
             .withColumn("start", day).withColumn("end", day + DAY).withColumn("plan", plan_at(day, plans))
             .withColumn("peak", F.lit(None).cast("double")))
 

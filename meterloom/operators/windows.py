@@ -6,6 +6,7 @@ from meterloom.fixed_values import ACROSS_READINGS, ACROSS_S, GRID_NOISE_S, PLAN
 from meterloom.functions.numbers import half_even
 from meterloom.functions.times import plan_at, plan_end, plan_start, snap
 from meterloom.operators.chunks import DAY, asof, balanced_chunks, counts_between, running
+from meterloom.session import settle
 
 _MONTH = 30 * DAY
 
@@ -19,12 +20,13 @@ def readings(account_quotas: DataFrame, plans=PLANS) -> DataFrame:
         snap(F.col("five_hour_resets_ts")).alias("end_5h"), snap(F.col("seven_day_resets_ts")).alias("end_7d"))
 
 
-def _first_seen(read: DataFrame, kind: str) -> DataFrame:
-    """Per window and percent the first second it was read. Meters count in whole percents, so a window keeps about a
-    hundred rows however many readings it has, folded before the shuffle."""
-    return (read.where(F.col(f"pct_{kind}").isNotNull() & F.col(f"end_{kind}").isNotNull())
-            .groupBy("plan", F.col(f"end_{kind}").alias("reset"), F.col(f"pct_{kind}").alias("pct"))
-            .agg(F.min("ts").alias("ts")))
+def first_seen(read: DataFrame, kind: str) -> DataFrame:
+    """Per window and percent the first second it was read: all that windows and steps need to know of the readings.
+    Meters count in whole percents, so a window keeps about a hundred rows however many readings it has, folded before
+    the shuffle. Written once, since every analysis reads it several times."""
+    usable = read.where(F.col(f"pct_{kind}").isNotNull() & F.col(f"end_{kind}").isNotNull())
+    return settle(usable.groupBy("plan", F.col(f"end_{kind}").alias("reset"), F.col(f"pct_{kind}").alias("pct"))
+                  .agg(F.min("ts").alias("ts")), f"first-seen-{kind}")
 
 
 def _cut(kind: str, plans) -> list[Column]:
@@ -34,19 +36,18 @@ def _cut(kind: str, plans) -> list[Column]:
     return [start.alias("start"), end.alias("end"), ((start != begin) | (end != F.col("reset"))).alias("cut")]
 
 
-def steps(read: DataFrame, kind: str, plans=PLANS) -> DataFrame:
+def steps(seen: DataFrame, kind: str, plans=PLANS) -> DataFrame:
     """The first reading of each new highest percent of a window, with the window's bounds and peak."""
-    first = _first_seen(read, kind)
     over = W.partitionBy("plan", "reset")
     earlier = over.orderBy("ts", "pct").rowsBetween(W.unboundedPreceding, -1)
-    kept = (first.withColumn("_top", F.max("pct").over(earlier)).withColumn("peak", F.max("pct").over(over))
+    kept = (seen.withColumn("_top", F.max("pct").over(earlier)).withColumn("peak", F.max("pct").over(over))
             .where(F.col("pct") > F.coalesce("_top", F.lit(-1.0))))
     return kept.select("plan", "reset", *_cut(kind, plans), "peak", "ts", "pct")
 
 
-def windows(read: DataFrame, kind: str, plans=PLANS) -> DataFrame:
+def windows(seen: DataFrame, kind: str, plans=PLANS) -> DataFrame:
     """One row per plan and reset: start, end (cut to the plan's period), cut flag and peak."""
-    return (_first_seen(read, kind).groupBy("plan", "reset").agg(F.greatest(F.max("pct"), F.lit(-1.0)).alias("peak"))
+    return (seen.groupBy("plan", "reset").agg(F.greatest(F.max("pct"), F.lit(-1.0)).alias("peak"))
             .select("plan", "reset", *_cut(kind, plans), "peak"))
 
 
@@ -63,17 +64,17 @@ def _with_previous(win: DataFrame, *columns: str) -> DataFrame:
     return running(win, [], order, {"prev": ("previous", before)}, F.floor(F.col("end") / _MONTH))
 
 
-def gaps(read: DataFrame, active: DataFrame, kind: str = "5h", plans=PLANS) -> DataFrame:
+def gaps(read: DataFrame, seen: DataFrame, active: DataFrame, kind: str = "5h", plans=PLANS) -> DataFrame:
     """Consecutive windows of one plan: the gap between them, the readings, the 'no window' answers and the active
     slots inside it, and the minutes from the next start to the first activity after the previous end."""
-    pairs = (_with_previous(windows(read, kind, plans), "plan", "end").where(F.col("prev.plan") == F.col("plan"))
-             .select("plan", F.col("reset"), F.col("prev.end").alias("prev_end"), F.col("start"),
-                     (F.col("start") - F.col("prev.end")).alias("gap")))
+    pairs = settle(_with_previous(windows(seen, kind, plans), "plan", "end").where(F.col("prev.plan") == F.col("plan"))
+                   .select("plan", F.col("reset"), F.col("prev.end").alias("prev_end"), F.col("start"),
+                           (F.col("start") - F.col("prev.end")).alias("gap")), "window-pairs")
     none = read.where((F.col("source") == POLL_SOURCE) & F.col(f"end_{kind}").isNull())
     low, high = F.col("prev_end"), F.col("start")
-    counted = counts_between(pairs, ["plan", "reset"], {
+    counted = settle(counts_between(pairs, ["plan", "reset"], {
         "readings": (read, "ts", low, high), "nulls": (none, "ts", low, high),
-        "active": (active, "ts", low, high - 299)})
+        "active": (active, "ts", low, high - 299)}), "gap-counts")
     first = first_activity(counted, "prev_end", active)
     return first.withColumn("lag_min", half_even((F.col("first_active") - F.col("start")) / 60)).drop("first_active")
 
@@ -116,11 +117,11 @@ def coverage(win: DataFrame) -> DataFrame:
                    F.when(total != 0, covered / total).alias("share"))
 
 
-def ledger(read: DataFrame, active: DataFrame, kind: str = "7d", plans=PLANS) -> DataFrame:
+def ledger(seen: DataFrame, active: DataFrame, kind: str = "7d", plans=PLANS) -> DataFrame:
     """Windows in order: days since the previous end, weekday of the end, first activity after the previous end and the
     end a window opened then would have."""
-    seen = _with_previous(windows(read, kind, plans), "end").withColumn("prev_end", F.col("prev.end")).drop("prev")
-    first = first_activity(seen, "prev_end", active)
+    win = _with_previous(windows(seen, kind, plans), "end").withColumn("prev_end", F.col("prev.end")).drop("prev")
+    first = first_activity(win, "prev_end", active)
     first = first.withColumn("first_active", F.when(F.col("prev_end").isNotNull(), F.col("first_active")))
     return first.select("plan", "start", "end", F.date_format(F.timestamp_seconds("end"), "EEE").alias("weekday"),
                         ((F.col("end") - F.col("prev_end")) / DAY).alias("step_days"), "peak", "first_active",
@@ -141,16 +142,17 @@ def no_window_runs(read: DataFrame, active: DataFrame | None = None, kind: str =
     starts = per.select((F.col("run") - 1).alias("run"), F.col("_at").alias("_next"))
     runs = per.where(F.col("readings") > 0).join(starts, "run", "left").select(
         "first", F.coalesce("_next", "first").alias("end"), "readings", (F.col("readings") < 2).alias("blip"))
+    runs = settle(runs, "no-window-runs")
     return first_activity(runs, "first", active) if active is not None else runs
 
 
-def across_resets(read: DataFrame, plans=PLANS) -> DataFrame:
+def across_resets(read: DataFrame, seen: DataFrame, plans=PLANS) -> DataFrame:
     """Around each 7-day end that was reached: the last of the 20 server readings before it (within 40 minutes) that
     shows a used 5-hour window running across the end, and the first reading after it. Readings meet the ends on a
     shared time cell; the nearest twenty are picked by rank, which Spark limits before the shuffle."""
     polled = read.where(F.col("source") == POLL_SOURCE)
     newest = polled.select(F.max("ts")).scalar()
-    ends = windows(read, "7d", plans).where((F.col("peak") > 0) & (F.col("end") <= newest) & ~F.col("cut")).select(
+    ends = windows(seen, "7d", plans).where((F.col("peak") > 0) & (F.col("end") <= newest) & ~F.col("cut")).select(
         "plan", "end").distinct()
     cells = ends.withColumn("_cell", F.explode(F.sequence(F.floor((F.col("end") - ACROSS_S) / ACROSS_S),
                                                           F.floor((F.col("end") + ACROSS_S) / ACROSS_S))))
@@ -181,8 +183,8 @@ def jumps(step: DataFrame, points: float, within: int) -> DataFrame:
             .select("plan", "reset", "prev_ts", "prev_pct", "ts", "pct"))
 
 
-def compression(read: DataFrame, kind: str) -> DataFrame:
+def compression(read: DataFrame, seen: DataFrame, kind: str) -> DataFrame:
     """How many readings the steps stand for."""
     usable = read.where(F.col(f"pct_{kind}").isNotNull() & F.col(f"end_{kind}").isNotNull()).select(
         F.count(F.lit(1)).alias("n")).scalar()
-    return steps(read, kind).agg(usable.alias("readings"), F.count(F.lit(1)).alias("steps"))
+    return steps(seen, kind).agg(usable.alias("readings"), F.count(F.lit(1)).alias("steps"))

@@ -38,6 +38,18 @@ def _read(spark, sf):
     return windows.readings(feeds.account_quotas(spark, sf), PLANS)
 
 
+def _seen(spark, sf, kind):
+    return windows.first_seen(_read(spark, sf), kind)
+
+
+def _line(spark, sf):
+    return budgets.timeline(_slots(spark, sf))
+
+
+def _fits(spark, sf, kind):
+    return budgets.fits(_seen(spark, sf, kind), _line(spark, sf), kind, PLANS)
+
+
 def _slots(spark, sf):
     return slot_ops.countable_slots(feeds.slots(spark, sf))
 
@@ -297,53 +309,57 @@ def slot_faults(spark, sf):
 
 @query("A4 J4 C5 S12")
 def windows_5h(spark, sf):
-    return _longs(windows.windows(_read(spark, sf), "5h", PLANS))
+    return _longs(windows.windows(_seen(spark, sf, "5h"), "5h", PLANS))
 
 
 @query("A4 J4 C5 S12")
 def windows_7d(spark, sf):
-    return _longs(windows.windows(_read(spark, sf), "7d", PLANS))
+    return _longs(windows.windows(_seen(spark, sf, "7d"), "7d", PLANS))
 
 
 @query("D9 C5 J4 W1")
 def steps_5h(spark, sf):
-    return windows.steps(_read(spark, sf), "5h", PLANS).select("plan", "reset", "ts", "pct")
+    return windows.steps(_seen(spark, sf, "5h"), "5h", PLANS).select("plan", "reset", "ts", "pct")
 
 
 @query("D9 C5 J4 W1")
 def steps_7d(spark, sf):
-    return windows.steps(_read(spark, sf), "7d", PLANS).select("plan", "reset", "ts", "pct")
+    return windows.steps(_seen(spark, sf, "7d"), "7d", PLANS).select("plan", "reset", "ts", "pct")
+
+
+def _gaps(spark, sf):
+    return windows.gaps(_read(spark, sf), _seen(spark, sf, "5h"), _active(spark, sf), plans=PLANS)
 
 
 @query("J6 J8 J16")
 def gaps_between_windows(spark, sf):
-    return windows.gaps(_read(spark, sf), _active(spark, sf), plans=PLANS).select(
+    return _gaps(spark, sf).select(
         "plan", "prev_end", "start", "gap", "readings", "nulls", "active", "lag_min")
 
 
 @query("A18")
 def gap_statistics(spark, sf):
-    return _r6(windows.gap_summary(windows.gaps(_read(spark, sf), _active(spark, sf), plans=PLANS)))
+    return _r6(windows.gap_summary(_gaps(spark, sf)))
 
 
 @query("A23")
 def gap_anomalies(spark, sf):
-    return windows.gap_anomalies(windows.gaps(_read(spark, sf), _active(spark, sf), plans=PLANS)).select("plan", "prev_end", "start", "anomaly")
+    return windows.gap_anomalies(_gaps(spark, sf)).select("plan", "prev_end", "start", "anomaly")
 
 
 @query("A20")
 def activity_outside_windows(spark, sf):
-    return windows.outside_windows(windows.windows(_read(spark, sf), "5h", PLANS), _active(spark, sf))
+    return windows.outside_windows(windows.windows(_seen(spark, sf, "5h"), "5h", PLANS), _active(spark, sf))
 
 
 @query("A19")
 def window_coverage(spark, sf):
-    return _r6(windows.coverage(windows.windows(_read(spark, sf), "5h", PLANS)))
+    return _r6(windows.coverage(windows.windows(_seen(spark, sf, "5h"), "5h", PLANS)))
 
 
 @query("A24 J6 J16")
 def window_ledger(spark, sf):
-    return _r6(windows.ledger(_read(spark, sf), _active(spark, sf), "7d", PLANS))
+    return _r6(windows.ledger(_seen(spark, sf, "7d"), _active(spark, sf), "7d", PLANS))
 
 
 @query("A21 J6")
@@ -353,72 +369,73 @@ def no_window_runs(spark, sf):
 
 @query("J9")
 def readings_across_resets(spark, sf):
-    got = windows.across_resets(_read(spark, sf), PLANS)
+    got = windows.across_resets(_read(spark, sf), _seen(spark, sf, "7d"), PLANS)
     return got.select("plan", "end", *[F.col(f"{s}.{c}").alias(f"{s}_{c}") for s in ("before", "after") for c in ("ts", "pct_5h", "end_5h", "pct_7d")])
 
 
 @query("A27")
 def saturated_windows(spark, sf):
     read = _read(spark, sf).withColumn("pct_5h", F.col("pct_5h") + 8)
-    return windows.saturation(windows.steps(read, "5h", PLANS))
+    return windows.saturation(windows.steps(windows.first_seen(read, "5h"), "5h", PLANS))
 
 
 @query("A22")
 def meter_jumps(spark, sf):
-    return windows.jumps(windows.steps(_read(spark, sf), "5h", PLANS), JUMP_PCT, JUMP_S * 2)
+    return windows.jumps(windows.steps(_seen(spark, sf, "5h"), "5h", PLANS), JUMP_PCT, JUMP_S * 2)
 
 
 @query("A25")
 def reading_compression(spark, sf):
-    return windows.compression(_read(spark, sf), "5h")
+    return windows.compression(_read(spark, sf), _seen(spark, sf, "5h"), "5h")
 
 
 # --- budgets ------------------------------------------------------------------------------------------------------
 
 @query("A5 J5")
 def spent_in_windows(spark, sf):
-    win = windows.windows(_read(spark, sf), "5h", PLANS)
-    return _r6(budgets.spent_in_windows(win, budgets.timeline(_slots(spark, sf)), "5h").select("plan", "reset", *budgets.SPENT))
+    win = windows.windows(_seen(spark, sf, "5h"), "5h", PLANS)
+    return _r6(budgets.spent_in_windows(win, _line(spark, sf), "5h").select("plan", "reset", *budgets.SPENT))
 
 
 @query("A6 A5 J5 D9")
 def budgets_5h(spark, sf):
-    return _r6(budgets.budget_table(budgets.fits(_read(spark, sf), _slots(spark, sf), "5h", PLANS)).drop("cut"))
+    return _r6(budgets.budget_table(_fits(spark, sf, "5h")).drop("cut"))
 
 
 @query("A6 A5 J5 D9")
 def budgets_7d(spark, sf):
-    return _r6(budgets.fits(_read(spark, sf), _slots(spark, sf), "7d", PLANS).drop("cut"))
+    return _r6(_fits(spark, sf, "7d").drop("cut"))
 
 
 @query("A7 J7")
 def windows_per_week(spark, sf):
-    return _r6(budgets.windows_per_week(_read(spark, sf), PLANS))
+    return _r6(budgets.windows_per_week(_seen(spark, sf, "5h"), _seen(spark, sf, "7d"), PLANS))
 
 
 @query("A8 A7 A6")
 def plan_summary(spark, sf):
-    read, slots = _read(spark, sf), _slots(spark, sf)
-    return _r6(budgets.plan_summary(budgets.fits(read, slots, "5h", PLANS), budgets.fits(read, slots, "7d", PLANS), budgets.windows_per_week(read, PLANS)))
+    five, week, line = _seen(spark, sf, "5h"), _seen(spark, sf, "7d"), _line(spark, sf)
+    return _r6(budgets.plan_summary(budgets.fits(five, line, "5h", PLANS), budgets.fits(week, line, "7d", PLANS),
+                                    budgets.windows_per_week(five, week, PLANS)))
 
 
 @query("A9")
 def one_percent_mix(spark, sf):
-    slots = _slots(spark, sf)
-    return _r6(budgets.one_percent_mix(budgets.fits(_read(spark, sf), slots, "5h", PLANS), slots))
+    line = _line(spark, sf)
+    return _r6(budgets.one_percent_mix(budgets.fits(_seen(spark, sf, "5h"), line, "5h", PLANS), line))
 
 
 # --- cost split ---------------------------------------------------------------------------------------------------
 
 @query("A10 T1 C11 F1")
 def split_week_by_project(spark, sf):
-    placed = split.placed_in_windows(_slots(spark, sf), split.GROUPS["project"](), split.periods(_read(spark, sf), "7d", plans=PLANS))
+    placed = split.placed_in_windows(_slots(spark, sf), split.GROUPS["project"](), split.periods(_seen(spark, sf, "7d"), "7d", plans=PLANS))
     return _r6(_longs(split.cost_split(placed, 4).drop("position")))
 
 
 @query("A10 C12 F1")
 def split_5h_by_kind(spark, sf):
-    placed = split.placed_in_windows(_slots(spark, sf), split.GROUPS["kind"](), split.periods(_read(spark, sf), "5h", 1705104000, PLANS))
+    placed = split.placed_in_windows(_slots(spark, sf), split.GROUPS["kind"](), split.periods(_seen(spark, sf, "5h"), "5h", 1705104000, PLANS))
     return _r6(_longs(split.cost_split(placed).drop("position")))
 
 
@@ -435,13 +452,13 @@ def split_totals(spark, sf):
 
 @query("A10")
 def groups_over_all_periods(spark, sf):
-    placed = split.placed_in_windows(_slots(spark, sf), split.GROUPS["project"](), split.periods(_read(spark, sf), "5h", plans=PLANS))
+    placed = split.placed_in_windows(_slots(spark, sf), split.GROUPS["project"](), split.periods(_seen(spark, sf, "5h"), "5h", plans=PLANS))
     return _r6(split.group_totals(placed))
 
 
 @query("A11")
 def slots_outside_periods(spark, sf):
-    return split.outside_periods(_slots(spark, sf), split.periods(_read(spark, sf), "5h", plans=PLANS))
+    return split.outside_periods(_slots(spark, sf), split.periods(_seen(spark, sf, "5h"), "5h", plans=PLANS))
 
 
 @query("C11")

@@ -46,6 +46,14 @@ PLAN_HISTORY = """ts LONG, source STRING, plan_limit_history STRUCT<data_as_of:
 DAILY_BUCKETS = "ts LONG, source STRING, codex_usage STRUCT<dailyUsageBuckets: ARRAY<STRUCT<startDate: STRING, tokens: LONG>>>"
 BREAKDOWN = """ts LONG, source STRING, api STRUCT<seven_day_breakdown: STRUCT<as_of: STRING, window_started_at: STRING,
     `rows`: ARRAY<STRUCT<key: STRING, display_name: STRING, percent: DOUBLE>>>>"""
+READING_LINE = """ts VARIANT, source STRING, observed_at VARIANT, five_hour_pct VARIANT, five_hour_resets_at VARIANT,
+    seven_day_pct VARIANT, seven_day_resets_at VARIANT, observed_by_session STRING, machine STRING,
+    api STRUCT<five_hour: STRUCT<utilization: VARIANT, resets_at: VARIANT>,
+        seven_day: STRUCT<utilization: VARIANT, resets_at: VARIANT>>,
+    codex_rate_limits STRUCT<rateLimits: STRUCT<
+        primary: STRUCT<windowDurationMins: INT, usedPercent: VARIANT, resetsAt: VARIANT>,
+        secondary: STRUCT<windowDurationMins: INT, usedPercent: VARIANT, resetsAt: VARIANT>>>,
+    error VARIANT, session_cost_usd VARIANT, prompt_cache VARIANT, session_id VARIANT"""
 PAYLOAD = """transcript_path STRING, session_id STRING, model STRUCT<id: STRING>, cost STRUCT<total_cost_usd: STRING>,
     prompt_cache VARIANT, rate_limits STRUCT<
         five_hour: STRUCT<used_percentage: DOUBLE, resets_at: STRING>,

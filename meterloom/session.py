@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job needs for right results; sizes are left to the cluster.
 REQUIRED = {
@@ -48,6 +48,14 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def settle(df: DataFrame, name: str) -> DataFrame:
+    """The rows written once to the shared folder and read back. What is used several times is computed once, a lost
+    executor costs one task, and Spark knows the table's true size when it plans the joins that follow."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder for one run's intermediate table."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"

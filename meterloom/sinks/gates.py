@@ -15,7 +15,7 @@ from meterloom.functions.numbers import is_missing, is_number, number
 from meterloom.functions.text import canonical_json, has_percent_key, row_hash, valid_session
 from meterloom.functions.times import iso
 from meterloom.operators.dedup import mark_repeats
-from meterloom.session import scratch
+from meterloom.session import settle
 from meterloom.sources.readings import reading_columns
 from meterloom.sources.tables import stored
 from meterloom.sources.telemetry import telemetry_from_lines
@@ -42,12 +42,6 @@ def append_rows(rows: DataFrame, path: str, schema: str, partition: str | None =
     (writer.partitionBy(partition) if partition else writer).parquet(path)
 
 
-def settle(spark: SparkSession, classified: DataFrame, name: str) -> DataFrame:
-    path = scratch(spark, name)
-    classified.write.parquet(path)
-    return spark.read.schema(classified.schema).parquet(path)
-
-
 def outcome_counts(classified: DataFrame) -> dict[str, int]:
     """How many rows were inserted, duplicate, redundant and rejected."""
     found = {r["outcome"]: r["n"] for r in classified.groupBy("outcome").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -58,7 +52,7 @@ def classify_readings(lines: DataFrame, held: DataFrame, held_errors: DataFrame,
                       machine: Column | None = None) -> DataFrame:
     """Reading lines (`value`, `ingest_id`) with the outcome of each: rejected, duplicate, redundant (a session repeating
     its last stored reading) or inserted."""
-    typed = reading_columns(lines, agent, machine)
+    typed = settle(reading_columns(lines, agent, machine), "typed-readings")
     good = typed.where(F.col("reason").isNull())
     hashes = held.select("row_hash").unionByName(held_errors.select("row_hash"))
     marked = _mark_copies(good, hashes, ["row_hash"])
@@ -84,7 +78,7 @@ def add_readings(lines: DataFrame, path: str, errors_path: str, agent: str, dedu
                  machine: Column | None = None) -> DataFrame:
     """Appends new readings to one table and failed polls to the other; returns the classified lines."""
     spark = lines.sparkSession
-    done = settle(spark, classify_readings(lines, stored(spark, path, schemas.ACCOUNT_QUOTAS),
+    done = settle(classify_readings(lines, stored(spark, path, schemas.ACCOUNT_QUOTAS),
                                             stored(spark, errors_path, schemas.POLL_ERRORS), agent, dedup, machine), "readings")
     new = done.where(F.col("outcome") == "inserted")
     append_rows(new.where(~F.col("is_error")), path, schemas.ACCOUNT_QUOTAS)
@@ -102,7 +96,7 @@ def classify_snapshots(lines: DataFrame, held: DataFrame, dedup: bool = True) ->
     written = number(get("$.ts"), "long")
     ts = F.when(F.coalesce(observed, F.lit(0)) != 0, observed).otherwise(written)
     cache = get("$.prompt_cache")
-    typed = lines.withColumn("_v", F.try_parse_json("value")).select(
+    typed = settle(lines.withColumn("_v", F.try_parse_json("value")).select(
         "ingest_id", "session_id",
         F.when(~valid_session(F.col("session_id")), "not a plain session id")
         .when(~is_number(get("$.ts")), "not an object with a numeric ts")
@@ -110,7 +104,7 @@ def classify_snapshots(lines: DataFrame, held: DataFrame, dedup: bool = True) ->
         .when(~is_missing(cost) & ~is_number(cost), "session_cost_usd is not a number").alias("reason"),
         ts.alias("ts"), iso(ts).alias("dt"), get("$.model_id", "string").alias("model_id"),
         number(cost).alias("session_cost_usd"), F.when(~is_missing(cache), F.to_json(cache)).alias("prompt_cache"),
-        written.alias("written_ts"), F.col("value").alias("raw"), row_hash(F.col("value"), F.col("session_id")).alias("row_hash"))
+        written.alias("written_ts"), F.col("value").alias("raw"), row_hash(F.col("value"), F.col("session_id")).alias("row_hash")), "typed-snapshots")
     marked = _mark_copies(typed.where(F.col("reason").isNull()), held, ["row_hash"])
     values = [F.col("model_id"), F.col("session_cost_usd"), canonical_json(F.col("prompt_cache"))]
     if dedup:
@@ -129,15 +123,15 @@ def classify_snapshots(lines: DataFrame, held: DataFrame, dedup: bool = True) ->
 
 def add_snapshots(lines: DataFrame, path: str, dedup: bool = True) -> DataFrame:
     spark = lines.sparkSession
-    done = settle(spark, classify_snapshots(lines, stored(spark, path, schemas.SESSION_SNAPSHOTS), dedup), "snapshots")
+    done = settle(classify_snapshots(lines, stored(spark, path, schemas.SESSION_SNAPSHOTS), dedup), "snapshots")
     append_rows(done.where(F.col("outcome") == "inserted"), path, schemas.SESSION_SNAPSHOTS)
     return done
 
 
 def classify_telemetry(lines: DataFrame, held: DataFrame) -> DataFrame:
     """Flattened telemetry lines (`value`, `ingest_id`) with their outcome."""
-    typed = telemetry_from_lines(lines)
-    good = typed.where(~has_percent_key(F.col("raw"))).withColumn("row_hash", row_hash(F.col("raw")))
+    good = settle(telemetry_from_lines(lines.where(~has_percent_key(F.col("value"))))
+                  .withColumn("row_hash", row_hash(F.col("raw"))), "typed-telemetry")
     marked = _mark_copies(good, held, ["row_hash"]).withColumn(
         "outcome", F.when(F.col("copy"), "duplicate").otherwise("inserted")).drop("copy")
     refused = lines.join(good.select("ingest_id"), "ingest_id", "left_anti").select("ingest_id", F.col("value").alias("raw"))
@@ -146,24 +140,23 @@ def classify_telemetry(lines: DataFrame, held: DataFrame) -> DataFrame:
 
 def add_telemetry(lines: DataFrame, path: str) -> DataFrame:
     spark = lines.sparkSession
-    done = settle(spark, classify_telemetry(lines, stored(spark, path, schemas.TELEMETRY)), "telemetry")
+    done = settle(classify_telemetry(lines, stored(spark, path, schemas.TELEMETRY)), "telemetry")
     append_rows(done.where(F.col("outcome") == "inserted"), path, schemas.TELEMETRY)
     return done
 
 
 def add_requests(rows: DataFrame, path: str, schema: str = schemas.REQUESTS) -> int:
     """Appends requests whose id is new; a missing id or a negative or missing count refuses the batch."""
-    spark = rows.sparkSession
     counts = ["input_tokens", "output_tokens", "cache_read_tokens", "cache_write_5m_tokens", "cache_write_1h_tokens"]
     bad = F.coalesce("request_id", F.lit("")) == ""
     for c in counts:
         bad = bad | F.coalesce(F.col(c) < 0, F.lit(True))
-    settled = settle(spark, rows, "requests")
+    settled = settle(rows, "requests")
     first = settled.where(bad).select("request_id", *counts).first()
     if first is not None:
         raise ValueError(f"a request needs an id and non-negative counts: {first.asDict()}")
-    held = stored(spark, path, schema)
-    new = settle(spark, _mark_copies(settled, held, ["request_id"]).where(~F.col("copy")).drop("copy"), "new-requests")
+    held = stored(rows.sparkSession, path, schema)
+    new = settle(_mark_copies(settled, held, ["request_id"]).where(~F.col("copy")).drop("copy"), "new-requests")
     append_rows(new, path, schema)
     return new.count()
 
@@ -226,7 +219,7 @@ def parse_slots(lines: DataFrame, field: str = "$") -> DataFrame:
 
 def check_batch(rows: DataFrame, fault: Column, label: str = "slots") -> DataFrame:
     """The batch, settled, if no row has a fault; otherwise nothing of it may be stored and the first fault is raised."""
-    settled = settle(rows.sparkSession, rows.withColumn("_fault", fault).drop("_v"), label)
+    settled = settle(rows.withColumn("_fault", fault).drop("_v"), label)
     first = settled.where(F.col("_fault").isNotNull()).first()
     if first is not None:
         raise ValueError(f"{label} not stored: {first['_fault']}")
@@ -241,7 +234,7 @@ def add_slots(rows: DataFrame, path: str, machine: str | None = None, fault: Col
     if machine is not None:
         held = held.where(F.col("machine") == machine)
     fresh = good.dropDuplicates(schemas.SLOT_KEY).join(held.select(*schemas.SLOT_KEY), schemas.SLOT_KEY, "left_anti")
-    new = settle(spark, fresh, "new-slots")
+    new = settle(fresh, "new-slots")
     append_rows(new, path, schemas.SLOTS, "machine")
     return new.count()
 

@@ -15,6 +15,12 @@ def with_place(text: DataFrame) -> DataFrame:
                        F.monotonically_increasing_id().alias("line"))
 
 
+def parsed(rows: DataFrame, schema: str, *keep: str, value: str = "value") -> DataFrame:
+    """JSON text as columns, next to the columns to keep. As a generator of one row the parse runs once per line; as a
+    projection its filters would be pushed below it and parse again. Text that is no object gives a row of NULLs."""
+    return rows.select(*keep, F.inline(F.array(F.from_json(value, schema))))
+
+
 def number_rows(rows: DataFrame, after: int = 0) -> DataFrame:
     """Adds ingest_id: consecutive arrival numbers above `after` in (path, block, line) order. Each split is numbered
     on its own; a running total over one row per split says where it starts. Number a batch once, as it is stored."""

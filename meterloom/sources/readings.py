@@ -9,77 +9,59 @@ from meterloom.functions.numbers import is_missing, is_number, number
 from meterloom.functions.text import blank_to_null, row_hash, session_or_null, valid_machine
 from meterloom.functions.times import epoch_seconds, iso
 from meterloom.operators.dedup import last_by
-
-
-def _get(path: str, kind: str = "variant") -> Column:
-    return F.try_variant_get("_v", path, kind)
-
-
-def _text(path: str) -> Column:
-    return _get(path, "string")
-
-
-def _is_object(value: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(value).startswith("OBJECT"), F.lit(False))
-
-
-def _windows(source: Column) -> dict[str, tuple[Column, Column]]:
-    """Per window the VARIANT of its percent and of its reset, picked by source."""
-    def by_length(minutes: int, key: str) -> Column:
-        at = "$.codex_rate_limits.rateLimits"
-        sides = [(_get(f"{at}.{side}.windowDurationMins", "long"), _get(f"{at}.{side}.{key}")) for side in ("secondary", "primary")]
-        return F.when(sides[0][0] == minutes, sides[0][1]).when(sides[1][0] == minutes, sides[1][1])
-    out = {}
-    for name, minutes in (("five_hour", 300), ("seven_day", 10080)):
-        pct = (F.when(source == PUSH_SOURCE, _get(f"$.{name}_pct")).when(source == POLL_SOURCE, _get(f"$.api.{name}.utilization"))
-               .when(source == APP_SERVER_SOURCE, by_length(minutes, "usedPercent")))
-        reset = (F.when(source == PUSH_SOURCE, _get(f"$.{name}_resets_at")).when(source == POLL_SOURCE, _get(f"$.api.{name}.resets_at"))
-                 .when(source == APP_SERVER_SOURCE, by_length(minutes, "resetsAt")))
-        out[name] = (pct, reset)
-    return out
+from meterloom.sources.lines import parsed
 
 
 def reading_columns(lines: DataFrame, agent: str, machine: Column | None = None) -> DataFrame:
     """Landed reading lines (`value`) in typed columns, with `reason` saying why a line must not be stored and
-    `is_error` telling failed polls. Types are checked on the JSON itself: a percent that is a text or a bool is refused,
-    not turned into NULL. `machine` names the machine of lines that do not say it."""
-    named = lines.withColumn("_v", F.try_parse_json("value"))
-    source = F.coalesce(F.nullif(_text("$.source"), F.lit("")), F.lit(DEFAULT_SOURCE[agent]).cast("string"))
-    named = named.withColumn("source", source)
-    written = number(_get("$.ts"), "long")
-    error = _get("$.error")
-    pushed = F.col("source") == PUSH_SOURCE
-    observed = number(_get("$.observed_at"), "long")
-    ts = F.when(pushed & (F.coalesce(observed, F.lit(0)) != 0), observed).otherwise(written)
-    win = _windows(F.col("source"))
-    name = F.coalesce(machine, _text("$.machine")) if machine is not None else _text("$.machine")
-    bad_pct, bad_reset = F.lit(False), F.lit(False)
-    for pct, reset in win.values():
-        bad_pct = bad_pct | (~is_missing(pct) & ~is_number(pct))
-        text = F.try_variant_get(reset, "$", "string")
-        bad_reset = bad_reset | (~is_missing(reset) & (F.coalesce(text, F.lit("x")) != "") & epoch_seconds(text).isNull())
-    failed = ~is_missing(error)
-    own = F.lit(False)
-    for key in SESSION_ONLY_KEYS:
-        own = own | _get(f"$.{key}").isNotNull()
-    reason = (F.when(~_is_object(F.col("_v")) | ~is_number(_get("$.ts")), "not an object with a numeric ts")
-              .when(own, "per-session field in an account row")
+    `is_error` telling failed polls. Fields whose JSON type matters arrive as VARIANT: a percent that is a text or a bool
+    is refused, not turned into NULL. `machine` names the machine of lines that do not say it."""
+    rest = [c for c in lines.columns if c != "value"]
+    j = parsed(lines.withColumn("_machine", machine if machine is not None else F.lit(None).cast("string")),
+               schemas.READING_LINE, *rest, "value", "_machine")
+    source = F.coalesce(F.nullif(F.col("source"), F.lit("")), F.lit(DEFAULT_SOURCE[agent]).cast("string"))
+    limits = F.col("codex_rate_limits.rateLimits")
+
+    def meter(minutes: int, pushed: str, polled: str, counted: str) -> Column:
+        by_length = (F.when(limits["secondary"]["windowDurationMins"] == minutes, limits["secondary"][counted])
+                     .when(limits["primary"]["windowDurationMins"] == minutes, limits["primary"][counted]))
+        return (F.when(source == PUSH_SOURCE, F.col(pushed)).when(source == POLL_SOURCE, F.col(polled))
+                .when(source == APP_SERVER_SOURCE, by_length))
+
+    flat = j.select(
+        *rest, "value", source.alias("source"), F.ltrim("value").startswith("{").alias("_object"), F.col("ts").alias("_ts"),
+        number(F.col("ts"), "long").alias("written_ts"), number(F.col("observed_at"), "long").alias("_observed"),
+        meter(300, "five_hour_pct", "api.five_hour.utilization", "usedPercent").alias("_p5"),
+        meter(300, "five_hour_resets_at", "api.five_hour.resets_at", "resetsAt").alias("_r5"),
+        meter(10080, "seven_day_pct", "api.seven_day.utilization", "usedPercent").alias("_p7"),
+        meter(10080, "seven_day_resets_at", "api.seven_day.resets_at", "resetsAt").alias("_r7"),
+        F.when(source == PUSH_SOURCE, F.col("observed_by_session")).alias("observed_by_session"),
+        F.coalesce("_machine", "machine").alias("machine"), F.col("error").alias("_error"),
+        F.greatest(*[F.col(k).isNotNull() for k in SESSION_ONLY_KEYS]).alias("_own"))
+    text = lambda c: F.try_variant_get(c, "$", "string")
+    typed = flat.withColumn("_t5", text("_r5")).withColumn("_t7", text("_r7"))
+    typed = typed.withColumn("five_hour_resets_ts", epoch_seconds(F.col("_t5"))).withColumn("seven_day_resets_ts", epoch_seconds(F.col("_t7")))
+    failed = ~is_missing(F.col("_error"))
+    ts = F.when((F.col("source") == PUSH_SOURCE) & (F.coalesce("_observed", F.lit(0)) != 0), F.col("_observed")).otherwise(F.col("written_ts"))
+    bad_pct = (~is_missing(F.col("_p5")) & ~is_number(F.col("_p5"))) | (~is_missing(F.col("_p7")) & ~is_number(F.col("_p7")))
+    bad_reset = F.lit(False)
+    for reset, said, got in (("_r5", "_t5", "five_hour_resets_ts"), ("_r7", "_t7", "seven_day_resets_ts")):
+        bad_reset = bad_reset | (~is_missing(F.col(reset)) & (F.coalesce(said, F.lit("x")) != "") & F.col(got).isNull())
+    reason = (F.when(~F.col("_object") | F.col("written_ts").isNull(), "not an object with a numeric ts")
+              .when(F.col("_own"), "per-session field in an account row")
               .when(~F.coalesce(F.col("source").isin(READING_SOURCES[agent]), F.lit(False)), "unknown source")
               .when(failed, F.lit(None))
               .when(bad_pct, "percent is not a number")
               .when(bad_reset, "reset is not a time")
-              .when(name.isNotNull() & ~valid_machine(name), "not a machine name"))
-    typed = named.select(
-        *[c for c in lines.columns if c != "value"], reason.alias("reason"), failed.alias("is_error"), ts.alias("ts"), iso(ts).alias("dt"),
-        "source", number(win["five_hour"][0]).alias("five_hour_pct"),
-        epoch_seconds(F.try_variant_get(win["five_hour"][1], "$", "string")).alias("five_hour_resets_ts"),
-        number(win["seven_day"][0]).alias("seven_day_pct"),
-        epoch_seconds(F.try_variant_get(win["seven_day"][1], "$", "string")).alias("seven_day_resets_ts"),
-        F.when(pushed, _text("$.observed_by_session")).alias("observed_by_session"), written.alias("written_ts"),
-        F.col("value").alias("raw"), row_hash(F.col("value")).alias("row_hash"), name.alias("machine"),
-        _text("$.error.stage").alias("stage"), _text("$.error.type").alias("type"),
-        _get("$.error.status", "int").alias("status"), _get("$.error.retry_after_s", "int").alias("retry_after_s"))
-    return typed
+              .when(F.col("machine").isNotNull() & ~valid_machine(F.col("machine")), "not a machine name"))
+    error = lambda key, kind: F.try_variant_get("_error", f"$.{key}", kind)
+    return typed.select(
+        *rest, reason.alias("reason"), failed.alias("is_error"), ts.alias("ts"), iso(ts).alias("dt"), "source",
+        number(F.col("_p5")).alias("five_hour_pct"), "five_hour_resets_ts", number(F.col("_p7")).alias("seven_day_pct"),
+        "seven_day_resets_ts", "observed_by_session", "written_ts", F.col("value").alias("raw"),
+        row_hash(F.col("value")).alias("row_hash"), "machine", error("stage", "string").alias("stage"),
+        error("type", "string").alias("type"), error("status", "int").alias("status"),
+        error("retry_after_s", "int").alias("retry_after_s"))
 
 
 def payload_rows(payloads: DataFrame, observed: DataFrame, now: Column, machine: str | None) -> tuple[DataFrame, DataFrame]:

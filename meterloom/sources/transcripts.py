@@ -8,6 +8,8 @@ from meterloom.functions.numbers import at_least_zero, list_price_usd, tokens
 from meterloom.functions.times import epoch_seconds, iso, zoned_epoch
 from meterloom.operators.chunks import running
 from meterloom.operators.dedup import counter_deltas, first_by, largest_output
+from meterloom.session import settle
+from meterloom.sources.lines import parsed
 
 _PLACE = ["path", "block", "line"]
 
@@ -15,7 +17,7 @@ _PLACE = ["path", "block", "line"]
 def _parsed(lines: DataFrame, keep: Column, schema: str) -> DataFrame:
     """Lines that pass a plain text test, parsed. The test runs before the JSON parser and drops most lines; text that
     is no JSON object parses to NULLs and falls out of every later filter."""
-    return lines.where(keep).select(*_PLACE, F.from_json("value", schema).alias("j")).select(*_PLACE, "j.*")
+    return parsed(lines.where(keep), schema, *_PLACE)
 
 
 def request_lines(lines: DataFrame) -> DataFrame:
@@ -47,6 +49,7 @@ def turn_records(lines: DataFrame) -> DataFrame:
     seen = F.col("value")
     j = _parsed(lines, seen.contains('"session_meta"') | seen.contains('"turn_context"') | seen.contains('"token_count"'),
                 schemas.TURN_LINE).where(F.col("payload").isNotNull())
+    j = settle(j, "session-records")
     meta, context = F.col("type") == "session_meta", F.col("type") == "turn_context"
     text = F.col("payload.source")
     # `source` is a text, or an object (kept as its JSON) for a subagent.

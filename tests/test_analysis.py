@@ -38,79 +38,94 @@ def read(spark):
     return windows.readings(spark.createDataFrame(account_rows(), schemas.ACCOUNT_QUOTAS))
 
 
+@pytest.fixture(scope="module")
+def five(read):
+    return windows.first_seen(read, "5h")
+
+
+@pytest.fixture(scope="module")
+def week(read):
+    return windows.first_seen(read, "7d")
+
+
+@pytest.fixture(scope="module")
+def line(slots):
+    return budgets.timeline(slots)
+
+
 @pytest.fixture(scope="module")
 def slots(spark):
     return countable_slots(spark.createDataFrame(slot_rows(), schemas.SLOTS))
 
 
-def test_windows_and_cut(read, rows):
-    assert rows(windows.windows(read, "5h"), "plan", "start", "end", "cut", "peak") == [
+def test_windows_and_cut(five, week, rows):
+    assert rows(windows.windows(five, "5h"), "plan", "start", "end", "cut", "peak") == [
         ("max5x", 1791391860, 1791408000, True, 1.0), ("pro", T, T + 18000, False, 30.0),
         ("pro", T + 28800, T + 46800, False, 20.0)]
-    assert ("max5x", 1791391860, 1791831600, True) in rows(windows.windows(read, "7d"), "plan", "start", "end", "cut")
+    assert ("max5x", 1791391860, 1791831600, True) in rows(windows.windows(week, "7d"), "plan", "start", "end", "cut")
 
 
-def test_steps_drop_the_stale_reading(read, rows):
-    got = rows(windows.steps(read, "5h").where(F.col("reset") == T + 18000), "ts", "pct")
+def test_steps_drop_the_stale_reading(five, week, rows):
+    got = rows(windows.steps(five, "5h").where(F.col("reset") == T + 18000), "ts", "pct")
     assert got == [(T + 3600, 10.0), (T + 7200, 20.0), (T + 10800, 30.0)]
 
 
-def test_gaps(read, slots, rows):
-    gap = windows.gaps(read, active_starts(slots))
+def test_gaps(read, five, week, line, slots, rows):
+    gap = windows.gaps(read, five, active_starts(slots))
     assert rows(gap, "prev_end", "start", "gap", "readings", "nulls", "active", "lag_min") == [
         (T + 18000, T + 28800, 10800, 1, 1, 0, 5)]
     assert rows(windows.gap_summary(gap)) == [(1, 0, 0, 1, 0, 3.0, 3.0, 1, 0)]
     assert rows(windows.gap_anomalies(gap)) == []
 
 
-def test_outside_and_coverage(read, slots, rows):
-    win = windows.windows(read, "5h")
+def test_outside_and_coverage(read, five, week, line, slots, rows):
+    win = windows.windows(five, "5h")
     assert rows(windows.outside_windows(win, active_starts(slots))) == [(5, 0)]
     n, covered, elapsed, _ = windows.coverage(win).first()
     assert (n, covered, elapsed) == (3, 18000 * 2 + 1791408000 - 1791391860, 1791408000 - T)
 
 
-def test_ledger_names_the_weekday(read, slots, rows):
-    first = windows.ledger(read, active_starts(slots)).where(F.col("end") == END7)
+def test_ledger_names_the_weekday(read, five, week, line, slots, rows):
+    first = windows.ledger(week, active_starts(slots)).where(F.col("end") == END7)
     assert rows(first, "weekday", "step_days", "first_active") == [("Mon", None, None)]
 
 
-def test_budget_of_each_window(read, slots, rows):
-    fit = budgets.budget_table(budgets.fits(read, slots, "5h"))
+def test_budget_of_each_window(read, five, week, line, slots, rows):
+    fit = budgets.budget_table(budgets.fits(five, line, "5h"))
     got = {r["start"]: r for r in fit.collect()}
     a, b = got[T], got[T + 28800]
     assert (a["peak"], a["usd"], round(a["b"], 6), round(a["r2"], 6), a["steps"]) == (30.0, 3.0, 10.0, 1.0, 3)
     assert b["b"] is None and b["why"] == "fewer than 3 readings at 5%+"
 
 
-def test_windows_per_week_and_summary(read, slots, rows):
-    ratio = budgets.windows_per_week(read)
+def test_windows_per_week_and_summary(read, five, week, line, slots, rows):
+    ratio = budgets.windows_per_week(five, week)
     assert rows(ratio, "gain_5h", "gain_7d", "ratio") == [(10.0, 1.0, 10.0), (20.0, 2.0, 10.0)]
-    total = budgets.plan_summary(budgets.fits(read, slots, "5h"), budgets.fits(read, slots, "7d"), ratio)
+    total = budgets.plan_summary(budgets.fits(five, line, "5h"), budgets.fits(week, line, "7d"), ratio)
     pro = total.where("plan = 'pro'").first()
     assert (pro["n_5h"], pro["b_5h_p50"], pro["b_5h_p10"], pro["per_week_p50"], pro["per_week_summed"], pro["n_ratio"]) == (
         1, 10.0, 10.0, 10.0, 10.0, 2)
-    mix = budgets.one_percent_mix(budgets.fits(read, slots, "5h"), slots).first()
+    mix = budgets.one_percent_mix(budgets.fits(five, line, "5h"), line).first()
     assert mix["plan"] == "pro" and round(mix["cache_read_tokens"], 6) == round(4100 / 4 * 0.1, 6)
 
 
-def test_no_seven_day_jump(read, rows):
-    assert rows(windows.jumps(windows.steps(read, "7d"), JUMP_PCT, JUMP_S)) == []
+def test_no_seven_day_jump(five, week, rows):
+    assert rows(windows.jumps(windows.steps(week, "7d"), JUMP_PCT, JUMP_S)) == []
 
 
-def test_split_by_project_and_kind(read, slots, rows):
-    placed = split.placed_in_windows(slots, split.GROUPS["project"](), split.periods(read, "5h"))
+def test_split_by_project_and_kind(read, five, week, line, slots, rows):
+    placed = split.placed_in_windows(slots, split.GROUPS["project"](), split.periods(five, "5h"))
     got = rows(split.cost_split(placed), "start", "g", "usd", "share", "requests")
     assert (T, "alpha", 4.0, 1.0, 4) in got and (T + 28800, "gamma", 2.0, 1.0, 1) in got
-    kinds = split.placed_in_windows(slots, split.GROUPS["kind"](), split.periods(read, "5h"))
+    kinds = split.placed_in_windows(slots, split.GROUPS["kind"](), split.periods(five, "5h"))
     assert (T, "scheduled run", 0.0, 0.0, 1) in rows(split.cost_split(kinds), "start", "g", "usd", "share", "requests")
     day = split.period_totals(split.placed_in_days(slots, split.GROUPS["project"]()))
     assert rows(day.where("level = 'period'"), "start", "plan", "usd") == [(T - 8 * 3600, "pro", 6.0)]
-    assert rows(split.outside_periods(slots, split.periods(read, "5h"))) == [(0,)]
+    assert rows(split.outside_periods(slots, split.periods(five, "5h"))) == [(0,)]
 
 
-def test_split_top_keeps_the_rest(read, slots, rows):
-    placed = split.placed_in_windows(slots, split.GROUPS["project"](), split.periods(read, "5h"))
+def test_split_top_keeps_the_rest(read, five, week, line, slots, rows):
+    placed = split.placed_in_windows(slots, split.GROUPS["project"](), split.periods(five, "5h"))
     got = rows(split.cost_split(placed, top=1).where(F.col("start") == T), "position", "g", "usd", "requests")
     assert got == [(1, "alpha", 4.0, 4), (2, "(1 others)", 0.0, 1)]
 
