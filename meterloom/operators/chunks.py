@@ -32,6 +32,7 @@ def running(df: DataFrame, keys: list[str], order: list[Column], specs: dict[str
 
       previous      the value of the row before (NULL included)
       last_known    the last value that is not NULL, this row's included
+      known_before  the last value that is not NULL of the rows before
       max_before    the largest value of the rows before
       sum_through   the sum up to and including this row
       sum_before    the sum of the rows before
@@ -46,7 +47,7 @@ def running(df: DataFrame, keys: list[str], order: list[Column], specs: dict[str
         c = F.col(v)
         if how == "previous":
             partial.append(F.max_by(c, F.col("_o")).alias(v))
-        elif how == "last_known":
+        elif how in ("last_known", "known_before"):
             partial.append(F.max_by(c, F.when(c.isNotNull(), F.col("_o"))).alias(v))
         elif how == "max_before":
             partial.append(F.max(c).alias(v))
@@ -65,7 +66,7 @@ def running(df: DataFrame, keys: list[str], order: list[Column], specs: dict[str
         c = F.col(v)
         if how == "previous":
             seeds.append(F.lag(c).over(over.orderBy("_chunk")).alias(v))
-        elif how == "last_known":
+        elif how in ("last_known", "known_before"):
             seeds.append(F.last(c, ignorenulls=True).over(earlier).alias(v))
         elif how == "max_before":
             seeds.append(F.max(c).over(earlier).alias(v))
@@ -79,8 +80,8 @@ def running(df: DataFrame, keys: list[str], order: list[Column], specs: dict[str
         c = F.col(f"_v{i}")
         if how == "previous":
             result = F.lag(c).over(inside)
-        elif how == "last_known":
-            result = F.last(c, ignorenulls=True).over(through)
+        elif how in ("last_known", "known_before"):
+            result = F.last(c, ignorenulls=True).over(through if how == "last_known" else before)
         elif how == "max_before":
             result = F.max(c).over(before)
         else:

@@ -28,13 +28,15 @@ def drop_copies(df: DataFrame, key: str = "row_hash", by: str = "ingest_id") ->
 
 
 def mark_repeats(df: DataFrame, keys: list[str], values: list[Column], by: str = "ingest_id",
-                 stored: DataFrame | None = None, out: str = "redundant") -> DataFrame:
-    """Flags a row whose values equal, NULLs included, those of the row before it with the same keys. A row equal to a
-    repeat equals what that repeat repeats, so the row before stands for the last one kept. `stored` (keys and a struct
-    `last_values` per key) is what an earlier run kept last."""
+                 stored: DataFrame | None = None, copy: Column | None = None, out: str = "redundant") -> DataFrame:
+    """Flags a row whose values equal, NULLs included, those of the last kept row before it with the same keys. A row
+    equal to a repeat equals what that repeat repeats, so the row before stands for the last one kept; only a `copy` of
+    a stored row, never kept, is passed over. `stored` (keys and a struct `last_values` per key) is what an earlier run
+    kept last."""
     now = F.struct(*[v.alias(f"f{i}") for i, v in enumerate(values)])
     first = stored.select(*keys, F.col("last_values").alias("_before")) if stored is not None else None
-    seen = running(df, keys, [F.col(by)], {"_before": ("previous", now)}, id_chunk(F.col(by)), first)
+    kept = now if copy is None else F.when(~copy, now)
+    seen = running(df, keys, [F.col(by)], {"_before": ("known_before", kept)}, id_chunk(F.col(by)), first)
     same = F.col("_before").isNotNull()
     for i, v in enumerate(values):
         same = same & F.col(f"_before.f{i}").eqNullSafe(v)

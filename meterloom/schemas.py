@@ -46,6 +46,10 @@ PLAN_HISTORY = """ts LONG, source STRING, plan_limit_history STRUCT<data_as_of:
 DAILY_BUCKETS = "ts LONG, source STRING, codex_usage STRUCT<dailyUsageBuckets: ARRAY<STRUCT<startDate: STRING, tokens: LONG>>>"
 BREAKDOWN = """ts LONG, source STRING, api STRUCT<seven_day_breakdown: STRUCT<as_of: STRING, window_started_at: STRING,
     `rows`: ARRAY<STRUCT<key: STRING, display_name: STRING, percent: DOUBLE>>>>"""
+SNAPSHOT_LINE = """ts VARIANT, observed_at VARIANT, model_id STRING, session_cost_usd VARIANT, prompt_cache VARIANT"""
+TELEMETRY_LINE = """source STRING, observed_at VARIANT, received_at VARIANT, event STRING, attributes STRUCT<`session.id`: STRING,
+    request_id: STRING, model: STRING, query_source: STRING, input_tokens: VARIANT, output_tokens: VARIANT,
+    cache_read_tokens: VARIANT, cache_creation_tokens: VARIANT, cost_usd: VARIANT>"""
 READING_LINE = """ts VARIANT, source STRING, observed_at VARIANT, five_hour_pct VARIANT, five_hour_resets_at VARIANT,
     seven_day_pct VARIANT, seven_day_resets_at VARIANT, observed_by_session STRING, machine STRING,
     api STRUCT<five_hour: STRUCT<utilization: VARIANT, resets_at: VARIANT>,

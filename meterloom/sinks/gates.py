@@ -16,6 +16,7 @@ from meterloom.functions.text import canonical_json, has_percent_key, row_hash,
 from meterloom.functions.times import iso
 from meterloom.operators.dedup import mark_repeats
 from meterloom.session import settle
+from meterloom.sources.lines import parsed
 from meterloom.sources.readings import reading_columns
 from meterloom.sources.tables import stored
 from meterloom.sources.telemetry import telemetry_from_lines
@@ -57,20 +58,23 @@ def classify_readings(lines: DataFrame, held: DataFrame, held_errors: DataFrame,
     hashes = held.select("row_hash").unionByName(held_errors.select("row_hash"))
     marked = _mark_copies(good, hashes, ["row_hash"])
     if dedup:
-        of_session = ((F.col("source") == PUSH_SOURCE) & (F.coalesce("observed_by_session", F.lit("")) != "") & ~F.col("is_error"))
-        fresh = marked.where(of_session & ~F.col("copy"))
-        last = (held.where(F.col("source") == PUSH_SOURCE).join(fresh.select("observed_by_session").distinct(),
+        of_session = F.coalesce((F.col("source") == PUSH_SOURCE) & (F.col("observed_by_session") != "") & ~F.col("is_error"), F.lit(False))
+        pushed = marked.where(of_session)
+        last = (held.where(F.col("source") == PUSH_SOURCE).join(pushed.select("observed_by_session").distinct(),
                                                                "observed_by_session", "left_semi")
                 .groupBy("observed_by_session")
                 .agg(F.max_by(F.struct(*[F.col(c).alias(f"f{i}") for i, c in enumerate(_READING)]), "ingest_id").alias("last_values")))
-        seen = mark_repeats(fresh, ["observed_by_session"], [F.col(c) for c in _READING], stored=last)
-        rest = marked.where(~F.coalesce(of_session, F.lit(False)) | F.col("copy")).withColumn("redundant", F.lit(False))
-        marked = seen.unionByName(rest)
+        seen = mark_repeats(pushed, ["observed_by_session"], [F.col(c) for c in _READING], stored=last, copy=F.col("copy"))
+        marked = seen.unionByName(marked.where(~of_session).withColumn("redundant", F.lit(False)))
     else:
         marked = marked.withColumn("redundant", F.lit(False))
+    return _with_outcome(marked, typed)
+
+
+def _with_outcome(marked: DataFrame, typed: DataFrame) -> DataFrame:
     refused = typed.where(F.col("reason").isNotNull()).withColumn("copy", F.lit(False)).withColumn("redundant", F.lit(False))
-    outcome = (F.when(F.col("reason").isNotNull(), "rejected").when(F.col("copy"), "duplicate")
-               .when(F.col("redundant"), "redundant").otherwise("inserted"))
+    outcome = (F.when(F.col("reason").isNotNull(), "rejected").when(F.col("redundant"), "redundant")
+               .when(F.col("copy"), "duplicate").otherwise("inserted"))
     return marked.unionByName(refused).withColumn("outcome", outcome).drop("copy", "redundant")
 
 
@@ -89,36 +93,30 @@ def add_readings(lines: DataFrame, path: str, errors_path: str, agent: str, dedu
 def classify_snapshots(lines: DataFrame, held: DataFrame, dedup: bool = True) -> DataFrame:
     """Session snapshot lines (`value`, `session_id`, `ingest_id`) with their outcome. Redundant: same model, cost and
     cache statistics (as structures, whatever the key order) as the session's last."""
-    v = F.col("_v")
-    get = lambda path, kind="variant": F.try_variant_get(v, path, kind)
-    cost = get("$.session_cost_usd")
-    observed = number(get("$.observed_at"), "long")
-    written = number(get("$.ts"), "long")
-    ts = F.when(F.coalesce(observed, F.lit(0)) != 0, observed).otherwise(written)
-    cache = get("$.prompt_cache")
-    typed = settle(lines.withColumn("_v", F.try_parse_json("value")).select(
+    j = parsed(lines, schemas.SNAPSHOT_LINE, "ingest_id", "session_id", "value")
+    flat = j.select(
+        "ingest_id", "session_id", "value", "model_id", "prompt_cache", number(F.col("ts"), "long").alias("written_ts"),
+        number(F.col("observed_at"), "long").alias("_observed"), number(F.col("session_cost_usd")).alias("cost"),
+        (~is_missing(F.col("session_cost_usd"))).alias("_has_cost"), has_percent_key(F.col("value")).alias("_percent"))
+    ts = F.when(F.coalesce("_observed", F.lit(0)) != 0, F.col("_observed")).otherwise(F.col("written_ts"))
+    typed = settle(flat.select(
         "ingest_id", "session_id",
         F.when(~valid_session(F.col("session_id")), "not a plain session id")
-        .when(~is_number(get("$.ts")), "not an object with a numeric ts")
-        .when(has_percent_key(F.col("value")), "percent-like key in session data")
-        .when(~is_missing(cost) & ~is_number(cost), "session_cost_usd is not a number").alias("reason"),
-        ts.alias("ts"), iso(ts).alias("dt"), get("$.model_id", "string").alias("model_id"),
-        number(cost).alias("session_cost_usd"), F.when(~is_missing(cache), F.to_json(cache)).alias("prompt_cache"),
-        written.alias("written_ts"), F.col("value").alias("raw"), row_hash(F.col("value"), F.col("session_id")).alias("row_hash")), "typed-snapshots")
+        .when(F.col("written_ts").isNull(), "not an object with a numeric ts")
+        .when(F.col("_percent"), "percent-like key in session data")
+        .when(F.col("_has_cost") & F.col("cost").isNull(), "session_cost_usd is not a number").alias("reason"),
+        ts.alias("ts"), iso(ts).alias("dt"), "model_id", F.col("cost").alias("session_cost_usd"),
+        F.when(~is_missing(F.col("prompt_cache")), F.to_json("prompt_cache")).alias("prompt_cache"), "written_ts",
+        F.col("value").alias("raw"), row_hash(F.col("value"), F.col("session_id")).alias("row_hash")), "typed-snapshots")
     marked = _mark_copies(typed.where(F.col("reason").isNull()), held, ["row_hash"])
     values = [F.col("model_id"), F.col("session_cost_usd"), canonical_json(F.col("prompt_cache"))]
     if dedup:
-        fresh = marked.where(~F.col("copy"))
-        last = (held.join(fresh.select("session_id").distinct(), "session_id", "left_semi").groupBy("session_id")
+        last = (held.join(marked.select("session_id").distinct(), "session_id", "left_semi").groupBy("session_id")
                 .agg(F.max_by(F.struct(*[c.alias(f"f{i}") for i, c in enumerate(values)]), "ingest_id").alias("last_values")))
-        marked = mark_repeats(fresh, ["session_id"], values, stored=last).unionByName(
-            marked.where(F.col("copy")).withColumn("redundant", F.lit(False)))
+        marked = mark_repeats(marked, ["session_id"], values, stored=last, copy=F.col("copy"))
     else:
         marked = marked.withColumn("redundant", F.lit(False))
-    refused = typed.where(F.col("reason").isNotNull()).withColumn("copy", F.lit(False)).withColumn("redundant", F.lit(False))
-    outcome = (F.when(F.col("reason").isNotNull(), "rejected").when(F.col("copy"), "duplicate")
-               .when(F.col("redundant"), "redundant").otherwise("inserted"))
-    return marked.unionByName(refused).withColumn("outcome", outcome).drop("copy", "redundant")
+    return _with_outcome(marked, typed)
 
 
 def add_snapshots(lines: DataFrame, path: str, dedup: bool = True) -> DataFrame:

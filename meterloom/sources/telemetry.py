@@ -7,6 +7,7 @@ from meterloom.fixed_values import EVENT_PREFIX, TELEMETRY_SOURCE, USAGE_EVENTS
 from meterloom.functions.numbers import number
 from meterloom.functions.text import session_or_null
 from meterloom.functions.times import epoch_seconds, iso
+from meterloom.sources.lines import parsed
 
 _DEPTH = 4
 
@@ -43,20 +44,20 @@ def plain_object(pairs: Column, depth: int = _DEPTH) -> Column:
 
 
 def _attribute(name: str, kind: str) -> Column:
-    """A scalar of the attribute list, unwrapped straight from its entry; no object is built for it."""
-    value = F.filter("attributes", lambda p: p["key"] == name)
-    last = F.when(F.size(value) > 0, F.element_at(value, -1)["value"])
+    """A scalar of the attribute list, found by its key's place (the last one, should a key come twice); no object is
+    built and no lambda runs for it."""
+    last = F.get(F.reverse(F.col("attributes.value")), F.array_position(F.reverse(F.col("attributes.key")), name).cast("int") - 1)
     if kind == "string":
         return F.try_variant_get(last, "$.stringValue", "string")
     whole = F.try_variant_get(last, "$.intValue", "string").try_cast("long")
-    found = F.coalesce(whole.cast("double"), number(F.try_variant_get(last, "$.doubleValue", "variant")))
-    return F.coalesce(whole, found.try_cast("long")) if kind == "long" else found
+    real = F.try_variant_get(last, "$.doubleValue", "double")
+    return F.coalesce(whole, real.try_cast("long")) if kind == "long" else F.coalesce(whole.cast("double"), real)
 
 
 def usage_events(batches: DataFrame, value: str = "value", received: str = "received_ts") -> DataFrame:
     """One row per usage event of the batches; every other event is dropped before its attributes are touched."""
-    j = batches.select(F.from_json(value, schemas.OTLP_BATCH).alias("j"), F.col(received).cast("long").alias("received_ts"))
-    r = j.select("received_ts", F.explode("j.resourceLogs").alias("r"))
+    j = parsed(batches.withColumn("received_ts", F.col(received).cast("long")), schemas.OTLP_BATCH, "received_ts", value=value)
+    r = j.select("received_ts", F.explode("resourceLogs").alias("r"))
     s = r.select("received_ts", F.col("r.resource.attributes").alias("resource"), F.explode("r.scopeLogs").alias("s"))
     e = s.select("received_ts", "resource", F.explode("s.logRecords").alias("e"))
     rec = e.select("received_ts", "resource", F.col("e.attributes").alias("attributes"), F.col("e.body.stringValue").alias("body"),
@@ -86,19 +87,16 @@ def telemetry(batches: DataFrame, value: str = "value", received: str = "receive
 def telemetry_from_lines(lines: DataFrame) -> DataFrame:
     """Already flattened telemetry lines (JSON objects with an `attributes` object) in the table's columns. A number is
     taken only where the JSON holds one."""
-    v = F.col("_v")
-    def text(path: str) -> Column:
-        return F.try_variant_get(v, path, "string")
-    def num(name: str, kind: str) -> Column:
-        return number(F.try_variant_get(v, f"$.attributes.{name}", "variant"), kind)
-    parsed = lines.withColumn("_v", F.try_parse_json("value"))
-    good = ((text("$.source") == TELEMETRY_SOURCE) & F.schema_of_variant(F.try_variant_get(v, "$.attributes", "variant")).startswith("OBJECT"))
-    ts = number(F.try_variant_get(v, "$.observed_at", "variant"), "long")
-    ts = F.coalesce(ts, epoch_seconds(text("$.observed_at")))
-    return parsed.where(good & ts.isNotNull()).select(
-        *[c for c in lines.columns if c != "value"], ts.alias("ts"), iso(ts).alias("dt"), text("$.event").alias("event"),
-        session_or_null(text("$.attributes['session.id']")).alias("session_id"), text("$.attributes.request_id").alias("request_id"),
-        text("$.attributes.model").alias("model"), text("$.attributes.query_source").alias("query_source"),
-        *[num(c, "long").alias(c) for c in ("input_tokens", "output_tokens", "cache_read_tokens", "cache_creation_tokens")],
-        num("cost_usd", "double").alias("cost_usd"), number(F.try_variant_get(v, "$.received_at", "variant"), "long").alias("received_ts"),
-        F.col("value").alias("raw"))
+    j = parsed(lines, schemas.TELEMETRY_LINE, *[c for c in lines.columns])
+    at = number(F.col("observed_at"), "long")
+    dated = j.where((F.col("source") == TELEMETRY_SOURCE) & F.col("attributes").isNotNull()).select(
+        *lines.columns, F.coalesce(at, epoch_seconds(F.try_variant_get("observed_at", "$", "string"))).alias("ts"), "event", "attributes",
+        number(F.col("received_at"), "long").alias("received_ts"))
+    a = F.col("attributes")
+    num = lambda name, kind: number(a[name], kind).alias(name)
+    return dated.where(F.col("ts").isNotNull()).select(
+        *[c for c in lines.columns if c != "value"], "ts", iso(F.col("ts")).alias("dt"), "event",
+        session_or_null(a["session.id"]).alias("session_id"), a["request_id"].alias("request_id"), a["model"].alias("model"),
+        a["query_source"].alias("query_source"),
+        *[num(c, "long") for c in ("input_tokens", "output_tokens", "cache_read_tokens", "cache_creation_tokens")],
+        num("cost_usd", "double"), "received_ts", F.col("value").alias("raw"))
