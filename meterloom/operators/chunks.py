@@ -7,7 +7,7 @@ them as a seed row in front of their own rows. So the largest window is one chun
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from meterloom.session import shared_folder
+from meterloom.session import settle
 
 ID_CHUNK = 1_000_000
 DAY = 86_400
@@ -19,11 +19,13 @@ def id_chunk(unique_id: Column, size: int = ID_CHUNK) -> Column:
     return F.floor(unique_id / size).cast("long")
 
 
-def balanced_chunks(df: DataFrame, order: list, name: str = "_chunk") -> DataFrame:
-    """Chunks of about equal size for an order no id gives: a range partitioning, then its partition number. Written
-    out, so that every later reader sees the same cut, also after a lost executor."""
-    shared_folder(df.sparkSession)
-    return df.repartitionByRange(*order).withColumn(name, F.spark_partition_id().cast("long")).checkpoint()
+def balanced_chunks(df: DataFrame, order: list, parts: int | None = None) -> DataFrame:
+    """Adds `_chunk`, chunks of about equal size for an order no id gives: a range partitioning, then its partition
+    number. `order` starts with the keys and ends with something unique, so a hot key or second is cut too. Written out,
+    so that every later reader sees the same cut, also after a lost executor. The number of chunks is `parts`, or
+    spark.sql.shuffle.partitions less what Spark merges because it is small."""
+    ranged = df.repartitionByRange(parts, *order) if parts else df.repartitionByRange(*order)
+    return settle(ranged.withColumn("_chunk", F.spark_partition_id().cast("long")), "chunks")
 
 
 def running(df: DataFrame, keys: list[str], order: list[Column], specs: dict[str, tuple[str, Column]], chunk: Column,
