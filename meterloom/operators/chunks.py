@@ -100,15 +100,18 @@ def asof(left: DataFrame, right: DataFrame, at: str, right_at: str, payload: lis
          balanced: bool = False) -> DataFrame:
     """As-of join: to each left row the nearest right row at or before it (`forward`: at or after it), as struct `out`
     (NULL when there is none). Without `equal`, strictly before (after). One union and one ordered pass, no range join;
-    `tie` orders right rows of one time, the last wins. A chunk is `span` seconds; sides whose rows per second have no
+    `tie` orders right rows of one time, the last wins (default: the largest payload). A chunk is `span` seconds; sides whose rows per second have no
     bound ask for `balanced` chunks."""
     sign = -1 if forward else 1
     keys = list(keys)
     l = left.withColumn("_t", F.col(at).cast("long") * sign).withColumn("_side", F.lit(1))
-    r = right.select(*keys, (F.col(right_at).cast("long") * sign).alias("_t"), F.lit(0 if equal else 2).alias("_side"),
-                     F.struct(*payload).alias("_hit"), *[t.alias(f"_tie{i}") for i, t in enumerate(tie)])
+    # Of right rows at one time only the last can be anyone's answer: one row per key and second is left.
+    hit = F.struct(*payload)
+    r = (right.groupBy(*keys, (F.col(right_at).cast("long") * sign).alias("_t"))
+         .agg((F.max_by(hit, F.struct(*tie, *payload)) if tie else F.max(hit)).alias("_hit"))
+         .withColumn("_side", F.lit(0 if equal else 2)))
     both = l.unionByName(r, allowMissingColumns=True)
-    order = [F.col("_t"), F.col("_side"), *[F.col(f"_tie{i}") for i in range(len(tie))]]
+    order = [F.col("_t"), F.col("_side")]
     if balanced:
         both = balanced_chunks(both, [*[F.col(k) for k in keys], *order, F.xxhash64(*[F.col(c) for c in left.columns])])
         chunk = F.col("_chunk")
