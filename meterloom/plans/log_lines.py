@@ -1,9 +1,11 @@
-"""JSON log lines written from the supplied events, for the readers: each event is one line of one log."""
+"""JSON log lines written from the supplied events, for the readers: each event is one line of one log. The lines are
+landed in the shared folder first, as logs are; a reader's text filters then run on text, not on what wrote it."""
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from meterloom.functions.times import iso
 from meterloom.plans.feeds import events, request_lines, telemetry
+from meterloom.session import settle
 
 _PLACE = ["path", "block", "line"]
 
@@ -29,7 +31,7 @@ def transcript_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("f0").alias("path"), F.lit(0).cast("long").alias("block"), F.col("event_id").alias("line"),
         F.when(F.col("event_type") == "purchase", _json(F.lit("user").alias("type"), F.col("props").alias("usage")))
         .otherwise(F.lit('{"type":"assistant","message":{"usage":{"output_tokens":')).alias("value"))
-    return good.unionByName(other)
+    return settle(good.unionByName(other), "transcript-lines")
 
 
 def telemetry_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,7 +52,7 @@ def telemetry_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     prompt = F.lit('{"timeUnixNano":"1","body":{"stringValue":"claude_code.user_prompt"},"attributes":[]}')
     value = F.concat(F.lit('{"resourceLogs":[{"resource":{"attributes":[{"key":"os.type","value":{"stringValue":"x"}}]},"scopeLogs":[{"logRecords":['),
                      prompt, F.lit(","), record, F.lit("]}]}]}"))
-    return t.select("received_ts", value.alias("value"))
+    return settle(t.select("received_ts", value.alias("value")), "telemetry-batches")
 
 
 def session_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,8 +72,8 @@ def session_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct((k + i % 10).alias("input_tokens"), (k % 50).alias("cached_input_tokens"), (k % 6).alias("cache_write_input_tokens"),
                  (i % 100).alias("output_tokens")).alias("last_token_usage")).alias("info")).alias("payload"))
     value = F.when(F.col("event_type") == "signup", meta).when(F.col("event_type") == "error", context).otherwise(count)
-    return e.select(F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("path"), F.floor(i / 4096).alias("block"), i.alias("line"),
-                    value.alias("value"))
+    return settle(e.select(F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("path"), F.floor(i / 4096).alias("block"),
+                           i.alias("line"), value.alias("value")), "session-lines")
 
 
 def reading_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,4 +95,4 @@ def reading_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.lit(',"observed_by_session":"s-'), (F.col("user_id") % 50).cast("string"), F.lit('"'))
     value = F.concat(F.lit('{"ts":'), F.when(fault == 7, F.lit('"x"')).otherwise(t.cast("string")), F.lit(',"source":"'), source, F.lit('",'),
                      F.when(i % 2 == 0, api).otherwise(push), extra, F.when(fault == 8, F.lit("")).otherwise(F.lit("}")))
-    return e.select(i.alias("ingest_id"), value.alias("value"))
+    return settle(e.select(i.alias("ingest_id"), value.alias("value")), "reading-lines")

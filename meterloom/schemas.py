@@ -37,10 +37,11 @@ COST_STATE_LINE = """type STRING, sessionId STRING, totalCostUSD DOUBLE, totalDu
         cacheCreationInputTokens: LONG, costUSD: DOUBLE>>"""
 REFUSAL_LINE = """type STRING, timestamp STRING, sessionId STRING,
     quotaLimits STRUCT<status: STRING, rateLimitType: STRING, resetsAt: STRING>"""
-OTLP_BATCH = """resourceLogs ARRAY<STRUCT<
-    resource: STRUCT<attributes: ARRAY<STRUCT<key: STRING, value: VARIANT>>>,
-    scopeLogs: ARRAY<STRUCT<logRecords: ARRAY<STRUCT<timeUnixNano: STRING, body: STRUCT<stringValue: STRING>,
-        attributes: ARRAY<STRUCT<key: STRING, value: VARIANT>>>>>>>>"""
+_WRAPPED = """STRUCT<stringValue: STRING, intValue: STRING, doubleValue: DOUBLE, boolValue: BOOLEAN, arrayValue: VARIANT,
+    kvlistValue: VARIANT>"""
+_ATTRIBUTES = f"ARRAY<STRUCT<key: STRING, value: {_WRAPPED}>>"
+OTLP_BATCH = f"""resourceLogs ARRAY<STRUCT<resource: STRUCT<attributes: {_ATTRIBUTES}>, scopeLogs: ARRAY<STRUCT<logRecords:
+    ARRAY<STRUCT<timeUnixNano: STRING, body: STRUCT<stringValue: STRING>, attributes: {_ATTRIBUTES}>>>>>>"""
 PLAN_HISTORY = """ts LONG, source STRING, plan_limit_history STRUCT<data_as_of: STRING, periods: ARRAY<STRUCT<
     window_minutes: INT, starts_at: STRING, ends_at: STRING, used_basis_points: DOUBLE, accounting_complete: BOOLEAN>>>"""
 DAILY_BUCKETS = "ts LONG, source STRING, codex_usage STRUCT<dailyUsageBuckets: ARRAY<STRUCT<startDate: STRING, tokens: LONG>>>"

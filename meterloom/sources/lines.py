@@ -1,6 +1,6 @@
 """Line-delimited logs: the scan itself, and arrival numbers for new rows."""
 
-from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 
 def read_lines(spark: SparkSession, path: str, glob: str = "*.jsonl") -> DataFrame:
@@ -21,6 +21,12 @@ def parsed(rows: DataFrame, schema: str, *keep: str, value: str = "value") -> Da
     return rows.select(*keep, F.inline(F.array(F.from_json(value, schema))))
 
 
+def computed(rows: DataFrame, **columns: Column) -> DataFrame:
+    """Adds columns that are computed once per row, whatever later filters and projections make of them. Spark copies a
+    costly expression into every filter it pushes and every expression that uses it; a generator of one row stops that."""
+    return rows.select("*", F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))))
+
+
 def number_rows(rows: DataFrame, after: int = 0) -> DataFrame:
     """Adds ingest_id: consecutive arrival numbers above `after` in (path, block, line) order. Each split is numbered
     on its own; a running total over one row per split says where it starts. Number a batch once, as it is stored."""

@@ -5,11 +5,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from meterloom import schemas
 from meterloom.fixed_values import (APP_SERVER_SOURCE, DEFAULT_SOURCE, PLAN_HISTORY_SOURCE, POLL_SOURCE, PUSH_SOURCE,
                                     READING_SOURCES, SESSION_ONLY_KEYS)
-from meterloom.functions.numbers import is_missing, is_number, number
+from meterloom.functions.numbers import is_missing, number
 from meterloom.functions.text import blank_to_null, row_hash, session_or_null, valid_machine
 from meterloom.functions.times import epoch_seconds, iso
 from meterloom.operators.dedup import last_by
-from meterloom.sources.lines import parsed
+from meterloom.sources.lines import computed, parsed
 
 
 def reading_columns(lines: DataFrame, agent: str, machine: Column | None = None) -> DataFrame:
@@ -39,11 +39,11 @@ def reading_columns(lines: DataFrame, agent: str, machine: Column | None = None)
         F.coalesce("_machine", "machine").alias("machine"), F.col("error").alias("_error"),
         F.greatest(*[F.col(k).isNotNull() for k in SESSION_ONLY_KEYS]).alias("_own"))
     text = lambda c: F.try_variant_get(c, "$", "string")
-    typed = flat.withColumn("_t5", text("_r5")).withColumn("_t7", text("_r7"))
-    typed = typed.withColumn("five_hour_resets_ts", epoch_seconds(F.col("_t5"))).withColumn("seven_day_resets_ts", epoch_seconds(F.col("_t7")))
+    typed = computed(flat, _t5=text("_r5"), _t7=text("_r7"), _n5=number(F.col("_p5")), _n7=number(F.col("_p7")))
+    typed = computed(typed, five_hour_resets_ts=epoch_seconds(F.col("_t5")), seven_day_resets_ts=epoch_seconds(F.col("_t7")))
     failed = ~is_missing(F.col("_error"))
     ts = F.when((F.col("source") == PUSH_SOURCE) & (F.coalesce("_observed", F.lit(0)) != 0), F.col("_observed")).otherwise(F.col("written_ts"))
-    bad_pct = (~is_missing(F.col("_p5")) & ~is_number(F.col("_p5"))) | (~is_missing(F.col("_p7")) & ~is_number(F.col("_p7")))
+    bad_pct = (~is_missing(F.col("_p5")) & F.col("_n5").isNull()) | (~is_missing(F.col("_p7")) & F.col("_n7").isNull())
     bad_reset = F.lit(False)
     for reset, said, got in (("_r5", "_t5", "five_hour_resets_ts"), ("_r7", "_t7", "seven_day_resets_ts")):
         bad_reset = bad_reset | (~is_missing(F.col(reset)) & (F.coalesce(said, F.lit("x")) != "") & F.col(got).isNull())
@@ -57,7 +57,7 @@ def reading_columns(lines: DataFrame, agent: str, machine: Column | None = None)
     error = lambda key, kind: F.try_variant_get("_error", f"$.{key}", kind)
     return typed.select(
         *rest, reason.alias("reason"), failed.alias("is_error"), ts.alias("ts"), iso(ts).alias("dt"), "source",
-        number(F.col("_p5")).alias("five_hour_pct"), "five_hour_resets_ts", number(F.col("_p7")).alias("seven_day_pct"),
+        F.col("_n5").alias("five_hour_pct"), "five_hour_resets_ts", F.col("_n7").alias("seven_day_pct"),
         "seven_day_resets_ts", "observed_by_session", "written_ts", F.col("value").alias("raw"),
         row_hash(F.col("value")).alias("row_hash"), "machine", error("stage", "string").alias("stage"),
         error("type", "string").alias("type"), error("status", "int").alias("status"),

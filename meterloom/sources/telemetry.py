@@ -7,50 +7,73 @@ from meterloom.fixed_values import EVENT_PREFIX, TELEMETRY_SOURCE, USAGE_EVENTS
 from meterloom.functions.numbers import number
 from meterloom.functions.text import session_or_null
 from meterloom.functions.times import epoch_seconds, iso
-from meterloom.sources.lines import parsed
+from meterloom.sources.lines import computed, parsed
 
-_DEPTH = 4
+_DEPTH = 1
 
 
-def plain_value(value: Column, depth: int = _DEPTH) -> Column:
-    """One wrapped value ({"stringValue": …}, {"intValue": "10"}, …) as plain JSON text. Arrays and key lists are
-    unwrapped down to `depth` levels."""
-    def get(key: str, kind: str) -> Column:
-        return F.try_variant_get(value, f"$.{key}", kind)
-    text, whole, double, flag = get("stringValue", "string"), get("intValue", "string"), get("doubleValue", "double"), get("boolValue", "boolean")
+def plain_value(value: Column) -> Column:
+    """One wrapped value ({"stringValue": …}, {"intValue": "10"}, …) as plain JSON text."""
+    flat = (F.when(value["stringValue"].isNotNull(), _quoted(value["stringValue"]))
+            .when(value["intValue"].isNotNull(), value["intValue"].try_cast("long").cast("string"))
+            .when(value["doubleValue"].isNotNull(), value["doubleValue"].cast("string"))
+            .when(value["boolValue"].isNotNull(), value["boolValue"].cast("string"))
+            .when(value["arrayValue"].isNotNull(), _nested_array(value["arrayValue"], _DEPTH))
+            .when(value["kvlistValue"].isNotNull(), _nested_object(value["kvlistValue"], _DEPTH)))
+    return F.coalesce(flat, F.lit("null"))
+
+
+def _nested(value: Column, depth: int) -> Column:
+    """A wrapped value inside an array or key list, which arrive as VARIANT. Lists inside lists are unwrapped `depth`
+    levels further; below that they keep their wrapped JSON, so nothing is lost."""
+    get = lambda key, kind: F.try_variant_get(value, f"$.{key}", kind)
+    text = get("stringValue", "string")
     out = (F.when(text.isNotNull(), _quoted(text))
-           .when(whole.isNotNull(), whole.try_cast("long").cast("string"))
-           .when(double.isNotNull(), F.to_json(F.try_variant_get(value, "$.doubleValue", "variant")))
-           .when(flag.isNotNull(), flag.cast("string")))
+           .when(get("intValue", "string").isNotNull(), get("intValue", "string").try_cast("long").cast("string"))
+           .when(get("doubleValue", "double").isNotNull(), get("doubleValue", "double").cast("string"))
+           .when(get("boolValue", "boolean").isNotNull(), get("boolValue", "boolean").cast("string")))
     if depth > 0:
-        items, pairs = get("arrayValue.values", "array<variant>"), get("kvlistValue.values", "array<struct<key:string,value:variant>>")
-        out = (out.when(get("arrayValue", "variant").isNotNull(),
-                        F.concat(F.lit("["), F.array_join(F.transform(F.coalesce(items, F.array().cast("array<variant>")),
-                                 lambda v: plain_value(v, depth - 1)), ","), F.lit("]")))
-               .when(get("kvlistValue", "variant").isNotNull(), plain_object(pairs, depth - 1)))
+        out = (out.when(get("arrayValue", "variant").isNotNull(), _nested_array(get("arrayValue", "variant"), depth - 1))
+               .when(get("kvlistValue", "variant").isNotNull(), _nested_object(get("kvlistValue", "variant"), depth - 1)))
+    else:
+        out = out.when(get("arrayValue", "variant").isNotNull() | get("kvlistValue", "variant").isNotNull(), F.to_json(value))
     return F.coalesce(out, F.lit("null"))
 
 
+def _nested_array(value: Column, depth: int) -> Column:
+    items = F.coalesce(F.try_variant_get(value, "$.values", "array<variant>"), F.array().cast("array<variant>"))
+    return F.concat(F.lit("["), F.array_join(F.transform(items, lambda v: _nested(v, depth)), ","), F.lit("]"))
+
+
+def _nested_object(value: Column, depth: int) -> Column:
+    kind = "array<struct<key:string,value:variant>>"
+    pairs = F.coalesce(F.try_variant_get(value, "$.values", kind), F.array().cast(kind))
+    return F.concat(F.lit("{"), F.array_join(F.transform(pairs, lambda p: F.concat(
+        _quoted(p["key"]), F.lit(":"), _nested(p["value"], depth))), ","), F.lit("}"))
+
+
 def _quoted(text: Column) -> Column:
+    """A JSON string; the serialiser is asked only where something needs escaping."""
     json = F.to_json(F.struct(text.alias("v")))
-    return F.substring(json, F.lit(6), F.length(json) - 6)
+    return F.when(text.rlike(r'["\\\x00-\x1f]'), F.substring(json, F.lit(6), F.length(json) - 6)).otherwise(
+        F.concat(F.lit('"'), text, F.lit('"')))
 
 
-def plain_object(pairs: Column, depth: int = _DEPTH) -> Column:
+def plain_object(pairs: Column) -> Column:
     """Attribute list to a JSON object text."""
-    empty = F.array().cast("array<struct<key:string,value:variant>>")
-    return F.concat(F.lit("{"), F.array_join(F.transform(F.coalesce(pairs, empty), lambda p: F.concat(
-        _quoted(p["key"]), F.lit(":"), plain_value(p["value"], depth))), ","), F.lit("}"))
+    return F.concat(F.lit("{"), F.coalesce(F.array_join(F.transform(pairs, lambda p: F.concat(
+        _quoted(p["key"]), F.lit(":"), plain_value(p["value"]))), ","), F.lit("")), F.lit("}"))
 
 
 def _attribute(name: str, kind: str) -> Column:
     """A scalar of the attribute list, found by its key's place (the last one, should a key come twice); no object is
     built and no lambda runs for it."""
-    last = F.get(F.reverse(F.col("attributes.value")), F.array_position(F.reverse(F.col("attributes.key")), name).cast("int") - 1)
+    from_end = F.array_position(F.reverse(F.col("attributes.key")), name).cast("int")
+    place = F.when(from_end > 0, F.size("attributes") - from_end)
+    get = lambda field: F.get(F.col(f"attributes.value.{field}"), place)
     if kind == "string":
-        return F.try_variant_get(last, "$.stringValue", "string")
-    whole = F.try_variant_get(last, "$.intValue", "string").try_cast("long")
-    real = F.try_variant_get(last, "$.doubleValue", "double")
+        return get("stringValue")
+    whole, real = get("intValue").try_cast("long"), get("doubleValue")
     return F.coalesce(whole, real.try_cast("long")) if kind == "long" else F.coalesce(whole.cast("double"), real)
 
 
@@ -62,26 +85,26 @@ def usage_events(batches: DataFrame, value: str = "value", received: str = "rece
     e = s.select("received_ts", "resource", F.explode("s.logRecords").alias("e"))
     rec = e.select("received_ts", "resource", F.col("e.attributes").alias("attributes"), F.col("e.body.stringValue").alias("body"),
                    F.coalesce(F.col("e.timeUnixNano").try_cast("long"), F.lit(0)).alias("time_unix_nano"))
-    name = F.coalesce(F.nullif(_attribute("event.name", "string"), F.lit("")), F.col("body"), F.lit(""))
-    bare = F.when(name.startswith(EVENT_PREFIX), F.substring(name, F.lit(len(EVENT_PREFIX) + 1), F.length(name))).otherwise(name)
-    return rec.withColumn("event", bare).where(F.col("event").isin(USAGE_EVENTS))
+    named = computed(rec, _name=_attribute("event.name", "string"))
+    name = F.when(F.col("_name") != "", F.col("_name")).otherwise(F.coalesce("body", F.lit("")))
+    prefix = EVENT_PREFIX.replace(".", "[.]")
+    return computed(named, event=F.regexp_replace(name, f"^{prefix}", "")).where(F.col("event").isin(USAGE_EVENTS))
 
 
 def telemetry(batches: DataFrame, value: str = "value", received: str = "received_ts") -> DataFrame:
     """Usage events in the telemetry table's columns (no arrival number), the flattened event kept in `raw`."""
-    rows = usage_events(batches, value, received)
-    ts = F.expr("time_unix_nano div 1000000000")
+    texts, counts = ("request_id", "model", "query_source"), ("input_tokens", "output_tokens", "cache_read_tokens", "cache_creation_tokens")
+    rows = computed(usage_events(batches, value, received), ts=F.expr("time_unix_nano div 1000000000"), _session=_attribute("session.id", "string"),
+                    **{c: _attribute(c, "string") for c in texts}, **{c: _attribute(c, "long") for c in counts},
+                    cost_usd=_attribute("cost_usd", "double"), _attributes=plain_object(F.col("attributes")),
+                    _resource=plain_object(F.col("resource")))
     raw = F.concat(
-        F.lit('{"source":"' + TELEMETRY_SOURCE + '","observed_at":'), ts.cast("string"),
+        F.lit('{"source":"' + TELEMETRY_SOURCE + '","observed_at":'), F.col("ts").cast("string"),
         F.lit(',"received_at":'), F.coalesce(F.col("received_ts").cast("string"), F.lit("null")),
         F.lit(',"event":"'), F.col("event"), F.lit('","time_unix_nano":'), F.col("time_unix_nano").cast("string"),
-        F.lit(',"attributes":'), plain_object(F.col("attributes")), F.lit(',"resource":'), plain_object(F.col("resource")), F.lit("}"))
-    return rows.select(
-        ts.alias("ts"), iso(ts).alias("dt"), "event", session_or_null(_attribute("session.id", "string")).alias("session_id"),
-        _attribute("request_id", "string").alias("request_id"), _attribute("model", "string").alias("model"),
-        _attribute("query_source", "string").alias("query_source"),
-        *[_attribute(c, "long").alias(c) for c in ("input_tokens", "output_tokens", "cache_read_tokens", "cache_creation_tokens")],
-        _attribute("cost_usd", "double").alias("cost_usd"), "received_ts", raw.alias("raw"))
+        F.lit(',"attributes":'), F.col("_attributes"), F.lit(',"resource":'), F.col("_resource"), F.lit("}"))
+    return rows.select("ts", iso(F.col("ts")).alias("dt"), "event", session_or_null(F.col("_session")).alias("session_id"), *texts, *counts,
+                       "cost_usd", "received_ts", raw.alias("raw"))
 
 
 def telemetry_from_lines(lines: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from meterloom.functions.times import epoch_seconds, iso, zoned_epoch
 from meterloom.operators.chunks import running
 from meterloom.operators.dedup import counter_deltas, first_by, largest_output
 from meterloom.session import settle
-from meterloom.sources.lines import parsed
+from meterloom.sources.lines import computed, parsed
 
 _PLACE = ["path", "block", "line"]
 
@@ -26,13 +26,14 @@ def request_lines(lines: DataFrame) -> DataFrame:
     usage = F.col("message.usage")
     written, written_1h = tokens(usage["cache_creation_input_tokens"]), tokens(usage["cache_creation"]["ephemeral_1h_input_tokens"])
     key = F.coalesce(F.nullif(F.col("requestId"), F.lit("")), F.nullif(F.col("message.id"), F.lit("")))
-    rows = j.where((F.col("type") == "assistant") & usage.isNotNull()).select(
-        *_PLACE, epoch_seconds(F.col("timestamp")).alias("ts"), key.alias("request_id"),
+    dated = computed(j.where((F.col("type") == "assistant") & usage.isNotNull()), ts=epoch_seconds(F.col("timestamp")), request_id=key)
+    rows = dated.where(F.col("request_id").isNotNull() & F.col("ts").isNotNull()).select(
+        *_PLACE, "ts", "request_id",
         F.col("sessionId").alias("session_id"), F.col("cwd").alias("folder"), "entrypoint",
         F.col("message.model").alias("model"), tokens(usage["input_tokens"]).alias("input_tokens"),
         tokens(usage["output_tokens"]).alias("output_tokens"), tokens(usage["cache_read_input_tokens"]).alias("cache_read_tokens"),
         at_least_zero(written - written_1h).alias("cache_write_5m_tokens"), written_1h.alias("cache_write_1h_tokens"))
-    return rows.where(F.col("request_id").isNotNull() & F.col("ts").isNotNull())
+    return rows
 
 
 def requests(lines: DataFrame, complete_before: int | None = None) -> DataFrame:
