@@ -46,12 +46,9 @@ def mark_repeats(df: DataFrame, keys: list[str], values: list[Column], by: str =
 def largest_output(lines: DataFrame) -> DataFrame:
     """Transcript lines to requests: one row per request_id. Its usage comes from the line with the largest output
     (ties: the earliest line), its time from its first line, wherever the copies lie."""
-    order = [F.col("ts"), F.col("path"), F.col("block"), F.col("line")]
     usage = [c for c in lines.columns if c not in ("request_id", "ts", "path", "block", "line")]
-    # The largest output first; among equals the smallest place, so the place is compared only there.
-    best = lines.groupBy("request_id", "output_tokens").agg(
-        F.min("ts").alias("ts"), F.min_by(F.struct(*usage), F.struct(*order)).alias("_u"))
-    return (best.groupBy("request_id").agg(F.min("ts").alias("ts"), F.max_by("_u", "output_tokens").alias("_u"))
+    best = F.min_by(F.struct(*usage), F.struct((-F.col("output_tokens")).alias("_less"), "ts", "path", "block", "line"))
+    return (lines.groupBy("request_id").agg(F.min("ts").alias("ts"), best.alias("_u"))
             .select("ts", "request_id", *[F.col(f"_u.{c}").alias(c) for c in usage]))
 
 

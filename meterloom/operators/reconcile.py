@@ -56,7 +56,7 @@ def slot_totals(slots: DataFrame) -> DataFrame:
 
 def recount(requests: DataFrame, telemetry: DataFrame, end: int) -> DataFrame:
     """The same four totals counted from the requests and the telemetry themselves, before `end`."""
-    reported = telemetry_requests(telemetry).select(
+    reported = telemetry_requests(telemetry, "ts", "cost_usd", "input_tokens", "output_tokens", "cache_read_tokens", "cache_creation_tokens").select(
         "request_id", F.col("ts").alias("_ts"), F.col("cost_usd"),
         (tokens(F.col("input_tokens")) + tokens(F.col("output_tokens")) + tokens(F.col("cache_read_tokens"))
          + tokens(F.col("cache_creation_tokens"))).alias("_tokens"))
@@ -84,7 +84,7 @@ def require_agreement(checked: DataFrame) -> None:
 
 def matched_requests(requests: DataFrame, telemetry: DataFrame) -> DataFrame:
     """Requests both sources know, each one row, with the reported figures beside the counted ones."""
-    reported = telemetry_requests(telemetry).select(
+    reported = telemetry_requests(telemetry, "input_tokens", "output_tokens", "cache_read_tokens", "cache_creation_tokens", "cost_usd").select(
         "request_id", *[F.col(c).alias(f"reported_{c}") for c in
                         ("input_tokens", "output_tokens", "cache_read_tokens", "cache_creation_tokens", "cost_usd")])
     return requests.join(reported, "request_id")
@@ -113,7 +113,7 @@ def price_errors(matched: DataFrame, prices=REQUEST_PRICES) -> DataFrame:
 
 def telemetry_only_cost(requests: DataFrame, telemetry: DataFrame) -> DataFrame:
     """Cost no transcript shows, by what the request was for, largest first, with its share of all reported cost."""
-    reported = telemetry_requests(telemetry)
+    reported = settle(telemetry_requests(telemetry, "query_source", "cost_usd"), "reported")
     whole = reported.select(F.sum("cost_usd")).scalar()
     return (reported.join(requests.select("request_id"), "request_id", "left_anti").groupBy("query_source")
             .agg(F.coalesce(F.sum("cost_usd"), F.lit(0.0)).alias("usd"), F.count(F.lit(1)).alias("requests"))

@@ -9,12 +9,17 @@ from meterloom.operators.dedup import first_by
 from meterloom.session import settle
 
 _REQUEST_TOKENS = ["input_tokens", "output_tokens", "cache_read_tokens", "cache_write_5m_tokens", "cache_write_1h_tokens"]
+_TELEMETRY_TOKENS = ["input_tokens", "output_tokens", "cache_read_tokens", "cache_creation_tokens"]
 
 
-def telemetry_requests(telemetry: DataFrame) -> DataFrame:
-    """The first stored request event of each request: a batch sent twice counts once."""
-    return first_by(telemetry.where((F.col("event") == "api_request") & F.col("request_id").isNotNull()),
-                    ["request_id"], F.col("ingest_id"))
+def telemetry_requests(telemetry: DataFrame, *columns: str) -> DataFrame:
+    """The first stored request event of each request: a batch sent twice counts once. Name the columns needed, so that
+    no raw text travels with the rest."""
+    events = telemetry.where((F.col("event") == "api_request") & F.col("request_id").isNotNull())
+    if columns:
+        events = events.select("request_id", "ingest_id", *columns)
+    once = first_by(events, ["request_id"], F.col("ingest_id"))
+    return once.drop("ingest_id") if columns else once
 
 
 def session_places(requests: DataFrame, *columns: str, known_only: bool = True) -> DataFrame:
@@ -29,7 +34,8 @@ def request_rows(requests: DataFrame, telemetry: DataFrame | None, start: Column
                  end: Column | int | None = None) -> DataFrame:
     """Every request of [start, end) in the slot's columns, already added up where nothing tells the rows apart: the
     requests of the transcripts with their reported cost, then the requests only telemetry has, in their session's
-    folder. Both sides are one row per request_id before they are joined, so no join key is hot."""
+    folder. Both sides are one row per request_id before they are joined, so no join key is hot; the time range reaches
+    the scan of each side, and telemetry is folded once for both joins."""
     def during(df: DataFrame) -> DataFrame:
         if start is not None:
             df = df.where(F.col("ts") >= (F.lit(start) if isinstance(start, int) else start))
@@ -42,7 +48,7 @@ def request_rows(requests: DataFrame, telemetry: DataFrame | None, start: Column
         seen = mine.withColumn("cost_usd", F.lit(None).cast("double"))
         only = None
     else:
-        reported = telemetry_requests(telemetry)
+        reported = settle(telemetry_requests(telemetry, "ts", "session_id", "model", *_TELEMETRY_TOKENS, "cost_usd"), "reported")
         seen = mine.join(reported.select("request_id", "cost_usd"), "request_id", "left")
         only = during(reported).join(requests.select("request_id"), "request_id", "left_anti")
     rows = seen.select(slot_start(F.col("ts")).alias("ts"), "folder", "entrypoint", "model", *_REQUEST_TOKENS,
@@ -100,7 +106,7 @@ def final_slots(requests: DataFrame, telemetry: DataFrame | None, slots: DataFra
 
 def usage_requests(requests: DataFrame, telemetry: DataFrame) -> DataFrame:
     """Every request once, with the cost telemetry reports, else the one on the request, and where both came from."""
-    reported = telemetry_requests(telemetry)
+    reported = settle(telemetry_requests(telemetry, "ts", "dt", "session_id", "model", *_TELEMETRY_TOKENS, "cost_usd"), "reported")
     cost = reported.select("request_id", "cost_usd")
     seen = requests.join(cost, "request_id", "left").select(
         "ts", "dt", "request_id", "machine", "session_id", "folder", "entrypoint", "model", "input_tokens",

@@ -12,7 +12,7 @@ from meterloom.operators.chunks import DAY, asof, id_chunk, running
 from meterloom.operators.quantiles import exact_median
 from meterloom.plans import feeds, log_lines
 from meterloom.plans.feeds import COMPLETE_THROUGH, NOW, PLANS, PRICES, events, table
-from meterloom.session import configure, scratch
+from meterloom.session import configure, scratch, settle
 from meterloom.sinks import gates
 from meterloom.sources import readings as reading_source, telemetry as telemetry_source, transcripts
 from meterloom.sources.tables import all_slots, stored
@@ -59,9 +59,9 @@ def _active(spark, sf):
 
 
 def _requests(spark, sf):
-    """The working table: arrival numbers as the request numbers, which are unique."""
+    """The working table, stored as jobs store it: arrival numbers as the request numbers, which are unique."""
     r = dedup.largest_output(feeds.request_lines(spark, sf))
-    return r.withColumn("ingest_id", F.substring("request_id", F.lit(2), F.length("request_id")).cast("long"))
+    return settle(r.withColumn("ingest_id", F.substring("request_id", F.lit(2), F.length("request_id")).cast("long")), "requests")
 
 
 def _r6(df: DataFrame) -> DataFrame:
@@ -479,14 +479,15 @@ def page_projects(spark, sf):
 
 @query("A10 J1")
 def revenue_by_month_and_segment(spark, sf):
-    """Revenue per month and customer segment with both totals. Line items fold onto their order first, so what meets
-    the orders is one row each; the join with customers is Spark's to plan."""
+    """Revenue per month and customer segment with both totals. Line items fold onto their order, and orders onto their
+    customer and month, before the next join: a customer with a third of the orders is one row per month."""
     l = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
         F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("rev"), F.count(F.lit(1)).alias("n"))
     o = table(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").alias("c_custkey"),
                                           F.date_format(F.col("o_orderdate").cast("timestamp"), "yyyy-MM").alias("month"))
     c = table(spark, sf, "customer").select("c_custkey", "c_mktsegment")
-    got = o.join(l, "o_orderkey").join(c, "c_custkey").rollup("month", "c_mktsegment").agg(
+    per = o.join(l, "o_orderkey").groupBy("c_custkey", "month").agg(F.sum("rev").alias("rev"), F.sum("n").alias("n"))
+    got = per.join(c, "c_custkey").rollup("month", "c_mktsegment").agg(
         F.sum("rev").alias("revenue"), F.sum("n").alias("lines"))
     return got.select("month", "c_mktsegment", F.round("revenue", 4).alias("revenue"), "lines")
 
@@ -549,6 +550,7 @@ def lines_per_request(spark, sf):
 
 @query("A26 J1")
 def shipping_lateness(spark, sf):
+    # AQE splits an order with very many lines: the join is inner, and nothing after it needs its partitioning.
     l = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), times.event_seconds(F.col("l_shipdate")).alias("received_ts"))
     o = table(spark, sf, "orders").select("o_orderkey", times.event_seconds(F.col("o_orderdate")).alias("ts"))
     return quality.lateness(l.join(o, "o_orderkey"))
