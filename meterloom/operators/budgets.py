@@ -122,12 +122,14 @@ def windows_per_week(seen_5h: DataFrame, seen_7d: DataFrame, plans=PLANS) -> Dat
     first, last = F.struct("ts", "pct"), F.struct("ts", "pct")
     ends = steps(seen_5h, "5h", plans).groupBy("plan", "reset", "start", "end").agg(
         F.count(F.lit(1)).alias("_n"), F.min(first).alias("_first"), F.max(last).alias("_last")).where(F.col("_n") >= 2)
-    flat = ends.select("plan", "reset", "start", F.col("_first.ts").alias("t0"), F.col("_last.ts").alias("t1"),
-                       (F.col("_last.pct") - F.col("_first.pct")).alias("gain_5h"))
-    flat = settle(flat, "gains")
-    both = percent_reached(percent_reached(flat, "t0", seen_7d, "q0", plans=plans), "t1", seen_7d, "q1", plans=plans)
-    got = (both.withColumn("gain_7d", F.col("q1") - F.col("q0"))
-            .where((F.col("gain_5h") >= 10) & (F.col("gain_7d") > 0))
+    gain = (F.col("_last.pct") - F.col("_first.pct")).alias("gain_5h")
+    # Both times of a window in one pass: two rows each, told apart by their sign.
+    times = ends.select("plan", "reset", "start", gain, F.explode(F.array(
+        F.struct(F.lit(-1).alias("sign"), F.col("_first.ts").alias("at")), F.struct(F.lit(1).alias("sign"), F.col("_last.ts").alias("at")))).alias("_t"))
+    flat = settle(times.select("plan", "reset", "start", "gain_5h", "_t.sign", "_t.at").where(F.col("gain_5h") >= 10), "gains")
+    reached = percent_reached(flat, "at", seen_7d, "q", plans=plans).where(F.col("q").isNotNull())
+    both = reached.groupBy("plan", "reset", "start", "gain_5h").agg(F.sum(F.col("sign") * F.col("q")).alias("gain_7d"), F.count(F.lit(1)).alias("_both"))
+    got = (both.where((F.col("_both") == 2) & (F.col("gain_7d") > 0))
             .select("plan", "reset", "start", "gain_5h", "gain_7d", (F.col("gain_5h") / F.col("gain_7d")).alias("ratio")))
     return settle(got, "per-week")
 

@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from meterloom import schemas
 from meterloom.fixed_values import FINAL_AFTER_S
+from meterloom.functions.times import iso
 from meterloom.operators.slots import final_slots
 from meterloom.sinks import gates
 from meterloom.sources.lines import next_ingest_id, number_rows, read_lines
@@ -25,14 +26,18 @@ def _landed(rows: DataFrame, after: int, order: list[str]) -> DataFrame:
     return number_rows(placed, after).drop("path", "block", "line")
 
 
+def store_requests(found: DataFrame, requests_path: str) -> int:
+    """Appends the requests the working table does not have, numbered in time order."""
+    held = stored(found.sparkSession, requests_path, schemas.REQUESTS)
+    new = found.join(held.select("request_id"), "request_id", "left_anti").withColumn("dt", iso(F.col("ts")))
+    return gates.add_requests(_landed(new, next_ingest_id(held), ["ts", "request_id"]), requests_path)
+
+
 def read_transcripts(spark: SparkSession, folder: str, requests_path: str, scans_path: str, now: int) -> int:
     """New finished requests of a transcript tree into the working table, then the run's completeness time. Reading a
     tree again adds nothing, so a replaced or truncated file needs no care. Returns how many were added."""
     complete_before = now - FINAL_AFTER_S
-    found = requests(read_lines(spark, folder), complete_before)
-    held = stored(spark, requests_path, schemas.REQUESTS)
-    new = found.join(held.select("request_id"), "request_id", "left_anti")
-    added = gates.add_requests(_landed(new, next_ingest_id(held), ["ts", "request_id"]), requests_path)
+    added = store_requests(requests(read_lines(spark, folder), complete_before), requests_path)
     gates.add_scan(spark, scans_path, now, complete_before, added)
     return added
 

@@ -28,11 +28,21 @@ def _columns(schema: str) -> list[str]:
     return [part.split()[0] for part in schema.replace("\n", " ").split(",")]
 
 
+def _during(held: DataFrame, rows: DataFrame, at: str, held_at: str | None = None) -> DataFrame:
+    """The held rows of the batch's own time range: equal keys have equal times, so no other row can be a copy. The two
+    bounds become a filter the parquet scan prunes files with."""
+    low, high = rows.agg(F.min(at), F.max(at)).first()
+    if low is None:
+        return held.limit(0)
+    return held.where(F.col(held_at or at).between(low, high))
+
+
 def _mark_copies(rows: DataFrame, held: DataFrame, key: list[str], by: str = "ingest_id") -> DataFrame:
-    """Flags rows whose key the table holds or an earlier row of the batch has. Both are joins on the key's aggregate,
-    so thousands of copies of one row are folded before they travel."""
+    """Flags rows whose key the table holds or an earlier row of the batch has. Copies are folded to their key before
+    they travel, and the table is asked for the batch's keys only: a batch Spark finds small is sent to the table's
+    files instead of the table being shuffled."""
     first = rows.groupBy(*key).agg(F.min(by).alias("_first"))
-    known = held.select(*key).distinct().withColumn("_held", F.lit(True))
+    known = held.select(*key).join(first.select(*key), key, "left_semi").distinct().withColumn("_held", F.lit(True))
     fresh = first.join(known, key, "left")
     return (rows.join(fresh, key).withColumn("copy", F.col("_held").isNotNull() | (F.col(by) > F.col("_first")))
             .drop("_first", "_held"))
@@ -55,7 +65,9 @@ def classify_readings(lines: DataFrame, held: DataFrame, held_errors: DataFrame,
     its last stored reading) or inserted."""
     typed = settle(reading_columns(lines, agent, machine), "typed-readings")
     good = typed.where(F.col("reason").isNull())
-    hashes = held.select("row_hash").unionByName(held_errors.select("row_hash"))
+    # The hash covers the raw text, the raw text its write time.
+    hashes = _during(held, good, "written_ts").select("row_hash").unionByName(
+        _during(held_errors, good, "written_ts", "ts").select("row_hash"))
     marked = _mark_copies(good, hashes, ["row_hash"])
     if dedup:
         of_session = F.coalesce((F.col("source") == PUSH_SOURCE) & (F.col("observed_by_session") != "") & ~F.col("is_error"), F.lit(False))
@@ -108,7 +120,8 @@ def classify_snapshots(lines: DataFrame, held: DataFrame, dedup: bool = True) ->
         ts.alias("ts"), iso(ts).alias("dt"), "model_id", F.col("cost").alias("session_cost_usd"),
         F.when(~is_missing(F.col("prompt_cache")), F.to_json("prompt_cache")).alias("prompt_cache"), "written_ts",
         F.col("value").alias("raw"), row_hash(F.col("value"), F.col("session_id")).alias("row_hash")), "typed-snapshots")
-    marked = _mark_copies(typed.where(F.col("reason").isNull()), held, ["row_hash"])
+    good = typed.where(F.col("reason").isNull())
+    marked = _mark_copies(good, _during(held, good, "written_ts"), ["row_hash"])
     values = [F.col("model_id"), F.col("session_cost_usd"), canonical_json(F.col("prompt_cache"))]
     if dedup:
         last = (held.join(marked.select("session_id").distinct(), "session_id", "left_semi").groupBy("session_id")
@@ -130,7 +143,7 @@ def classify_telemetry(lines: DataFrame, held: DataFrame) -> DataFrame:
     """Flattened telemetry lines (`value`, `ingest_id`) with their outcome."""
     good = settle(telemetry_from_lines(lines.where(~has_percent_key(F.col("value"))))
                   .withColumn("row_hash", row_hash(F.col("raw"))), "typed-telemetry")
-    marked = _mark_copies(good, held, ["row_hash"]).withColumn(
+    marked = _mark_copies(good, _during(held, good, "ts"), ["row_hash"]).withColumn(
         "outcome", F.when(F.col("copy"), "duplicate").otherwise("inserted")).drop("copy")
     refused = lines.join(good.select("ingest_id"), "ingest_id", "left_anti").select("ingest_id", F.col("value").alias("raw"))
     return marked.unionByName(refused.withColumn("outcome", F.lit("rejected")), allowMissingColumns=True)
@@ -231,6 +244,7 @@ def add_slots(rows: DataFrame, path: str, machine: str | None = None, fault: Col
     held = stored(spark, path, schemas.SLOTS)
     if machine is not None:
         held = held.where(F.col("machine") == machine)
+    held = _during(held, good, "ts")
     fresh = good.dropDuplicates(schemas.SLOT_KEY).join(held.select(*schemas.SLOT_KEY), schemas.SLOT_KEY, "left_anti")
     new = settle(fresh, "new-slots")
     append_rows(new, path, schemas.SLOTS, "machine")

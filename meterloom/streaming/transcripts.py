@@ -1,0 +1,47 @@
+"""New transcript segments to requests: what was read is never read again, what is unfinished waits."""
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from meterloom import schemas
+from meterloom.fixed_values import FINAL_AFTER_S
+from meterloom.operators.dedup import largest_output
+from meterloom.plans.jobs import store_requests
+from meterloom.sinks import gates
+from meterloom.sources.tables import stored
+from meterloom.sources.transcripts import request_lines
+
+_PENDING = """path STRING, block LONG, line LONG, ts LONG, request_id STRING, session_id STRING, folder STRING, entrypoint STRING,
+    model STRING, input_tokens LONG, output_tokens LONG, cache_read_tokens LONG, cache_write_5m_tokens LONG, cache_write_1h_tokens LONG"""
+
+
+def ingest_requests(spark: SparkSession, folder: str, requests_path: str, scans_path: str, pending_path: str, checkpoint: str,
+                    now: int, files_per_batch: int = 1000):
+    """The requests of transcript segments that landed since the last run (segments are written once; an appended-to
+    file belongs to jobs.read_transcripts). A request whose first line is younger than 15 minutes keeps all its lines in
+    the pending table of this batch, where the next batch finds them. A batch that runs twice writes the same pending
+    table again and its requests meet their own ids, so nothing is added twice."""
+    complete_before = now - FINAL_AFTER_S
+    text = (spark.readStream.option("recursiveFileLookup", True).option("pathGlobFilter", "*.jsonl")
+            .option("maxFilesPerTrigger", files_per_batch).text(folder)
+            .select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block")))
+
+    def one(batch: DataFrame, number: int) -> None:
+        before = stored(spark, f"{pending_path}/batch={number - 1}", _PENDING)
+        fresh = request_lines(batch.withColumn("line", F.monotonically_increasing_id()))
+        lines = gates.settle(fresh.unionByName(before), "request-lines")
+        first = lines.groupBy("request_id").agg(F.min("ts").alias("_first"))
+        young = first.where(F.col("_first") > complete_before).select("request_id")
+        (lines.join(young, "request_id", "left_semi").select(*gates._columns(_PENDING)).write.mode("overwrite")
+         .parquet(f"{pending_path}/batch={number}"))
+        store_requests(largest_output(lines).where(F.col("ts") <= complete_before), requests_path)
+
+    held = stored(spark, requests_path, schemas.REQUESTS).count()
+    query = (text.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    query.awaitTermination()
+    # Without a new segment no batch runs, yet what waits may have become old enough.
+    waiting = stored(spark, pending_path, _PENDING + ", batch LONG")
+    last = waiting.where(F.col("batch") == waiting.select(F.max("batch")).scalar()).drop("batch")
+    store_requests(largest_output(last).where(F.col("ts") <= complete_before), requests_path)
+    added = stored(spark, requests_path, schemas.REQUESTS).count() - held
+    gates.add_scan(spark, scans_path, now, complete_before, added)
+    return added

@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 
 from meterloom import schemas
 from meterloom.operators.quality import staleness
-from meterloom.session import scratch
 from meterloom.sinks import gates
 from meterloom.sources.tables import stored
 from meterloom.streaming import exchange
 from meterloom.streaming.repeats import ROCKSDB, drop_repeats
 from meterloom.streaming.slots import dropped_late, slots_stream, with_costs
+from meterloom.streaming.transcripts import ingest_requests
 
 REQUEST = ("at timestamp, machine string, folder string, entrypoint string, model string, input_tokens long, output_tokens long, cache_read_tokens long, "
            "cache_write_5m_tokens long, cache_write_1h_tokens long, cache_write_unknown_tokens long, cost_usd double")
@@ -138,6 +138,26 @@ def test_readings_stream_through_the_gate(spark, rows, tmp_path):
     assert rows(stored(spark, path, schemas.ACCOUNT_QUOTAS), "ingest_id", "five_hour_pct") == [(1, 1.0), (4, 2.0)]
 
 
+def test_transcript_segments_are_read_once(spark, rows, tmp_path):
+    folder, paths = tmp_path / "logs", {n: str(tmp_path / n) for n in ("requests", "scans", "pending", "progress")}
+    folder.mkdir()
+    t0 = 1791460800
+    def land(name, *entries):
+        text = [json.dumps({"type": "assistant", "timestamp": f"2026-10-08T12:{m:02d}:{s:02d}.000Z", "requestId": rid, "sessionId": "s", "message": {
+            "model": "m", "usage": {"input_tokens": 1, "output_tokens": out}}}) for m, s, rid, out in entries]
+        (folder / name).write_text("\n".join(text) + "\n")
+    run = lambda now: ingest_requests(spark, str(folder), paths["requests"], paths["scans"], paths["pending"], paths["progress"], now)
+    held = lambda: rows(stored(spark, paths["requests"], schemas.REQUESTS), "ingest_id", "request_id", "ts", "output_tokens")
+    land("a.jsonl", (0, 0, "req_a", 10), (0, 2, "req_a", 500), (10, 0, "req_b", 7))
+    assert run(t0 + 960) == 1 and held() == [(1, "req_a", t0, 500)]
+    land("b.jsonl", (10, 3, "req_b", 90), (0, 1, "req_a", 900))     # req_b goes on; req_a is stored and stays as it is
+    assert run(t0 + 1600) == 1 and held() == [(1, "req_a", t0, 500), (2, "req_b", t0 + 600, 90)]
+    land("c.jsonl", (30, 0, "req_c", 5))
+    assert run(t0 + 1900) == 0 and run(t0 + 2800) == 1              # no new segment: req_c has only grown old enough
+    assert held()[-1] == (3, "req_c", t0 + 1800, 5) and run(t0 + 2900) == 0
+    assert [r[1] for r in rows(stored(spark, paths["scans"], schemas.SCANS), "complete_through_ts", "requests_added")] == [1, 1, 0, 1, 0]
+
+
 def test_staleness(spark, rows):
     scans = spark.createDataFrame([(1000, "x", 1, 1), (3000, "x", 1, 1)], schemas.SCANS)
     assert rows(staleness(scans, 4799)) == [(3000, False)] and rows(staleness(scans, 4800)) == [(3000, True)]
