@@ -56,7 +56,7 @@ def cost_split(placed: DataFrame, top: int = 8) -> DataFrame:
     """Per period its groups, largest cost first: the `top` ones, then the others added up. Ranking keeps only the top
     rows of each task before the shuffle; the others never need to be ordered."""
     keys = ["plan", "start", "end", "peak"]
-    per = placed.where(F.col("start").isNotNull()).groupBy(*keys, "g").agg(*[F.sum(c).alias(c) for c in MEASURES])
+    per = settle(placed.where(F.col("start").isNotNull()).groupBy(*keys, "g").agg(*[F.sum(c).alias(c) for c in MEASURES]), "per-group")
     rank = W.partitionBy("start", "end").orderBy(F.desc("usd"), F.desc("tokens"), F.col("g"))
     best = (per.withColumn("_rank", F.row_number().over(rank)).where(F.col("_rank") <= top)
             .select("start", "end", "g", "_rank"))

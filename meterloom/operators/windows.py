@@ -149,15 +149,16 @@ def no_window_runs(read: DataFrame, active: DataFrame | None = None, kind: str =
 def across_resets(read: DataFrame, seen: DataFrame, plans=PLANS) -> DataFrame:
     """Around each 7-day end that was reached: the last of the 20 server readings before it (within 40 minutes) that
     shows a used 5-hour window running across the end, and the first reading after it. Readings meet the ends on a
-    shared time cell; the nearest twenty are picked by rank, which Spark limits before the shuffle."""
+    shared time cell, once for both sides; the nearest twenty are picked by rank, which Spark limits before the shuffle."""
     polled = read.where(F.col("source") == POLL_SOURCE)
     newest = polled.select(F.max("ts")).scalar()
-    ends = windows(seen, "7d", plans).where((F.col("peak") > 0) & (F.col("end") <= newest) & ~F.col("cut")).select(
-        "plan", "end").distinct()
+    ends = settle(windows(seen, "7d", plans).where((F.col("peak") > 0) & (F.col("end") <= newest) & ~F.col("cut")).select(
+        "plan", "end").distinct(), "reached-ends")
     cells = ends.withColumn("_cell", F.explode(F.sequence(F.floor((F.col("end") - ACROSS_S) / ACROSS_S),
                                                           F.floor((F.col("end") + ACROSS_S) / ACROSS_S))))
     near = (polled.withColumn("_cell", F.floor(F.col("ts") / ACROSS_S)).drop("plan").join(cells, "_cell")
             .where(F.abs(F.col("ts") - F.col("end")) <= ACROSS_S))
+    near = settle(near, "near-ends")
     before = near.where(F.col("ts") < F.col("end"))
     late = W.partitionBy("plan", "end").orderBy(F.desc("ts"), F.desc("ingest_id"))
     before = before.withColumn("_rank", F.row_number().over(late)).where(F.col("_rank") <= ACROSS_READINGS)
