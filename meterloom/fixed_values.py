@@ -5,6 +5,7 @@ PUSH_SOURCE = "claude_statusline"
 POLL_SOURCE = "claude_api"
 APP_SERVER_SOURCE = "codex_app_server"
 PLAN_HISTORY_SOURCE = "codex_plan_limit_history"
+SLOT_AGENT = "claude"
 TELEMETRY_SOURCE = "claude_otel"
 READING_SOURCES = {
     "claude": [PUSH_SOURCE, POLL_SOURCE],

@@ -53,7 +53,7 @@ def request_rows(requests: DataFrame, telemetry: DataFrame | None, start: Column
         only = during(reported).join(requests.select("request_id"), "request_id", "left_anti")
     rows = seen.select(slot_start(F.col("ts")).alias("ts"), "folder", "entrypoint", "model", *_REQUEST_TOKENS,
                        F.lit(0).cast("long").alias("cache_write_unknown_tokens"), "cost_usd")
-    rows = _add_up(rows, ["ts", "folder", "entrypoint", "model"])
+    rows = add_up(rows, ["ts", "folder", "entrypoint", "model"])
     if only is None:
         return rows
     alone = only.select(slot_start(F.col("ts")).alias("ts"), "session_id", "model",
@@ -61,12 +61,12 @@ def request_rows(requests: DataFrame, telemetry: DataFrame | None, start: Column
                         *[F.lit(0).cast("long").alias(c) for c in _REQUEST_TOKENS[3:]],
                         tokens(F.col("cache_creation_tokens")).alias("cache_write_unknown_tokens"), "cost_usd")
     # Added up per session first: a session with a third of the rows is at most one row per slot and model here.
-    alone = _add_up(alone, ["ts", "session_id", "model"])
+    alone = add_up(alone, ["ts", "session_id", "model"])
     placed = alone.join(session_places(requests, "folder", "entrypoint"), "session_id", "left").drop("session_id")
     return rows.unionByName(placed)
 
 
-def _add_up(rows: DataFrame, keys: list[str]) -> DataFrame:
+def add_up(rows: DataFrame, keys: list[str]) -> DataFrame:
     every = sum((F.col(c) for c in TOKEN_COLUMNS[1:]), F.col(TOKEN_COLUMNS[0]))
     return rows.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("requests"), *[F.sum(c).alias(c) for c in TOKEN_COLUMNS],

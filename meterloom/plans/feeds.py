@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from meterloom.functions.text import row_hash
 from meterloom.functions.times import event_seconds, iso, slot_start
-from meterloom.operators.slots import _add_up
+from meterloom.operators.slots import add_up
 
 # Plan periods of the supplied month: its start, 2024-01-10 and 2024-01-20.
 PLANS = [(0, "small"), (1704844800, "middle"), (1705708800, "large")]
@@ -79,7 +79,7 @@ def slots(spark: SparkSession, sf_dir: str) -> DataFrame:
         (k % 20).alias("cache_write_5m_tokens"), (k % 11).alias("cache_write_1h_tokens"),
         F.lit(0).cast("long").alias("cache_write_unknown_tokens"),
         F.when(k % 40 != 7, F.col("value") / 100).alias("cost_usd"))
-    return (_add_up(rows, ["ts", "machine", "folder", "entrypoint", "model"])
+    return (add_up(rows, ["ts", "machine", "folder", "entrypoint", "model"])
             .withColumn("dt", iso(F.col("ts"))).withColumn("written_ts", F.lit(NOW).cast("long")))
 
 

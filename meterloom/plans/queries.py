@@ -771,7 +771,7 @@ def slots_from_stream(spark, sf):
 @query("X6 K7")
 def slots_replicated(spark, sf):
     source, target = scratch(spark, "sent"), scratch(spark, "received")
-    feeds.slots(spark, sf).select(*gates._columns(schemas.SLOTS)).write.parquet(source)
+    feeds.slots(spark, sf).select(*gates.column_names(schemas.SLOTS)).write.parquet(source)
     for _ in range(2):
         exchange.replicate_slots(spark, source, target, scratch(spark, "progress"), "m1")
     return stored(spark, target, schemas.SLOTS).groupBy("machine").agg(F.count(F.lit(1)).alias("slots"), F.sum("requests").alias("requests"))

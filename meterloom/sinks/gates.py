@@ -10,7 +10,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from meterloom import schemas
-from meterloom.fixed_values import HOST_PATTERN, MACHINE_PATTERN, PUSH_SOURCE, SLOT_S
+from meterloom.fixed_values import HOST_PATTERN, MACHINE_PATTERN, PUSH_SOURCE, SLOT_AGENT, SLOT_S
 from meterloom.functions.numbers import is_missing, is_number, number
 from meterloom.functions.text import canonical_json, has_percent_key, row_hash, valid_session
 from meterloom.functions.times import iso
@@ -24,7 +24,7 @@ from meterloom.sources.telemetry import telemetry_from_lines
 _READING = ["ts", "five_hour_pct", "five_hour_resets_ts", "seven_day_pct", "seven_day_resets_ts"]
 
 
-def _columns(schema: str) -> list[str]:
+def column_names(schema: str) -> list[str]:
     return [part.split()[0] for part in schema.replace("\n", " ").split(",")]
 
 
@@ -49,7 +49,7 @@ def _mark_copies(rows: DataFrame, held: DataFrame, key: list[str], by: str = "in
 
 
 def append_rows(rows: DataFrame, path: str, schema: str, partition: str | None = None) -> None:
-    writer = rows.select(*_columns(schema)).write.mode("append")
+    writer = rows.select(*column_names(schema)).write.mode("append")
     (writer.partitionBy(partition) if partition else writer).parquet(path)
 
 
@@ -205,7 +205,7 @@ def slot_fault(machine: str | None = None) -> Column:
 
 def slot_line_fault(v: Column, machine: str | None = None) -> Column:
     """Why a slot sent as JSON must not be stored: wrong columns or JSON types, then the checks of slot_fault."""
-    names = sorted(_columns(schemas.SLOTS))
+    names = sorted(column_names(schemas.SLOTS))
     get = lambda c: F.try_variant_get(v, f"$.{c}", "variant")
     keys = F.array_sort(F.json_object_keys(F.to_json(v)))
     whole = lambda c: F.coalesce(F.schema_of_variant(get(c)) == "BIGINT", F.lit(False))
@@ -262,5 +262,5 @@ def receive_slots(lines: DataFrame, path: str, sender: str, receiver: str) -> in
     named = lines.withColumn("_agent", F.try_variant_get(whole, "$.agent", "string")).withColumn(
         "_table", F.try_variant_get(whole, "$.table", "string"))
     rows = parse_slots(named, "$.row")
-    envelope = F.when(~F.coalesce((F.col("_agent") == "claude") & (F.col("_table") == "slots"), F.lit(False)), "only slots are received")
+    envelope = F.when(~F.coalesce((F.col("_agent") == SLOT_AGENT) & (F.col("_table") == "slots"), F.lit(False)), "only slots are received")
     return add_slots(rows, path, sender, F.coalesce(envelope, slot_line_fault(F.col("_v"), sender)))

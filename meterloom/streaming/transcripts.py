@@ -31,7 +31,7 @@ def ingest_requests(spark: SparkSession, folder: str, requests_path: str, scans_
         lines = gates.settle(fresh.unionByName(before), "request-lines")
         first = lines.groupBy("request_id").agg(F.min("ts").alias("_first"))
         young = first.where(F.col("_first") > complete_before).select("request_id")
-        (lines.join(young, "request_id", "left_semi").select(*gates._columns(_PENDING)).write.mode("overwrite")
+        (lines.join(young, "request_id", "left_semi").select(*gates.column_names(_PENDING)).write.mode("overwrite")
          .parquet(f"{pending_path}/batch={number}"))
         store_requests(largest_output(lines).where(F.col("ts") <= complete_before), requests_path)
 
