@@ -4,7 +4,8 @@ import pytest
 
 import __spark_entry__ as entry_module
 from compare import compare, connect
-from meterloom.plans.queries import COVERS
+from meterloom.plans.oracle import ORACLE
+from meterloom.plans.queries import COVERS, QUERIES
 
 SF = "/root/testdata/sf0.001"
 NAMES = ["slots_of_events", "slots_final", "totals_5m", "last_purchase_carried", "counter_usage", "requests_of_transcripts", "readings_classified",
@@ -13,7 +14,8 @@ NAMES = ["slots_of_events", "slots_final", "totals_5m", "last_purchase_carried",
 
 
 def test_contract(spark):
-    assert set(entry_module.queries()) == set(entry_module.oracle_sql()) == set(COVERS)
+    assert set(QUERIES) == set(ORACLE) == set(COVERS) <= set(entry_module.queries())
+    assert set(entry_module.oracle_sql()) <= set(entry_module.queries())
     assert entry_module.entry(spark).count() > 0
 
 
