@@ -166,3 +166,12 @@ def jaccard_components(documents: DataFrame, n: int = 5, similarity: Fraction =
     groups = components(found.unionByName(copies)).withColumnRenamed("node", "doc_id")
     return members.join(groups, "doc_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"), F.col("rep").alias("class_id"))
+
+
+def representatives(documents: DataFrame, n: int = 5, similarity: Fraction = Fraction(3, 4)) -> DataFrame:
+    """One row of documents, all columns, for each component: that of its smallest doc_id; of rows that share it, the least
+    row. Rows whose doc_id is null, and documents without words, stay."""
+    kept = jaccard_components(documents, n, similarity).where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
+    rows = documents.where("doc_id is not null").join(kept, F.col("doc_id") == F.col("_kept")).drop("_kept")
+    least = rows.groupBy("doc_id").agg(F.min(F.struct(*[F.col(f"`{c}`") for c in documents.columns])).alias("_row"))
+    return least.select("_row.*").unionByName(documents.where("doc_id is null"))

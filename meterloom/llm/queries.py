@@ -1,14 +1,18 @@
-"""One thin query per operator, over whole tables, with the parameters a production run takes."""
+"""One thin query per operator, over whole tables, with the parameters a production run takes, and the SQL for those that
+SQL can express."""
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from meterloom.llm import ngram_join
-from meterloom.session import configure
+from meterloom.llm import decontamination, license_scan, line_dedup, lm_scoring, mixing, ngram_join, token_store, topk_search, toxicity, url_filter
+from meterloom.llm.oracle import ORACLE
+from meterloom.session import configure, scratch, settle
 
+__all__ = ["ORACLE", "QUERIES"]
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def query(f):
@@ -22,6 +26,60 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def token_ids(documents: DataFrame) -> DataFrame:
+    """Writes the documents' token ids to the shared folder and reads their digests back."""
+    spark = documents.sparkSession
+    folder = scratch(spark, "token-ids")
+    manifest = settle(token_store.write(documents, folder, TOKENIZER), "token-shards")
+    return token_store.digests(spark, folder, manifest)
+
+
+@query
+def op1_exact_topk_search(spark, sf_dir):
+    return topk_search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
+
+
 @query
 def op2_ngram_jaccard_join(spark, sf_dir):
     return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_license_scan(spark, sf_dir):
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_source_mixing(spark, sf_dir):
+    return mixing.taken(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op5_url_filter(spark, sf_dir):
+    return url_filter.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query
+def op6_token_ids(spark, sf_dir):
+    return token_ids(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_toxicity(spark, sf_dir):
+    return toxicity.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op8_benchmark_decontamination(spark, sf_dir):
+    return decontamination.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op9_line_dedup(spark, sf_dir):
+    return line_dedup.clean(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_removed", F.length("text").cast("long").alias("n_chars"), F.crc32(F.col("text").cast("binary")).alias("text_crc32"))
+
+
+@query
+def op10_lm_scoring(spark, sf_dir):
+    return lm_scoring.score(table(spark, sf_dir, "documents"))
