@@ -3,7 +3,8 @@
 The matrix has a row per text and a column per distinct word n-gram. Columns are ordered by how often they occur (a count
 sketch of all texts) and then by hash, rarest first. A row is cut into a head, just long enough that two rows similar
 enough share a column of it, and a tail. The product of the heads accumulates overlap counts per pair; a pair whose sizes
-differ too much, or whose count so far plus all that can still follow is below what its sizes ask for, is discarded. For
+differ too much, or whose count so far plus all that can still follow is below what its sizes ask for, is discarded; at a
+pair's first shared column that is known from the column's places in both rows, before the two are put together. For
 the pairs left the product goes on over whole rows, and the exact test decides.
 
 Three things keep the product from growing with the square of a group. Equal rows are one row, with its members listed
@@ -97,11 +98,15 @@ def _verified(n: int, similarity: Fraction):
     return run
 
 
+def _can_follow(similarity: Fraction, na: str, nb: str, most):
+    """Size-derived bound: an overlap of `most` is as large as two rows of na and nb columns need."""
+    return most * (similarity.numerator + similarity.denominator) >= (F.col(na) + F.col(nb)) * similarity.numerator
+
+
 def _small_enough(similarity: Fraction, na: str, nb: str, shared: str, rest: str):
     """Size-derived bounds: the sizes' ratio, and the overlap so far plus what can follow against what is asked for."""
-    p, q = similarity.numerator, similarity.denominator
-    return ((F.least(na, nb) * q >= F.greatest(na, nb) * p)
-            & ((F.col(shared) + F.col(rest)) * (p + q) >= (F.col(na) + F.col(nb)) * p))
+    return ((F.least(na, nb) * similarity.denominator >= F.greatest(na, nb) * similarity.numerator)
+            & _can_follow(similarity, na, nb, F.col(shared) + F.col(rest)))
 
 
 def _repeated(heads: DataFrame) -> DataFrame:
@@ -150,7 +155,8 @@ def links(documents: DataFrame, n: int = 5, similarity: Fraction = Fraction(3, 4
     open_ = settle(placed.join(spread, "h", "left_semi"), "open")
     x, y = open_.alias("x"), open_.alias("y")
     pairs = x.join(y, (F.col("x.h") == F.col("y.h")) & (F.col("x.doc") < F.col("y.doc")) & (F.col("x.component") != F.col("y.component"))
-                   & (F.least("x.n", "y.n") * similarity.denominator >= F.greatest("x.n", "y.n") * similarity.numerator))
+                   & (F.least("x.n", "y.n") * similarity.denominator >= F.greatest("x.n", "y.n") * similarity.numerator)
+                   & _can_follow(similarity, "x.n", "y.n", F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))))
     product = pairs.groupBy(F.col("x.doc").alias("a"), F.col("y.doc").alias("b")).agg(
         F.count("*").alias("shared"), F.first("x.n").alias("na"), F.first("y.n").alias("nb"),
         F.least(F.first("x.n") - F.max("x.pos"), F.first("y.n") - F.max("y.pos")).alias("rest"))

@@ -21,6 +21,7 @@ columns are ignored."""
 
 from __future__ import annotations
 
+import os
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -37,52 +38,65 @@ from meterloom.llm import textkit
 MAGIC = 0x31565444494B4F54
 END = 2
 #: Ids of a shard at most, unless one document has more.
-SHARD_IDS = 1 << 22
+SHARD_IDS = 1 << 21
 LEVELS = 48
 #: Words whose ids a task keeps.
-KEPT = 300_000
+KEPT = 200_000
 DIGESTS = "shard int, part int, doc_id long, at long, n_tokens long, ids_crc32 long"
 
 
 class Encoder:
-    """Ids as bytes, by the tokenizers library. Byte-level pieces begin before each single space that a word follows, so a
-    text's ids are those of its words with the space before them; a word met before isn't encoded again."""
+    """Ids as bytes, by the tokenizers library. Byte-level pieces begin before each single space that a word follows, and
+    before a comma or full stop that ends a word's letters. So a text's ids are those of its words, each with the space
+    before it, and a word the task met before isn't encoded again. Other tokenizers get whole texts."""
 
     def __init__(self, path: str, dtype: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        self.tokenizer, self.dtype, self.known = Tokenizer.from_file(path), dtype, {}
-        state = self.tokenizer.to_str()
-        self.splits = '"ByteLevel"' in state and self.tokenizer.normalizer is None
+        self.tokenizer, self.dtype, self.known, self.older = Tokenizer.from_file(path), dtype, {}, {}
+        self.splits = '"ByteLevel"' in self.tokenizer.to_str() and self.tokenizer.normalizer is None
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.end = np.array([END], dtype).tobytes()
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-
-    def encode(self, text: str) -> bytes:
-        if not self.splits or any(s in text for s in self.special):
-            return self._ids([text])[0] + self.end
-        first, *rest = text.split(" ")
-        pieces = [first]
-        if not rest:
-            pass
-        elif "  " not in text and not any(w[:1].isspace() or not w for w in rest):
-            pieces += [" " + w for w in rest]
-        else:
-            for w in rest:
-                if w and not w[0].isspace():
-                    pieces.append(" " + w)
-                else:
-                    pieces[-1] += " " + w
-        known = self.known
-        try:
-            return b"".join([known[p] for p in pieces]) + self.end
-        except KeyError:
-            if len(known) > KEPT:
-                known.clear()
-            new = list({p for p in pieces if p not in known})
-            known.update(zip(new, self._ids(new)))
-            return b"".join([known[p] for p in pieces]) + self.end
+        return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    @staticmethod
+    def _words(text: str) -> list[str]:
+        """The words after each space; one that is empty or begins with white space stays with the word before it."""
+        words = text.split(" ")
+        if "  " not in text and not any(w[:1].isspace() for w in words) and words[-1]:
+            return words
+        out = words[:1]
+        for w in words[1:]:
+            if w and not w[0].isspace():
+                out.append(w)
+            else:
+                out[-1] += " " + w
+        return out
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        if not self.splits or any(s in text for s in self.special for text in texts):
+            return [ids + self.end for ids in self._ids(texts)]
+        split = [self._words(text) for text in texts]
+        self._learn({w for words in split for w in words[1:]})
+        heads, known = self._ids([words[0] for words in split]), self.known
+        return [head + b"".join([known[w] for w in words[1:]]) + self.end for head, words in zip(heads, split)]
+
+    def _learn(self, words: set[str]) -> None:
+        """Makes all words known. What was not met for KEPT words is forgotten."""
+        if len(self.known) > KEPT:
+            self.known, self.older = {}, self.known
+        missing = words - self.known.keys()
+        old = missing & self.older.keys()
+        self.known.update((w, self.older[w]) for w in old)
+        missing -= old
+        ending = {w for w in missing if w[-1] in ",." and w[-2:-1].isalpha()}
+        bare = list(((missing - ending) | {w[:-1] for w in ending}) - self.known.keys())
+        self.known.update(zip(bare, self._ids([" " + w for w in bare])))
+        if ending:
+            marks = dict(zip(",.", self._ids([",", "."])))
+            self.known.update((w, self.known[w[:-1]] + marks[w[-1]]) for w in ending)
 
 
 def _keys(ids: np.ndarray, null: np.ndarray) -> np.ndarray:
@@ -219,9 +233,8 @@ def write(documents: DataFrame, folder: str, tokenizer: str, dtype: str = "<u2",
             return pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([part], pa.int32()), pa.array([len(docs)], pa.int64()),
                                                pa.array([held], pa.int64())], ["shard", "part", "documents", "ids"])
 
-        for batch in batches:
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                own = encoder.encode(text)
+        for batch in textkit.cuts(batches, limit=1 << 20):
+            for doc, own in zip(batch.column("doc_id").to_pylist(), encoder.encode(batch.column("text").to_pylist())):
                 n = len(own) // np.dtype(dtype).itemsize
                 if docs and held + n > shard_ids:
                     yield flush()

@@ -2,10 +2,10 @@
 
 A word (letters, digits and non-ASCII bytes, A-Z lower-cased) stands for the mean of the embeddings of its subwords: the
 byte n-grams of 3 to 5 of the word between two marks, and the word itself, hashed into BUCKETS rows. A text is the mean of
-its words, times GAIN; two linear outputs and a softmax follow. A misspelling never seen shares most of its subwords with
-the word it comes from. Embeddings and outputs are trained together, by full-batch Adam steps, in one task, on a bounded
-sample: the SAMPLE rows of each label that come first by a hash of doc_id. The bias is then shifted by the ratio of both
-labels among all training rows, as the sample holds as many of each.
+its words and of PAD empty ones, times GAIN; two linear outputs and a softmax follow. A misspelling never seen shares most
+of its subwords with the word it comes from. Embeddings and outputs are trained together, by full-batch Adam steps, in one
+task, on a bounded sample: of each label the SAMPLE rows that come first by a hash of doc_id. The bias is then shifted by
+the ratio of both labels among all training rows over that in the sample.
 
 Labels are learnt only from rows whose crc32(doc_id as text) mod 5 is not 0. Only texts enter a score.
 
@@ -23,13 +23,14 @@ from pyspark.sql import DataFrame, functions as F
 
 from meterloom.llm import textkit
 
-SAMPLE = 4000
+SAMPLE = {0: 12_000, 1: 4_000}
 BUCKETS = 1 << 17
 WIDTH = 8
 GAIN = 100.0
-STEPS = 220
-RATE = 0.03
-DECAY = 2e-7
+PAD = 20
+STEPS = 120
+RATE = 0.1
+DECAY = 3e-6
 _MARK = np.uint8(1)
 
 
@@ -65,54 +66,49 @@ def subwords(parsed: textkit.Words, which: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 def fit(texts: list[bytes], toxic: np.ndarray) -> tuple[np.ndarray, float]:
-    """The trained model as it scores: what each bucket adds to the toxic output over the other, and the bias."""
+    """The trained model as it scores: what each bucket adds to the toxic output over the other, and the bias. The outputs
+    of a softmax of two count by their difference alone, so they are kept as one vector."""
     rng = np.random.default_rng(5)
     known: dict[int, int] = {}
-    buckets, widths, doc_words, doc_weights, doc_sizes = [], [], [], [], []
+    buckets, widths, doc_words, doc_counts, sizes, lengths = [], [], [], [], [], []
     for start in range(0, len(texts), 500):
         parsed = textkit.words(pa.array(texts[start:start + 500], pa.binary()), textkit.ALNUM)
         values, first, inverse = np.unique(parsed.hashes(), return_index=True, return_inverse=True)
         fresh = np.array([i for i, h in enumerate(values.tolist()) if h not in known], np.int64)
-        if len(fresh):
-            own, offsets = subwords(parsed, first[fresh])
-            buckets.append(own)
-            widths.append(np.diff(offsets))
-        for i in fresh.tolist():
-            known[int(values[i])] = len(known)
-        number = np.array([known[h] for h in values.tolist()], np.int64)[inverse]
+        own, offsets = subwords(parsed, first[fresh])
+        buckets.append(own.astype(np.int32))
+        widths.append(np.diff(offsets))
+        known.update((int(values[i]), len(known) + n) for n, i in enumerate(fresh.tolist()))
+        number = np.array([known[h] for h in values.tolist()], np.int32)[inverse]
         for a, b in zip(parsed.rows[:-1].tolist(), parsed.rows[1:].tolist()):
             word, count = np.unique(number[a:b], return_counts=True)
             doc_words.append(word)
-            doc_weights.append(count * (GAIN / max(1, b - a)))
-            doc_sizes.append(len(word))
-    sub, of_word = np.concatenate(buckets or [np.zeros(0, np.int64)]), np.concatenate(widths or [np.zeros(0, np.int64)])
-    word_at = np.concatenate([[0], np.cumsum(of_word)])
-    each = np.repeat(1.0 / of_word, of_word)
-    words, weights = np.concatenate(doc_words), np.concatenate(doc_weights)
-    doc_at, doc_of = np.concatenate([[0], np.cumsum(doc_sizes)]), np.repeat(np.arange(len(texts)), doc_sizes)
-
-    embedding = rng.normal(0, 0.05, (BUCKETS, WIDTH)).astype(np.float32)
-    output, bias = rng.normal(0, 0.5, (2, WIDTH)).astype(np.float32), np.zeros(2)
+            doc_counts.append(count.astype(np.float32))
+            sizes.append(len(word))
+            lengths.append(b - a)
+    words, doc_of = np.concatenate(doc_words), np.repeat(np.arange(len(texts), dtype=np.int32), sizes)
+    weights = np.concatenate(doc_counts) * (GAIN / (np.array(lengths, np.float32) + PAD))[doc_of]
+    widths, sub = np.concatenate(widths), np.concatenate(buckets)
+    told = np.bincount(words, minlength=len(widths)) >= 2  # a word of one sampled text tells nothing of others
+    sub, widths, number = sub[np.repeat(told, widths)], widths[told], np.cumsum(told) - 1
+    words, weights, doc_of = number[words[told[words]]], weights[told[words]], doc_of[told[words]]
+    word_at, each = np.concatenate([[0], np.cumsum(widths)]), np.repeat(1.0 / widths, widths)
+    doc_at = np.searchsorted(doc_of, np.arange(len(texts) + 1))
+
+    embedding, output, bias = rng.normal(0, 0.05, (BUCKETS, WIDTH)).astype(np.float32), rng.normal(0, 0.5, WIDTH).astype(np.float32), np.zeros(1)
     moments = [[np.zeros_like(x), np.zeros_like(x)] for x in (embedding, output, bias)]
-    target = np.stack([1 - toxic, toxic], 1).astype(np.float64)
     for step in range(1, STEPS + 1):
-        # Both averages are linear, so they are taken of each bucket's two outputs instead of its embedding.
-        given = embedding @ output.T
-        scores = np.stack([_reduce(weights * _reduce(each * given[sub, c], word_at)[words], doc_at) for c in (0, 1)], 1) + bias
-        scores -= scores.max(1, keepdims=True)
-        share = np.exp(scores)
-        share /= share.sum(1, keepdims=True)
-        wrong = (share - target) / len(texts)
-        back = np.empty((BUCKETS, 2), np.float32)
-        for c in (0, 1):
-            of_words = np.bincount(words, weights * wrong[doc_of, c], minlength=len(of_word))
-            back[:, c] = np.bincount(sub, each * np.repeat(of_words, of_word), minlength=BUCKETS)
-        grads = [back @ output + DECAY * embedding, back.T @ embedding, wrong.sum(0)]
+        # Both averages are linear, so they are taken of each bucket's output instead of its embedding.
+        score = _reduce(weights * _reduce(each * (embedding @ output)[sub], word_at)[words], doc_at) + bias
+        wrong = (1 / (1 + np.exp(-np.clip(score, -50, 50))) - toxic) / len(texts)
+        of_words = np.bincount(words, weights * wrong[doc_of], minlength=len(widths))
+        back = np.bincount(sub, each * np.repeat(of_words, widths), minlength=BUCKETS).astype(np.float32)
+        grads = [back[:, None] * output + DECAY * embedding, embedding.T @ back + DECAY * output, wrong.sum(keepdims=True)]
         for value, grad, (m, v) in zip((embedding, output, bias), grads, moments):
             m += 0.1 * (grad - m)
             v += 0.001 * (grad * grad - v)
             value -= (RATE * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-9)).astype(value.dtype)
-    return (embedding @ (output[1] - output[0])).astype(np.float32), float(bias[1] - bias[0])
+    return (embedding @ output).astype(np.float32), float(bias[0])
 
 
 class Scorer:
@@ -137,7 +133,7 @@ class Scorer:
             if len(self.known) > self.KEPT:
                 self.known.clear()
             self.known.update(zip(values[fresh].tolist(), adds[fresh].tolist()))
-        total = _reduce(adds[inverse], parsed.rows) * (GAIN / np.maximum(counts, 1))
+        total = _reduce(adds[inverse], parsed.rows) * (GAIN / (counts + PAD))
         return 1 / (1 + np.exp(-np.clip(total + self.bias, -500, 500)))
 
 
@@ -145,7 +141,7 @@ def held_out(doc_id):
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(True))
 
 
-def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict:
+def train(documents: DataFrame, labels: DataFrame, sample: dict[int, int] = SAMPLE) -> dict:
     """The model: BUCKETS numbers and a bias."""
     known = labels.where("toxic is not null and doc_id is not null").where(~held_out(F.col("doc_id"))).groupBy(
         F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
@@ -154,7 +150,7 @@ def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict
     bad, good = counts.get(1, 0), counts.get(0, 0)
     if not bad or not good:
         return {"given": None, "bias": 0.0, "fixed": float(bad > 0)}
-    chosen = [known.where(F.col("toxic") == t).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample) for t in (0, 1)]
+    chosen = [known.where(F.col("toxic") == t).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample[t]) for t in (0, 1)]
     rows = (documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
             .join(F.broadcast(chosen[0].unionByName(chosen[1])), "doc_id").select("doc_id", "toxic", "text"))
 
@@ -165,11 +161,11 @@ def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict
         yield pa.RecordBatch.from_arrays([pa.array([given.tobytes()], pa.binary()), pa.array([bias])], ["given", "bias"])
 
     given, bias = rows.repartition(1).mapInArrow(run, "given binary, bias double").first()
-    shift = np.log(bad / good) - np.log(min(bad, sample) / min(good, sample))
+    shift = np.log(bad / good) - np.log(min(bad, sample[1]) / min(good, sample[0]))
     return {"given": np.frombuffer(given, np.float32), "bias": bias + float(shift), "fixed": None}
 
 
-def scores(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
+def scores(documents: DataFrame, labels: DataFrame, sample: dict[int, int] = SAMPLE) -> DataFrame:
     """doc_id, held_out, score and predicted for every row of documents; see the module for each case."""
     model = documents.sparkSession.sparkContext.broadcast(train(documents, labels, sample))
 
@@ -183,7 +179,7 @@ def scores(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Dat
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-def clean(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
+def clean(documents: DataFrame, labels: DataFrame, sample: dict[int, int] = SAMPLE) -> DataFrame:
     """The rows of documents, all columns, that score under 0.5."""
     model = documents.sparkSession.sparkContext.broadcast(train(documents, labels, sample))
 
