@@ -78,7 +78,7 @@ def fit(texts: list[bytes], toxic: np.ndarray) -> tuple[np.ndarray, float]:
         own, offsets = subwords(parsed, first[fresh])
         buckets.append(own.astype(np.int32))
         widths.append(np.diff(offsets))
-        known.update((int(values[i]), len(known) + n) for n, i in enumerate(fresh.tolist()))
+        known.update(zip(values[fresh].tolist(), range(len(known), len(known) + len(fresh))))
         number = np.array([known[h] for h in values.tolist()], np.int32)[inverse]
         for a, b in zip(parsed.rows[:-1].tolist(), parsed.rows[1:].tolist()):
             word, count = np.unique(number[a:b], return_counts=True)
