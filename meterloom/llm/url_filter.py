@@ -60,19 +60,23 @@ def _grams(urls: DataFrame) -> DataFrame:
 
 def model(counts: DataFrame, sizes: tuple[int, int], symbols: int) -> DataFrame:
     """gram, s: what the gram adds to a url's score. counts: gram and its counts a (accepted) and b (rejected)."""
-    table = counts.withColumns({"pa": F.lit(1.0 / symbols), "pb": F.lit(1.0 / symbols)})
+    def part(order: int, symbol: bool):
+        return F.substring("gram", ORDER + 1 - order, order + symbol)
+
+    def sums(order: int, symbol: bool) -> DataFrame:
+        key = f"{'o' if symbol else 'c'}{order}"
+        return counts.groupBy(part(order, symbol).alias(key)).agg(F.sum("a").alias(key + "a"), F.sum("b").alias(key + "b"))
+
+    table, shares = counts, {"a": F.lit(1.0 / symbols), "b": F.lit(1.0 / symbols)}
+    for order in range(ORDER + 1):
+        for symbol in (True, False) if order else (True,):
+            key = f"{'o' if symbol else 'c'}{order}"
+            table = table.withColumn(key, part(order, symbol)).join(sums(order, symbol), key).drop(key)
     for order in range(ORDER + 1):
-        own = F.substring("gram", ORDER + 1 - order, order + 1)
-        context = F.substring("gram", ORDER + 1 - order, order)
-        table = table.withColumns({"own": own, "context": context})
-        of_own = table.groupBy("own").agg(F.sum("a").alias("oa"), F.sum("b").alias("ob"))
-        table = table.join(of_own, "own")
-        if order:
-            of_context = table.groupBy("context").agg(F.sum("a").alias("ca"), F.sum("b").alias("cb"))
-            table = table.join(of_context, "context")
-        else:
-            table = table.withColumns({"ca": F.lit(sizes[0]), "cb": F.lit(sizes[1])})
-        table = table.select("gram", "a", "b", *[((F.col("o" + x) + SMOOTH * F.col("p" + x)) / (F.col("c" + x) + SMOOTH)).alias("p" + x) for x in "ab"])
+        for side, total in zip("ab", sizes):
+            seen = F.col(f"c{order}{side}") if order else F.lit(total)
+            shares[side] = (F.col(f"o{order}{side}") + SMOOTH * shares[side]) / (seen + SMOOTH)
+    table = table.withColumns({"pa": shares["a"], "pb": shares["b"]})
     return table.select("gram", (F.ln("pa") - F.ln("pb")).alias("s"))
 
 
