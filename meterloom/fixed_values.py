@@ -22,10 +22,10 @@ STUB_MODEL = "<synthetic>"
 SESSION_ONLY_KEYS = ["session_cost_usd", "prompt_cache", "session_id"]
 PERCENT_KEY_WORDS = "pct|percent|utiliz|basis_points"
 
-# Name patterns.
-MACHINE_PATTERN = "^[A-Za-z0-9-]+$"
-HOST_PATTERN = "^[A-Za-z0-9][A-Za-z0-9-]{0,62}$"
-SESSION_PATTERN = "^[A-Za-z0-9-]{1,128}$"
+# Name patterns; the first three are for whole names.
+MACHINE_PATTERN = "[A-Za-z0-9-]+"
+HOST_PATTERN = "[A-Za-z0-9][A-Za-z0-9-]{0,62}"
+SESSION_PATTERN = "[A-Za-z0-9-]{1,128}"
 RESERVED_SESSION = "account"
 HOME_PATTERN = "^/(?:Users|home)/[^/]+(/.*)?$"
 HOME_REPO_PATTERN = "^/(?:Users|home)/[^/]+/(?:dev|opt)/([^/]+)"

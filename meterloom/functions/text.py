@@ -17,8 +17,13 @@ def blank_to_null(value: Column) -> Column:
     return F.nullif(value, F.lit(""))
 
 
+def is_all(text: Column, pattern: str) -> Column:
+    """Whether a pattern takes in the whole text; `$` would let a final line feed pass."""
+    return text.rlike(rf"^(?:{pattern})\z")
+
+
 def valid_session(session: Column) -> Column:
-    return F.coalesce(session.rlike(SESSION_PATTERN) & (session != RESERVED_SESSION), F.lit(False))
+    return F.coalesce(is_all(session, SESSION_PATTERN) & (session != RESERVED_SESSION), F.lit(False))
 
 
 def session_or_null(session: Column) -> Column:
@@ -26,12 +31,14 @@ def session_or_null(session: Column) -> Column:
 
 
 def valid_machine(machine: Column) -> Column:
-    return F.coalesce(machine.rlike(MACHINE_PATTERN), F.lit(False))
+    return F.coalesce(is_all(machine, MACHINE_PATTERN), F.lit(False))
 
 
 def has_percent_key(raw: Column) -> Column:
     """Whether a JSON text holds, at any depth, a key that names a quota percent. Strings are read token by token, so
-    a quoted text inside a value is no key; the cheap search first spares nearly every row the tokenising."""
+    a quoted text inside a value is no key; the cheap search first spares nearly every row the tokenising. A text with
+    escaped letters is written anew first, as its keys may spell a word with them."""
+    raw = F.when(raw.contains("\\u"), F.coalesce(canonical_json(raw), raw)).otherwise(raw)
     seen = raw.rlike(f"(?i){PERCENT_KEY_WORDS}")
     found = F.regexp_extract_all(raw, F.lit(_STRING_TOKEN), F.lit(0))
     return F.coalesce(F.when(seen, F.exists(found, lambda t: t.endswith(":") & t.rlike(f"(?i){PERCENT_KEY_WORDS}")))

@@ -23,7 +23,10 @@ def upper_median(df: DataFrame, keys: list[str], value: Column, name: str) -> Da
 def exact_median(df: DataFrame, keys: list[str], value: str, name: str = "median", accuracy: int = 10_000) -> DataFrame:
     """Exact median of keys with any number of rows. A mergeable sketch brackets the middle: its error is at most
     n / accuracy ranks, so two more values on either side surely enclose it. Rows below the bracket are only counted;
-    those inside, a few in ten thousand, are folded to distinct values and ranked exactly."""
+    those inside, a few in ten thousand, are folded to distinct values and ranked exactly. A bracket that misses a middle
+    value fails the query instead of giving another value."""
+    if not keys:
+        return exact_median(df.withColumn("_all", F.lit(0)), ["_all"], value, name, accuracy).drop("_all")
     rows = df.where(F.col(value).isNotNull()).select(*keys, value)
     near = 2.0 / accuracy
     bracket = (rows.groupBy(*keys).agg(
@@ -39,8 +42,12 @@ def exact_median(df: DataFrame, keys: list[str], value: str, name: str = "median
     ranked = _with(inside.withColumn("_c", F.sum("_m").over(upto)), bracket.select(*keys, "_n"), keys)
     last = F.col("_c")
     low, high = F.floor((F.col("_n") + 1) / 2), F.floor(F.col("_n") / 2) + 1
-    return (ranked.groupBy(*keys).agg(((F.min(F.when(last >= low, v)) + F.min(F.when(last >= high, v))) / 2).alias(name),
-                                      F.max("_n").alias("n")))
+    below = F.coalesce(F.max(F.when(v.isNull(), last)), F.lit(0))
+    enclosed = (below < F.min(low)) & (F.max(last) >= F.max(high))
+    middle = (F.min(F.when(last >= low, v)) + F.min(F.when(last >= high, v))) / 2
+    return ranked.groupBy(*keys).agg(
+        F.when(enclosed, middle).otherwise(F.raise_error(F.lit("the bracket misses the median: raise the accuracy")).cast("double")).alias(name),
+        F.max("_n").alias("n"))
 
 
 def _with(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:

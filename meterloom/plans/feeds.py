@@ -88,8 +88,8 @@ def _request(prefix: str, number):
 
 
 def request_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Transcript lines: view, click and error events, several per request, some in two files."""
-    e = events(spark, sf_dir).where("event_type IN ('view', 'click', 'error')")
+    """Transcript lines: one per event, several per request, some in two files."""
+    e = events(spark, sf_dir)
     k, u, i = F.col("k"), F.col("user_id"), F.col("event_id")
     return e.select(
         F.concat(F.lit("f"), (i % 20).cast("string")).alias("path"), F.lit(0).cast("long").alias("block"), i.alias("line"),
@@ -101,16 +101,16 @@ def request_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Telemetry: purchases report on transcript requests, signups on requests no transcript has (in pairs, as sent
-    twice; half of their sessions have no transcript)."""
-    e = events(spark, sf_dir).where("event_type IN ('purchase', 'signup')")
+    """Telemetry: one event each. Signups report on requests no transcript has (in pairs, as sent twice; half of their
+    sessions have no transcript), all others on transcript requests."""
+    e = events(spark, sf_dir)
     k, u, i = F.col("k"), F.col("user_id"), F.col("event_id")
-    bought = F.col("event_type") == "purchase"
+    known = F.col("event_type") != "signup"
     return e.select(
         i.alias("ingest_id"), F.col("t").alias("ts"), iso(F.col("t")).alias("dt"),
         F.when(k % 25 != 0, "api_request").otherwise("api_error").alias("event"),
-        _request("s", F.when(bought, u).otherwise(u * 2)).alias("session_id"),
-        F.when(bought, _request("r", u * 10 + F.floor(k / 10))).otherwise(_request("t", F.floor(i / 4))).alias("request_id"),
+        _request("s", F.when(known, u).otherwise(u * 2)).alias("session_id"),
+        F.when(known, _request("r", u * 10 + F.floor(k / 10))).otherwise(_request("t", F.floor(i / 4))).alias("request_id"),
         _request("model-", u % 4).alias("model"), _request("q", k % 4).alias("query_source"), k.alias("input_tokens"),
         (i % 1000).alias("output_tokens"), (k * 10).alias("cache_read_tokens"), (k % 31).alias("cache_creation_tokens"),
         F.when(k % 6 != 0, F.col("value") / 100).alias("cost_usd"), (F.col("t") + i % 1000).alias("received_ts"),

@@ -64,7 +64,9 @@ def store_payloads(spark: SparkSession, payloads: DataFrame, transcripts_folder:
                    snapshots_path: str, machine: str, now: int) -> tuple[dict, dict]:
     """Display payloads (`value`, `ingest_id`) to both gates; returns the outcome counts of each."""
     at = observed_at(last_answers(read_lines(spark, transcripts_folder)))
-    at = at.withColumn("path", F.regexp_replace("path", "^file:(//)?", ""))
+    # A file's name comes as a URI: its scheme and host go, and escaped characters are read back.
+    plain = F.regexp_replace("path", "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+    at = at.withColumn("path", F.url_decode(F.replace(plain, F.lit("+"), F.lit("%2B"))))
     account, session = payload_rows(payloads, at, F.lit(now), machine)
     done = gates.add_readings(account, account_path, errors_path, "claude")
     snaps = gates.add_snapshots(session, snapshots_path)

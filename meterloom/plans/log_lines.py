@@ -8,6 +8,9 @@ from meterloom.plans.feeds import events, request_lines, telemetry
 from meterloom.session import settle
 
 _PLACE = ["path", "block", "line"]
+# An attribute around a text: lists within lists, five deep.
+_NESTED = ('{"key":"deep","value":' + '{"arrayValue":{"values":[' * 4 + '{"kvlistValue":{"values":[{"key":"q","value":{"stringValue":"',
+           '"}}]}}' + "]}}" * 4 + "}")
 
 
 def _json(*columns):
@@ -28,7 +31,7 @@ def transcript_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     good = r.select(*_PLACE, line.alias("value"))
     e = events(spark, sf_dir)
     other = e.where("event_type IN ('purchase', 'signup')").select(
-        F.lit("f0").alias("path"), F.lit(0).cast("long").alias("block"), F.col("event_id").alias("line"),
+        F.lit("f20").alias("path"), F.lit(0).cast("long").alias("block"), F.col("event_id").alias("line"),
         F.when(F.col("event_type") == "purchase", _json(F.lit("user").alias("type"), F.col("props").alias("usage")))
         .otherwise(F.lit('{"type":"assistant","message":{"usage":{"output_tokens":')).alias("value"))
     return settle(good.unionByName(other), "transcript-lines")
@@ -46,6 +49,7 @@ def telemetry_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
         text("request_id", F.col("request_id")), text("model", F.col("model")), text("query_source", F.col("query_source")),
         whole("input_tokens", F.col("input_tokens")), whole("output_tokens", F.col("output_tokens")),
         whole("cache_read_tokens", F.col("cache_read_tokens")), whole("cache_creation_tokens", F.col("cache_creation_tokens")),
+        F.when(F.col("ingest_id") % 7 == 0, F.concat(F.lit(_NESTED[0]), F.col("query_source"), F.lit(_NESTED[1]))),
         real("cost_usd", F.col("cost_usd")))), ",")
     record = F.concat(F.lit('{"timeUnixNano":"'), F.col("ts").cast("string"), F.lit('123000000","body":{"stringValue":"claude_code.'),
                       F.col("event"), F.lit('"},"attributes":['), attributes, F.lit("]}"))

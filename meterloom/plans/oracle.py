@@ -119,16 +119,16 @@ _CTE = {
         CASE WHEN k % 9 <> 0 THEN '/home/u' || user_id % 7 || '/dev/p' || user_id % 5 END AS folder,
         CASE WHEN k % 8 <> 0 THEN CASE WHEN user_id % 2 = 0 THEN 'cli' ELSE 'sdk-py' END END AS entrypoint, 'model-' || user_id % 4 AS model,
         k AS input_tokens, event_id % 1000 AS output_tokens, k * 10 AS cache_read_tokens, k % 20 AS cache_write_5m_tokens, k % 11 AS cache_write_1h_tokens
-        FROM e WHERE event_type IN ('view', 'click', 'error')""",
+        FROM e""",
     "rq": """SELECT * EXCLUDE (rn, path, line, ts, first_ts), first_ts AS ts, CAST(substr(request_id, 2) AS BIGINT) AS ingest_id FROM (
         SELECT *, min(ts) OVER (PARTITION BY request_id) AS first_ts,
           row_number() OVER (PARTITION BY request_id ORDER BY output_tokens DESC, ts, path, line) AS rn FROM ln) WHERE rn = 1""",
     "tm": """SELECT event_id AS ingest_id, t AS ts, CASE WHEN k % 25 <> 0 THEN 'api_request' ELSE 'api_error' END AS event,
-        's' || CASE WHEN event_type = 'purchase' THEN user_id ELSE user_id * 2 END AS session_id,
-        CASE WHEN event_type = 'purchase' THEN 'r' || (user_id * 10 + k // 10) ELSE 't' || event_id // 4 END AS request_id,
+        's' || CASE WHEN event_type <> 'signup' THEN user_id ELSE user_id * 2 END AS session_id,
+        CASE WHEN event_type <> 'signup' THEN 'r' || (user_id * 10 + k // 10) ELSE 't' || event_id // 4 END AS request_id,
         'model-' || user_id % 4 AS model, 'q' || k % 4 AS query_source, k AS input_tokens, event_id % 1000 AS output_tokens, k * 10 AS cache_read_tokens,
         k % 31 AS cache_creation_tokens, CASE WHEN k % 6 <> 0 THEN value / 100 END AS cost_usd, t + event_id % 1000 AS received_ts
-        FROM e WHERE event_type IN ('purchase', 'signup')""",
+        FROM e""",
     "tq": "SELECT * FROM tm WHERE ingest_id IN (SELECT min(ingest_id) FROM tm WHERE event = 'api_request' GROUP BY request_id)",
     "pl": """SELECT session_id, arg_min(folder, ingest_id) FILTER (folder IS NOT NULL) AS folder,
         arg_min(entrypoint, ingest_id) FILTER (entrypoint IS NOT NULL) AS entrypoint FROM rq GROUP BY 1""",
@@ -261,10 +261,11 @@ ORACLE = {
         || CASE WHEN ingest_id % 2 = 0 THEN '"event.name":"' || event || '",' ELSE '' END || '"session.id":"' || CASE WHEN ingest_id % 11 = 0 THEN '../x' ELSE session_id END
         || '","request_id":"' || request_id || '","model":"' || model || '","query_source":"' || query_source || '","input_tokens":' || input_tokens || ',"output_tokens":'
         || output_tokens || ',"cache_read_tokens":' || cache_read_tokens || ',"cache_creation_tokens":' || cache_creation_tokens
+        || CASE WHEN ingest_id % 7 = 0 THEN ',"deep":[[[[{{"q":"' || query_source || '"}}]]]]' ELSE '' END
         || CASE WHEN cost_usd IS NOT NULL THEN ',"cost_usd":?' ELSE '' END || '}},"resource":{{"os.type":"x"}}}}' AS raw FROM tm"""),
     "readings_classified": _sql("""SELECT ingest_id, CASE WHEN reason IS NOT NULL THEN 'rejected' WHEN redundant THEN 'redundant' ELSE 'inserted' END AS outcome, reason,
         CASE WHEN fault = 8 THEN 0 ELSE CAST(fault = 6 AS BIGINT) END AS is_error,
-        CASE WHEN fault IN (7, 8) AND odd = 0 THEN NULL WHEN fault = 8 THEN NULL WHEN fault = 3 THEN t WHEN odd = 1 THEN day WHEN fault = 7 THEN NULL ELSE t END AS ts,
+        CASE WHEN fault IN (7, 8) AND odd = 0 THEN NULL WHEN fault = 8 THEN NULL WHEN fault IN (3, 6) THEN t WHEN odd = 1 THEN day WHEN fault = 7 THEN NULL ELSE t END AS ts,
         CASE WHEN fault = 8 THEN 'claude_api' WHEN fault = 3 THEN 'other' WHEN odd = 0 THEN 'claude_api' ELSE 'claude_statusline' END AS source,
         CASE WHEN fault IN (1, 2, 3, 8) THEN NULL WHEN odd = 0 THEN k + 0.5::DOUBLE ELSE (k % 2)::DOUBLE END AS five_hour_pct,
         CASE WHEN fault IN (3, 8) OR odd = 1 THEN NULL ELSE t + 60 END AS five_hour_resets_ts,
@@ -386,7 +387,7 @@ ORACLE = {
     "token_mismatches": _sql("""SELECT count(*) AS matched, count(*) FILTER (input_tokens <> ti OR output_tokens <> tout OR cache_read_tokens <> tr
         OR cache_write_5m_tokens + cache_write_1h_tokens <> tc) AS mismatches FROM mt"""),
     "price_errors": _sql(f"""SELECT model, round(median(abs(ours - cost_usd) / cost_usd), 6) AS median_err, count(*) AS n, count(*) FILTER (abs(ours - cost_usd) / cost_usd > 0.01) AS off_by_1_percent,
-        round(sum(ours) / sum(cost_usd) - 1, 6) AS total_err FROM (SELECT *, {_usd()} AS ours FROM mt WHERE input_tokens > 0) WHERE ours IS NOT NULL AND cost_usd > 0 GROUP BY 1"""),
+        round(sum(ours) / sum(cost_usd) - 1, 6) AS total_err FROM (SELECT *, {_usd()} AS ours FROM mt) WHERE ours IS NOT NULL AND cost_usd > 0 GROUP BY 1"""),
     "telemetry_only_cost": _sql("""SELECT query_source, round(coalesce(sum(cost_usd), 0), 6) AS usd, count(*) AS requests,
         round(coalesce(sum(cost_usd), 0) / greatest((SELECT sum(cost_usd) FROM tq), 1e-9), 6) AS share FROM tq WHERE request_id NOT IN (SELECT request_id FROM rq) GROUP BY 1"""),
     "monthly_differences": _sql(f"""SELECT o.month, o.model, {', '.join('o.' + c for c in _RQ)}, round({_usd('o.model')}, 6) AS usd,
@@ -414,9 +415,10 @@ ORACLE = {
     "slots_from_stream": _sql(f"""SELECT t // 300 * 300 AS ts, {_iso('t // 300 * 300')} AS dt, 'm' || user_id % 3 AS machine, '' AS folder, event_type AS entrypoint, 'm' AS model, count(*) AS requests,
         CAST(sum(k) AS BIGINT) AS input_tokens, CAST(sum(k % 7) AS BIGINT) AS output_tokens, {', '.join(f'CAST(0 AS BIGINT) AS {c}' for c in _TOKENS[2:])},
         round(sum(CASE WHEN k % 3 <> 0 THEN value END), 6) AS usd, CAST(coalesce(sum(CASE WHEN k % 3 = 0 THEN k + k % 7 END), 0) AS BIGINT) AS tokens_without_usd
-        FROM e WHERE t // 300 * 300 + 300 <= (SELECT max(t) - 900 FROM e) GROUP BY t // 300 * 300, user_id % 3, event_type"""),
+        FROM e GROUP BY t // 300 * 300, user_id % 3, event_type"""),
     "slots_replicated": _sql("SELECT machine, count(*) AS slots, CAST(sum(requests) AS BIGINT) AS requests FROM sl WHERE machine = 'm1' GROUP BY 1"),
-    "costs_from_two_streams": _sql("SELECT 'm' || user_id % 3 AS machine, count(*) AS with_cost, round(sum(value), 6) AS usd FROM e WHERE k % 3 <> 0 GROUP BY 1"),
+    "costs_from_two_streams": _sql("""SELECT 'm' || user_id % 3 AS machine, count(*) AS requests, count(*) FILTER (k % 3 <> 0) AS with_cost,
+        round(sum(value) FILTER (k % 3 <> 0), 6) AS usd FROM e GROUP BY 1"""),
 }
 ORACLE["repeats_dropped_in_stream"] = ORACLE["repeats_dropped"]
 

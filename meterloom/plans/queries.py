@@ -18,7 +18,7 @@ from meterloom.sources import readings as reading_source, telemetry as telemetry
 from meterloom.sources.tables import all_slots, stored
 from meterloom.streaming import exchange
 from meterloom.streaming.repeats import drop_repeats
-from meterloom.streaming.slots import slots_stream, with_costs
+from meterloom.streaming.slots import open_costs, open_slots, slots_stream, with_costs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 COVERS: dict[str, str] = {}
@@ -621,7 +621,7 @@ def token_mismatches(spark, sf):
 @query("A12 C10 J14")
 def price_errors(spark, sf):
     matched = reconcile.matched_requests(_requests(spark, sf), feeds.telemetry(spark, sf))
-    return _r6(reconcile.price_errors(matched.where("input_tokens > 0"), PRICES))
+    return _r6(reconcile.price_errors(matched, PRICES))
 
 
 @query("A13 J2")
@@ -761,11 +761,12 @@ def _request_feed(spark, sf):
 
 @query("X1 X2 X3 X4")
 def slots_from_stream(spark, sf):
-    """Final slots of a file stream; the last ones stay open, so the oracle is their final part in the batch."""
+    """Every slot of a finished file stream: those it wrote, and those it left open."""
     feed = _request_feed(spark, sf)
     path = _copy(spark, feed, "requests")
     stream = spark.readStream.schema(feed.schema).parquet(path)
-    return _r6(_finish(spark, slots_stream(stream), "stream-slots"))
+    written = _finish(spark, slots_stream(stream), "stream-slots")
+    return _r6(written.unionByName(open_slots(spark.read.schema(feed.schema).parquet(path), written)))
 
 
 @query("X6 K7")
@@ -798,7 +799,11 @@ def costs_from_two_streams(spark, sf):
     feed = _request_feed(spark, sf).drop("cost_usd")
     told = events(spark, sf).where("k % 3 <> 0").select("t", F.col("event_id").cast("string").alias("request_id"),
                                                         F.timestamp_seconds(F.col("t") + F.col("k")).alias("reported_at"), F.col("value").alias("cost_usd"))
-    a = spark.readStream.schema(feed.schema).parquet(_copy(spark, feed, "requests"))
-    b = spark.readStream.schema(told.schema).parquet(_copy(spark, told, "told"))
-    got = _finish(spark, with_costs(a.select("request_id", "at", "machine"), b), "with-costs")
-    return got.groupBy("machine").agg(F.count("cost_usd").alias("with_cost"), F.round(F.sum("cost_usd"), 6).alias("usd"))
+    asked, reported = _copy(spark, feed, "requests"), _copy(spark, told, "told")
+    a = spark.readStream.schema(feed.schema).parquet(asked).select("request_id", "at", "machine")
+    b = spark.readStream.schema(told.schema).parquet(reported)
+    got = _finish(spark, with_costs(a, b), "with-costs").select("request_id", "machine", "cost_usd")
+    rest = open_costs(spark.read.schema(feed.schema).parquet(asked).select("request_id", "at", "machine"),
+                      spark.read.schema(told.schema).parquet(reported), got)
+    return got.unionByName(rest.select(*got.columns)).groupBy("machine").agg(
+        F.count(F.lit(1)).alias("requests"), F.count("cost_usd").alias("with_cost"), F.round(F.sum("cost_usd"), 6).alias("usd"))

@@ -10,11 +10,11 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from meterloom import schemas
-from meterloom.fixed_values import HOST_PATTERN, MACHINE_PATTERN, PUSH_SOURCE, SLOT_AGENT, SLOT_S
+from meterloom.fixed_values import HOST_PATTERN, PUSH_SOURCE, SLOT_AGENT, SLOT_S
 from meterloom.functions.numbers import is_missing, is_number, number
-from meterloom.functions.text import canonical_json, has_percent_key, row_hash, valid_session
+from meterloom.functions.text import canonical_json, has_percent_key, row_hash, valid_machine, valid_session
 from meterloom.functions.times import iso
-from meterloom.operators.dedup import mark_repeats
+from meterloom.operators.dedup import first_by, mark_repeats
 from meterloom.session import settle
 from meterloom.sources.lines import parsed
 from meterloom.sources.readings import reading_columns
@@ -194,7 +194,7 @@ def slot_fault(machine: str | None = None) -> Column:
     checks = [(F.coalesce(F.col(c) < 0, F.lit(True)), f"{c} is not a count") for c in _SLOT_COUNTS]
     checks += [(F.pmod(F.col("ts"), F.lit(SLOT_S)) != 0, "ts is no slot start"),
                (~F.col("dt").eqNullSafe(iso(F.col("ts"))), "dt is not ts"),
-               (~F.coalesce(F.col("machine").rlike(MACHINE_PATTERN), F.lit(False)), "not a machine name")]
+               (~valid_machine(F.col("machine")), "not a machine name")]
     if machine is not None:
         checks.append((F.col("machine") != machine, "a slot of another machine"))
     checks += [(F.col(c).isNull(), f"{c} is not text") for c in ("folder", "entrypoint", "model")]
@@ -238,14 +238,17 @@ def check_batch(rows: DataFrame, fault: Column, label: str = "slots") -> DataFra
 
 
 def add_slots(rows: DataFrame, path: str, machine: str | None = None, fault: Column | None = None) -> int:
-    """Appends the slots the table does not hold, in one write; one bad row refuses them all. A slot is never changed."""
+    """Appends the slots the table does not hold, in one write; one bad row refuses them all. A slot is never changed. Of
+    rows with one key the first sent counts (by `ingest_id`, where rows have one)."""
     spark = rows.sparkSession
     good = check_batch(rows, fault if fault is not None else slot_fault(machine))
     held = stored(spark, path, schemas.SLOTS)
     if machine is not None:
         held = held.where(F.col("machine") == machine)
     held = _during(held, good, "ts")
-    fresh = good.dropDuplicates(schemas.SLOT_KEY).join(held.select(*schemas.SLOT_KEY), schemas.SLOT_KEY, "left_anti")
+    once = (first_by(good, list(schemas.SLOT_KEY), F.col("ingest_id")) if "ingest_id" in good.columns
+            else good.dropDuplicates(schemas.SLOT_KEY))
+    fresh = once.join(held.select(*schemas.SLOT_KEY), schemas.SLOT_KEY, "left_anti")
     new = settle(fresh, "new-slots")
     append_rows(new, path, schemas.SLOTS, "machine")
     return new.count()
@@ -254,7 +257,7 @@ def add_slots(rows: DataFrame, path: str, machine: str | None = None, fault: Col
 def receive_slots(lines: DataFrame, path: str, sender: str, receiver: str) -> int:
     """Slots another machine sent ({"agent", "table", "row"} lines): only this table, only the sender's own rows, never
     rows of the receiver, and all or nothing."""
-    if not re.match(HOST_PATTERN, sender):
+    if not re.fullmatch(HOST_PATTERN, sender):
         raise ValueError(f"not a host name: {sender!r}")
     if sender == receiver:
         raise ValueError(f"{sender} is this machine: its slots are written here by its own job")

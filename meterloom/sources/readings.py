@@ -17,6 +17,7 @@ def reading_columns(lines: DataFrame, agent: str, machine: Column | None = None)
     `is_error` telling failed polls. Fields whose JSON type matters arrive as VARIANT: a percent that is a text or a bool
     is refused, not turned into NULL. `machine` names the machine of lines that do not say it."""
     rest = [c for c in lines.columns if c != "value"]
+    lines = lines.where(F.col("value").rlike(r"\S"))  # a blank line is no reading, not a refused one
     j = parsed(lines.withColumn("_machine", machine if machine is not None else F.lit(None).cast("string")),
                schemas.READING_LINE, *rest, "value", "_machine")
     source = F.coalesce(F.nullif(F.col("source"), F.lit("")), F.lit(DEFAULT_SOURCE[agent]).cast("string"))
@@ -42,7 +43,8 @@ def reading_columns(lines: DataFrame, agent: str, machine: Column | None = None)
     typed = computed(flat, _t5=text("_r5"), _t7=text("_r7"), _n5=number(F.col("_p5")), _n7=number(F.col("_p7")))
     typed = computed(typed, five_hour_resets_ts=epoch_seconds(F.col("_t5")), seven_day_resets_ts=epoch_seconds(F.col("_t7")))
     failed = ~is_missing(F.col("_error"))
-    ts = F.when((F.col("source") == PUSH_SOURCE) & (F.coalesce("_observed", F.lit(0)) != 0), F.col("_observed")).otherwise(F.col("written_ts"))
+    # A failed reading is dated when it was written, whoever sent it: the gate looks for its copies there.
+    ts = F.when(~failed & (F.col("source") == PUSH_SOURCE) & (F.coalesce("_observed", F.lit(0)) != 0), F.col("_observed")).otherwise(F.col("written_ts"))
     bad_pct = (~is_missing(F.col("_p5")) & F.col("_n5").isNull()) | (~is_missing(F.col("_p7")) & F.col("_n7").isNull())
     bad_reset = F.lit(False)
     for reset, said, got in (("_r5", "_t5", "five_hour_resets_ts"), ("_r7", "_t7", "seven_day_resets_ts")):

@@ -1,5 +1,6 @@
 """Stored tables: columnar reads that prune columns and partitions."""
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from meterloom import schemas
@@ -9,11 +10,12 @@ from meterloom.operators.windows import readings as typed_readings
 
 def stored(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A table by its declared schema; a column older files lack is NULL. A path nothing was written to is empty."""
-    jvm = spark.sparkContext._jvm
-    place = jvm.org.apache.hadoop.fs.Path(path)
-    if not place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place):
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
 
 
 def all_slots(spark: SparkSession, path: str) -> DataFrame:

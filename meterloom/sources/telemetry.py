@@ -1,6 +1,10 @@
 """Telemetry log batches (OTLP/JSON) to one row per usage event."""
 
-from pyspark.sql import Column, DataFrame, functions as F
+import json
+import re
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from meterloom import schemas
 from meterloom.fixed_values import EVENT_PREFIX, TELEMETRY_SOURCE, USAGE_EVENTS
@@ -9,47 +13,40 @@ from meterloom.functions.text import session_or_null
 from meterloom.functions.times import epoch_seconds, iso
 from meterloom.sources.lines import computed, parsed
 
-_DEPTH = 1
-
 
 def plain_value(value: Column) -> Column:
-    """One wrapped value ({"stringValue": …}, {"intValue": "10"}, …) as plain JSON text."""
+    """One wrapped scalar ({"stringValue": …}, {"intValue": "10"}, …) as plain JSON text."""
     flat = (F.when(value["stringValue"].isNotNull(), _quoted(value["stringValue"]))
             .when(value["intValue"].isNotNull(), value["intValue"].try_cast("long").cast("string"))
             .when(value["doubleValue"].isNotNull(), value["doubleValue"].cast("string"))
-            .when(value["boolValue"].isNotNull(), value["boolValue"].cast("string"))
-            .when(value["arrayValue"].isNotNull(), _nested_array(value["arrayValue"], _DEPTH))
-            .when(value["kvlistValue"].isNotNull(), _nested_object(value["kvlistValue"], _DEPTH)))
+            .when(value["boolValue"].isNotNull(), value["boolValue"].cast("string")))
     return F.coalesce(flat, F.lit("null"))
 
 
-def _nested(value: Column, depth: int) -> Column:
-    """A wrapped value inside an array or key list, which arrive as VARIANT. Lists inside lists are unwrapped `depth`
-    levels further; below that they keep their wrapped JSON, so nothing is lost."""
-    get = lambda key, kind: F.try_variant_get(value, f"$.{key}", kind)
-    text = get("stringValue", "string")
-    out = (F.when(text.isNotNull(), _quoted(text))
-           .when(get("intValue", "string").isNotNull(), get("intValue", "string").try_cast("long").cast("string"))
-           .when(get("doubleValue", "double").isNotNull(), get("doubleValue", "double").cast("string"))
-           .when(get("boolValue", "boolean").isNotNull(), get("boolValue", "boolean").cast("string")))
-    if depth > 0:
-        out = (out.when(get("arrayValue", "variant").isNotNull(), _nested_array(get("arrayValue", "variant"), depth - 1))
-               .when(get("kvlistValue", "variant").isNotNull(), _nested_object(get("kvlistValue", "variant"), depth - 1)))
-    else:
-        out = out.when(get("arrayValue", "variant").isNotNull() | get("kvlistValue", "variant").isNotNull(), F.to_json(value))
-    return F.coalesce(out, F.lit("null"))
-
-
-def _nested_array(value: Column, depth: int) -> Column:
-    items = F.coalesce(F.try_variant_get(value, "$.values", "array<variant>"), F.array().cast("array<variant>"))
-    return F.concat(F.lit("["), F.array_join(F.transform(items, lambda v: _nested(v, depth)), ","), F.lit("]"))
-
-
-def _nested_object(value: Column, depth: int) -> Column:
-    kind = "array<struct<key:string,value:variant>>"
-    pairs = F.coalesce(F.try_variant_get(value, "$.values", kind), F.array().cast(kind))
-    return F.concat(F.lit("{"), F.array_join(F.transform(pairs, lambda p: F.concat(
-        _quoted(p["key"]), F.lit(":"), _nested(p["value"], depth))), ","), F.lit("}"))
+def _unwrapped(value: dict | None):
+    """A wrapped value, lists within lists to any depth, as the value it stands for."""
+    value = value or {}
+    if value.get("stringValue") is not None:
+        return value["stringValue"]
+    if value.get("intValue") is not None:
+        text = str(value["intValue"]).strip()
+        return int(text) if re.fullmatch(r"[+-]?\d+", text) and -2**63 <= int(text) < 2**63 else None
+    for name in ("doubleValue", "boolValue"):
+        if value.get(name) is not None:
+            return value[name]
+    if value.get("arrayValue") is not None:
+        return [_unwrapped(v) for v in value["arrayValue"].get("values") or ()]
+    if value.get("kvlistValue") is not None:
+        return {p.get("key"): _unwrapped(p.get("value")) for p in value["kvlistValue"].get("values") or ()}
+    return None
+
+
+@F.pandas_udf(T.StringType())
+def _nested_object(lists: pd.Series) -> pd.Series:
+    """Attribute lists, as JSON text, to JSON objects. Only lists that hold arrays or lists come here: expressions cannot
+    follow values of any depth."""
+    return lists.map(lambda text: None if text is None else json.dumps(
+        {p.get("key"): _unwrapped(p.get("value")) for p in json.loads(text)}, separators=(",", ":"), ensure_ascii=False))
 
 
 def _quoted(text: Column) -> Column:
@@ -61,8 +58,10 @@ def _quoted(text: Column) -> Column:
 
 def plain_object(pairs: Column) -> Column:
     """Attribute list to a JSON object text."""
-    return F.concat(F.lit("{"), F.coalesce(F.array_join(F.transform(pairs, lambda p: F.concat(
+    flat = F.concat(F.lit("{"), F.coalesce(F.array_join(F.transform(pairs, lambda p: F.concat(
         _quoted(p["key"]), F.lit(":"), plain_value(p["value"]))), ","), F.lit("")), F.lit("}"))
+    nested = F.exists(pairs, lambda p: p["value"]["arrayValue"].isNotNull() | p["value"]["kvlistValue"].isNotNull())
+    return F.coalesce(_nested_object(F.when(nested, F.to_json(pairs))), flat)
 
 
 def _attribute(name: str, kind: str) -> Column:
