@@ -22,6 +22,7 @@ columns are ignored."""
 from __future__ import annotations
 
 import os
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -41,10 +42,14 @@ END = 2
 SHARD_IDS = 1 << 21
 LEVELS = 48
 #: Words whose ids a task keeps.
-KEPT = 200_000
+KEPT = 300_000
 DIGESTS = "shard int, part int, doc_id long, at long, n_tokens long, ids_crc32 long"
 
 
+_encoders: dict[tuple[str, str], "Encoder"] = {}
+_RUN = re.compile(r" (?:\s|\Z)")
+
+
 class Encoder:
     """Ids as bytes, by the tokenizers library. Byte-level pieces begin before each single space that a word follows, and
     before a comma or full stop that ends a word's letters. So a text's ids are those of its words, each with the space
@@ -61,11 +66,18 @@ class Encoder:
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    @classmethod
+    def of_process(cls, path: str, dtype: str) -> "Encoder":
+        """One encoder for all tasks of a Python worker, so that its words stay known."""
+        if (path, dtype) not in _encoders:
+            _encoders[path, dtype] = cls(path, dtype)
+        return _encoders[path, dtype]
+
     @staticmethod
     def _words(text: str) -> list[str]:
         """The words after each space; one that is empty or begins with white space stays with the word before it."""
         words = text.split(" ")
-        if "  " not in text and not any(w[:1].isspace() for w in words) and words[-1]:
+        if not _RUN.search(text):
             return words
         out = words[:1]
         for w in words[1:]:
@@ -224,7 +236,7 @@ def write(documents: DataFrame, folder: str, tokenizer: str, dtype: str = "<u2",
     dealt = texts.repartitionByRange(*order[:2]).sortWithinPartitions(*order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, shard = Encoder(tokenizer, dtype), TaskContext.get().partitionId()
+        encoder, shard = Encoder.of_process(tokenizer, dtype), TaskContext.get().partitionId()
         docs, encoded, held, part = [], [], 0, 0
 
         def flush():
