@@ -1,6 +1,8 @@
-"""Requests and telemetry to slots: golden rows, finality, costs, recount."""
+"""Requests and telemetry to slots, beside a plain Python form on random rows; finality, costs, recounts, maintenance."""
 
+import collections
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,153 +15,181 @@ from meterloom.sources.tables import stored
 
 COLUMNS = ["ts", "folder", "entrypoint", "model", "requests", "input_tokens", "output_tokens", "cache_read_tokens", "cache_write_5m_tokens",
            "cache_write_1h_tokens", "cache_write_unknown_tokens", "usd", "tokens_without_usd"]
-
-
-def request_rows():
-    raw = [(1000, "r1", "S1", "/a", "cli", "opus", 1, 10, 100, 5, 7), (1100, "r2", "S1", "/a", "cli", "opus", 2, 20, 200, 0, 0),
-           (1300, "r3", "S2", "/b", "sdk-py", "sonnet", 3, 30, 300, 0, 0), (2000, "r4", "S1", "/a", "cli", "opus", 4, 40, 400, 0, 0)]
-    return [(i, r[0], "x", *r[1:]) for i, r in enumerate(raw)]
-
-
-def telemetry_rows():
-    raw = [(1010, "r1", "S1", "opus", 1, 10, 100, 12, 0.5), (1010, "r1", "S1", "opus", 1, 10, 100, 12, 0.5),
-           (1310, "r3", "S2", "sonnet", 3, 30, 300, 0, 0.25), (1150, "t1", "S1", "haiku", 4, 40, 400, 30, 0.1),
-           (1250, "t2", "SX", "haiku", 5, 50, 500, 0, None)]
-    return [(i, ts, "x", "api_request", s, rid, m, "q", a, b, c, d, usd, ts, "{}", str(i)) for i, (ts, rid, s, m, a, b, c, d, usd) in enumerate(raw)]
+PLACES = {"z0": ("/w/north", "cli"), "z1": ("/w/south", "sdk-go"), "z2": (None, "cli")}
+
+
+def random_requests(n, seed=1):
+    """(arrival, ts, dt, id, session, folder, entrypoint, model, five token counts)"""
+    rng = random.Random(seed)
+    out = []
+    for i in range(n):
+        session = rng.choice(list(PLACES))
+        out.append((i, 9_000 + rng.randrange(3_000), "x", f"q{i}", session, *PLACES[session], rng.choice(["big", "small"]), *(rng.randrange(50) for _ in range(5))))
+    return out
+
+
+def random_telemetry(n, n_requests, seed=2):
+    """Reports on some requests and on others that no transcript has, some sent twice, some without cost."""
+    rng, out = random.Random(seed), []
+    for i in range(n):
+        known = rng.random() < 0.6
+        request = f"q{rng.randrange(n_requests)}" if known else f"only{rng.randrange(n // 3)}"
+        out.append((len(out), 9_000 + rng.randrange(3_000), "x", rng.choice(["api_request"] * 4 + ["api_error"]), rng.choice([*PLACES, "z9"]), request,
+                    rng.choice(["big", "tiny"]), "topic", *(rng.randrange(50) for _ in range(4)), rng.choice([None, 0.25, 0.5, 1.0]), 1, "{}", str(i)))
+    return out
+
+
+def brute_slots(requests, telemetry, start, end):
+    first = {}
+    for t in telemetry:
+        if t[3] == "api_request":
+            first.setdefault(t[5], t)
+    place = {}
+    for r in requests:
+        for n in (5, 6):
+            if r[n] is not None:
+                place.setdefault((r[4], n), r[n])
+    found = collections.defaultdict(lambda: [0] * 9)
+
+    def add(ts, folder, entry, model, tokens, usd):
+        if start <= ts < end:
+            own = found[ts // 300 * 300, folder or "", entry or "", model]
+            own[0] += 1
+            for i, n in enumerate(tokens):
+                own[1 + i] += n
+            own[7] = own[7] if usd is None else (own[7] or 0) + usd
+            own[8] += sum(tokens) if usd is None else 0
+            own.append(usd)
+    for r in requests:
+        add(r[1], r[5], r[6], r[7], [*r[8:13], 0], first[r[3]][12] if r[3] in first else None)
+    for request, t in first.items():
+        if request not in {r[3] for r in requests}:
+            add(t[1], place.get((t[4], 5)), place.get((t[4], 6)), t[6], [t[8], t[9], t[10], 0, 0, t[11]], t[12])
+    return sorted(((*key, *own[:7], own[7] if any(u is not None for u in own[9:]) else None, own[8]) for key, own in found.items()), key=repr)
 
 
 @pytest.fixture(scope="module")
 def facts(spark):
-    return (spark.createDataFrame(request_rows(), schemas.REQUESTS), spark.createDataFrame(telemetry_rows(), schemas.TELEMETRY))
-
-
-GOLDEN = [(900, "/a", "cli", "haiku", 1, 4, 40, 400, 0, 0, 30, 0.1, 0), (900, "/a", "cli", "opus", 2, 3, 30, 300, 5, 7, 0, 0.5, 222),
-          (1200, "", "", "haiku", 1, 5, 50, 500, 0, 0, 0, None, 555), (1200, "/b", "sdk-py", "sonnet", 1, 3, 30, 300, 0, 0, 0, 0.25, 0)]
-LATER = (1800, "/a", "cli", "opus", 1, 4, 40, 400, 0, 0, 0, None, 444)
-
-
-def test_slots_once_when_final(spark, facts, rows, tmp_path):
-    requests, telemetry = facts
-    paths = {n: str(tmp_path / n) for n in ("requests", "telemetry", "scans", "slots")}
-    requests.write.parquet(paths["requests"])
-    telemetry.write.parquet(paths["telemetry"])
-    run = lambda now: jobs.write_slots(spark, paths["requests"], paths["telemetry"], paths["scans"], paths["slots"], "m1", now)
-    assert run(1000) == 0
-    gates.add_scan(spark, paths["scans"], 1950, 1900, 0)
-    assert run(2000) == 4
-    held = stored(spark, paths["slots"], schemas.SLOTS)
-    assert rows(held, *COLUMNS) == sorted(GOLDEN, key=repr)
-    assert rows(held.where("ts = 900").select("machine", "dt", "written_ts").distinct()) == [("m1", "1970-01-01T00:15:00Z", 2000)]
-    assert run(2100) == 0
-    gates.add_scan(spark, paths["scans"], 2500, 2400, 0)
-    assert run(2500) == 1
-    held = stored(spark, paths["slots"], schemas.SLOTS)
-    assert rows(held, *COLUMNS) == sorted([*GOLDEN, LATER], key=repr)
-    checked = reconcile.check_slots(held, requests, telemetry, 2100)
-    assert len(set(rows(checked.drop("counted")))) == 1
-    reconcile.require_agreement(checked)
+    requests, telemetry = random_requests(60), random_telemetry(50, 60)
+    return requests, telemetry, spark.createDataFrame(requests, schemas.REQUESTS), spark.createDataFrame(telemetry, schemas.TELEMETRY)
+
+
+def test_slots_of_random_rows(facts, rows):
+    requests, telemetry, r, t = facts
+    for start, end in ((0, 20_000), (9_600, 10_800)):
+        assert rows(slots.build_slots(r, t, "node-3", 1, start, end), *COLUMNS) == brute_slots(requests, telemetry, start, end)
+    assert rows(slots.build_slots(r, None, "node-3", 1, 0, 20_000), *COLUMNS) == brute_slots(requests, [], 0, 20_000)
+
+
+def test_slots_are_written_once_when_final(spark, facts, rows, tmp_path):
+    requests, telemetry, r, t = facts
+    path = {n: str(tmp_path / n) for n in ("requests", "telemetry", "scans", "slots")}
+    r.write.parquet(path["requests"])
+    t.write.parquet(path["telemetry"])
+
+    def run(now, through=None):
+        if through:
+            gates.add_scan(spark, path["scans"], now, through, 0)
+        return jobs.write_slots(spark, path["requests"], path["telemetry"], path["scans"], path["slots"], "node-3", now)
+    assert run(20_000) == 0
+    assert run(20_100, 10_499) == len(brute_slots(requests, telemetry, 0, 10_200))
+    assert run(20_200) == 0
+    assert run(20_300, 13_000) == len(brute_slots(requests, telemetry, 10_200, 12_900))
+    held = stored(spark, path["slots"], schemas.SLOTS)
+    assert rows(held, *COLUMNS) == brute_slots(requests, telemetry, 0, 12_900)
+    assert rows(held.where("ts = 9000").select("dt", "machine", "written_ts").distinct()) == [("1970-01-01T02:30:00Z", "node-3", 20_100)]
+    agreed = reconcile.check_slots(held, r, t, 12_900)
+    reconcile.require_agreement(agreed)
     with pytest.raises(ValueError):
-        reconcile.require_agreement(reconcile.check_slots(held, requests.where("request_id <> 'r2'"), telemetry, 2100))
-
-
-def test_without_telemetry(facts, rows):
-    got = slots.build_slots(facts[0], None, "m1", 1, 0, 1500)
-    assert rows(got, "ts", "model", "requests", "usd", "tokens_without_usd") == [
-        (1200, "sonnet", 1, None, 333), (900, "opus", 2, None, 345)]
+        reconcile.require_agreement(reconcile.check_slots(held, r.where("request_id <> 'q7'"), t, 12_900))
 
 
-def test_usage_views(spark, rows):
-    turn = lambda i, ts, rid, s, folder, entry, usd: (i, ts, "x", rid, "m", s, folder, entry, "m", 1, 2, 3, 4, 5, usd)
-    requests = spark.createDataFrame([turn(0, 1000, "r1", "s1", "/dev/a", "cli", 1.0), turn(1, 1010, "r2", "s1", "/dev/a", "cli", 2.0),
-                                      turn(2, 1300, "r3", "s2", "/opt/b", "sdk-py", 4.0)], schemas.TURNS)
-    tel = lambda i, ts, rid, usd: (i, ts, "x", "api_request", "s1", rid, "m", "q", 1, 1, 0, 0, usd, ts, "{}", str(i))
-    telemetry = spark.createDataFrame([tel(0, 1000, "r1", 1.5), tel(1, 1020, "t1", 0.25), tel(2, 1020, "t1", 0.25)], schemas.TELEMETRY)
-    used = slots.usage_requests(requests, telemetry)
+def test_where_a_cost_comes_from(spark, rows):
+    turn = lambda i, ts, request, folder, usd: (i, ts, "x", request, "node-3", "z0", folder, "cli" if i else "sdk-go", "big", 1, 1, 1, 1, 1, usd)
+    told = lambda i, request, usd: (i, 5_000, "x", "api_request", "z0", request, "big", "topic", 9, 9, 9, 9, usd, 1, "{}", str(i))
+    used = slots.usage_requests(
+        spark.createDataFrame([turn(0, 4_700, "a", "/w/one", 8.0), turn(1, 4_900, "b", "/w/two", 16.0), turn(2, 5_100, "c", "/w/two", None)], schemas.TURNS),
+        spark.createDataFrame([told(0, "b", 0.5), told(1, "d", 0.25), told(2, "d", 4.0), told(3, "a", None)], schemas.TELEMETRY))
     assert rows(used, "request_id", "folder", "entrypoint", "usd", "usd_from", "seen_in") == [
-        ("r1", "/dev/a", "cli", 1.5, "telemetry", "transcript"), ("r2", "/dev/a", "cli", 2.0, "price_table", "transcript"),
-        ("r3", "/opt/b", "sdk-py", 4.0, "price_table", "transcript"), ("t1", "/dev/a", "cli", 0.25, "telemetry", "telemetry")]
-    empty = spark.createDataFrame([], schemas.SCANS)
-    assert rows(slots.usage_5m(used, empty), "slot_ts", "folder", "interactive", "requests", "usd", "final") == [
-        (1200, "/opt/b", False, 1, 4.0, False), (900, "/dev/a", True, 3, 3.75, False)]
-    scans = spark.createDataFrame([(2000, "x", 1250, 0)], schemas.SCANS)
-    assert rows(slots.usage_5m(used, scans), "slot_ts", "slot_dt", "final") == [
-        (1200, "1970-01-01T00:20:00Z", False), (900, "1970-01-01T00:15:00Z", True)]
+        ("a", "/w/one", "sdk-go", 8.0, "price_table", "transcript"), ("b", "/w/two", "cli", 0.5, "telemetry", "transcript"),
+        ("c", "/w/two", "cli", None, None, "transcript"), ("d", "/w/one", "sdk-go", 0.25, "telemetry", "telemetry")]
+    scans = spark.createDataFrame([(9_000, "x", 5_150, 0), (9_100, "x", 5_050, 0)], schemas.SCANS)
+    assert rows(slots.usage_5m(used, scans), "slot_ts", "folder", "interactive", "requests", "usd", "final") == [
+        (4_500, "/w/one", False, 1, 8.0, True), (4_800, "/w/one", False, 1, 0.25, True), (4_800, "/w/two", True, 1, 0.5, True),
+        (5_100, "/w/two", True, 1, None, False)]
+    assert {r[0] for r in rows(slots.usage_5m(used, scans.limit(0)), "final")} == {False}
 
 
 def test_transcripts_to_slots(spark, rows, tmp_path):
-    def line(time, rid, out, read=100, written=30, w5=10, w1=20):
-        return json.dumps({"type": "assistant", "timestamp": time, "requestId": rid, "sessionId": "S1", "cwd": "/Users/x/dev/app", "entrypoint": "cli",
-                           "message": {"model": "m", "usage": {"input_tokens": 2 if rid == "req_a" else 1, "output_tokens": out, "cache_read_input_tokens": read,
-                                       "cache_creation_input_tokens": written, "cache_creation": {"ephemeral_5m_input_tokens": w5, "ephemeral_1h_input_tokens": w1}}}})
-    folder = tmp_path / "projects"
-    for name, lines in {"app/s1.jsonl": [line("2026-10-08T12:00:00.000Z", "req_a", 10), line("2026-10-08T12:00:02.000Z", "req_a", 500),
-                                         line("2026-10-08T12:06:00.000Z", "req_b", 7, 50, 0, 0, 0)],
-                        "app2/resumed.jsonl": [line("2026-10-08T12:00:00.000Z", "req_a", 10), line("2026-10-08T12:00:02.000Z", "req_a", 500)]}.items():
-        (folder / name).parent.mkdir(parents=True, exist_ok=True)
-        (folder / name).write_text("\n".join(lines) + "\n")
-    paths = {n: str(tmp_path / n) for n in ("requests", "telemetry", "scans", "slots")}
-    spark.createDataFrame([(1, 1791460805, "x", "api_request", "S1", "req_a", "m", "q", None, None, None, None, 0.0123, 1, "{}", "h")], schemas.TELEMETRY).write.parquet(paths["telemetry"])
-    t0 = 1791460800
+    """Lines of one request in two files, told in pieces; then the slot of what became final."""
+    day = 1_700_006_400  # 2023-11-15
+
+    def said(minute, request, output):
+        return json.dumps({"type": "assistant", "timestamp": f"2023-11-15T00:{minute:02d}:30.000Z", "requestId": request, "sessionId": "z0", "cwd": "/w/north",
+                           "entrypoint": "cli", "message": {"model": "big", "usage": {"input_tokens": 3, "output_tokens": output, "cache_read_input_tokens": 40,
+                                                                                      "cache_creation_input_tokens": 11, "cache_creation": {
+                                                                                          "ephemeral_5m_input_tokens": 6, "ephemeral_1h_input_tokens": 5}}}})
+    folder = tmp_path / "logs"
+    (folder / "deep").mkdir(parents=True)
+    (folder / "one.jsonl").write_text("\n".join([said(1, "qa", 12), said(2, "qa", 31), said(7, "qb", 9)]) + "\n")
+    (folder / "deep" / "two.jsonl").write_text(said(1, "qa", 12) + "\n")
+    path = {n: str(tmp_path / n) for n in ("requests", "telemetry", "scans", "slots")}
+    spark.createDataFrame([(1, day + 95, "x", "api_request", "z0", "qa", "big", "topic", None, None, None, None, 0.375, 1, "{}", "h")],
+                          schemas.TELEMETRY).write.parquet(path["telemetry"])
 
     def run(now):
-        added = jobs.read_transcripts(spark, str(folder), paths["requests"], paths["scans"], now)
-        return added, jobs.write_slots(spark, paths["requests"], paths["telemetry"], paths["scans"], paths["slots"], "m1", now)
-    assert run(t0 + 1300) == (2, 1)
-    held = lambda: stored(spark, paths["slots"], schemas.SLOTS)
-    assert rows(held(), *COLUMNS) == [(t0, "/Users/x/dev/app", "cli", "m", 1, 2, 500, 100, 10, 20, 0, 0.0123, 0)]
-    assert run(t0 + 3600) == (0, 1)
-    assert rows(held().where(F.col("ts") > t0), "ts", "usd", "tokens_without_usd") == [(t0 + 300, None, 58)]
-    ids = stored(spark, paths["requests"], schemas.REQUESTS).orderBy("ts").select("request_id", "ingest_id").collect()
-    assert [tuple(r) for r in ids] == [("req_a", 1), ("req_b", 2)]
-
-
-def account(spark, *stamps, machine=None, start=0):
-    return spark.createDataFrame([(start + i, ts, "x", "claude_api", 1.0, None, None, None, None, ts, "{}", f"h{ts}", machine) for i, ts in enumerate(stamps)],
+        return (jobs.read_transcripts(spark, str(folder), path["requests"], path["scans"], now),
+                jobs.write_slots(spark, path["requests"], path["telemetry"], path["scans"], path["slots"], "node-3", now))
+    assert [run(day + s) for s in (60, 1_250, 1_260, 9_000)] == [(0, 0), (1, 1), (0, 0), (1, 1)]
+    assert rows(stored(spark, path["slots"], schemas.SLOTS), *COLUMNS) == [
+        (day, "/w/north", "cli", "big", 1, 3, 31, 40, 6, 5, 0, 0.375, 0), (day + 300, "/w/north", "cli", "big", 1, 3, 9, 40, 6, 5, 0, None, 63)]
+    assert rows(stored(spark, path["requests"], schemas.REQUESTS), "request_id", "ingest_id") == [("qa", 1), ("qb", 2)]
+
+
+def quotas(spark, *stamps):
+    return spark.createDataFrame([(i, ts, "x", "claude_api", 1.0, None, None, None, None, ts, "{}", f"h{ts}", None) for i, ts in enumerate(stamps)],
                                  schemas.ACCOUNT_QUOTAS)
 
 
-def test_labels_and_seed(spark, rows, tmp_path):
-    mac, vm = account(spark, 100, 200), account(spark, 150, 200)
-    shared = reconcile.shared_hashes(mac, vm)
-    assert rows(shared) == [("h200",)]
-    assert rows(reconcile.shared_by_source(mac, vm)) == [("claude_api", 1)]
-    path, out = str(tmp_path / "vm"), str(tmp_path / "labelled")
-    vm.write.parquet(path)
-    labelled = maintenance.label_table(spark, path, shared, "vm", out)
-    assert rows(labelled, "ts", "machine") == [(150, "vm"), (200, None)]
-    assert rows(reconcile.label_machine(labelled, shared, "vm"), "ts", "machine") == rows(labelled, "ts", "machine")
-    assert maintenance.seed(spark, mac, out, shared, "mac") == 1
-    assert maintenance.seed(spark, mac, out, shared, "mac") == 0
-    assert rows(stored(spark, out, schemas.ACCOUNT_QUOTAS), "ts", "machine") == [(100, "mac"), (150, "vm"), (200, None)]
-
-
-def test_fact_check_and_backup(spark, facts, rows, tmp_path):
-    requests = facts[0]
-    tokens = reconcile.REQUEST_TOKENS
-    assert rows(maintenance.check_facts(requests, requests, tokens)) == [(4, 0, 0)]
-    with pytest.raises(ValueError):
-        maintenance.check_facts(requests, requests.where("request_id <> 'r2'"), tokens)
-    with pytest.raises(ValueError):
-        maintenance.check_facts(requests, requests.withColumn("input_tokens", F.lit(9).cast("long")), tokens)
+def test_two_stores_become_one(spark, rows, tmp_path):
+    left, right = quotas(spark, 10, 20, 30, 40), quotas(spark, 30, 50, 20)
+    shared = reconcile.shared_hashes(left, right)
+    assert rows(shared) == [("h20",), ("h30",)] and rows(reconcile.shared_by_source(left, right)) == [("claude_api", 2)]
+    path, labelled = str(tmp_path / "right"), str(tmp_path / "labelled")
+    right.write.parquet(path)
+    assert rows(maintenance.label_table(spark, path, shared, "hub", labelled), "ts", "machine") == [(20, None), (30, None), (50, "hub")]
+    assert [maintenance.seed(spark, left, labelled, shared, "node-3") for _ in range(2)] == [2, 0]
+    assert rows(stored(spark, labelled, schemas.ACCOUNT_QUOTAS), "ts", "machine") == [(10, "node-3"), (20, None), (30, None), (40, "node-3"), (50, "hub")]
+
+
+def test_facts_are_compared_and_backed_up(spark, facts, rows, tmp_path):
+    r, tokens = facts[2], reconcile.REQUEST_TOKENS
+    assert rows(maintenance.check_facts(r, r, tokens)) == [(60, 0, 0)]
+    for other in (r.where("request_id <> 'q3'"), r.withColumn("output_tokens", F.col("output_tokens") + F.when(F.col("request_id") == "q5", 1).otherwise(0))):
+        with pytest.raises(ValueError):
+            maintenance.check_facts(r, other, tokens)
     path = str(tmp_path / "requests")
-    requests.write.parquet(path)
-    assert rows(maintenance.back_up(spark, {"requests": (path, schemas.REQUESTS)}, str(tmp_path / "backup"))) == [("requests", 4, 4)]
+    r.write.parquet(path)
+    assert rows(maintenance.back_up(spark, {"requests": (path, schemas.REQUESTS)}, str(tmp_path / "copy"))) == [("requests", 60, 60)]
 
 
-def test_move_refuses_foreign_slots(spark, facts, tmp_path):
-    both = slots.build_slots(*facts, "m1", 1).unionByName(slots.build_slots(*facts, "m2", 1))
+def test_a_move_refuses_other_machines(spark, facts, tmp_path):
+    both = slots.build_slots(*facts[2:], "node-3", 1).unionByName(slots.build_slots(*facts[2:], "node-4", 1))
     with pytest.raises(ValueError):
-        maintenance.move_slots(spark, both, str(tmp_path / "one"), "m1")
-    assert maintenance.move_slots(spark, both, str(tmp_path / "both")) == 10
+        maintenance.move_slots(spark, both, str(tmp_path / "one"), "node-3")
+    assert maintenance.move_slots(spark, both, str(tmp_path / "all")) == both.count()
 
 
-def test_price_check(spark, rows):
-    requests = spark.createDataFrame([(0, 1, "x", "a", "s", "f", "e", "m", 1_000_000, 0, 0, 0, 0), (1, 1, "x", "b", "s", "f", "e", "m", 2_000_000, 0, 0, 0, 0),
-                                      (2, 1, "x", "c", "s", "f", "e", "m", 4_000_000, 0, 0, 0, 0)], schemas.REQUESTS)
-    tel = lambda i, rid, usd, inp: (i, 1, "x", "api_request", "s", rid, "m", "title", inp, 0, 0, 0, usd, 1, "{}", str(i))
-    telemetry = spark.createDataFrame([tel(0, "a", 5.0, 1_000_000), tel(1, "b", 8.0, 2_000_000), tel(2, "c", 20.0, 4), tel(3, "z", 7.0, 1)], schemas.TELEMETRY)
+def test_the_price_table_against_reported_costs(spark, rows):
+    requests = spark.createDataFrame([(i, 1, "x", f"q{i}", "z0", "f", "e", "big", 0, 200_000 * (i + 1), 0, 0, 0) for i in range(4)], schemas.REQUESTS)
+    ours = [2.0 * (i + 1) for i in range(4)]
+    told = lambda i, usd, request=None: (i, 1, "x", "api_request", "z0", request or f"q{i}", "big", "topic", 0, 200_000 * (i + 1), 0, 0, usd, 1, "{}", str(i))
+    costs = [2.0, 5.0, 6.0, 10.0]
+    telemetry = spark.createDataFrame([*(told(i, c) for i, c in enumerate(costs)), told(4, 2.0, "alone"), told(5, None, "free")], schemas.TELEMETRY)
     matched = reconcile.matched_requests(requests, telemetry)
-    assert rows(reconcile.token_mismatches(matched)) == [(3, 1)]
-    got = reconcile.price_errors(matched, {"m": (5.0, 25.0, 0.1)}).first()
-    assert (got["median_err"], got["n"], got["off_by_1_percent"], round(got["total_err"], 9)) == (0.0, 3, 1, round(35 / 33 - 1, 9))
-    assert rows(reconcile.telemetry_only_cost(requests, telemetry)) == [("title", 7.0, 1, 0.175)]
+    assert rows(reconcile.token_mismatches(matched)) == [(4, 0)]
+    got = reconcile.price_errors(matched, {"big": (3.0, 10.0, 0.1)}).first()
+    errors = sorted(abs(a - b) / b for a, b in zip(ours, costs))
+    assert (got.n, got.off_by_1_percent) == (4, sum(e > 0.01 for e in errors)) and abs(got.median_err - (errors[1] + errors[2]) / 2) < 1e-12
+    assert abs(got.total_err - (sum(ours) / sum(costs) - 1)) < 1e-12
+    assert [r[:2] for r in rows(reconcile.telemetry_only_cost(requests, telemetry))] == [("topic", 2.0)]
