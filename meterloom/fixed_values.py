@@ -50,13 +50,6 @@ JUMP_PCT = 5
 ACROSS_READINGS = 20
 PAGE_ROWS = 20_000
 
-# Plan periods, (first second, name); a period ends where the next starts.
-PLANS = [
-    (0, "pro+promo"),
-    (1788245940, "pro"),        # 2026-09-01T06:59:00Z
-    (1791391860, "max5x"),      # 2026-10-07T16:51:00Z
-]
-
 # List prices, USD per million tokens: (input, output, cache-read ratio to input).
 TURN_PRICES = {"gpt-5.6-sol": (4.0, 20.0, 0.1)}
 REQUEST_PRICES = {

@@ -2,7 +2,7 @@
 
 from pyspark.sql import Column, functions as F
 
-from meterloom.fixed_values import GRID_S, PLANS, SLOT_S
+from meterloom.fixed_values import GRID_S, SLOT_S
 
 
 def epoch_seconds(value: Column) -> Column:
@@ -51,7 +51,7 @@ def snap(reset: Column, grid: int = GRID_S) -> Column:
     return (low + up) * grid
 
 
-def plan_at(ts: Column, plans=PLANS) -> Column:
+def plan_at(ts: Column, plans) -> Column:
     """Name of the plan running at ts: the last period that started at or before it."""
     found = F.lit(None).cast("string")
     for start, name in plans:
@@ -59,11 +59,11 @@ def plan_at(ts: Column, plans=PLANS) -> Column:
     return found
 
 
-def plan_start(plan: Column, plans=PLANS) -> Column:
+def plan_start(plan: Column, plans) -> Column:
     return _by_plan(plan, {name: start for start, name in plans})
 
 
-def plan_end(plan: Column, plans=PLANS) -> Column:
+def plan_end(plan: Column, plans) -> Column:
     """First second after the plan's period; NULL for the running one."""
     return _by_plan(plan, {a[1]: b[0] for a, b in zip(plans, plans[1:])})
 

@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from meterloom.fixed_values import MAX_UNPRICED, MIN_PCT, MIN_PEAK, PLANS, SPAN_S, TOKEN_COLUMNS
+from meterloom.fixed_values import MAX_UNPRICED, MIN_PCT, MIN_PEAK, SPAN_S, TOKEN_COLUMNS
 from meterloom.functions.times import slot_middle
 from meterloom.operators.chunks import DAY, asof
 from meterloom.operators.quantiles import nearest_rank, upper_median
@@ -60,7 +60,7 @@ def spent_at_steps(step: DataFrame, line: DataFrame, kind: str) -> DataFrame:
     return both.where(F.col("_side") == 0).select(*step.columns, *SPENT)
 
 
-def fits(seen: DataFrame, line: DataFrame, kind: str, plans=PLANS) -> DataFrame:
+def fits(seen: DataFrame, line: DataFrame, kind: str, plans) -> DataFrame:
     """Per window the budget B (USD at 100 %) of a line through the origin, pct = 100 usd / B, over its steps of 5 % or
     more, and R²; or why there is none."""
     at = spent_at_steps(steps(seen, kind, plans), line, kind)
@@ -102,7 +102,7 @@ def unpriced_windows(fit: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("windows"), F.min("start").alias("first_start"), F.max("end").alias("last_end")))
 
 
-def percent_reached(points: DataFrame, at: str, seen: DataFrame, out: str, kind: str = "7d", plans=PLANS) -> DataFrame:
+def percent_reached(points: DataFrame, at: str, seen: DataFrame, out: str, kind: str = "7d", *, plans) -> DataFrame:
     """Adds the percent the meter had reached at a time, in the window running then under the same plan: NULL where
     none ran, 0 before its first step. Windows of one plan end in the order they start, so the running one is the next
     to end, if it has begun."""
@@ -116,7 +116,7 @@ def percent_reached(points: DataFrame, at: str, seen: DataFrame, out: str, kind:
             .drop("_step", "_reset"))
 
 
-def windows_per_week(seen_5h: DataFrame, seen_7d: DataFrame, plans=PLANS) -> DataFrame:
+def windows_per_week(seen_5h: DataFrame, seen_7d: DataFrame, plans) -> DataFrame:
     """Per 5-hour window the percent it gained and the 7-day percent gained meanwhile: their ratio says how many fill a
     week. Needs two steps, ten points gained, and a 7-day meter that moved."""
     first, last = F.struct("ts", "pct"), F.struct("ts", "pct")

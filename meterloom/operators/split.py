@@ -2,7 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from meterloom.fixed_values import PLANS, TOKEN_COLUMNS
+from meterloom.fixed_values import TOKEN_COLUMNS
 from meterloom.functions.text import kind_of_use, project
 from meterloom.functions.times import plan_at, slot_middle, slot_start
 from meterloom.operators.chunks import DAY, asof
@@ -27,7 +27,7 @@ def _grouped(slots: DataFrame, group: Column) -> DataFrame:
         F.count(F.lit(1)).alias("slots"))
 
 
-def periods(seen: DataFrame, span: str, since: int = 0, plans=PLANS) -> DataFrame:
+def periods(seen: DataFrame, span: str, since: int = 0, *, plans) -> DataFrame:
     """The 5-hour or 7-day windows that end after `since`."""
     return windows(seen, span, plans).where(F.col("end") > since)
 
@@ -43,7 +43,7 @@ def placed_in_windows(slots: DataFrame, group: Column, period: DataFrame) -> Dat
     return spent.join(inside, "ts")
 
 
-def placed_in_days(slots: DataFrame, group: Column, since: int = 0, plans=PLANS) -> DataFrame:
+def placed_in_days(slots: DataFrame, group: Column, since: int = 0, *, plans) -> DataFrame:
     """Each slot start and group with its UTC day. A slot before `since` belongs to no day shown; one whose middle is in
     a day belongs to it (slots do not cross midnight)."""
     day = slot_start(F.col("ts"), DAY)

@@ -2,7 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from meterloom.fixed_values import ACROSS_READINGS, ACROSS_S, GRID_NOISE_S, PLANS, POLL_SOURCE, SPAN_S
+from meterloom.fixed_values import ACROSS_READINGS, ACROSS_S, GRID_NOISE_S, POLL_SOURCE, SPAN_S
 from meterloom.functions.numbers import half_even
 from meterloom.functions.times import plan_at, plan_end, plan_start, snap
 from meterloom.operators.chunks import DAY, asof, balanced_chunks, counts_between, running
@@ -11,7 +11,7 @@ from meterloom.session import settle
 _MONTH = 30 * DAY
 
 
-def readings(account_quotas: DataFrame, plans=PLANS) -> DataFrame:
+def readings(account_quotas: DataFrame, plans) -> DataFrame:
     """Every reading with its plan and its reset times on the grid. The order is (ts, ingest_id); readers that need it
     sort, so the scan itself stays a projection."""
     return account_quotas.select(
@@ -36,7 +36,7 @@ def _cut(kind: str, plans) -> list[Column]:
     return [start.alias("start"), end.alias("end"), ((start != begin) | (end != F.col("reset"))).alias("cut")]
 
 
-def steps(seen: DataFrame, kind: str, plans=PLANS) -> DataFrame:
+def steps(seen: DataFrame, kind: str, plans) -> DataFrame:
     """The first reading of each new highest percent of a window, with the window's bounds and peak."""
     over = W.partitionBy("plan", "reset")
     earlier = over.orderBy("ts", "pct").rowsBetween(W.unboundedPreceding, -1)
@@ -45,15 +45,15 @@ def steps(seen: DataFrame, kind: str, plans=PLANS) -> DataFrame:
     return kept.select("plan", "reset", *_cut(kind, plans), "peak", "ts", "pct")
 
 
-def windows(seen: DataFrame, kind: str, plans=PLANS) -> DataFrame:
+def windows(seen: DataFrame, kind: str, plans) -> DataFrame:
     """One row per plan and reset: start, end (cut to the plan's period), cut flag and peak."""
     return (seen.groupBy("plan", "reset").agg(F.greatest(F.max("pct"), F.lit(-1.0)).alias("peak"))
             .select("plan", "reset", *_cut(kind, plans), "peak"))
 
 
-def first_activity(df: DataFrame, at: str, active: DataFrame, out: str = "first_active") -> DataFrame:
-    """Adds the first active slot start at or after `at`."""
-    hit = asof(df, active.withColumnRenamed("ts", "_slot"), at, "_slot", ["_slot"], "_hit", forward=True)
+def first_activity(df: DataFrame, at: str, active: DataFrame, out: str = "first_active", balanced: bool = False) -> DataFrame:
+    """Adds the first active slot start at or after `at`. `balanced`: where df may hold many rows of one month."""
+    hit = asof(df, active.withColumnRenamed("ts", "_slot"), at, "_slot", ["_slot"], "_hit", forward=True, balanced=balanced)
     return hit.withColumn(out, F.col("_hit._slot")).drop("_hit")
 
 
@@ -64,7 +64,7 @@ def _with_previous(win: DataFrame, *columns: str) -> DataFrame:
     return running(win, [], order, {"prev": ("previous", before)}, F.floor(F.col("end") / _MONTH))
 
 
-def gaps(read: DataFrame, seen: DataFrame, active: DataFrame, kind: str = "5h", plans=PLANS) -> DataFrame:
+def gaps(read: DataFrame, seen: DataFrame, active: DataFrame, kind: str = "5h", *, plans) -> DataFrame:
     """Consecutive windows of one plan: the gap between them, the readings, the 'no window' answers and the active
     slots inside it, and the minutes from the next start to the first activity after the previous end."""
     pairs = settle(_with_previous(windows(seen, kind, plans), "plan", "end").where(F.col("prev.plan") == F.col("plan"))
@@ -117,7 +117,7 @@ def coverage(win: DataFrame) -> DataFrame:
                    F.when(total != 0, covered / total).alias("share"))
 
 
-def ledger(seen: DataFrame, active: DataFrame, kind: str = "7d", plans=PLANS) -> DataFrame:
+def ledger(seen: DataFrame, active: DataFrame, kind: str = "7d", *, plans) -> DataFrame:
     """Windows in order: days since the previous end, weekday of the end, first activity after the previous end and the
     end a window opened then would have."""
     win = _with_previous(windows(seen, kind, plans), "end").withColumn("prev_end", F.col("prev.end")).drop("prev")
@@ -143,10 +143,10 @@ def no_window_runs(read: DataFrame, active: DataFrame | None = None, kind: str =
     runs = per.where(F.col("readings") > 0).join(starts, "run", "left").select(
         "first", F.coalesce("_next", "first").alias("end"), "readings", (F.col("readings") < 2).alias("blip"))
     runs = settle(runs, "no-window-runs")
-    return first_activity(runs, "first", active) if active is not None else runs
+    return first_activity(runs, "first", active, balanced=True) if active is not None else runs
 
 
-def across_resets(read: DataFrame, seen: DataFrame, plans=PLANS) -> DataFrame:
+def across_resets(read: DataFrame, seen: DataFrame, plans) -> DataFrame:
     """Around each 7-day end that was reached: the last of the 20 server readings before it (within 40 minutes) that
     shows a used 5-hour window running across the end, and the first reading after it. Readings meet the ends on a
     shared time cell, once for both sides; the nearest twenty are picked by rank, which Spark limits before the shuffle."""
@@ -184,8 +184,8 @@ def jumps(step: DataFrame, points: float, within: int) -> DataFrame:
             .select("plan", "reset", "prev_ts", "prev_pct", "ts", "pct"))
 
 
-def compression(read: DataFrame, seen: DataFrame, kind: str) -> DataFrame:
+def compression(read: DataFrame, seen: DataFrame, kind: str, plans) -> DataFrame:
     """How many readings the steps stand for."""
     usable = read.where(F.col(f"pct_{kind}").isNotNull() & F.col(f"end_{kind}").isNotNull()).select(
         F.count(F.lit(1)).alias("n")).scalar()
-    return steps(seen, kind).agg(usable.alias("readings"), F.count(F.lit(1)).alias("steps"))
+    return steps(seen, kind, plans).agg(usable.alias("readings"), F.count(F.lit(1)).alias("steps"))

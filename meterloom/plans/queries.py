@@ -393,7 +393,7 @@ def meter_jumps(spark, sf):
 
 @query("A25")
 def reading_compression(spark, sf):
-    return windows.compression(_read(spark, sf), _seen(spark, sf, "5h"), "5h")
+    return windows.compression(_read(spark, sf), _seen(spark, sf, "5h"), "5h", PLANS)
 
 
 # --- budgets ------------------------------------------------------------------------------------------------------

@@ -1,140 +1,118 @@
-"""Windows, budgets and cost split on a fixture with known answers."""
+"""Windows, budgets and cost split on a month made here, whose answers follow from how it is made."""
 
 import pytest
 from pyspark.sql import functions as F
 
 from meterloom import schemas
-from meterloom.fixed_values import JUMP_PCT, JUMP_S
 from meterloom.functions.text import kind_of_use, project
 from meterloom.operators import budgets, split, windows
 from meterloom.operators.slots import active_starts, countable_slots
 
-T, END7 = 1789459200, 1790017200      # a Tuesday 08:00, the Monday after 19:00
-MODEL = "m-large"
+H = 3_600
+D = 1_600_000_200                       # on the grid of resets: Sunday 2020-09-13 12:30
+PLANS = [(0, "old"), (D + 60_000, "new")]
+WEEK_END = D + 504_000
+# Two windows of five hours, two hours apart. In the first a percent costs 1/8 of a dollar.
+FIRST, SECOND = (D, D + 5 * H), (D + 7 * H, D + 12 * H)
+SPENT = [(D + 300, 1.0), (D + 2_400, 2.0), (D + 6_000, 2.0)]
 
 
-def account_rows():
-    a5, b5 = T + 5 * 3600, T + 13 * 3600
-    out = [(T + int(h * 3600), p5, a5 - 1, p7, END7 + 1)
-           for h, p5, p7 in ((1, 10, 1), (2, 20, 2), (2.5, 15, 2), (3, 30, 3))]
-    out += [(T + 6 * 3600, 0, None, 3, END7), (T + 9 * 3600, 10, b5, 4, END7), (T + 10 * 3600, 20, b5, 5, END7),
-            (1791388800, 0, None, 60, 1791831600), (1791393600, 1, 1791408000, 1, 1791831600)]
-    return [(i, ts, None, "claude_api", float(p5), e5, float(p7), e7, None, ts, "{}", str(i), "m1")
-            for i, (ts, p5, e5, p7, e7) in enumerate(out)]
+def spent_before(second):
+    return sum(usd for at, usd in SPENT if at + 150 < second)
 
 
-def slot_rows():
-    def slot(t, folder, entrypoint, usd, tokens=1000, model=MODEL):
-        return (t, None, "m1", folder, entrypoint, model, 1, 0, 0, tokens, 0, 0, 0, usd, 0 if usd is not None else tokens, t)
-    return [slot(T + 1800, "/Users/x/dev/alpha", "cli", 1.0), slot(T + 5400, "/Users/x/dev/alpha/sub", "cli", 1.0),
-            slot(T + 9000, "/Users/x/dev/alpha", "cli", 1.0), slot(T + 14400, "/Users/x/dev/alpha", "cli", 1.0),
-            slot(T + 9000, "/Users/x/opt/beta", "sdk-py", None, 100),
-            slot(T + 8 * 3600 + 300, "/private/tmp/claude-502/-Users-x-dev-gamma/u1/scratchpad", "cli", 2.0),
-            slot(T + 600, "/Users/x/dev/alpha", "cli", None, 0, "<synthetic>")]
-
-
-@pytest.fixture(scope="module")
-def read(spark):
-    return windows.readings(spark.createDataFrame(account_rows(), schemas.ACCOUNT_QUOTAS))
-
-
-@pytest.fixture(scope="module")
-def five(read):
-    return windows.first_seen(read, "5h")
-
-
-@pytest.fixture(scope="module")
-def week(read):
-    return windows.first_seen(read, "7d")
+def quota_rows():
+    first = [(D + s, 8 * spent_before(D + s), FIRST[1] + j, week) for s, j, week in ((1_200, 1, 1), (4_000, -1, 3), (9_000, 0, 5))]
+    stale = [(D + 9_100, 36.0, FIRST[1], 5)]
+    between = [(D + 20_000, 0.0, None, 5)]
+    second = [(SECOND[0] + 1_800, 6.0, SECOND[1], 6), (SECOND[0] + 4_800, 13.0, SECOND[1], 7)]
+    later = [(D + 70_000, 2.0, D + 81_000, 9)]
+    return [(i, ts, None, "claude_api", five, end, float(week), WEEK_END + (1 if i % 2 else 0), None, ts, "{}", str(i), "node-3")
+            for i, (ts, five, end, week) in enumerate(first + stale + between + second + later)]
 
 
-@pytest.fixture(scope="module")
-def line(slots):
-    return budgets.timeline(slots)
+def slot_rows():
+    def slot(at, folder, usd, entrypoint="cli", tokens=900, model="big"):
+        return (at // 300 * 300, None, "node-3", folder, entrypoint, model, 1, 0, 0, tokens, 0, 0, 0, usd, 0 if usd is not None else tokens, at)
+    return [*(slot(at, "/home/ann/dev/kite/src", usd) for at, usd in SPENT), slot(D + 6_000, "/Users/bo/opt/crane", 0.0, "sdk-go", 0),
+            slot(SECOND[0] + 300, "/private/tmp/claude-77/-home-ann-dev-heron/t", 3.0), slot(D + 900, "/home/ann/dev/kite", None, model="<synthetic>")]
 
 
 @pytest.fixture(scope="module")
-def slots(spark):
-    return countable_slots(spark.createDataFrame(slot_rows(), schemas.SLOTS))
+def month(spark):
+    class Month:
+        read = windows.readings(spark.createDataFrame(quota_rows(), schemas.ACCOUNT_QUOTAS), PLANS)
+        five, week = windows.first_seen(read, "5h"), windows.first_seen(read, "7d")
+        slots = countable_slots(spark.createDataFrame(slot_rows(), schemas.SLOTS))
+        line, active = budgets.timeline(slots), active_starts(slots)
+    return Month
 
 
-def test_windows_and_cut(five, week, rows):
-    assert rows(windows.windows(five, "5h"), "plan", "start", "end", "cut", "peak") == [
-        ("max5x", 1791391860, 1791408000, True, 1.0), ("pro", T, T + 18000, False, 30.0),
-        ("pro", T + 28800, T + 46800, False, 20.0)]
-    assert ("max5x", 1791391860, 1791831600, True) in rows(windows.windows(week, "7d"), "plan", "start", "end", "cut")
+def test_windows_start_a_span_before_their_reset_and_end_with_the_plan(month, rows):
+    assert rows(windows.windows(month.five, "5h", PLANS), "start", "end", "plan", "cut", "peak") == [
+        (*FIRST, "old", False, 40.0), (*SECOND, "old", False, 13.0), (D + 63_000, D + 81_000, "new", False, 2.0)]
+    assert rows(windows.windows(month.week, "7d", PLANS), "plan", "start", "end", "cut", "peak") == [
+        ("new", D + 60_000, WEEK_END, True, 9.0), ("old", WEEK_END - 604_800, D + 60_000, True, 7.0)]
 
 
-def test_steps_drop_the_stale_reading(five, week, rows):
-    got = rows(windows.steps(five, "5h").where(F.col("reset") == T + 18000), "ts", "pct")
-    assert got == [(T + 3600, 10.0), (T + 7200, 20.0), (T + 10800, 30.0)]
+def test_a_stale_reading_is_no_step(month, rows):
+    steps = windows.steps(month.five, "5h", PLANS)
+    assert rows(steps.where(F.col("reset") == FIRST[1]), "ts", "pct") == [(D + 1_200, 8.0), (D + 4_000, 24.0), (D + 9_000, 40.0)]
+    assert rows(windows.jumps(steps, 15, 4_000), "ts") == [(D + 4_000,)]
 
 
-def test_gaps(read, five, week, line, slots, rows):
-    gap = windows.gaps(read, five, active_starts(slots))
-    assert rows(gap, "prev_end", "start", "gap", "readings", "nulls", "active", "lag_min") == [
-        (T + 18000, T + 28800, 10800, 1, 1, 0, 5)]
-    assert rows(windows.gap_summary(gap)) == [(1, 0, 0, 1, 0, 3.0, 3.0, 1, 0)]
+def test_what_lies_between_windows(month, rows):
+    gap = windows.gaps(month.read, month.five, month.active, plans=PLANS)
+    assert rows(gap, "prev_end", "start", "gap", "readings", "nulls", "active", "lag_min") == [(FIRST[1], SECOND[0], 2 * H, 1, 1, 0, 5)]
     assert rows(windows.gap_anomalies(gap)) == []
+    spans = windows.windows(month.five, "5h", PLANS)
+    assert rows(windows.coverage(spans), "windows", "covered_s", "elapsed_s") == [(3, 15 * H, 81_000)]
+    assert windows.outside_windows(spans, month.active).first()[1] == 0
 
 
-def test_outside_and_coverage(read, five, week, line, slots, rows):
-    win = windows.windows(five, "5h")
-    assert rows(windows.outside_windows(win, active_starts(slots))) == [(5, 0)]
-    n, covered, elapsed, _ = windows.coverage(win).first()
-    assert (n, covered, elapsed) == (3, 18000 * 2 + 1791408000 - 1791391860, 1791408000 - T)
-
-
-def test_ledger_names_the_weekday(read, five, week, line, slots, rows):
-    first = windows.ledger(week, active_starts(slots)).where(F.col("end") == END7)
-    assert rows(first, "weekday", "step_days", "first_active") == [("Mon", None, None)]
-
-
-def test_budget_of_each_window(read, five, week, line, slots, rows):
-    fit = budgets.budget_table(budgets.fits(five, line, "5h"))
-    got = {r["start"]: r for r in fit.collect()}
-    a, b = got[T], got[T + 28800]
-    assert (a["peak"], a["usd"], round(a["b"], 6), round(a["r2"], 6), a["steps"]) == (30.0, 3.0, 10.0, 1.0, 3)
-    assert b["b"] is None and b["why"] == "fewer than 3 readings at 5%+"
+def test_the_ledger_names_the_weekday_of_the_reset(month, rows):
+    got = windows.ledger(month.week, month.active, plans=PLANS)
+    assert rows(got.where("plan = 'new'"), "end", "weekday") == [(WEEK_END, "Sat")]
 
 
-def test_windows_per_week_and_summary(read, five, week, line, slots, rows):
-    ratio = budgets.windows_per_week(five, week)
-    assert rows(ratio, "gain_5h", "gain_7d", "ratio") == [(10.0, 1.0, 10.0), (20.0, 2.0, 10.0)]
-    total = budgets.plan_summary(budgets.fits(five, line, "5h"), budgets.fits(week, line, "7d"), ratio)
-    pro = total.where("plan = 'pro'").first()
-    assert (pro["n_5h"], pro["b_5h_p50"], pro["b_5h_p10"], pro["per_week_p50"], pro["per_week_summed"], pro["n_ratio"]) == (
-        1, 10.0, 10.0, 10.0, 10.0, 2)
-    mix = budgets.one_percent_mix(budgets.fits(five, line, "5h"), line).first()
-    assert mix["plan"] == "pro" and round(mix["cache_read_tokens"], 6) == round(4100 / 4 * 0.1, 6)
+def test_budgets_are_the_slope_through_the_origin(month):
+    got = {r["start"]: r for r in budgets.budget_table(budgets.fits(month.five, month.line, "5h", PLANS)).collect()}
+    one = got[FIRST[0]]
+    assert (one["peak"], one["usd"], one["steps"]) == (40.0, 5.0, 3) and abs(one["b"] - 12.5) < 1e-9 and abs(one["r2"] - 1) < 1e-9
+    assert got[SECOND[0]]["b"] is None and "fewer than 3" in got[SECOND[0]]["why"]
 
 
-def test_no_seven_day_jump(five, week, rows):
-    assert rows(windows.jumps(windows.steps(week, "7d"), JUMP_PCT, JUMP_S)) == []
+def test_windows_per_week_and_the_plans_summary(month, rows):
+    ratio = budgets.windows_per_week(month.five, month.week, PLANS)
+    assert rows(ratio, "gain_5h", "gain_7d", "ratio") == [(32.0, 4.0, 8.0)]
+    fits = budgets.fits(month.five, month.line, "5h", PLANS)
+    old = budgets.plan_summary(fits, budgets.fits(month.week, month.line, "7d", PLANS), ratio).where("plan = 'old'").first()
+    assert (old["n_5h"], round(old["b_5h_p50"], 9), old["per_week_p50"], old["per_week_summed"], old["n_ratio"]) == (1, 12.5, 8.0, 8.0, 1)
+    mix = budgets.one_percent_mix(fits, month.line).first()
+    assert mix["plan"] == "old" and abs(mix["cache_read_tokens"] - 3 * 900 / 5 * 0.125) < 1e-9
 
 
-def test_split_by_project_and_kind(read, five, week, line, slots, rows):
-    placed = split.placed_in_windows(slots, split.GROUPS["project"](), split.periods(five, "5h"))
-    got = rows(split.cost_split(placed), "start", "g", "usd", "share", "requests")
-    assert (T, "alpha", 4.0, 1.0, 4) in got and (T + 28800, "gamma", 2.0, 1.0, 1) in got
-    kinds = split.placed_in_windows(slots, split.GROUPS["kind"](), split.periods(five, "5h"))
-    assert (T, "scheduled run", 0.0, 0.0, 1) in rows(split.cost_split(kinds), "start", "g", "usd", "share", "requests")
-    day = split.period_totals(split.placed_in_days(slots, split.GROUPS["project"]()))
-    assert rows(day.where("level = 'period'"), "start", "plan", "usd") == [(T - 8 * 3600, "pro", 6.0)]
-    assert rows(split.outside_periods(slots, split.periods(five, "5h"))) == [(0,)]
+def test_costs_by_project_kind_and_day(month, rows):
+    periods = split.periods(month.five, "5h", plans=PLANS)
+    by_project = split.placed_in_windows(month.slots, split.GROUPS["project"](), periods)
+    assert rows(split.cost_split(by_project), "start", "g", "usd", "requests") == sorted(
+        [(FIRST[0], "kite", 5.0, 3), (FIRST[0], "crane", 0.0, 1), (SECOND[0], "heron", 3.0, 1)], key=repr)
+    assert rows(split.cost_split(by_project, top=1).where(F.col("start") == FIRST[0]), "position", "g", "usd") == [(1, "kite", 5.0), (2, "(1 others)", 0.0)]
+    kinds = split.placed_in_windows(month.slots, split.GROUPS["kind"](), periods)
+    assert (FIRST[0], "scheduled run", 1) in rows(split.cost_split(kinds), "start", "g", "requests")
+    day = split.period_totals(split.placed_in_days(month.slots, split.GROUPS["project"](), plans=PLANS)).where("level = 'period'")
+    assert rows(day, "start", "plan", "usd") == [(D - D % 86_400, "old", 8.0)]
+    assert rows(split.outside_periods(month.slots, periods)) == [(0,)]
 
 
-def test_split_top_keeps_the_rest(read, five, week, line, slots, rows):
-    placed = split.placed_in_windows(slots, split.GROUPS["project"](), split.periods(five, "5h"))
-    got = rows(split.cost_split(placed, top=1).where(F.col("start") == T), "position", "g", "usd", "requests")
-    assert got == [(1, "alpha", 4.0, 4), (2, "(1 others)", 0.0, 1)]
+FOLDERS = {"/Users/eve/opt/owl/a/b": "owl", "/home/eve/dev/wren": "wren", "/home/eve": "~", "/home/eve/notes/x": "~/notes/x", "/srv/data": "/srv/data", "": "?",
+           "/private/tmp/claude-3/-Users-eve-opt-jay/q": "jay"}
 
 
-def test_project_and_kind(spark, rows):
-    df = spark.createDataFrame([(i, f) for i, f in enumerate(
-        ("/Users/x/dev/alpha/a", "/home/x/opt/beta", "/Users/x", "/Users/x/dev", "", "/tmp/x"))], "i int, f string")
-    assert [r[0] for r in df.orderBy("i").select(project(F.col("f"))).collect()] == ["alpha", "beta", "~", "~/dev", "?", "/tmp/x"]
-    df = spark.createDataFrame([("/Users/x/dev/a", "cli"), ("/Users/x/dev/a", "sdk-cli"), ("/Users/x/opt/a", "sdk-py"), ("", "")],
-                               "f string, e string")
-    assert [r[0] for r in df.select(kind_of_use(F.col("f"), F.col("e"))).collect()] == [
-        "development", "test run", "scheduled run", "?"]
+def test_folders_and_kinds(spark, rows):
+    df = spark.createDataFrame(list(FOLDERS.items()), "f string, want string")
+    assert df.where(project(F.col("f")) != F.col("want")).count() == 0
+    uses = [("/home/eve/opt/owl", "sdk-go", "scheduled run"), ("/home/eve/dev/wren", "sdk-go", "test run"), ("/home/eve/opt/owl", "cli", "development"),
+            ("/x", None, "?"), (None, "sdk-py", "test run")]
+    df = spark.createDataFrame(uses, "f string, e string, want string")
+    assert rows(df.where(kind_of_use(F.col("f"), F.col("e")) != F.col("want"))) == []
