@@ -48,7 +48,12 @@ def request_rows(requests: DataFrame, telemetry: DataFrame | None, start: Column
         seen = mine.withColumn("cost_usd", F.lit(None).cast("double"))
         only = None
     else:
-        reported = settle(telemetry_requests(telemetry, "ts", "session_id", "model", *_TELEMETRY_TOKENS, "cost_usd"), "reported")
+        events = telemetry
+        if start is not None or end is not None:
+            # Only requests of the range, or reported in it, are folded: all events of these, wherever they lie.
+            wanted = mine.select("request_id").unionByName(during(telemetry).where("request_id IS NOT NULL").select("request_id")).distinct()
+            events = telemetry.join(wanted, "request_id", "left_semi")
+        reported = settle(telemetry_requests(events, "ts", "session_id", "model", *_TELEMETRY_TOKENS, "cost_usd"), "reported")
         seen = mine.join(reported.select("request_id", "cost_usd"), "request_id", "left")
         only = during(reported).join(requests.select("request_id"), "request_id", "left_anti")
     rows = seen.select(slot_start(F.col("ts")).alias("ts"), "folder", "entrypoint", "model", *_REQUEST_TOKENS,
@@ -62,7 +67,9 @@ def request_rows(requests: DataFrame, telemetry: DataFrame | None, start: Column
                         tokens(F.col("cache_creation_tokens")).alias("cache_write_unknown_tokens"), "cost_usd")
     # Added up per session first: a session with a third of the rows is at most one row per slot and model here.
     alone = add_up(alone, ["ts", "session_id", "model"])
-    placed = alone.join(session_places(requests, "folder", "entrypoint"), "session_id", "left").drop("session_id")
+    alone = settle(alone, "telemetry-only")
+    asked = requests.join(alone.select("session_id").distinct(), "session_id", "left_semi")
+    placed = alone.join(session_places(asked, "folder", "entrypoint"), "session_id", "left").drop("session_id")
     return rows.unionByName(placed)
 
 

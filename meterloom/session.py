@@ -1,5 +1,6 @@
 """Session settings and the shared scratch folder."""
 
+import re
 import tempfile
 import uuid
 
@@ -42,7 +43,7 @@ def shared_folder(spark: SparkSession) -> str:
             context.setCheckpointDir(named)
         return named
     if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="meterloom-"))
     return context.getCheckpointDir()
