@@ -1,5 +1,7 @@
 """DuckDB SQL of the queries that SQL can express."""
 
+from meterloom.llm.license_scan import COVERED, DRIFT, TEMPLATES
+
 _WORDS = r"[^\x20\x09-\x0D]+"
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -74,3 +76,57 @@ SELECT doc_id, size, source_size, target, CAST(greatest(0, least(size, whole - p
        + greatest(0, least(size, whole - place - 2 * source_size)) AS BIGINT) AS taken
 FROM p
 """
+
+_TEMPLATES = ", ".join(f"({n}, '{kind}', '{label}', string_split('{text}', ' '))" for n, (kind, label, text) in enumerate(TEMPLATES))
+ORACLE["op3_license_scan"] = rf"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), g AS (
+  SELECT doc_id, i - 1 AS pos, array_to_string(w[i:i + 2], ' ') AS gram FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM w)
+), t AS (
+  SELECT n, kind, label, len(w) AS length, i - 1 AS place, array_to_string(w[i:i + 2], ' ') AS gram
+  FROM (SELECT *, unnest(range(1, len(w) - 1)) AS i FROM (VALUES {_TEMPLATES}) v(n, kind, label, w))
+), h AS (
+  SELECT DISTINCT doc_id, n, kind, label, length, pos - place AS diagonal, place FROM g JOIN t USING (gram)
+), d AS (
+  SELECT doc_id, n, kind, label, length, diagonal, count(*) AS votes FROM h GROUP BY ALL
+), s AS (
+  SELECT *, sum(fresh) OVER (PARTITION BY doc_id, n ORDER BY diagonal) AS span
+  FROM (SELECT *, CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY doc_id, n ORDER BY diagonal) <= {DRIFT} THEN 0 ELSE 1 END AS fresh FROM d)
+), c AS (
+  SELECT doc_id, kind, label, count(DISTINCT word) / length::DOUBLE AS share
+  FROM (SELECT s.*, unnest([place, place + 1, place + 2]) AS word FROM s JOIN h USING (doc_id, n, kind, label, length, diagonal))
+  GROUP BY doc_id, n, kind, label, length, span
+), b AS (
+  SELECT doc_id, label, diagonal FROM d WHERE kind = 'base' AND votes = length - 2
+), l AS (
+  SELECT doc_id, label FROM b UNION SELECT doc_id, label FROM c WHERE kind = 'notice' AND share >= {COVERED}
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, (SELECT count(*) FROM b WHERE b.doc_id = w.doc_id) AS n_base,
+       (SELECT min(diagonal) FROM b WHERE b.doc_id = w.doc_id) AS first_word, (SELECT max(diagonal) FROM b WHERE b.doc_id = w.doc_id) AS last_word,
+       coalesce((SELECT string_agg(DISTINCT label, ',' ORDER BY label) FROM b WHERE b.doc_id = w.doc_id), '') AS base_labels,
+       coalesce((SELECT string_agg(DISTINCT label, ',' ORDER BY label) FROM l WHERE l.doc_id = w.doc_id), '') AS labels,
+       greatest(coalesce((SELECT max(1.0::DOUBLE) FROM b WHERE b.doc_id = w.doc_id), 0),
+                coalesce((SELECT max(share) FROM c WHERE kind = 'notice' AND c.doc_id = w.doc_id), 0)) AS score
+FROM w
+"""
+
+ORACLE["op9_line_dedup"] = rf"""
+WITH a AS (
+  SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents)
+), n AS (
+  SELECT * FROM (SELECT *, array_to_string(regexp_extract_all({_LOWER.format("line")}, '{_WORDS}'), ' ') AS w FROM a) WHERE w <> ''
+), p AS (
+  SELECT doc_id, i, lead(i) OVER o AS j, w || chr(10) || lead(w) OVER o AS pair FROM n WINDOW o AS (PARTITION BY doc_id ORDER BY i)
+), gone AS (
+  SELECT DISTINCT doc_id, unnest([i, j]) AS i
+  FROM (SELECT *, row_number() OVER (PARTITION BY pair ORDER BY doc_id, i) AS place FROM p WHERE j IS NOT NULL) WHERE place > 1
+), kept AS (
+  SELECT doc_id, string_agg(line, chr(10) ORDER BY i) AS text FROM a ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id
+), sums AS (
+  SELECT doc_id, (SELECT count(*) FROM n WHERE n.doc_id = d.doc_id) AS n_lines, (SELECT count(*) FROM gone g WHERE g.doc_id = d.doc_id) AS n_removed,
+         CASE WHEN d.text IS NOT NULL THEN coalesce(kept.text, '') END AS text
+  FROM documents d LEFT JOIN kept USING (doc_id)
+)
+SELECT doc_id, CAST(n_lines AS INTEGER) AS n_lines, CAST(n_removed AS INTEGER) AS n_removed, length(text) AS n_chars, md5(text) AS text_md5 FROM sums
+"""
