@@ -1,6 +1,7 @@
 """DuckDB SQL of the queries that SQL can express."""
 
 from meterloom.llm.license_scan import COVERED, DRIFT, TEMPLATES
+from meterloom.llm.url_filter import FOLDS, ORDER, RULES, SMOOTH, STEP
 
 _WORDS = r"[^\x20\x09-\x0D]+"
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -130,3 +131,52 @@ WITH a AS (
 )
 SELECT doc_id, CAST(n_lines AS INTEGER) AS n_lines, CAST(n_removed AS INTEGER) AS n_removed, length(text) AS n_chars, md5(text) AS text_md5 FROM sums
 """
+
+
+def _rules(take: int) -> str:
+    """CASE of the longest rule that fits; take: which of its parts is the value, or its text."""
+    cases = [f"WHEN (host = '{h}' OR host LIKE '%.{h}') AND path LIKE '{p}%' THEN '{(v, h, p, h + p)[take]}'" for v, h, p in
+             sorted(RULES, key=lambda r: -len(r[1] + r[2]))]
+    return f"CASE {' '.join(cases)} END"
+
+
+def _shares(side: str) -> str:
+    share = "1.0::DOUBLE / symbols"
+    for order in range(ORDER + 1):
+        own, context = (f"substr(gram, {ORDER + 1 - order}, {n})" for n in (order + 1, order))
+        seen = f"sum({side}) OVER (PARTITION BY {context})" if order else f"sum({side}) OVER ()"
+        share = f"((sum({side}) OVER (PARTITION BY {own})) + {SMOOTH}::DOUBLE * ({share})) / ({seen} + {SMOOTH}::DOUBLE)"
+    return share
+
+
+ORACLE["op5_url_filter"] = f"""
+WITH p AS (
+  SELECT page_id, {_LOWER.format("regexp_extract(after, '^[^/?#]*')")} AS host, regexp_extract(after, '^[^/?#]*([^?#]*)', 1) AS path,
+         substr(after, length(regexp_extract(after, '^[^/?#]*')) + 1) AS tail
+  FROM (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS after FROM pages)
+), r AS (
+  SELECT *, host || tail AS rest, {_rules(3)} AS rule, {_rules(0)} AS ruled, ('0x' || substr(md5(host || tail), 1, 8))::UBIGINT % {FOLDS} = 0 AS held FROM p
+), u AS (
+  SELECT rest, count(*) FILTER (ruled = 'allow' AND NOT held) AS a, count(*) FILTER (ruled = 'block' AND NOT held) AS b,
+         count(*) FILTER (ruled = 'allow' AND held) AS held_a, count(*) FILTER (ruled = 'block' AND held) AS held_b
+  FROM r GROUP BY rest
+), g AS (
+  SELECT *, substr(repeat(chr(2), {ORDER}) || rest || chr(3), i, {ORDER + 1}) AS gram FROM (SELECT *, unnest(range(1, length(rest) + 2)) AS i FROM u)
+), c AS (
+  SELECT gram, CAST(sum(a) AS DOUBLE) AS a, CAST(sum(b) AS DOUBLE) AS b, (SELECT count(DISTINCT substr(gram, {ORDER + 1}, 1)) FROM g) AS symbols FROM g GROUP BY gram
+), m AS (
+  SELECT gram, ln({_shares("a")}) - ln({_shares("b")}) AS s FROM c
+), scored AS (
+  SELECT rest, any_value(held_a) AS held_a, any_value(held_b) AS held_b, sum(s) / count(*) AS s FROM g JOIN m USING (gram) GROUP BY rest
+), bins AS (
+  SELECT CAST(floor(s / {STEP}) AS BIGINT) AS bin, CAST(sum(held_a) AS DOUBLE) AS a, CAST(sum(held_b) AS DOUBLE) AS b
+  FROM scored WHERE held_a + held_b > 0 GROUP BY 1
+), gains AS (
+  SELECT bin, lag(bin) OVER (ORDER BY bin) AS lower_bin, (sum(a) OVER () - coalesce(sum(a) OVER o, 0)) / sum(a) OVER () + coalesce(sum(b) OVER o, 0) / sum(b) OVER () AS gain
+  FROM bins WINDOW o AS (ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), least_score AS (
+  SELECT (bin + coalesce(lower_bin + 1, bin)) / 2::DOUBLE * {STEP} AS t FROM gains WHERE isfinite(gain) ORDER BY gain DESC, abs(bin), bin DESC LIMIT 1
+)
+SELECT page_id, host, path, rule, coalesce(ruled, CASE WHEN s >= coalesce((SELECT t FROM least_score), 0) THEN 'allow' ELSE 'block' END) AS verdict
+FROM r JOIN scored USING (rest)
+"""

@@ -4,8 +4,8 @@ Rules judge the urls they fit. These judged urls train two smoothed variable-ord
 accepted and one of rejected urls: the next character's share after a context of ORDER characters, mixed with that after
 the context one character shorter by SMOOTH imagined counts, down to single characters and an even share; a context a class
 never showed adds nothing, so its order is as long as the class knows it. A url's score is the sum over its characters of
-the difference of both log shares, divided by their number. The threshold is calibrated on every FOLDS-th judged url (by
-crc32), which the models do not see: the score, in steps of STEP, that tells most of both classes apart; the nearest to 0
+the difference of both log shares, divided by their number. The threshold is calibrated on one in FOLDS judged urls (by
+md5), which the models do not see: the score, in steps of STEP, that tells most of both classes apart; the nearest to 0
 among equals. A url no rule fits is allowed from the threshold on.
 
 The part after `://` is scored, from a start mark to an end mark. Equal urls are counted before they are cut up. Counts
@@ -101,7 +101,7 @@ def _threshold(scored: DataFrame) -> float:
 def judge(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES) -> DataFrame:
     """page_id, host, path, rule, verdict and score for every row of pages; see the module for each case."""
     rows = judged(pages, rules)
-    held = F.crc32("rest") % FOLDS == 0
+    held = F.conv(F.substring(F.md5("rest"), 1, 8), 16, 10).cast("long") % FOLDS == 0
     urls = settle(rows.groupBy("rest").agg(
         F.count_if((F.col("ruled") == "allow") & ~held).alias("a"), F.count_if((F.col("ruled") == "block") & ~held).alias("b"),
         F.count_if((F.col("ruled") == "allow") & held).alias("held_a"), F.count_if((F.col("ruled") == "block") & held).alias("held_b"))
