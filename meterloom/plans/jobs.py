@@ -14,8 +14,8 @@ from meterloom.sources.readings import payload_rows
 from meterloom.session import scratch
 
 
-def _landed(rows: DataFrame, after: int, order: list[str]) -> DataFrame:
-    """Rows in the working table's shape, numbered in time order: sorted across the cluster, written, then numbered by
+def in_order(rows: DataFrame, after: int, order: list[str]) -> DataFrame:
+    """Rows numbered in an order, such as requests in time order: sorted across the cluster, written, then numbered by
     file and place in it."""
     spark = rows.sparkSession
     path = scratch(spark, "landed")
@@ -30,7 +30,7 @@ def store_requests(found: DataFrame, requests_path: str) -> int:
     """Appends the requests the working table does not have, numbered in time order."""
     held = stored(found.sparkSession, requests_path, schemas.REQUESTS)
     new = found.join(held.select("request_id"), "request_id", "left_anti").withColumn("dt", iso(F.col("ts")))
-    return gates.add_requests(_landed(new, next_ingest_id(held), ["ts", "request_id"]), requests_path)
+    return gates.add_requests(in_order(new, next_ingest_id(held), ["ts", "request_id"]), requests_path)
 
 
 def read_transcripts(spark: SparkSession, folder: str, requests_path: str, scans_path: str, now: int) -> int:
@@ -46,7 +46,7 @@ def read_sessions(spark: SparkSession, folder: str, turns_path: str, scans_path:
     """New turns of the second agent. A turn is complete when written, so all up to a minute ago are in."""
     held = stored(spark, turns_path, schemas.TURNS)
     new = turns(read_lines(spark, folder), machine).join(held.select("request_id"), "request_id", "left_anti")
-    added = gates.add_requests(_landed(new, next_ingest_id(held), ["ts", "request_id"]), turns_path, schemas.TURNS)
+    added = gates.add_requests(in_order(new, next_ingest_id(held), ["ts", "request_id"]), turns_path, schemas.TURNS)
     gates.add_scan(spark, scans_path, now, now - 60, added)
     return added
 

@@ -293,6 +293,15 @@ ORACLE = {
           FROM (SELECT event_id AS ingest_id, t // 86400 * 86400 AS ts, CASE WHEN event_id % 17 <> 3 THEN (k // 50)::DOUBLE END AS session_cost_usd, event_id % 17 = 2 AS note,
               user_id % 30 AS sess, CASE event_id % 17 WHEN 4 THEN 'not a plain session id' WHEN 5 THEN 'not a plain session id' WHEN 1 THEN 'percent-like key in session data'
               WHEN 3 THEN 'session_cost_usd is not a number' END AS reason FROM e) WINDOW o AS (PARTITION BY sess, reason IS NULL ORDER BY ingest_id))"""),
+    "snapshots_stored_twice": _sql("""SELECT session_id, count(*) AS rows, max(day) AS ts FROM (
+        SELECT DISTINCT 's' || user_id % 30 AS session_id, t, k // 50 AS cost, k % 2 AS odd, event_id % 17 = 2 AS note, t // 86400 * 86400 AS day
+        FROM e WHERE event_id % 17 NOT IN (1, 3, 4, 5)) GROUP BY 1"""),
+    "telemetry_stored_twice": _sql("""SELECT event, count(*) AS rows, CAST(sum(input_tokens) AS BIGINT) AS input_tokens, 1 AS scans FROM (
+        SELECT DISTINCT event, ts, received_ts, session_id, request_id, model, input_tokens, output_tokens, cost_usd, ingest_id % 2, ingest_id % 7 = 0, ingest_id % 11 = 0 FROM tm) GROUP BY 1"""),
+    "slots_received": _sql("SELECT machine, count(*) AS slots, CAST(sum(requests) AS BIGINT) AS requests, round(sum(usd), 6) AS usd FROM sl WHERE machine = 'm1' GROUP BY 1"),
+    "requests_rebuilt": _sql("SELECT count(*) AS old_rows, 0 AS missing, 0 AS different FROM rq WHERE ts <= 1706572500"),
+    "slots_moved": _sql("SELECT machine, count(*) AS slots, CAST(sum(requests) AS BIGINT) AS requests FROM sl GROUP BY 1"),
+    "slots_in_order": _sql("""SELECT ts, folder, entrypoint, model, machine, row_number() OVER (ORDER BY ts, folder, entrypoint, model, machine) AS place FROM sl"""),
     "slot_faults": _sql("""SELECT CASE input_tokens % 13 WHEN 1 THEN 'requests is not a count' WHEN 2 THEN 'dt is not ts' WHEN 3 THEN 'not a machine name' WHEN 4 THEN 'model is not text'
         ELSE 'good' END AS fault, count(*) AS rows FROM sl GROUP BY 1"""),
     "windows_5h": _sql('SELECT plan, reset, start, "end", CAST(cut AS BIGINT) AS cut, peak FROM w5h'),
