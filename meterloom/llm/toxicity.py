@@ -87,22 +87,30 @@ def fit(texts: list[bytes], toxic: np.ndarray) -> tuple[np.ndarray, float]:
             sizes.append(len(word))
             lengths.append(b - a)
     words, doc_of = np.concatenate(doc_words), np.repeat(np.arange(len(texts), dtype=np.int32), sizes)
-    weights = np.concatenate(doc_counts) * (GAIN / (np.array(lengths, np.float32) + PAD))[doc_of]
+    weights = (np.concatenate(doc_counts) * (GAIN / (np.array(lengths, np.float32) + PAD))[doc_of]).astype(np.float32)
     widths, sub = np.concatenate(widths), np.concatenate(buckets)
     told = np.bincount(words, minlength=len(widths)) >= 2  # a word of one sampled text tells nothing of others
-    sub, widths, number = sub[np.repeat(told, widths)], widths[told], np.cumsum(told) - 1
+    sub, widths, number = sub[np.repeat(told, widths)], widths[told], (np.cumsum(told) - 1).astype(np.int32)
     words, weights, doc_of = number[words[told[words]]], weights[told[words]], doc_of[told[words]]
-    word_at, each = np.concatenate([[0], np.cumsum(widths)]), np.repeat(1.0 / widths, widths)
+    word_at, each = np.cumsum(widths) - widths, np.repeat((1.0 / widths).astype(np.float32), widths)
     doc_at = np.searchsorted(doc_of, np.arange(len(texts) + 1))
+    del buckets, doc_words, doc_counts, known
 
     embedding, output, bias = rng.normal(0, 0.05, (BUCKETS, WIDTH)).astype(np.float32), rng.normal(0, 0.5, WIDTH).astype(np.float32), np.zeros(1)
     moments = [[np.zeros_like(x), np.zeros_like(x)] for x in (embedding, output, bias)]
     for step in range(1, STEPS + 1):
         # Both averages are linear, so they are taken of each bucket's output instead of its embedding.
-        score = _reduce(weights * _reduce(each * (embedding @ output)[sub], word_at)[words], doc_at) + bias
+        parts = (embedding @ output)[sub]
+        parts *= each
+        parts = (np.add.reduceat(parts, word_at) if len(parts) else parts)[words]
+        parts *= weights
+        score = _reduce(parts, doc_at) + bias
         wrong = (1 / (1 + np.exp(-np.clip(score, -50, 50))) - toxic) / len(texts)
-        of_words = np.bincount(words, weights * wrong[doc_of], minlength=len(widths))
-        back = np.bincount(sub, each * np.repeat(of_words, widths), minlength=BUCKETS).astype(np.float32)
+        parts = wrong.astype(np.float32)[doc_of]
+        parts *= weights
+        parts = np.repeat(np.bincount(words, parts, minlength=len(widths)).astype(np.float32), widths)
+        parts *= each
+        back = np.bincount(sub, parts, minlength=BUCKETS).astype(np.float32)
         grads = [back[:, None] * output + DECAY * embedding, embedding.T @ back + DECAY * output, wrong.sum(keepdims=True)]
         for value, grad, (m, v) in zip((embedding, output, bias), grads, moments):
             m += 0.1 * (grad - m)
