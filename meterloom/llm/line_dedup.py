@@ -7,11 +7,14 @@ lines or beside it. A fingerprint is joined, with the line before it and with th
 where the same two lines stand together; places are ordered by doc_id (null first), a hash of the text, and line. Matches
 that touch are one run: this is how a match extends both ways, line by line, as far as the lines were seen before. Runs
 matched to an earlier place are deleted; the first place keeps its lines. A line deleted is thus always one of two
-neighbours or more that stood together earlier, and every such line is deleted; a single line that repeats without a
-neighbour stays.
+neighbours or more that stood together earlier, and every such line is deleted.
 
-Only the earliest place of two lines is joined, folded by partial sums, so a line that a third of all documents share
-makes as many rows as it has places and no pairs.
+With `words`, the guarantee also counts words: a line of so many words or more, and the only line of a document, is a run
+by itself, deleted if the line stood anywhere earlier, whatever its neighbours. So no passage of `words` words in whole
+lines stays a second time. The query takes WORDS. Without `words`, a single line that repeats without a neighbour stays.
+
+Only the earliest place of two lines, or of one, is joined, folded by partial sums, so a line that a third of all documents
+share makes as many rows as it has places and no pairs.
 
 Null and empty texts have no lines (n_lines 0) and stay as they are. Rows that share a doc_id and a text are one document:
 each of them is returned with the same lines deleted. An empty table gives an empty one. Extra columns are carried by
@@ -28,10 +31,12 @@ from pyspark.sql import DataFrame, functions as F
 from meterloom.llm import textkit
 
 RUN = 2
+WORDS = 50
+_ALONE = np.uint64(0xA0761D6478BD642F)  # stands for the second line of a line by itself
 
 
-def _line_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash and number of every line with words, in order, and each text's first one."""
+def _line_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, number and words of every line with words, in order, and each text's first one."""
     parsed = textkit.words(texts)
     data, offsets = textkit.bytes_of(texts)
     feeds = np.flatnonzero(data == 10)
@@ -41,16 +46,25 @@ def _line_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     new[1:] = (row[1:] != row[:-1]) | (line_of[1:] != line_of[:-1])
     first = np.flatnonzero(new)
     hashes = parsed.hashes()
-    place = (np.arange(len(row)) - np.repeat(first, np.diff(np.append(first, len(row)))) + 1).astype(np.uint64)
+    sizes = np.diff(np.append(first, len(row)))
+    place = (np.arange(len(row)) - np.repeat(first, sizes) + 1).astype(np.uint64)
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(textkit.mix(hashes ^ textkit.mix(place)), dtype=np.uint64)])
     own = textkit.mix(sums[np.append(first, len(row))[1:]] - sums[first]) if len(first) else np.zeros(0, np.uint64)
-    return own, line_of[first], np.searchsorted(row[first], np.arange(len(parsed.rows)))
+    return own, line_of[first], sizes, np.searchsorted(row[first], np.arange(len(parsed.rows)))
+
 
+def _keys(part: pa.RecordBatch, at: np.ndarray, row: np.ndarray, place: np.ndarray, ends: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    """128-bit keys of the lines a and b, the document, the place of the first, and the last line to delete, if any."""
+    keys = [textkit.ids(textkit.mix(a * np.uint64(x) + textkit.mix(b ^ np.uint64(y)))) for x, y in ((0x9E3779B97F4A7C15, 1), (0xD1342543DE82EF95, 2))]
+    own = pa.array(row[at])
+    return pa.RecordBatch.from_arrays([pa.array(keys[0]), pa.array(keys[1]), part.column("doc_id").take(own), part.column("x").take(own),
+                                       pa.array(place.astype(np.int32)), pa.array(ends.astype(np.int32), mask=ends < 0)], ["p", "q", "doc_id", "x", "at", "end"])
 
-def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each fingerprint with its neighbours: a 128-bit key of the two lines, the document, and the place of the first."""
+
+def _runs(batches: Iterator[pa.RecordBatch], words: int | None) -> Iterator[pa.RecordBatch]:
+    """Each fingerprint with its neighbours; with `words`, each line by itself too, to be deleted (`end`) if it is a run."""
     for part in textkit.cuts(batches):
-        hashes, _, rows = _line_hashes(part.column("text"))
+        hashes, _, sizes, rows = _line_hashes(part.column("text"))
         row = np.repeat(np.arange(part.num_rows), np.diff(rows))
         at = np.flatnonzero(row[1:] == row[:-1]) if len(row) else np.zeros(0, np.int64)
         a, b = hashes[at], hashes[at + 1]
@@ -58,20 +72,27 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chosen[np.where(b < a, at + 1, at)] = True
         kept = chosen[at] | chosen[at + 1]
         at, a, b = at[kept], a[kept], b[kept]
-        keys = [textkit.ids(textkit.mix(a * np.uint64(x) + textkit.mix(b ^ np.uint64(y)))) for x, y in ((0x9E3779B97F4A7C15, 1), (0xD1342543DE82EF95, 2))]
-        own = pa.array(row[at])
-        yield pa.RecordBatch.from_arrays([pa.array(keys[0]), pa.array(keys[1]), part.column("doc_id").take(own), part.column("x").take(own),
-                                          pa.array((at - rows[:-1][row[at]]).astype(np.int32))], ["p", "q", "doc_id", "x", "at"])
+        place = at - rows[:-1][row[at]]
+        yield _keys(part, at, row, place, place + 1, a, b)
+        if words is not None:
+            at = np.arange(len(hashes))
+            place = at - rows[:-1][row]
+            alone = (sizes >= words) | (np.diff(rows)[row] == 1)
+            yield _keys(part, at, row, place, np.where(alone, place, -1), hashes, np.full(len(hashes), _ALONE))
+
 
+def repeats(documents: DataFrame, words: int | None = None) -> DataFrame:
+    """(doc_id, x, lines): the lines, numbered among those with words, of runs seen earlier. x: hash of the text."""
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _runs(batches, words)
 
-def repeats(documents: DataFrame) -> DataFrame:
-    """(doc_id, x, lines): the lines, numbered among those with words, that stood together earlier. x: hash of the text."""
     texts = _keyed(documents).select("doc_id", "x", F.col("text").cast("binary").alias("text"))
-    pairs = texts.mapInArrow(_pairs, "p long, q long, doc_id long, x long, at int")
+    runs_ = texts.mapInArrow(runs, "p long, q long, doc_id long, x long, at int, end int")
     place = F.struct("doc_id", "x", "at")
-    earliest = pairs.groupBy("p", "q").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").select("p", "q", "first")
-    later = pairs.join(earliest, ["p", "q"]).where(place > F.col("first"))
-    return later.groupBy("doc_id", "x").agg(F.array_distinct(F.flatten(F.collect_set(F.array(F.col("at"), F.col("at") + 1)))).alias("lines"))
+    earliest = runs_.groupBy("p", "q").agg(F.min(place).alias("first"), F.count("*").alias("n"), F.count("end").alias("ends")).where(
+        "n > 1 and ends > 0").select("p", "q", "first")
+    later = runs_.where("end is not null").join(earliest, ["p", "q"]).where(place > F.col("first"))
+    return later.groupBy("doc_id", "x").agg(F.array_distinct(F.flatten(F.collect_set(F.array("at", "end")))).alias("lines"))
 
 
 def _keyed(documents: DataFrame) -> DataFrame:
@@ -80,7 +101,7 @@ def _keyed(documents: DataFrame) -> DataFrame:
 
 def _rewritten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in textkit.cuts(batches):
-        _, number, rows = _line_hashes(part.column("text").cast(pa.binary()))
+        _, number, _, rows = _line_hashes(part.column("text").cast(pa.binary()))
         texts, totals, gone = [], [], []
         for i, (text, lines) in enumerate(zip(part.column("text").to_pylist(), part.column("lines").to_pylist())):
             own = number[rows[i]:rows[i + 1]]
@@ -94,9 +115,9 @@ def _rewritten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          ["doc_id", "text", "n_lines", "n_removed"])
 
 
-def clean(documents: DataFrame) -> DataFrame:
+def clean(documents: DataFrame, words: int | None = None) -> DataFrame:
     """doc_id, text without the runs that repeat, n_lines (with words) and n_removed, for every row of documents."""
     own = _keyed(documents.select("doc_id", "text")).alias("d")
-    gone = repeats(documents).select(F.col("doc_id").alias("_id"), F.col("x").alias("_x"), "lines").alias("g")
+    gone = repeats(documents, words).select(F.col("doc_id").alias("_id"), F.col("x").alias("_x"), "lines").alias("g")
     return own.join(gone, F.col("d.doc_id").eqNullSafe(F.col("_id")) & (F.col("x") == F.col("_x")), "left").select(
         "doc_id", "text", "lines").mapInArrow(_rewritten, "doc_id long, text string, n_lines int, n_removed int")

@@ -76,7 +76,7 @@ def op8_benchmark_decontamination(spark, sf_dir):
 
 @query
 def op9_line_dedup(spark, sf_dir):
-    return line_dedup.clean(table(spark, sf_dir, "documents")).select(
+    return line_dedup.clean(table(spark, sf_dir, "documents"), line_dedup.WORDS).select(
         "doc_id", "n_lines", "n_removed", F.length("text").cast("long").alias("n_chars"), F.md5(F.col("text").cast("binary")).alias("text_md5"))
 
 

@@ -65,6 +65,34 @@ def test_line_dedup_keeps_null_ids(spark):
     assert sorted((repr(r.doc_id), repr(r.text)) for r in got) == [("1", "'t'"), ("None", "'p q\\nr s'"), ("None", "None")]
 
 
+def test_line_dedup_by_words(spark):
+    """A line of enough words, and the only line of a document, goes wherever it stood earlier."""
+    rng = random.Random(16)
+    long, short = [prose(i, 50 + i) for i in range(4)], [prose(40 + i, 49) for i in range(3)]
+    rows = [(i, "\n".join(rng.choice(long + short) if rng.random() < 0.4 else prose(2000 * i + j, 5) for j in range(rng.randrange(1, 6))), "a") for i in range(50)]
+    rows += [(100, long[0], "a"), (101, long[0].upper(), "a"), (102, short[0], "a"), (103, "only", "a"), (104, "only", "a"), (105, "x y\nonly\nz", "a"),
+             (106, "\n z \n", "a"), (107, long[1] + "\nmore of it\n" + long[1], "a"), (None, "null first", "a"), (108, "null first", "a"), (108, "null first", "a"), (109, None, "a"), (110, "", "a")]
+    rng.shuffle(rows)
+    pairs, lines, by_row = set(), set(), {}
+    for d, t, _ in sorted(set(rows), key=lambda r: (r[0] is not None, r[0])):
+        own = [(j, tuple(fold(x))) for j, x in enumerate((t or "").split("\n"))]
+        own, gone = [(j, w) for j, w in own if w], set()
+        for (i, a), (j, b) in zip(own, own[1:]):
+            if (a, b) in pairs:
+                gone |= {i, j}
+            pairs.add((a, b))
+        for j, w in own:
+            if w in lines and (len(w) >= 50 or len(own) == 1):
+                gone.add(j)
+            lines.add(w)
+        by_row[d, t] = (t if not gone else "\n".join(x for j, x in enumerate(t.split("\n")) if j not in gone), len(own), len(gone))
+    want = [(d, *by_row[d, t]) for d, t, _ in rows]
+    got = [tuple(r) for r in line_dedup.clean(documents(spark, rows), line_dedup.WORDS).collect()]
+    assert sorted(map(repr, got)) == sorted(map(repr, want))
+    n_removed = {r[0]: r[3] for r in got}
+    assert n_removed[100] == n_removed[101] == n_removed[104] == n_removed[106] == n_removed[108] == 1 and n_removed[105] == 0 and n_removed[107] == 2
+
+
 def naive_tiles(item, text, least):
     """Words of the item under greedy tiles, by trying every length and place."""
     item, text, covered = list(item), list(text), 0
