@@ -182,6 +182,34 @@ def test_lm_words_joined_or_broadcast_alike(spark, monkeypatch):
         assert abs(first[r.doc_id] - r.score) < 1e-9 * abs(r.score)
 
 
+@pytest.mark.parametrize("share", [4, 1 << 19])
+def test_lm_scores_are_those_of_the_whole_tree(spark, monkeypatch, share):
+    """No entry of the tree is dropped, however rare: scores are those of the tree of all entries."""
+    import pyarrow as pa
+    monkeypatch.setattr(lm_scoring, "SHARE", share)
+    rows = awkward() + [(600 + i, prose(i, 60, 300) + f" rare{i} Straße{i % 3} zz{'q' * i}", "a") for i in range(60)] + [(900, "y" * 3000, "a")]
+    got = lm_scoring.score(documents(spark, rows)).collect()
+    learnt = [fold(t) for d, t, _ in rows if d is not None and zlib.crc32(str(d).encode()) % 10]
+    c = collections.Counter(x for t in learnt for x in t)
+    n, v = sum(c.values()) + len(learnt), len(c) + 1
+    part = pa.RecordBatch.from_arrays([pa.array(list(c), pa.binary()), pa.array(list(c.values()))], ["word", "c"])
+    ends = [(3, len(learnt)), ((1 << 56) | 32 << 8 | 3, len(learnt))]
+    grams = collections.Counter(dict(ends))
+    for p in lm_scoring._grams([part]):
+        for code, count in zip(p.column(0).to_pylist(), p.column(1).to_pylist()):
+            grams[code] += count
+    codes, counts = np.array(list(grams), np.uint64), np.array(list(grams.values()))
+    node = np.unique(codes >> np.uint64(8), return_inverse=True)[1]
+    tree = lm_scoring.Tree(codes, counts, np.bincount(node, counts)[node].astype(np.int64), np.bincount(node)[node])
+    assert 1 < tree.kept.sum() < len(tree.nodes)
+    end = lm_scoring.blended(np.array([tree.end()]), np.array([len(learnt)]), n, v)[0]
+    want = []
+    for d, t, _ in rows:
+        own = fold(t)
+        want.append((repr(d), round(end + (lm_scoring.blended(tree.scores(own), np.array([c[x] for x in own]), n, v).sum() if own else 0), 6)))
+    assert sorted(want) == sorted((repr(r.doc_id), round(r.score, 6)) for r in got)
+
+
 def test_lm_of_nothing(spark):
     assert lm_scoring.score(documents(spark, [])).count() == 0
     [only] = lm_scoring.score(documents(spark, [(None, "a b", "a")])).collect()
