@@ -119,7 +119,15 @@ def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Session snapshots: purchases, the session's cost so far restarting now and then."""
-    e = events(spark, sf_dir).where("event_type = 'purchase'")
+    return _snapshots(events(spark, sf_dir).where("event_type = 'purchase'"))
+
+
+def all_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Session snapshots: one per event."""
+    return _snapshots(events(spark, sf_dir))
+
+
+def _snapshots(e: DataFrame) -> DataFrame:
     i, k = F.col("event_id"), F.col("k")
     return e.select(i.alias("ingest_id"), F.col("t").alias("ts"), iso(F.col("t")).alias("dt"),
                     _request("s", F.col("user_id") % 40).alias("session_id"), _request("model-", k % 2).alias("model_id"),

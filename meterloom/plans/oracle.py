@@ -442,3 +442,18 @@ ORACLE["plan_summary"] = _sql(f"""SELECT plan, coalesce(n_b_5h, 0) AS n_5h, b_5h
     FROM (SELECT DISTINCT plan FROM w5h) LEFT JOIN ({_marks('b5h', 'b', 'b_5h', 'b <> 0 AND peak >= 30')}) USING (plan)
     LEFT JOIN ({_marks('b7d', 'b', 'b_7d', 'b <> 0 AND peak >= 30')}) USING (plan) LEFT JOIN ({_marks('wk', 'ratio', 'per_week')}) USING (plan)
     LEFT JOIN (SELECT plan, round(sum(gain_5h) / sum(gain_7d), 6) AS per_week_summed FROM wk GROUP BY 1) USING (plan)""")
+
+# The same analyses over every event, where those above take a range or some kinds of events.
+ORACLE |= {
+    "totals_5m_of_all_scans": _sql(f"""SELECT ts // 300 * 300 AS slot_ts, {_iso('ts // 300 * 300')} AS slot_dt, folder, CAST(entrypoint = 'cli' AS BIGINT) AS interactive,
+        count(*) AS requests, round(sum(usd), 9) AS usd, {_sums(['input_tokens', 'output_tokens', 'cache_read_tokens', 'cache_write_tokens'])},
+        CAST(ts // 300 * 300 + 300 <= (SELECT max(t) - 900 FROM e) AS BIGINT) AS final
+        FROM ur GROUP BY ts // 300 * 300, folder, entrypoint = 'cli'"""),
+    "spend_per_interval_of_all": _sql("""SELECT ingest_id, session_id, ts, session_cost_usd, prev_cost,
+        CASE WHEN session_cost_usd < coalesce(prev_cost, 0) THEN session_cost_usd ELSE session_cost_usd - coalesce(prev_cost, 0) END AS spent_usd
+        FROM (SELECT *, lag(session_cost_usd) OVER (PARTITION BY session_id ORDER BY ts, ingest_id) AS prev_cost
+          FROM (SELECT event_id AS ingest_id, 's' || user_id % 40 AS session_id, t AS ts, (k // 25) / 4.0::DOUBLE AS session_cost_usd FROM e))"""),
+    "payloads_of_all_dated": _sql("""SELECT event_id, user_id AS session, t, (SELECT max(a.t + a.k + 1) FROM e a WHERE a.user_id = p.user_id AND a.t + a.k + 1 <= p.t) AS observed_at FROM e p"""),
+    "time_expressions_of_all": _sql(f"""SELECT event_id, t AS from_iso, t AS from_text, CAST(NULL AS BIGINT) AS from_blank, strftime(make_timestamp(t * 1000000), '%Y-%m') AS month,
+        strftime(make_timestamp(t * 1000000), '%m-%d %H:%M') AS minute, t // 300 * 300 AS slot, k + 1 AS rounded, {_snap('(k * 100)')} AS snapped FROM e"""),
+}

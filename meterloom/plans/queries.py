@@ -124,6 +124,13 @@ def totals_5m(spark, sf):
     return _r9(_longs(slot_ops.usage_5m(used, scans)))
 
 
+@query("A2 X2")
+def totals_5m_of_all_scans(spark, sf):
+    """Totals whose last completed scan is that of any event, not only of errors."""
+    used = slot_ops.usage_requests(_priced(spark, sf), feeds.telemetry(spark, sf))
+    return _r9(_longs(slot_ops.usage_5m(used, events(spark, sf).select((F.col("t") - 900).alias("complete_through_ts")))))
+
+
 # --- deduplication ------------------------------------------------------------------------------------------------
 
 @query("D2 D3 C22")
@@ -146,6 +153,13 @@ def spend_per_interval(spark, sf):
     return _r6(got.select("ingest_id", "session_id", "ts", "session_cost_usd", "prev_cost", "spent_usd"))
 
 
+@query("D10 W1")
+def spend_per_interval_of_all(spark, sf):
+    """The spend between the snapshots of every event."""
+    got = dedup.session_spend(feeds.all_snapshots(spark, sf))
+    return _r6(got.select("ingest_id", "session_id", "ts", "session_cost_usd", "prev_cost", "spent_usd"))
+
+
 @query("D6 W1")
 def last_purchase_carried(spark, sf):
     """Per user the value of the last purchase, carried to every later event."""
@@ -265,6 +279,15 @@ def payloads_dated(spark, sf):
     return hit.select("event_id", "session", "t", F.col("_a.answered").alias("observed_at"))
 
 
+@query("C20 J6 J15")
+def payloads_of_all_dated(spark, sf):
+    """Every event is a payload and, up to a few minutes later, an answer of its session."""
+    e = events(spark, sf).select("event_id", F.col("user_id").alias("session"), "t", "k")
+    answers = e.select("session", (F.col("t") + F.col("k") + 1).alias("answered"))
+    hit = asof(e, answers, "t", "answered", ["answered"], "_a", keys=["session"], balanced=True)
+    return hit.select("event_id", "session", "t", F.col("_a.answered").alias("observed_at"))
+
+
 @query("S4 C20 C21")
 def payloads_to_lines(spark, sf):
     e = events(spark, sf)
@@ -731,9 +754,7 @@ def priced_lines(spark, sf):
 
 # --- small expressions, sets, pages -------------------------------------------------------------------------------
 
-@query("C1 C4 C6 C8 C24 F2")
-def time_expressions(spark, sf):
-    e = events(spark, sf).where((F.col("t") >= 1704153600) & (F.col("t") < 1705968000))
+def _time_expressions(e):
     stamp = F.concat(F.substring(times.iso(F.col("t")), 1, 19), F.lit(".750+00:00"))
     return e.select("event_id", times.epoch_seconds(stamp).alias("from_iso"), times.epoch_seconds(F.col("t").cast("string")).alias("from_text"),
                     times.epoch_seconds(F.lit("")).alias("from_blank"), times.month_of(times.iso(F.col("t"))).alias("month"),
@@ -741,6 +762,17 @@ def time_expressions(spark, sf):
                     numbers.whole_percent(F.col("k") + 0.5).cast("long").alias("rounded"), times.snap(F.col("k") * 100).alias("snapped"))
 
 
+@query("C1 C4 C6 C8 C24 F2")
+def time_expressions(spark, sf):
+    """The expressions over a half-open range (F2)."""
+    return _time_expressions(events(spark, sf).where((F.col("t") >= 1704153600) & (F.col("t") < 1705968000)))
+
+
+@query("C1 C4 C6 C8 C24")
+def time_expressions_of_all(spark, sf):
+    return _time_expressions(events(spark, sf))
+
+
 @query("C22")
 def canonical_properties(spark, sf):
     """Equal JSON objects written with their keys in another order."""
