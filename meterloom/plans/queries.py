@@ -454,7 +454,7 @@ def window_coverage(spark, sf):
 
 @query("A24 J6 J16")
 def window_ledger(spark, sf):
-    return _r6(windows.ledger(_seen(spark, sf, "7d"), _active(spark, sf), "7d", PLANS))
+    return _r6(windows.ledger(_seen(spark, sf, "7d"), _active(spark, sf), "7d", plans=PLANS))
 
 
 @query("A21 J6")
@@ -530,19 +530,19 @@ def split_week_by_project(spark, sf):
 
 @query("A10 C12 F1")
 def split_5h_by_kind(spark, sf):
-    placed = split.placed_in_windows(_slots(spark, sf), split.GROUPS["kind"](), split.periods(_seen(spark, sf, "5h"), "5h", 1705104000, PLANS))
+    placed = split.placed_in_windows(_slots(spark, sf), split.GROUPS["kind"](), split.periods(_seen(spark, sf, "5h"), "5h", 1705104000, plans=PLANS))
     return _r6(_longs(split.cost_split(placed).drop("position")))
 
 
 @query("A10 F1")
 def split_day_by_machine(spark, sf):
-    placed = split.placed_in_days(_slots(spark, sf), split.GROUPS["machine"](), 1704499200, PLANS)
+    placed = split.placed_in_days(_slots(spark, sf), split.GROUPS["machine"](), 1704499200, plans=PLANS)
     return _r6(_longs(split.cost_split(placed).drop("position", "peak")))
 
 
 @query("A10")
 def split_totals(spark, sf):
-    return _r6(split.period_totals(split.placed_in_days(_slots(spark, sf), split.GROUPS["model"](), 0, PLANS)))
+    return _r6(split.period_totals(split.placed_in_days(_slots(spark, sf), split.GROUPS["model"](), 0, plans=PLANS)))
 
 
 @query("A10")
