@@ -180,3 +180,53 @@ WITH p AS (
 SELECT page_id, host, path, rule, coalesce(ruled, CASE WHEN s >= coalesce((SELECT t FROM least_score), 0) THEN 'allow' ELSE 'block' END) AS verdict
 FROM r JOIN scored USING (rest)
 """
+
+
+def _merkle(width: int = 16, levels: int = 8) -> str:
+    """Levels one by one; a tree of one node stays as it is, so `levels` only has to be enough. `path` has every leaf
+    with its node and both roots-to-be; siblings are added up level by level."""
+    field = lambda c: f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')"
+    leaf = lambda text: "sha256(" + " || ".join([*map(field, ("doc_id", "source", "lang", "n_chars")), field(text)]) + ")"
+    crc = ("xor(list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda ch: "
+           "[CAST(ascii(ch) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))), lambda c, b: xor(xor(c, b) // 2, 3988292384 * (xor(c, b) % 2))), 4294967295)")
+    parts = [f"""leaves AS (
+  SELECT row_number() OVER () AS id, doc_id, source, {leaf("text")} AS leaf,
+         CASE WHEN {crc} % 5 = 0 THEN {leaf(_LOWER.format("text"))} ELSE {leaf("text")} END AS read FROM documents
+), l0 AS (
+  SELECT id, doc_id, source, leaf, read, leaf AS digest, read AS folded, '' AS proof,
+         row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf, id) - 1 AS pos FROM leaves
+)"""]
+
+    def climb(name: str, before: str, key: str) -> list[str]:
+        """`nodes` are the tree's own; `before` are the leaves, each with the node it stands under."""
+        return [f"""{name}n AS (
+  SELECT DISTINCT {key}, pos, digest FROM {before}
+), {name}g AS (
+  SELECT {key}, pos // {width} AS up, string_agg(digest, '' ORDER BY pos) AS joined, list(digest ORDER BY pos) AS run,
+         (SELECT count(*) FROM {name}n o WHERE o.{key} IS NOT DISTINCT FROM {name}n.{key}) AS size
+  FROM {name}n GROUP BY {key}, pos // {width}
+), {name} AS (
+  SELECT b.* REPLACE (CASE WHEN g.size > 1 THEN sha256(g.joined) ELSE b.digest END AS digest,
+    CASE WHEN g.size > 1 THEN sha256(array_to_string(g.run[1:b.pos % {width}], '') || b.folded || array_to_string(g.run[b.pos % {width} + 2:], ''))
+         ELSE b.folded END AS folded,
+    CASE WHEN g.size > 1 THEN b.proof || array_to_string(g.run[1:b.pos % {width}], '') || array_to_string(g.run[b.pos % {width} + 2:], '')
+         ELSE b.proof END AS proof,
+    b.pos // {width} AS pos)
+  FROM {before} b JOIN {name}g g ON g.{key} IS NOT DISTINCT FROM b.{key} AND g.up = b.pos // {width}
+)"""]
+
+    for i in range(1, levels + 1):
+        parts += climb(f"l{i}", f"l{i - 1}", "source")
+    parts.append(f"""trees AS (
+  SELECT source, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS place FROM (SELECT DISTINCT source FROM l{levels})
+), r0 AS (
+  SELECT b.* REPLACE (t.place AS pos), b.digest AS subroot, 0 AS one FROM l{levels} b JOIN trees t ON t.source IS NOT DISTINCT FROM b.source
+)""")
+    for i in range(1, levels + 1):
+        parts += climb(f"r{i}", f"r{i - 1}", "one")
+    return "WITH " + ", ".join(parts) + f"""
+SELECT doc_id, leaf, subroot, digest AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = digest AS verified FROM r{levels}
+"""
+
+
+ORACLE["op11_merkle_manifest"] = _merkle()

@@ -6,7 +6,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from meterloom.llm import decontamination, license_scan, line_dedup, lm_scoring, mixing, ngram_join, token_store, topk_search, toxicity, url_filter
+from meterloom.llm import decontamination, license_scan, line_dedup, lm_scoring, merkle, mixing, ngram_join, token_store, topk_search, toxicity, url_filter
 from meterloom.llm.oracle import ORACLE
 from meterloom.session import configure, scratch, settle
 
@@ -83,3 +83,11 @@ def op9_line_dedup(spark, sf_dir):
 @query
 def op10_lm_scoring(spark, sf_dir):
     return lm_scoring.score(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_merkle_manifest(spark, sf_dir):
+    """Where 5 divides the key's checksum, the text is read with its A-Z lower-cased."""
+    hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return merkle.audit(table(spark, sf_dir, "documents"), {"text": F.when(hit, lower).otherwise(F.col("text"))})
