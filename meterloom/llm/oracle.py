@@ -230,3 +230,20 @@ SELECT doc_id, leaf, subroot, digest AS root, sha256(proof) AS proof_sha256, fol
 
 
 ORACLE["op11_merkle_manifest"] = _merkle()
+
+ORACLE["op12_embedding_near_dedup"] = """
+WITH RECURSIVE used AS (
+  SELECT vec_id, label, e, sqrt(list_dot_product(e, e)) AS norm
+  FROM (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)
+  WHERE len(e) > 0 AND label IS NOT NULL
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM used a JOIN used b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE a.norm > 0 AND b.norm > 0 AND list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.93
+), reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b
+)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a) USING (vec_id)
+LEFT JOIN (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a) USING (vec_id)
+"""

@@ -18,7 +18,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_registered():
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 12)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert set(QUERIES) | {"pipeline"} <= set(entry_module.queries()) and set(ORACLE) <= set(entry_module.oracle_sql())
 
 
