@@ -78,7 +78,10 @@ SELECT doc_id, size, source_size, target, CAST(greatest(0, least(size, whole - p
 FROM p
 """
 
-_TEMPLATES = ", ".join(f"({n}, '{kind}', '{label}', string_split('{text}', ' '))" for n, (kind, label, text) in enumerate(TEMPLATES))
+#: The contract's phrases, then the method's own notices.
+_TEMPLATES = """(0, 'base', 'mit', ['under', 'the', 'mit', 'license']), (1, 'base', 'apache-2', ['apache', 'license', 'version', '2']),
+  (2, 'base', 'cc-by-nc', ['cc', 'by', 'nc'])""" + "".join(
+    f", ({n}, '{kind}', '{label}', string_split('{text}', ' '))" for n, (kind, label, text) in enumerate(TEMPLATES) if kind == "notice")
 ORACLE["op3_license_scan"] = rf"""
 WITH w AS (
   SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents

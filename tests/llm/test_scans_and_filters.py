@@ -4,7 +4,7 @@ import re
 from fixtures import awkward, documents, fold, prose
 from meterloom.llm import decontamination, license_scan, line_dedup, url_filter
 
-PHRASES = {"mit": "the mit license", "apache-2": "apache license version 2", "cc-by-nc": "cc by nc"}
+PHRASES = {"mit": "under the mit license", "apache-2": "apache license version 2", "cc-by-nc": "cc by nc"}
 
 
 def low(text):
@@ -20,7 +20,8 @@ def places(text):
 LICENSED = [(100, "Released under the MIT License.\nThe MIT license the mit LICENSE, the MIT-License", "a"), (101, "the mit", "a"),
             (102, prose(8) + " Apache License, Version 2.0 " + prose(9), "a"), (103, "cc-by-nc CC BY NC cc by", "a"),
             (104, "This work is licensed under the GNU General Public License, version 3.", "a"),
-            (105, "licensed under the very GNU General Public License", "a"), (106, "cc by nc " * 40, "a"), (107, "ééthe mit license", "a")]
+            (105, "licensed under the very GNU General Public License", "a"), (106, "cc by nc " * 40, "a"), (107, "ééthe mit license", "a"), (108, "The MIT license", "a"),
+            (109, "x under the MIT license; under the mit-license", "a")]
 
 
 def test_license_scan(spark):
