@@ -75,8 +75,10 @@ def _packed(table: pa.Table) -> pa.Table:
 
 
 def search(row: dict, q_ids: np.ndarray, queries: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query, id, score) of the k best of each query in a block."""
+    """(query, id, score) of the k best ids of each query in a block; an id that repeats has its best score."""
     ids = np.frombuffer(row["ids"], np.int64)
+    by_id = np.argsort(ids, kind="stable")
+    heads = np.flatnonzero(np.concatenate([[True], np.diff(ids[by_id]) != 0])) if len(ids) else np.zeros(0, np.int64)
     n, width = len(ids), max(row["width"], queries.shape[1])
     queries = np.pad(queries, ((0, 0), (0, width - queries.shape[1])))
     impacts, dims, counts, values = (np.frombuffer(row[c], np.int64) for c in ("impacts", "dims", "counts", "values"))
@@ -99,15 +101,20 @@ def search(row: dict, q_ids: np.ndarray, queries: np.ndarray, k: int) -> tuple[n
             at = slice(ends[s] - counts[s], ends[s])
             scores[positions[at]] += values[at][:, None].astype(np.float64) * across[dims[s]]
         follow = rests[number][:, None] * norms[None, :] * (1 + 1e-9) + (1e-6 if rests[number].any() else 0)
-        if n - 1 > k:
+        if len(heads) - 1 > k:
             low = np.where(own, -np.inf, scores - follow)
-            possible = (scores + follow >= np.partition(low, n - k, 0)[n - k]) & ~own
+            if len(heads) < n:
+                low = np.maximum.reduceat(low[by_id], heads, axis=0)
+            possible = (scores + follow >= np.partition(low, len(heads) - k, 0)[len(heads) - k]) & ~own
         if possible.sum() * width <= (len(values) - ends[last - 1]) * len(q_ids):
             break
     at, q = np.nonzero(possible)
     exact = np.concatenate([(dense[at[i:i + 65536]] * queries[q[i:i + 65536]]).sum(1) for i in range(0, len(at), 65536)] or [np.zeros(0, np.int64)])
     order = np.lexsort((ids[at], -exact, q))
     at, q, exact = at[order], q[order], exact[order]
+    again = np.unique(q * np.int64(n) + np.searchsorted(ids[by_id][heads], ids[at]), return_index=True)[1]
+    again.sort()
+    at, q, exact = at[again], q[again], exact[again]
     rank = np.arange(len(q)) - np.searchsorted(q, q)
     return q_ids[q[rank < k]], ids[at[rank < k]], exact[rank < k]
 
