@@ -44,13 +44,18 @@ def read_transcripts(spark: SparkSession, folder: str, requests_path: str, scans
 
 def read_sessions(spark: SparkSession, folder: str, turns_path: str, scans_path: str, machine: str, now: int) -> int:
     """New turns of the second agent. A turn is complete when written, so all up to a minute ago are in."""
-    held = stored(spark, turns_path, schemas.TURNS)
-    new = turns(read_lines(spark, folder), machine).join(held.select("request_id"), "request_id", "left_anti")
-    added = gates.add_requests(in_order(new, next_ingest_id(held), ["ts", "request_id"]), turns_path, schemas.TURNS)
+    added = store_turns(turns(read_lines(spark, folder), machine), turns_path)
     gates.add_scan(spark, scans_path, now, now - 60, added)
     return added
 
 
+def store_turns(found: DataFrame, turns_path: str) -> int:
+    """Appends the turns the table does not have, numbered in time order."""
+    held = stored(found.sparkSession, turns_path, schemas.TURNS)
+    new = found.join(held.select("request_id"), "request_id", "left_anti")
+    return gates.add_requests(in_order(new, next_ingest_id(held), ["ts", "request_id"]), turns_path, schemas.TURNS)
+
+
 def write_slots(spark: SparkSession, requests_path: str, telemetry_path: str | None, scans_path: str, slots_path: str,
                 machine: str, now: int) -> int:
     """The slots that became final since the last run, once each."""

@@ -1,11 +1,16 @@
 """JSON log lines written from the supplied events, for the readers: each event is one line of one log. The lines are
 landed in the shared folder first, as logs are; a reader's text filters then run on text, not on what wrote it."""
 
+import os
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from meterloom.functions.times import iso
 from meterloom.plans.feeds import events, request_lines, telemetry
 from meterloom.session import settle
+from meterloom.sources.growing import local_path
 
 _PLACE = ["path", "block", "line"]
 # An attribute around a text: lists within lists, five deep.
@@ -100,3 +105,45 @@ def reading_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     value = F.concat(F.lit('{"ts":'), F.when(fault == 7, F.lit('"x"')).otherwise(t.cast("string")), F.lit(',"source":"'), source, F.lit('",'),
                      F.when(i % 2 == 0, api).otherwise(push), extra, F.when(fault == 8, F.lit("")).otherwise(F.lit("}")))
     return settle(e.select(i.alias("ingest_id"), value.alias("value")), "reading-lines")
+
+
+#: How often the files of `grow` are written.
+RUNS = 3
+
+
+def run_of(lines: DataFrame, events_: DataFrame) -> DataFrame:
+    """Lines with the run that writes them: a third of the events each."""
+    n = events_.select((F.max("event_id") + 1).alias("n")).scalar()
+    return lines.withColumn("run", F.floor(F.col("line") * RUNS / n).cast("int"))
+
+
+def grow(lines: DataFrame, folder: str, run: int) -> DataFrame:
+    """Writes one run's lines (path, block, line, value) to files that grow: of every four, one is replaced by another file
+    in the second run and one is cut to nothing and written again in the third; the others are appended to. Returns the
+    bytes written per path."""
+    kind = F.pmod(F.regexp_extract("path", "[0-9]+", 0).cast("long"), F.lit(4))
+    how = F.when((kind == 0) & F.lit(run == 1), "replace").when((kind == 1) & F.lit(run == 2), "rewrite").otherwise("append")
+    rows = lines.where(F.col("run") == run).select("path", how.alias("how"), "block", "line", "value")
+    root = local_path(folder)
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        os.makedirs(root, exist_ok=True)
+        begun: set[str] = set()
+        for batch in batches:
+            by_path: dict[tuple[str, str], list[str]] = {}
+            for path, how_, value in zip(*(batch.column(c).to_pylist() for c in ("path", "how", "value"))):
+                by_path.setdefault((path, how_), []).append(value)
+            sizes = []
+            for (path, how_), values in by_path.items():
+                text, name = "".join(v + "\n" for v in values).encode(), f"{root}/{path}.jsonl"
+                made = f"{name}.new" if how_ == "replace" and path not in begun else name
+                with open(made, "wb" if how_ != "append" and path not in begun else "ab") as f:
+                    f.write(text)
+                if made != name:
+                    os.replace(made, name)
+                begun.add(path)
+                sizes.append(len(text))
+            yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in by_path], pa.string()), pa.array(sizes, pa.int64())], ["path", "bytes"])
+
+    ordered = rows.repartition("path").sortWithinPartitions("path", "block", "line")
+    return settle(ordered.mapInArrow(write, "path string, bytes long"), "grown")

@@ -177,6 +177,10 @@ _CTE = {
           WHEN event_id % 29 = 3 THEN 'unknown source' WHEN event_id % 29 = 6 THEN NULL WHEN event_id % 29 IN (1, 2) THEN 'percent is not a number'
           WHEN event_id % 29 = 5 THEN 'not a machine name' END AS reason FROM e""",
 }
+_RUN = "{i} * 3 // (SELECT max(event_id) + 1 FROM e)"
+_CTE["ctg"] = _CTE["ctx"].replace("PARTITION BY user_id", f"PARTITION BY user_id, CASE user_id % 4 WHEN 0 THEN {_RUN.format(i='event_id')} >= 1 "
+                                  f"WHEN 1 THEN {_RUN.format(i='event_id')} >= 2 ELSE FALSE END")
+_CTE["cut"] = f"SELECT {_RUN.format(i='event_id')} AS run, max(t) AS now FROM e GROUP BY 1"
 _CTE["rr"] = """SELECT *, reason IS NULL AND fault <> 6 AND odd = 1 AND coalesce((day, k % 2) = (lag(day) OVER o, lag(k % 2) OVER o), FALSE) AS redundant
     FROM (SELECT *, t - t % 86400 AS day FROM rl) WINDOW o AS (PARTITION BY user_id % 50, reason IS NULL AND fault <> 6 AND odd = 1 ORDER BY ingest_id)"""
 
@@ -255,6 +259,16 @@ ORACLE = {
         FROM (SELECT *, lag(k) OVER (PARTITION BY user_id ORDER BY event_id) AS pk FROM ctx WHERE event_type NOT IN ('signup', 'error'))
         WHERE pk IS NULL OR pk <> k GROUP BY 1, 2"""),
     "requests_of_transcripts": _sql(f"""SELECT * EXCLUDE (ingest_id), {_iso('ts')} AS dt FROM rq WHERE ts <= 1706572500"""),
+    "requests_of_growing_files": _sql(f"""SELECT first_ts AS ts, {_iso('first_ts')} AS dt, * EXCLUDE (rn, path, line, ts, first_ts, run_at, done_at) FROM (
+        SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY output_tokens DESC, ts, path, line) AS rn FROM (
+          SELECT l.*, f.first_ts,
+            (SELECT min(run) FROM cut WHERE cut.now - 900 >= f.first_ts) AS done_at, {_RUN.format(i='l.line')} AS run_at
+          FROM ln l JOIN (SELECT request_id, min(ts) AS first_ts FROM ln GROUP BY 1) f USING (request_id)) WHERE run_at <= done_at) WHERE rn = 1"""),
+    "turns_of_growing_files": _sql(f"""SELECT * EXCLUDE (rn, usd), round(usd, 9) AS usd FROM (SELECT *, {_usd()} AS usd FROM (
+        SELECT t AS ts, {_iso('t')} AS dt, thread || ':' || k * 7 AS request_id, 'm1' AS machine, thread AS session_id, folder, entrypoint, model,
+          greatest(k + event_id % 10 - k % 50, 0) AS input_tokens, event_id % 100 AS output_tokens, k % 50 AS cache_read_tokens, k % 6 AS cache_write_5m_tokens,
+          CAST(0 AS BIGINT) AS cache_write_1h_tokens, row_number() OVER (PARTITION BY thread || ':' || k * 7 ORDER BY {_RUN.format(i='event_id')}, user_id, event_id) AS rn
+        FROM ctg WHERE event_type NOT IN ('signup', 'error') AND thread IS NOT NULL) WHERE rn = 1)"""),
     "telemetry_of_batches": _sql(f"""SELECT ts, {_iso('ts')} AS dt, event, CASE WHEN ingest_id % 11 <> 0 THEN session_id END AS session_id, request_id, model, query_source,
         input_tokens, output_tokens, cache_read_tokens, cache_creation_tokens, round(cost_usd, 6) AS cost_usd, received_ts,
         '{{"source":"claude_otel","observed_at":' || ts || ',"received_at":' || received_ts || ',"event":"' || event || '","time_unix_nano":' || ts || '123000000,"attributes":{{'

@@ -18,6 +18,7 @@ from meterloom.sources import readings as reading_source, telemetry as telemetry
 from meterloom.sources.tables import all_slots, stored
 from meterloom.streaming import exchange
 from meterloom.streaming.repeats import drop_repeats
+from meterloom.streaming.transcripts import follow_requests, follow_turns
 from meterloom.streaming.slots import open_costs, open_slots, slots_stream, with_costs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -187,6 +188,38 @@ def requests_of_transcripts(spark, sf):
     return transcripts.requests(log_lines.transcript_lines(spark, sf), COMPLETE_THROUGH)
 
 
+def _growing(spark, sf, lines):
+    """A folder for growing files, and per run the lines to write and the time of its last event."""
+    e = events(spark, sf)
+    dealt = settle(log_lines.run_of(lines, e), "lines-of-runs")
+    times_ = log_lines.run_of(e.withColumnRenamed("event_id", "line"), e).groupBy("run").agg(F.max("t").alias("now")).orderBy("run").collect()
+    return dealt, [r["now"] for r in times_]
+
+
+@query("X5 X2 S1 D4")
+def requests_of_growing_files(spark, sf):
+    """Transcripts written in three runs, files appended to, replaced and cut; each run reads what is new. A request is
+    final, with the lines there are, when its first line is 15 minutes old."""
+    lines, nows = _growing(spark, sf, log_lines.transcript_lines(spark, sf))
+    folder, requests, scans, pending, progress = (scratch(spark, n) for n in ("grown", "requests", "scans", "pending", "progress"))
+    for run, now in enumerate(nows):
+        log_lines.grow(lines, folder, run)
+        follow_requests(spark, folder, requests, scans, pending, progress, now)
+    return stored(spark, requests, schemas.REQUESTS).drop("ingest_id")
+
+
+@query("X5 S2 D6 D7")
+def turns_of_growing_files(spark, sf):
+    """The second agent's files written in three runs; a file's context is carried from run to run, and a file in another's
+    place starts without one."""
+    lines, nows = _growing(spark, sf, log_lines.session_lines(spark, sf))
+    folder, turns, scans, contexts, progress = (scratch(spark, n) for n in ("grown", "turns", "scans", "contexts", "progress"))
+    for run, now in enumerate(nows):
+        log_lines.grow(lines, folder, run)
+        follow_turns(spark, folder, turns, scans, contexts, progress, "m1", now, prices=PRICES)
+    return _r9(stored(spark, turns, schemas.TURNS).drop("ingest_id"))
+
+
 @query("S3 C17 C18 C13 C19")
 def telemetry_of_batches(spark, sf):
     got = telemetry_source.telemetry(log_lines.telemetry_batches(spark, sf))

@@ -44,9 +44,10 @@ def requests(lines: DataFrame, complete_before: int | None = None) -> DataFrame:
     return rows.withColumn("dt", iso(F.col("ts")))
 
 
-def turn_records(lines: DataFrame) -> DataFrame:
+def turn_records(lines: DataFrame, before: DataFrame | None = None) -> DataFrame:
     """Session lines of the second agent, parsed, each with the context that holds there: thread, folder, entrypoint
-    and model, carried down the file from split to split."""
+    and model, carried down the file from split to split. `before` (path and those four): the context that holds where
+    the lines at hand begin, as `contexts` found it in what came before them."""
     seen = F.col("value")
     j = _parsed(lines, seen.contains('"session_meta"') | seen.contains('"turn_context"') | seen.contains('"token_count"'),
                 schemas.TURN_LINE).where(F.col("payload").isNotNull())
@@ -64,12 +65,22 @@ def turn_records(lines: DataFrame) -> DataFrame:
                     .when(context & folder.isNotNull(), F.struct(folder.alias("v")))),
         "_model": ("last_known", F.when(context, F.nullif(F.col("payload.model"), F.lit("")))),
     }
+    start = None if before is None else before.select(
+        "path", *[F.struct(F.col(c).alias("v")).alias(f"_{n}") for n, c in (("thread", "thread"), ("entry", "entrypoint"), ("folder", "folder"))],
+        F.col("model").alias("_model"))
     # The split is the chunk: a file's context meets the next split as one row.
-    rows = running(j, ["path"], [F.col("block"), F.col("line")], specs, F.col("block"))
+    rows = running(j, ["path"], [F.col("block"), F.col("line")], specs, F.col("block"), start)
     return rows.select(*[c for c in j.columns], F.col("_thread.v").alias("thread"), F.col("_entry.v").alias("entrypoint"),
                        F.col("_folder.v").alias("folder"), F.col("_model").alias("model"))
 
 
+def contexts(records: DataFrame, before: DataFrame) -> DataFrame:
+    """The context after these records: each file's last; a file without new records keeps what it had."""
+    held = ["thread", "entrypoint", "folder", "model"]
+    last = records.groupBy("path").agg(F.max_by(F.struct(*held), F.struct("block", "line")).alias("_c")).select("path", "_c.*")
+    return last.unionByName(before.join(last.select("path"), "path", "left_anti"))
+
+
 def _token_counts(records: DataFrame) -> DataFrame:
     return (records.where((~F.col("type").isin("session_meta", "turn_context")) & (F.col("payload.type") == "token_count")
                           & F.col("payload.info").isNotNull())
@@ -79,7 +90,12 @@ def _token_counts(records: DataFrame) -> DataFrame:
 def turns(lines: DataFrame, machine: str, prices=TURN_PRICES) -> DataFrame:
     """Turns of the second agent, each once: a repeated event or an archived copy has the same thread and running
     total. Input is kept without its cached part."""
-    t = _token_counts(turn_records(lines)).where(
+    return turns_of(turn_records(lines), machine, prices)
+
+
+def turns_of(records: DataFrame, machine: str, prices=TURN_PRICES) -> DataFrame:
+    """The turns of `turn_records`."""
+    t = _token_counts(records).where(
         F.col("total").isNotNull() & F.col("last").isNotNull() & (F.coalesce("thread", F.lit("")) != ""))
     cached = tokens(F.col("last.cached_input_tokens"))
     rows = t.select(

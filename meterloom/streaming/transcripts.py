@@ -1,14 +1,17 @@
-"""New transcript segments to requests: what was read is never read again, what is unfinished waits."""
+"""New transcript lines to requests and turns: what was read is never read again, what is unfinished waits, and what a
+file said before its new lines is remembered."""
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from meterloom import schemas
 from meterloom.fixed_values import FINAL_AFTER_S
 from meterloom.operators.dedup import largest_output
-from meterloom.plans.jobs import store_requests
+from meterloom.plans.jobs import store_requests, store_turns
+from meterloom.session import settle
 from meterloom.sinks import gates
+from meterloom.sources.growing import growing_lines
 from meterloom.sources.tables import stored
-from meterloom.sources.transcripts import request_lines
+from meterloom.sources.transcripts import contexts, request_lines, turn_records, turns_of
 
 _PENDING = """path STRING, block LONG, line LONG, ts LONG, request_id STRING, session_id STRING, folder STRING, entrypoint STRING,
     model STRING, input_tokens LONG, output_tokens LONG, cache_read_tokens LONG, cache_write_5m_tokens LONG, cache_write_1h_tokens LONG"""
@@ -16,18 +19,30 @@ _PENDING = """path STRING, block LONG, line LONG, ts LONG, request_id STRING, se
 
 def ingest_requests(spark: SparkSession, folder: str, requests_path: str, scans_path: str, pending_path: str, checkpoint: str,
                     now: int, files_per_batch: int = 1000):
-    """The requests of transcript segments that landed since the last run (segments are written once; an appended-to
-    file belongs to jobs.read_transcripts). A request whose first line is younger than 15 minutes keeps all its lines in
-    the pending table of this batch, where the next batch finds them. A batch that runs twice writes the same pending
-    table again and its requests meet their own ids, so nothing is added twice."""
-    complete_before = now - FINAL_AFTER_S
+    """The requests of transcript segments that landed since the last run (segments are written once; files that are
+    appended to belong to follow_requests)."""
     text = (spark.readStream.option("recursiveFileLookup", True).option("pathGlobFilter", "*.jsonl")
             .option("maxFilesPerTrigger", files_per_batch).text(folder)
             .select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block")))
+    return _requests(spark, text, requests_path, scans_path, pending_path, checkpoint, now)
+
+
+def follow_requests(spark: SparkSession, folder: str, requests_path: str, scans_path: str, pending_path: str, checkpoint: str,
+                    now: int):
+    """The requests of what was appended to a transcript tree since the last run; files may also be replaced or cut."""
+    lines = growing_lines(spark, folder, f"{checkpoint}-ledger")
+    return _requests(spark, lines, requests_path, scans_path, pending_path, checkpoint, now)
+
+
+def _requests(spark: SparkSession, text: DataFrame, requests_path: str, scans_path: str, pending_path: str, checkpoint: str, now: int):
+    """A request whose first line is younger than 15 minutes keeps all its lines in the pending table of this batch, where
+    the next batch finds them. A batch that runs twice writes the same pending table again and its requests meet their
+    own ids, so nothing is added twice."""
+    complete_before = now - FINAL_AFTER_S
 
     def one(batch: DataFrame, number: int) -> None:
         before = stored(spark, f"{pending_path}/batch={number - 1}", _PENDING)
-        fresh = request_lines(batch.withColumn("line", F.monotonically_increasing_id()))
+        fresh = request_lines(batch if "line" in batch.columns else batch.withColumn("line", F.monotonically_increasing_id()))
         lines = gates.settle(fresh.unionByName(before), "request-lines")
         first = lines.groupBy("request_id").agg(F.min("ts").alias("_first"))
         young = first.where(F.col("_first") > complete_before).select("request_id")
@@ -45,3 +60,26 @@ def ingest_requests(spark: SparkSession, folder: str, requests_path: str, scans_
     added = stored(spark, requests_path, schemas.REQUESTS).count() - held
     gates.add_scan(spark, scans_path, now, complete_before, added)
     return added
+
+
+_CONTEXT = "path STRING, thread STRING, entrypoint STRING, folder STRING, model STRING"
+
+
+def follow_turns(spark: SparkSession, folder: str, turns_path: str, scans_path: str, contexts_path: str, checkpoint: str,
+                 machine: str, now: int, **prices) -> int:
+    """The second agent's turns of what was appended since the last run. Each batch leaves every file's context for the
+    next one; a batch that runs twice starts from the same contexts and adds no turn again."""
+    lines = growing_lines(spark, folder, f"{checkpoint}-ledger")
+
+    def one(batch: DataFrame, number: int) -> None:
+        before = stored(spark, f"{contexts_path}/batch={number - 1}", _CONTEXT)
+        records = settle(turn_records(batch, before), "turn-records")
+        contexts(records, before).write.mode("overwrite").parquet(f"{contexts_path}/batch={number}")
+        store_turns(turns_of(records, machine, **prices), turns_path)
+
+    held = stored(spark, turns_path, schemas.TURNS).count()
+    query = lines.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    added = stored(spark, turns_path, schemas.TURNS).count() - held
+    gates.add_scan(spark, scans_path, now, now - 60, added)
+    return added
