@@ -287,6 +287,13 @@ ORACLE = {
         CASE WHEN fault IN (4, 6, 8) THEN NULL WHEN fault = 5 THEN 'a b' ELSE 'm-1' END AS machine, CAST(CASE WHEN fault = 6 THEN 429 END AS BIGINT) AS status FROM rr"""),
     "readings_stored_twice": _sql("""SELECT CASE WHEN odd = 0 THEN 'claude_api' ELSE 'claude_statusline' END AS source, CASE WHEN fault <> 4 THEN 'm-1' END AS machine,
         count(*) AS rows, count(*) AS hashes, CAST(sum(t) AS BIGINT) AS written FROM rl WHERE reason IS NULL AND fault <> 6 GROUP BY 1, 2"""),
+    "readings_in_batches": _sql("""SELECT ingest_id, CASE WHEN odd = 1 THEN day ELSE t END AS ts, CASE WHEN odd = 0 THEN 'claude_api' ELSE 'claude_statusline' END AS source,
+        CASE WHEN odd = 0 THEN k + 0.5::DOUBLE ELSE (k % 2)::DOUBLE END AS five_hour_pct, CASE WHEN odd = 1 THEN 's-' || user_id % 50 END AS observed_by_session
+        FROM rr WHERE reason IS NULL AND fault <> 6 AND NOT redundant"""),
+    "snapshots_in_batches": _sql("""SELECT ingest_id, ts, 's' || sess AS session_id, session_cost_usd
+        FROM (SELECT *, coalesce((session_cost_usd, note) = (lag(session_cost_usd) OVER o, lag(note) OVER o), FALSE) AS same
+          FROM (SELECT event_id AS ingest_id, t // 86400 * 86400 AS ts, (k // 50)::DOUBLE AS session_cost_usd, event_id % 17 = 2 AS note,
+              user_id % 30 AS sess FROM e WHERE event_id % 17 NOT IN (1, 3, 4, 5)) WINDOW o AS (PARTITION BY sess ORDER BY ingest_id)) WHERE NOT same"""),
     "finished_windows": _sql("""SELECT window_minutes, start, start + 3600 AS "end", k * 1.5::DOUBLE / 100 AS pct, CAST(1 AS BIGINT) AS accounting_complete, event_id AS fetched_ts
         FROM (SELECT *, t // 3600 * 3600 AS start, CASE WHEN k % 2 = 0 THEN 300 ELSE 10080 END AS window_minutes,
           row_number() OVER (PARTITION BY t // 3600, k % 2 ORDER BY event_id DESC) AS rn FROM e) WHERE rn = 1"""),

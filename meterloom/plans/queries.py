@@ -246,6 +246,29 @@ def readings_stored_twice(spark, sf):
         F.count(F.lit(1)).alias("rows"), F.count_distinct("row_hash").alias("hashes"), F.sum("written_ts").alias("written"))
 
 
+def _in_batches(lines, add, batches=4):
+    """Lines through a gate in as many batches as arrive, in order; the last one twice, as after a crash."""
+    n = lines.select((F.max("ingest_id") + 1).alias("n")).scalar()
+    dealt = settle(lines.withColumn("_batch", F.floor(F.col("ingest_id") * batches / n)), "arriving")
+    for b in [*range(batches), batches - 1]:
+        add(dealt.where(F.col("_batch") == b).drop("_batch"), f"batch-{b}")
+
+
+@query("K1 D2")
+def readings_in_batches(spark, sf):
+    """What is stored when lines come batch by batch: a session's last reading is looked up beside the store."""
+    path, errors = scratch(spark, "account"), scratch(spark, "errors")
+    _in_batches(log_lines.reading_lines(spark, sf), lambda rows, batch: gates.add_readings(rows, path, errors, "claude", batch=batch))
+    return stored(spark, path, schemas.ACCOUNT_QUOTAS).select("ingest_id", "ts", "source", "five_hour_pct", "observed_by_session")
+
+
+@query("K2 D3")
+def snapshots_in_batches(spark, sf):
+    path = scratch(spark, "snapshots")
+    _in_batches(_snapshot_lines(spark, sf), lambda rows, batch: gates.add_snapshots(rows, path, batch=batch))
+    return stored(spark, path, schemas.SESSION_SNAPSHOTS).select("ingest_id", "ts", "session_id", "session_cost_usd")
+
+
 def _plan_answers(spark, sf):
     """Overlapping answers: each event of a day tells one finished window per hour of it."""
     e = events(spark, sf)

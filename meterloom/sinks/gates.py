@@ -6,6 +6,7 @@ an executor is lost between the two.
 """
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -16,6 +17,7 @@ from meterloom.functions.text import canonical_json, has_percent_key, row_hash,
 from meterloom.functions.times import iso
 from meterloom.operators.dedup import first_by, mark_repeats
 from meterloom.session import settle
+from meterloom.sinks.last_values import LastValues
 from meterloom.sources.lines import parsed
 from meterloom.sources.readings import reading_columns
 from meterloom.sources.tables import stored
@@ -59,10 +61,16 @@ def outcome_counts(classified: DataFrame) -> dict[str, int]:
     return {k: found.get(k, 0) for k in ("inserted", "duplicate", "redundant", "rejected")}
 
 
+def last_readings(spark: SparkSession, path: str) -> LastValues:
+    """The last stored reading of each session, kept beside a table of readings."""
+    return LastValues(spark, f"{path}-last", ["observed_by_session"], F.struct(*[F.col(c).alias(f"f{i}") for i, c in enumerate(_READING)]),
+                      F.coalesce((F.col("source") == PUSH_SOURCE) & (F.col("observed_by_session") != ""), F.lit(False)))
+
+
 def classify_readings(lines: DataFrame, held: DataFrame, held_errors: DataFrame, agent: str, dedup: bool = True,
-                      machine: Column | None = None) -> DataFrame:
+                      machine: Column | None = None, lasts: LastValues | None = None) -> DataFrame:
     """Reading lines (`value`, `ingest_id`) with the outcome of each: rejected, duplicate, redundant (a session repeating
-    its last stored reading) or inserted."""
+    its last stored reading) or inserted. `lasts`: where the last readings are kept; without it the table is asked."""
     typed = settle(reading_columns(lines, agent, machine), "typed-readings")
     good = typed.where(F.col("reason").isNull())
     # The hash covers the raw text, the raw text its write time.
@@ -72,10 +80,13 @@ def classify_readings(lines: DataFrame, held: DataFrame, held_errors: DataFrame,
     if dedup:
         of_session = F.coalesce((F.col("source") == PUSH_SOURCE) & (F.col("observed_by_session") != "") & ~F.col("is_error"), F.lit(False))
         pushed = marked.where(of_session)
-        last = (held.where(F.col("source") == PUSH_SOURCE).join(pushed.select("observed_by_session").distinct(),
-                                                               "observed_by_session", "left_semi")
-                .groupBy("observed_by_session")
-                .agg(F.max_by(F.struct(*[F.col(c).alias(f"f{i}") for i, c in enumerate(_READING)]), "ingest_id").alias("last_values")))
+        if lasts is not None:
+            last = lasts.read(typed.where((F.col("source") == PUSH_SOURCE) & (F.col("observed_by_session") != "")), held)
+        else:
+            last = (held.where(F.col("source") == PUSH_SOURCE).join(pushed.select("observed_by_session").distinct(),
+                                                                   "observed_by_session", "left_semi")
+                    .groupBy("observed_by_session")
+                    .agg(F.max_by(F.struct(*[F.col(c).alias(f"f{i}") for i, c in enumerate(_READING)]), "ingest_id").alias("last_values")))
         seen = mark_repeats(pushed, ["observed_by_session"], [F.col(c) for c in _READING], stored=last, copy=F.col("copy"))
         marked = seen.unionByName(marked.where(~of_session).withColumn("redundant", F.lit(False)))
     else:
@@ -90,21 +101,55 @@ def _with_outcome(marked: DataFrame, typed: DataFrame) -> DataFrame:
     return marked.unionByName(refused).withColumn("outcome", outcome).drop("copy", "redundant")
 
 
+def _decided(spark: SparkSession, path: str, batch: str | None, classify: Callable[[], DataFrame], name: str) -> tuple[DataFrame, bool]:
+    """The classified batch, written, and whether it was classified before. A batch with a name is classified once: when
+    it comes again, after a crash, what was decided then still holds, though the table has changed meanwhile."""
+    if batch is None:
+        return settle(classify(), name), False
+    place, told = f"{path}-classified/{batch}", f"{path}-classified-done/{batch}"
+    if stored(spark, told, "n LONG").head(1):
+        return spark.read.parquet(place), True
+    classify().write.mode("overwrite").parquet(place)
+    spark.range(1).select(F.col("id").alias("n")).coalesce(1).write.mode("overwrite").parquet(told)
+    return spark.read.parquet(place), False
+
+
+def _missing(new: DataFrame, path: str, schema: str, at: str, held_at: str | None = None) -> DataFrame:
+    """Of the rows to insert those that the table does not hold yet, settled before the table grows."""
+    held = _during(stored(new.sparkSession, path, schema), new, at, held_at)
+    return settle(new.join(held.select("row_hash"), "row_hash", "left_anti"), "still-missing")
+
+
 def add_readings(lines: DataFrame, path: str, errors_path: str, agent: str, dedup: bool = True,
-                 machine: Column | None = None) -> DataFrame:
-    """Appends new readings to one table and failed polls to the other; returns the classified lines."""
-    spark = lines.sparkSession
-    done = settle(classify_readings(lines, stored(spark, path, schemas.ACCOUNT_QUOTAS),
-                                            stored(spark, errors_path, schemas.POLL_ERRORS), agent, dedup, machine), "readings")
+                 machine: Column | None = None, batch: str | None = None) -> DataFrame:
+    """Appends new readings to one table and failed polls to the other; returns the classified lines. `batch` names the
+    batch where it may come again: then nothing is stored twice and no outcome changes."""
+    spark, lasts = lines.sparkSession, last_readings(lines.sparkSession, path)
+    done, again = _decided(spark, path, batch, lambda: classify_readings(
+        lines, stored(spark, path, schemas.ACCOUNT_QUOTAS), stored(spark, errors_path, schemas.POLL_ERRORS), agent, dedup, machine, lasts), "readings")
     new = done.where(F.col("outcome") == "inserted")
-    append_rows(new.where(~F.col("is_error")), path, schemas.ACCOUNT_QUOTAS)
-    append_rows(new.where(F.col("is_error")), errors_path, schemas.POLL_ERRORS)
+    good, bad = new.where(~F.col("is_error")), new.where(F.col("is_error"))
+    if again:
+        good, bad = _missing(good, path, schemas.ACCOUNT_QUOTAS, "written_ts"), _missing(bad, errors_path, schemas.POLL_ERRORS, "ts")
+    append_rows(good, path, schemas.ACCOUNT_QUOTAS)
+    append_rows(bad, errors_path, schemas.POLL_ERRORS)
+    lasts.merge(stored(spark, path, schemas.ACCOUNT_QUOTAS), good)
     return done
 
 
-def classify_snapshots(lines: DataFrame, held: DataFrame, dedup: bool = True) -> DataFrame:
+def _snapshot_values() -> list[Column]:
+    """Of a snapshot what must differ from the session's last: model, cost and cache statistics, as structures."""
+    return [F.col("model_id"), F.col("session_cost_usd"), canonical_json(F.col("prompt_cache"))]
+
+
+def last_snapshots(spark: SparkSession, path: str) -> LastValues:
+    """The last stored snapshot of each session, kept beside a table of snapshots."""
+    return LastValues(spark, f"{path}-last", ["session_id"], F.struct(*[c.alias(f"f{i}") for i, c in enumerate(_snapshot_values())]))
+
+
+def classify_snapshots(lines: DataFrame, held: DataFrame, dedup: bool = True, lasts: LastValues | None = None) -> DataFrame:
     """Session snapshot lines (`value`, `session_id`, `ingest_id`) with their outcome. Redundant: same model, cost and
-    cache statistics (as structures, whatever the key order) as the session's last."""
+    cache statistics (as structures, whatever the key order) as the session's last. `lasts`: as for readings."""
     j = parsed(lines, schemas.SNAPSHOT_LINE, "ingest_id", "session_id", "value")
     flat = j.select(
         "ingest_id", "session_id", "value", "model_id", "prompt_cache", number(F.col("ts"), "long").alias("written_ts"),
@@ -122,8 +167,10 @@ def classify_snapshots(lines: DataFrame, held: DataFrame, dedup: bool = True) ->
         F.col("value").alias("raw"), row_hash(F.col("value"), F.col("session_id")).alias("row_hash")), "typed-snapshots")
     good = typed.where(F.col("reason").isNull())
     marked = _mark_copies(good, _during(held, good, "written_ts"), ["row_hash"])
-    values = [F.col("model_id"), F.col("session_cost_usd"), canonical_json(F.col("prompt_cache"))]
-    if dedup:
+    values = _snapshot_values()
+    if dedup and lasts is not None:
+        marked = mark_repeats(marked, ["session_id"], values, stored=lasts.read(good, held), copy=F.col("copy"))
+    elif dedup:
         last = (held.join(marked.select("session_id").distinct(), "session_id", "left_semi").groupBy("session_id")
                 .agg(F.max_by(F.struct(*[c.alias(f"f{i}") for i, c in enumerate(values)]), "ingest_id").alias("last_values")))
         marked = mark_repeats(marked, ["session_id"], values, stored=last, copy=F.col("copy"))
@@ -132,10 +179,16 @@ def classify_snapshots(lines: DataFrame, held: DataFrame, dedup: bool = True) ->
     return _with_outcome(marked, typed)
 
 
-def add_snapshots(lines: DataFrame, path: str, dedup: bool = True) -> DataFrame:
-    spark = lines.sparkSession
-    done = settle(classify_snapshots(lines, stored(spark, path, schemas.SESSION_SNAPSHOTS), dedup), "snapshots")
-    append_rows(done.where(F.col("outcome") == "inserted"), path, schemas.SESSION_SNAPSHOTS)
+def add_snapshots(lines: DataFrame, path: str, dedup: bool = True, batch: str | None = None) -> DataFrame:
+    """Appends new snapshots; returns the classified lines. `batch`: as for readings."""
+    spark, lasts = lines.sparkSession, last_snapshots(lines.sparkSession, path)
+    done, again = _decided(spark, path, batch, lambda: classify_snapshots(
+        lines, stored(spark, path, schemas.SESSION_SNAPSHOTS), dedup, lasts), "snapshots")
+    new = done.where(F.col("outcome") == "inserted")
+    if again:
+        new = _missing(new, path, schemas.SESSION_SNAPSHOTS, "written_ts")
+    append_rows(new, path, schemas.SESSION_SNAPSHOTS)
+    lasts.merge(stored(spark, path, schemas.SESSION_SNAPSHOTS), new)
     return done
 
 

@@ -1,5 +1,6 @@
 """Table-to-table streams: rows go once, and a crash between two commits only sends them again."""
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -31,12 +32,12 @@ def send(table: DataFrame, after: int, machine: str | None, deliver: Callable[[D
     return mark
 
 
-def replicate(spark: SparkSession, source: str, schema: str, checkpoint: str, deliver: Callable[[DataFrame], None],
+def replicate(spark: SparkSession, source: str, schema: str, checkpoint: str, deliver: Callable[[DataFrame, int], None],
               files_per_batch: int = 1000):
     """Everything new in a table folder, batch by batch, until there is nothing left. The checkpoint advances only after
-    `deliver` returned, and `deliver` is a gate, so a batch sent twice adds nothing."""
+    `deliver` (given a batch and its number) returned, and `deliver` is a gate, so a batch sent twice adds nothing."""
     rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source)
-    query = (rows.writeStream.foreachBatch(lambda batch, _: deliver(batch)).option("checkpointLocation", checkpoint)
+    query = (rows.writeStream.foreachBatch(deliver).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
     query.awaitTermination()
     return query
@@ -44,7 +45,7 @@ def replicate(spark: SparkSession, source: str, schema: str, checkpoint: str, de
 
 def replicate_slots(spark: SparkSession, source: str, target: str, checkpoint: str, machine: str | None = None):
     """One machine's slots to another store, through the slot gate."""
-    def deliver(batch: DataFrame) -> None:
+    def deliver(batch: DataFrame, _: int) -> None:
         own = batch if machine is None else batch.where(F.col("machine") == machine)
         gates.add_slots(own, target, machine)
     return replicate(spark, source, schemas.SLOTS, checkpoint, deliver)
@@ -60,6 +61,9 @@ def merge_both_ways(a: DataFrame, b: DataFrame, name_a: str, name_b: str) -> tup
 
 def ingest_readings(spark: SparkSession, source: str, path: str, errors_path: str, agent: str, checkpoint: str,
                     schema: str = "value STRING, ingest_id LONG"):
-    """Landed reading lines through the readings gate as they come. The last reading of each session is looked up in
-    the table itself, for the sessions of the batch only; a session of any size is cut into chunks there."""
-    return replicate(spark, source, schema, checkpoint, lambda batch: gates.add_readings(batch, path, errors_path, agent))
+    """Landed reading lines through the readings gate as they come. The last reading of each session is looked up beside
+    the table, for the sessions of the batch only; a session of any size is cut into chunks there. A batch that comes again
+    is known by the stream's name and its number."""
+    stream = hashlib.sha1(checkpoint.encode()).hexdigest()[:12]
+    return replicate(spark, source, schema, checkpoint,
+                     lambda batch, n: gates.add_readings(batch, path, errors_path, agent, batch=f"{stream}-{n}"))
