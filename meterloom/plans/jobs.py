@@ -7,11 +7,11 @@ from meterloom.fixed_values import FINAL_AFTER_S
 from meterloom.functions.times import iso
 from meterloom.operators.slots import final_slots
 from meterloom.sinks import gates
-from meterloom.sources.lines import next_ingest_id, number_rows, read_lines
+from meterloom.sources.lines import number_rows, read_lines
 from meterloom.sources.tables import stored
 from meterloom.sources.transcripts import last_answers, observed_at, requests, turns
 from meterloom.sources.readings import payload_rows
-from meterloom.session import scratch
+from meterloom.session import scratch, settle
 
 
 def in_order(rows: DataFrame, after: int, order: list[str]) -> DataFrame:
@@ -28,9 +28,14 @@ def in_order(rows: DataFrame, after: int, order: list[str]) -> DataFrame:
 
 def store_requests(found: DataFrame, requests_path: str) -> int:
     """Appends the requests the working table does not have, numbered in time order."""
-    held = stored(found.sparkSession, requests_path, schemas.REQUESTS)
-    new = found.join(held.select("request_id"), "request_id", "left_anti").withColumn("dt", iso(F.col("ts")))
-    return gates.add_requests(in_order(new, next_ingest_id(held), ["ts", "request_id"]), requests_path)
+    return _store(found.withColumn("dt", iso(F.col("ts"))), requests_path, schemas.REQUESTS)
+
+
+def _store(found: DataFrame, path: str, schema: str) -> int:
+    """The table is asked once, and of it only the files whose filters may hold one of the ids."""
+    found, known = settle(found, "found"), gates.known_requests(found.sparkSession, path, schema)
+    new = found.join(known.holding(found).select("request_id"), "request_id", "left_anti")
+    return gates.add_requests(in_order(new, known.highest(), ["ts", "request_id"]), path, schema, new=True)
 
 
 def read_transcripts(spark: SparkSession, folder: str, requests_path: str, scans_path: str, now: int) -> int:
@@ -51,9 +56,7 @@ def read_sessions(spark: SparkSession, folder: str, turns_path: str, scans_path:
 
 def store_turns(found: DataFrame, turns_path: str) -> int:
     """Appends the turns the table does not have, numbered in time order."""
-    held = stored(found.sparkSession, turns_path, schemas.TURNS)
-    new = found.join(held.select("request_id"), "request_id", "left_anti")
-    return gates.add_requests(in_order(new, next_ingest_id(held), ["ts", "request_id"]), turns_path, schemas.TURNS)
+    return _store(found, turns_path, schemas.TURNS)
 
 
 def write_slots(spark: SparkSession, requests_path: str, telemetry_path: str | None, scans_path: str, slots_path: str,

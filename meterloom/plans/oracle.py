@@ -319,6 +319,7 @@ ORACLE = {
         FROM e WHERE event_id % 17 NOT IN (1, 3, 4, 5)) GROUP BY 1"""),
     "telemetry_stored_twice": _sql("""SELECT event, count(*) AS rows, CAST(sum(input_tokens) AS BIGINT) AS input_tokens, 1 AS scans FROM (
         SELECT DISTINCT event, ts, received_ts, session_id, request_id, model, input_tokens, output_tokens, cost_usd, ingest_id % 2, ingest_id % 7 = 0, ingest_id % 11 = 0 FROM tm) GROUP BY 1"""),
+    "requests_in_batches": _sql("SELECT row_number() OVER (ORDER BY ts, request_id) AS place, request_id, ts, output_tokens FROM rq"),
     "slots_received": _sql("SELECT machine, count(*) AS slots, CAST(sum(requests) AS BIGINT) AS requests, round(sum(usd), 6) AS usd FROM sl WHERE machine = 'm1' GROUP BY 1"),
     "requests_rebuilt": _sql("SELECT count(*) AS old_rows, 0 AS missing, 0 AS different FROM rq WHERE ts <= 1706572500"),
     "slots_moved": _sql("SELECT machine, count(*) AS slots, CAST(sum(requests) AS BIGINT) AS requests FROM sl GROUP BY 1"),

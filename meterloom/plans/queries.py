@@ -409,6 +409,19 @@ def telemetry_stored_twice(spark, sf):
         F.count(F.lit(1)).alias("rows"), F.sum("input_tokens").alias("input_tokens"), F.first(n).alias("scans"))
 
 
+@query("K4 D4 T2")
+def requests_in_batches(spark, sf):
+    """Each batch brings new requests and, as a resumed session does, those of the batches before it: every id once."""
+    path = scratch(spark, "requests")
+    found = transcripts.requests(log_lines.transcript_lines(spark, sf))
+    last = found.select((F.max("ts") + 1).alias("v")).scalar()
+    first = found.select(F.min("ts").alias("v")).scalar()
+    dealt = settle(found.withColumn("_batch", F.floor((F.col("ts") - first) * 3 / (last - first))), "arriving")
+    for b in range(3):
+        jobs.store_requests(dealt.where(F.col("_batch") <= b).drop("_batch"), path)
+    return stored(spark, path, schemas.REQUESTS).withColumnRenamed("ingest_id", "place").select("place", "request_id", "ts", "output_tokens")
+
+
 @query("K8 K6")
 def slots_received(spark, sf):
     """Another machine's slots, sent as lines, twice."""

@@ -17,6 +17,7 @@ from meterloom.functions.text import canonical_json, has_percent_key, row_hash,
 from meterloom.functions.times import iso
 from meterloom.operators.dedup import first_by, mark_repeats
 from meterloom.session import settle
+from meterloom.sinks.known_ids import KnownIds
 from meterloom.sinks.last_values import LastValues
 from meterloom.sources.lines import parsed
 from meterloom.sources.readings import reading_columns
@@ -192,10 +193,13 @@ def add_snapshots(lines: DataFrame, path: str, dedup: bool = True, batch: str |
     return done
 
 
-def classify_telemetry(lines: DataFrame, held: DataFrame) -> DataFrame:
-    """Flattened telemetry lines (`value`, `ingest_id`) with their outcome."""
+def classify_telemetry(lines: DataFrame, held: DataFrame, known: KnownIds | None = None) -> DataFrame:
+    """Flattened telemetry lines (`value`, `ingest_id`) with their outcome. `known`: which files of the table may hold a
+    line; without it the table is asked."""
     good = settle(telemetry_from_lines(lines.where(~has_percent_key(F.col("value"))))
                   .withColumn("row_hash", row_hash(F.col("raw"))), "typed-telemetry")
+    if known is not None:
+        held = known.holding(good)
     marked = _mark_copies(good, _during(held, good, "ts"), ["row_hash"]).withColumn(
         "outcome", F.when(F.col("copy"), "duplicate").otherwise("inserted")).drop("copy")
     refused = lines.join(good.select("ingest_id"), "ingest_id", "left_anti").select("ingest_id", F.col("value").alias("raw"))
@@ -204,13 +208,20 @@ def classify_telemetry(lines: DataFrame, held: DataFrame) -> DataFrame:
 
 def add_telemetry(lines: DataFrame, path: str) -> DataFrame:
     spark = lines.sparkSession
-    done = settle(classify_telemetry(lines, stored(spark, path, schemas.TELEMETRY)), "telemetry")
+    known = KnownIds(spark, path, schemas.TELEMETRY, "row_hash")
+    done = settle(classify_telemetry(lines, stored(spark, path, schemas.TELEMETRY), known), "telemetry")
     append_rows(done.where(F.col("outcome") == "inserted"), path, schemas.TELEMETRY)
+    known.update()
     return done
 
 
-def add_requests(rows: DataFrame, path: str, schema: str = schemas.REQUESTS) -> int:
-    """Appends requests whose id is new; a missing id or a negative or missing count refuses the batch."""
+def known_requests(spark: SparkSession, path: str, schema: str = schemas.REQUESTS) -> KnownIds:
+    return KnownIds(spark, path, schema, "request_id")
+
+
+def add_requests(rows: DataFrame, path: str, schema: str = schemas.REQUESTS, new: bool = False) -> int:
+    """Appends requests whose id is new; a missing id or a negative or missing count refuses the batch. `new`: the caller
+    has asked the table already, once, for ids that do not repeat."""
     counts = ["input_tokens", "output_tokens", "cache_read_tokens", "cache_write_5m_tokens", "cache_write_1h_tokens"]
     bad = F.coalesce("request_id", F.lit("")) == ""
     for c in counts:
@@ -219,10 +230,12 @@ def add_requests(rows: DataFrame, path: str, schema: str = schemas.REQUESTS) ->
     first = settled.where(bad).select("request_id", *counts).first()
     if first is not None:
         raise ValueError(f"a request needs an id and non-negative counts: {first.asDict()}")
-    held = stored(rows.sparkSession, path, schema)
-    new = settle(_mark_copies(settled, held, ["request_id"]).where(~F.col("copy")).drop("copy"), "new-requests")
-    append_rows(new, path, schema)
-    return new.count()
+    known = known_requests(rows.sparkSession, path, schema)
+    fresh = settled if new else settle(
+        _mark_copies(settled, known.holding(settled), ["request_id"]).where(~F.col("copy")).drop("copy"), "new-requests")
+    append_rows(fresh, path, schema)
+    known.update()
+    return fresh.count()
 
 
 def add_scan(spark: SparkSession, path: str, ts: int, complete_through_ts: int, requests_added: int) -> str:
