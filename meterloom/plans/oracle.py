@@ -476,6 +476,7 @@ ORACLE |= {
         FROM (SELECT *, lag(session_cost_usd) OVER (PARTITION BY session_id ORDER BY ts, ingest_id) AS prev_cost
           FROM (SELECT event_id AS ingest_id, 's' || user_id % 40 AS session_id, t AS ts, (k // 25) / 4.0::DOUBLE AS session_cost_usd FROM e))"""),
     "payloads_of_all_dated": _sql("""SELECT event_id, user_id AS session, t, (SELECT max(a.t + a.k + 1) FROM e a WHERE a.user_id = p.user_id AND a.t + a.k + 1 <= p.t) AS observed_at FROM e p"""),
+    "payloads_dated_on_arrival": _sql("""SELECT event_id, user_id AS session, t, (SELECT max(a.t + a.k + 1) FROM e a WHERE a.user_id = p.user_id AND a.t + a.k + 1 <= p.t) AS observed_at FROM e p"""),
     "time_expressions_of_all": _sql(f"""SELECT event_id, t AS from_iso, t AS from_text, CAST(NULL AS BIGINT) AS from_blank, strftime(make_timestamp(t * 1000000), '%Y-%m') AS month,
         strftime(make_timestamp(t * 1000000), '%m-%d %H:%M') AS minute, t // 300 * 300 AS slot, k + 1 AS rounded, {_snap('(k * 100)')} AS snapped FROM e"""),
 }

@@ -17,7 +17,8 @@ from meterloom.sinks import gates
 from meterloom.sources import readings as reading_source, telemetry as telemetry_source, transcripts
 from meterloom.sources.tables import all_slots, stored
 from meterloom.streaming import exchange
-from meterloom.streaming.repeats import drop_repeats
+from meterloom.streaming.dating import dated
+from meterloom.streaming.repeats import drop_repeats, rocksdb
 from meterloom.streaming.transcripts import follow_requests, follow_turns
 from meterloom.streaming.slots import open_costs, open_slots, slots_stream, with_costs
 
@@ -344,6 +345,28 @@ def payloads_of_all_dated(spark, sf):
     return hit.select("event_id", "session", "t", F.col("_a.answered").alias("observed_at"))
 
 
+@query("C20 S4 J6")
+def payloads_dated_on_arrival(spark, sf):
+    """The same as two streams in three runs, each run a backlog with answers on both sides of its payloads. A last
+    payload of no transcript moves the watermark past the others."""
+    e = settle(log_lines.run_of(events(spark, sf).withColumn("line", F.col("event_id")), events(spark, sf)), "arriving")
+    path = F.col("user_id").cast("string").alias("path")
+    at = F.timestamp_seconds(F.col("t") + F.col("k") + 1)
+    answers = e.select(path, at.alias("at"), F.lit(0).cast("long").alias("block"), "line", (F.col("t") + F.col("k") + 1).alias("ts"), "run")
+    shown = e.select(path, F.timestamp_seconds("t").alias("arrived"), F.col("event_id").alias("ingest_id"), F.col("t").cast("string").alias("value"), "run")
+    end = e.groupBy().agg(F.timestamp_seconds(F.max("t") + DAY).alias("arrived"))
+    flush = end.select(F.lit(None).cast("string").alias("path"), "arrived", F.lit(-1).cast("long").alias("ingest_id"), F.lit("").alias("value"), F.lit(2).alias("run"))
+    told, asked, out, progress = (scratch(spark, n) for n in ("answers", "payloads", "dated", "progress"))
+    with rocksdb(spark):
+        for run in range(log_lines.RUNS):
+            answers.where(F.col("run") == run).drop("run").write.mode("append").parquet(told)
+            shown.unionByName(flush).where(F.col("run") == run).drop("run").write.mode("append").parquet(asked)
+            stream = dated(spark.readStream.schema(shown.drop("run").schema).parquet(asked), spark.readStream.schema(answers.drop("run").schema).parquet(told))
+            stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", progress).trigger(availableNow=True).start().awaitTermination()
+    got = spark.read.parquet(out)
+    return got.select(F.col("ingest_id").alias("event_id"), F.col("path").cast("long").alias("session"), F.col("arrived").alias("t"), "observed_at")
+
+
 @query("S4 C20 C21")
 def payloads_to_lines(spark, sf):
     e = events(spark, sf)
@@ -946,18 +969,11 @@ def slots_replicated(spark, sf):
 
 @query("X7 D2")
 def repeats_dropped_in_stream(spark, sf):
-    from meterloom.streaming.repeats import ROCKSDB
     e = events(spark, sf).select("event_id", "user_id", "event_type", F.floor(F.col("k") / 50).alias("half"))
     path = _copy(spark, e, "events", order="event_id")
     stream = spark.readStream.schema(e.schema).parquet(path)
-    before = {k: spark.conf.get(k, None) for k in ROCKSDB}
-    for k, v in ROCKSDB.items():
-        spark.conf.set(k, v)
-    try:
+    with rocksdb(spark):
         return _finish(spark, drop_repeats(stream, ["user_id"], ["event_type", "half"], "event_id"), "kept")
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 @query("X8")

@@ -70,10 +70,17 @@ def payload_rows(payloads: DataFrame, observed: DataFrame, now: Column, machine:
     """Display payloads (`value`) to reading lines and session-snapshot lines, each for its own gate: percents go to
     the one, cost to the other. A payload without limits, or whose transcript gives no date, gives nothing. `observed`
     is one row per transcript (path, observed_at)."""
-    j = payloads.select(*[c for c in payloads.columns if c != "value"], F.from_json("value", schemas.PAYLOAD).alias("j"))
+    known = observed.where(F.col("observed_at").isNotNull())
+    dated = payloads.join(known, F.get_json_object("value", "$.transcript_path") == F.col("path")).drop("path")
+    return dated_payload_rows(dated, now, machine)
+
+
+def dated_payload_rows(payloads: DataFrame, now: Column, machine: str | None) -> tuple[DataFrame, DataFrame]:
+    """The same for payloads that carry their own `observed_at`."""
+    rest = [c for c in payloads.columns if c not in ("value", "observed_at")]
+    j = payloads.where(F.col("observed_at").isNotNull()).select(*rest, "observed_at", F.from_json("value", schemas.PAYLOAD).alias("j"))
     limited = j.where(F.col("j.rate_limits.five_hour").isNotNull() | F.col("j.rate_limits.seven_day").isNotNull())
-    dated = (limited.join(observed.where(F.col("observed_at").isNotNull()), F.col("j.transcript_path") == F.col("path"))
-             .withColumn("_now", now.cast("long")))
+    dated = limited.withColumn("_now", now.cast("long"))
     common = [F.col("_now").alias("ts"), iso(F.col("_now")).alias("iso"), F.lit(PUSH_SOURCE).alias("source"), F.col("observed_at")]
     zero = lambda c: F.coalesce(F.col(c), F.lit(0.0))
     keep = {"ignoreNullFields": "false"}
@@ -86,7 +93,6 @@ def payload_rows(payloads: DataFrame, observed: DataFrame, now: Column, machine:
     snapshot = F.to_json(F.struct(
         *common, blank_to_null(F.col("j.model.id")).alias("model_id"),
         F.col("j.cost.total_cost_usd").try_cast("double").alias("session_cost_usd"), F.col("j.prompt_cache").alias("prompt_cache")), keep)
-    rest = [c for c in payloads.columns if c != "value"]
     session = session_or_null(F.col("j.session_id"))
     return (dated.select(*rest, reading.alias("value")),
             dated.where(session.isNotNull()).select(*rest, session.alias("session_id"), snapshot.alias("value")))

@@ -136,6 +136,14 @@ def last_answers(lines: DataFrame) -> DataFrame:
         *_PLACE, zoned_epoch(F.col("timestamp")).alias("ts"), F.col("sessionId").alias("session_id"))
 
 
+def answer_times(lines: DataFrame) -> DataFrame:
+    """Top-level assistant lines with the instant of their stamp, whatever its zone, and their UTC time (else NULL): what
+    tells when an answer was there, and what it dates."""
+    j = _parsed(lines, F.col("value").contains('"type":"assistant"'), "type STRING, timestamp STRING")
+    return j.where(F.col("type") == "assistant").select(
+        *_PLACE, F.try_to_timestamp("timestamp").alias("at"), zoned_epoch(F.col("timestamp")).alias("ts")).where("at is not null")
+
+
 def observed_at(answers: DataFrame) -> DataFrame:
     """Per transcript the time of its last assistant line, or NULL when that line's stamp is not UTC."""
     at = F.struct("block", "line")

@@ -1,9 +1,10 @@
 """Per-key last value in a stream: rows that repeat the last kept row of their key are dropped."""
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StructType
 
@@ -45,3 +46,16 @@ def drop_repeats(rows: DataFrame, keys: list[str], values: list[str], by: str =
 
 ROCKSDB = {"spark.sql.streaming.stateStore.providerClass":
            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
+
+
+@contextmanager
+def rocksdb(spark: SparkSession):
+    """Streams started inside keep their state in RocksDB."""
+    before = {k: spark.conf.get(k, None) for k in ROCKSDB}
+    for k, v in ROCKSDB.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -11,7 +11,9 @@ from meterloom.session import settle
 from meterloom.sinks import gates
 from meterloom.sources.growing import growing_lines
 from meterloom.sources.tables import stored
-from meterloom.sources.transcripts import contexts, request_lines, turn_records, turns_of
+from meterloom.sources.readings import dated_payload_rows
+from meterloom.sources.transcripts import answer_times, contexts, request_lines, turn_records, turns_of
+from meterloom.streaming.dating import dated
 
 _PENDING = """path STRING, block LONG, line LONG, ts LONG, request_id STRING, session_id STRING, folder STRING, entrypoint STRING,
     model STRING, input_tokens LONG, output_tokens LONG, cache_read_tokens LONG, cache_write_5m_tokens LONG, cache_write_1h_tokens LONG"""
@@ -83,3 +85,22 @@ def follow_turns(spark: SparkSession, folder: str, turns_path: str, scans_path:
     added = stored(spark, turns_path, schemas.TURNS).count() - held
     gates.add_scan(spark, scans_path, now, now - 60, added)
     return added
+
+
+def follow_payloads(spark: SparkSession, payloads: DataFrame, folder: str, account_path: str, errors_path: str, snapshots_path: str,
+                    checkpoint: str, machine: str, now: int, delay: str = "10 minutes") -> None:
+    """Display payloads (a stream of `value`, `ingest_id`, `arrived`) to both gates, each dated by what its transcript
+    said when it arrived; the transcripts are followed as they grow. A payload waits in the stream's state until a run that
+    follows one which saw rows `delay` past it. Needs the RocksDB store."""
+    told = answer_times(growing_lines(spark, folder, f"{checkpoint}-ledger").withColumn("path", F.regexp_replace("path", "#[0-9]+$", "")))
+    shown = payloads.select("value", "ingest_id", "arrived", F.get_json_object("value", "$.transcript_path").alias("path"))
+
+    def one(batch: DataFrame, number: int) -> None:
+        rows = settle(batch.select("ingest_id", "value", "observed_at"), "dated-payloads")
+        account, session = dated_payload_rows(rows, F.lit(now), machine)
+        gates.add_readings(account, account_path, errors_path, "claude", batch=f"payloads-{number}")
+        gates.add_snapshots(session, snapshots_path, batch=f"payloads-{number}")
+
+    query = (dated(shown, told, delay).writeStream.foreachBatch(one).option("checkpointLocation", checkpoint)
+             .outputMode("append").trigger(availableNow=True).start())
+    query.awaitTermination()
