@@ -1,5 +1,7 @@
 """What a window's percent is worth: spend against percent, per window and per plan."""
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from meterloom.fixed_values import MAX_UNPRICED, MIN_PCT, MIN_PEAK, SPAN_S, TOKEN_COLUMNS
@@ -62,7 +64,8 @@ def spent_at_steps(step: DataFrame, line: DataFrame, kind: str) -> DataFrame:
 
 def fits(seen: DataFrame, line: DataFrame, kind: str, plans) -> DataFrame:
     """Per window the budget B (USD at 100 %) of a line through the origin, pct = 100 usd / B, over its steps of 5 % or
-    more, and R²; or why there is none."""
+    more, and R²; or why there is none. The residuals' squares come from moments about the means, which Spark merges
+    without cancellation: with s the slope, n (s mean(x) - mean(y))² + Syy - 2 s Sxy + s² Sxx."""
     at = spent_at_steps(steps(seen, kind, plans), line, kind)
     x, y = F.col("usd"), F.col("pct")
     used = y >= MIN_PCT
@@ -71,16 +74,16 @@ def fits(seen: DataFrame, line: DataFrame, kind: str, plans) -> DataFrame:
     sums = at.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("steps"), F.count(on).alias("_n"),
         F.coalesce(F.sum(on * x * y), F.lit(0.0)).alias("_xy"), F.coalesce(F.sum(on * x * x), F.lit(0.0)).alias("_xx"),
-        F.avg(on * y).alias("_mean"), F.count_if(used & (x != 0)).alias("_spent"),
+        F.avg(on * y).alias("_mean"), F.avg(on * x).alias("_mean_x"), F.var_pop(on * y).alias("_vy"), F.var_pop(on * x).alias("_vx"),
+        F.covar_pop(on * x, on * y).alias("_cov"), F.count_if(used & (x != 0)).alias("_spent"),
         F.max_by("usd", F.struct("ts", "pct")).alias("usd"), F.max_by("tokens", F.struct("ts", "pct")).alias("tokens"),
         F.max_by("unpriced", F.struct("ts", "pct")).alias("_unpriced"),
-        F.max_by("cache_read_tokens", F.struct("ts", "pct")).alias("_read"),
-        F.collect_list(F.when(used, F.struct(x.alias("x"), y.alias("y")))).alias("_points"))
+        F.max_by("cache_read_tokens", F.struct("ts", "pct")).alias("_read"))
     share = lambda c: F.when(F.col("tokens") != 0, F.col(c) / F.col("tokens")).otherwise(F.lit(0.0))
-    total = lambda e: F.aggregate("_points", F.lit(0.0), lambda acc, p: acc + e(p))
-    slope = F.col("_xy") / F.col("_xx")
-    sst = total(lambda p: (p["y"] - F.col("_mean")) * (p["y"] - F.col("_mean")))
-    sse = total(lambda p: (p["y"] - p["x"] * slope) * (p["y"] - p["x"] * slope))
+    slope, n = F.col("_xy") / F.col("_xx"), F.col("_n")
+    off = slope * F.col("_mean_x") - F.col("_mean")
+    sst = n * F.col("_vy")
+    sse = n * F.greatest(off * off + F.col("_vy") - 2 * slope * F.col("_cov") + slope * slope * F.col("_vx"), F.lit(0.0))
     why = (F.when(F.col("unpriced") > MAX_UNPRICED, F.concat(F.bround(F.col("unpriced") * 100, 0).cast("int").cast("string"),
                                                             F.lit("% of tokens without $")))
            .when((F.col("_n") < 3) | (F.col("_spent") == 0), F.lit("fewer than 3 readings at 5%+")))
@@ -140,10 +143,12 @@ def _high(fit: DataFrame) -> DataFrame:
 
 def plan_summary(fit_5h: DataFrame, fit_7d: DataFrame, ratios: DataFrame) -> DataFrame:
     """Per plan: median, 10th and 90th percentile of both budgets and of the ratio, and the ratio of the summed gains."""
-    marks = lambda name: {f"{name}_p50": 0.5, f"{name}_p10": 0.1, f"{name}_p90": 0.9}
-    five = nearest_rank(_high(fit_5h), ["plan"], F.col("b"), marks("b_5h")).withColumnRenamed("n", "n_5h")
-    week = nearest_rank(_high(fit_7d), ["plan"], F.col("b"), marks("b_7d")).withColumnRenamed("n", "n_7d")
-    per = nearest_rank(ratios, ["plan"], F.col("ratio"), marks("per_week")).withColumnRenamed("n", "n_ratio")
+    told = {"b_5h": ("n_5h", _high(fit_5h).select("plan", F.col("b").alias("v"))), "b_7d": ("n_7d", _high(fit_7d).select("plan", F.col("b").alias("v"))),
+            "per_week": ("n_ratio", ratios.select("plan", F.col("ratio").alias("v")))}
+    every = reduce(DataFrame.unionByName, [rows.withColumn("what", F.lit(name)) for name, (_, rows) in told.items()])
+    marks = settle(nearest_rank(every, ["what", "plan"], F.col("v"), {"p50": 0.5, "p10": 0.1, "p90": 0.9}), "marks")
+    five, week, per = (marks.where(F.col("what") == name).select("plan", F.col("n").alias(n), *[F.col(p).alias(f"{name}_{p}") for p in ("p50", "p10", "p90")])
+                       for name, (n, _) in told.items())
     gains = ratios.groupBy("plan").agg((F.sum("gain_5h") / F.sum("gain_7d")).alias("per_week_summed"))
     plans = (fit_5h.select("plan").unionByName(fit_7d.select("plan"))).distinct()
     out = plans

@@ -65,7 +65,7 @@ def test_counts_between(spark, skewed, rows):
 
 
 def test_medians(skewed, rows):
-    got = {r.key: (r.median, r.n) for r in exact_median(skewed, ["key"], "t", accuracy=50).collect()}
+    got = {r.key: (r.median, r.n) for r in exact_median(skewed, ["key"], "t").collect()}
     by_key = {}
     for r in skewed.collect():
         by_key.setdefault(r.key, []).append(r.t)
