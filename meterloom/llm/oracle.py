@@ -1,6 +1,7 @@
 """DuckDB SQL of the queries that SQL can express."""
 
 from meterloom.llm.license_scan import COVERED, DRIFT, TEMPLATES
+from meterloom.llm.line_dedup import WORDS
 from meterloom.llm.url_filter import FOLDS, ORDER, RULES, SMOOTH, STEP
 
 _WORDS = r"[^\x20\x09-\x0D]+"
@@ -119,12 +120,15 @@ ORACLE["op9_line_dedup"] = rf"""
 WITH a AS (
   SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents)
 ), n AS (
-  SELECT * FROM (SELECT *, array_to_string(regexp_extract_all({_LOWER.format("line")}, '{_WORDS}'), ' ') AS w FROM a) WHERE w <> ''
+  SELECT *, count(*) OVER (PARTITION BY doc_id) AS n_lines, row_number() OVER (PARTITION BY w ORDER BY doc_id, i) AS place
+  FROM (SELECT *, len(found) AS n_words, array_to_string(found, ' ') AS w
+        FROM (SELECT *, regexp_extract_all({_LOWER.format("line")}, '{_WORDS}') AS found FROM a)) WHERE n_words > 0
 ), p AS (
   SELECT doc_id, i, lead(i) OVER o AS j, w || chr(10) || lead(w) OVER o AS pair FROM n WINDOW o AS (PARTITION BY doc_id ORDER BY i)
 ), gone AS (
   SELECT DISTINCT doc_id, unnest([i, j]) AS i
   FROM (SELECT *, row_number() OVER (PARTITION BY pair ORDER BY doc_id, i) AS place FROM p WHERE j IS NOT NULL) WHERE place > 1
+  UNION SELECT doc_id, i FROM n WHERE place > 1 AND (n_words >= {WORDS} OR n_lines = 1)
 ), kept AS (
   SELECT doc_id, string_agg(line, chr(10) ORDER BY i) AS text FROM a ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id
 ), sums AS (
