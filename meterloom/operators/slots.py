@@ -1,5 +1,8 @@
 """Requests and their telemetry to five-minute slots."""
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from meterloom.fixed_values import SLOT_S, STUB_MODEL, TOKEN_COLUMNS
@@ -30,12 +33,22 @@ def session_places(requests: DataFrame, *columns: str, known_only: bool = True)
             .select("session_id", *[F.col(f"{c}.v").alias(c) for c in columns]))
 
 
+@dataclass
+class Near:
+    """Where the rows of some ids lie, for tables that can tell without being read whole: telemetry by request_id, requests
+    by request_id and by session_id. Each takes a table of ids and returns a part of its table that holds all their rows."""
+    telemetry: Callable[[DataFrame], DataFrame]
+    requests: Callable[[DataFrame], DataFrame]
+    sessions: Callable[[DataFrame], DataFrame]
+
+
 def request_rows(requests: DataFrame, telemetry: DataFrame | None, start: Column | int | None = None,
-                 end: Column | int | None = None) -> DataFrame:
+                 end: Column | int | None = None, near: Near | None = None) -> DataFrame:
     """Every request of [start, end) in the slot's columns, already added up where nothing tells the rows apart: the
     requests of the transcripts with their reported cost, then the requests only telemetry has, in their session's
     folder. Both sides are one row per request_id before they are joined, so no join key is hot; the time range reaches
-    the scan of each side, and telemetry is folded once for both joins."""
+    the scan of each side, and telemetry is folded once for both joins. `near` finds what lies outside the range; without
+    it the tables are asked."""
     def during(df: DataFrame) -> DataFrame:
         if start is not None:
             df = df.where(F.col("ts") >= (F.lit(start) if isinstance(start, int) else start))
@@ -52,10 +65,13 @@ def request_rows(requests: DataFrame, telemetry: DataFrame | None, start: Column
         if start is not None or end is not None:
             # Only requests of the range, or reported in it, are folded: all events of these, wherever they lie.
             wanted = mine.select("request_id").unionByName(during(telemetry).where("request_id IS NOT NULL").select("request_id")).distinct()
-            events = telemetry.join(wanted, "request_id", "left_semi")
+            if near is not None:
+                wanted = settle(wanted, "wanted-requests")
+            events = (telemetry if near is None else near.telemetry(wanted)).join(wanted, "request_id", "left_semi")
         reported = settle(telemetry_requests(events, "ts", "session_id", "model", *_TELEMETRY_TOKENS, "cost_usd"), "reported")
         seen = mine.join(reported.select("request_id", "cost_usd"), "request_id", "left")
-        only = during(reported).join(requests.select("request_id"), "request_id", "left_anti")
+        told = during(reported)
+        only = told.join((requests if near is None else near.requests(told)).select("request_id"), "request_id", "left_anti")
     rows = seen.select(slot_start(F.col("ts")).alias("ts"), "folder", "entrypoint", "model", *_REQUEST_TOKENS,
                        F.lit(0).cast("long").alias("cache_write_unknown_tokens"), "cost_usd")
     rows = add_up(rows, ["ts", "folder", "entrypoint", "model"])
@@ -68,7 +84,7 @@ def request_rows(requests: DataFrame, telemetry: DataFrame | None, start: Column
     # Added up per session first: a session with a third of the rows is at most one row per slot and model here.
     alone = add_up(alone, ["ts", "session_id", "model"])
     alone = settle(alone, "telemetry-only")
-    asked = requests.join(alone.select("session_id").distinct(), "session_id", "left_semi")
+    asked = (requests if near is None else near.sessions(alone)).join(alone.select("session_id").distinct(), "session_id", "left_semi")
     placed = alone.join(session_places(asked, "folder", "entrypoint"), "session_id", "left").drop("session_id")
     return rows.unionByName(placed)
 
@@ -82,9 +98,9 @@ def add_up(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def build_slots(requests: DataFrame, telemetry: DataFrame | None, machine: str, written_ts: int,
-                start: Column | int | None = None, end: Column | int | None = None) -> DataFrame:
+                start: Column | int | None = None, end: Column | int | None = None, near: Near | None = None) -> DataFrame:
     """Slots of [start, end): one row per slot, machine, folder, entrypoint and model; unknown names are ''."""
-    rows = request_rows(requests, telemetry, start, end)
+    rows = request_rows(requests, telemetry, start, end, near)
     named = [F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("folder", "entrypoint", "model")]
     totals = (rows.groupBy("ts", *named).agg(
         *[F.sum(c).alias(c) for c in ["requests", *TOKEN_COLUMNS, "usd", "tokens_without_usd"]]))
@@ -105,10 +121,10 @@ def final_range(slots: DataFrame, scans: DataFrame, machine: str) -> tuple[int,
 
 
 def final_slots(requests: DataFrame, telemetry: DataFrame | None, slots: DataFrame, scans: DataFrame, machine: str,
-                now: int) -> DataFrame:
+                now: int, near: Near | None = None) -> DataFrame:
     """The final slots not written yet, for a job that runs every few minutes."""
     start, end = final_range(slots, scans, machine)
-    return build_slots(requests, telemetry, machine, now, start, end)
+    return build_slots(requests, telemetry, machine, now, start, end, near)
 
 
 def usage_requests(requests: DataFrame, telemetry: DataFrame) -> DataFrame:

@@ -5,8 +5,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from meterloom import schemas
 from meterloom.fixed_values import FINAL_AFTER_S
 from meterloom.functions.times import iso
-from meterloom.operators.slots import final_slots
+from meterloom.operators.slots import Near, final_slots
 from meterloom.sinks import gates
+from meterloom.sinks.known_ids import KnownIds
 from meterloom.sources.lines import number_rows, read_lines
 from meterloom.sources.tables import stored
 from meterloom.sources.transcripts import last_answers, observed_at, requests, turns
@@ -59,12 +60,23 @@ def store_turns(found: DataFrame, turns_path: str) -> int:
     return _store(found, turns_path, schemas.TURNS)
 
 
+def near(spark: SparkSession, requests_path: str, telemetry_path: str) -> Near:
+    """Filters per file of both tables, brought up to date: a run reads the new files' ids once."""
+    telemetry = KnownIds(spark, telemetry_path, schemas.TELEMETRY, "request_id")
+    requests_, sessions = (KnownIds(spark, requests_path, schemas.REQUESTS, key) for key in ("request_id", "session_id"))
+    for known in (telemetry, requests_, sessions):
+        known.update()
+    return Near(telemetry.holding, requests_.holding, sessions.holding)
+
+
 def write_slots(spark: SparkSession, requests_path: str, telemetry_path: str | None, scans_path: str, slots_path: str,
                 machine: str, now: int) -> int:
-    """The slots that became final since the last run, once each."""
+    """The slots that became final since the last run, once each. Of both tables only the range's files are read, and
+    those whose filters may hold a request or a session of the range."""
     telemetry = stored(spark, telemetry_path, schemas.TELEMETRY) if telemetry_path else None
     new = final_slots(stored(spark, requests_path, schemas.REQUESTS), telemetry, stored(spark, slots_path, schemas.SLOTS),
-                      stored(spark, scans_path, schemas.SCANS), machine, now)
+                      stored(spark, scans_path, schemas.SCANS), machine, now,
+                      near(spark, requests_path, telemetry_path) if telemetry_path else None)
     return gates.add_slots(new, slots_path, machine)
 
 

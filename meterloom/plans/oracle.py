@@ -177,6 +177,10 @@ _CTE = {
           WHEN event_id % 29 = 3 THEN 'unknown source' WHEN event_id % 29 = 6 THEN NULL WHEN event_id % 29 IN (1, 2) THEN 'percent is not a number'
           WHEN event_id % 29 = 5 THEN 'not a machine name' END AS reason FROM e""",
 }
+_CTE["rc"] = "SELECT *, row_number() OVER (ORDER BY ts, request_id) AS nth FROM rq WHERE ts <= 1706572500"
+_CTE["pc"] = """SELECT session_id, arg_min(folder, nth) FILTER (folder IS NOT NULL) AS folder,
+    arg_min(entrypoint, nth) FILTER (entrypoint IS NOT NULL) AS entrypoint FROM rc GROUP BY 1"""
+_CTE["placed"] = re.sub(r"\bpl\b", "pc", re.sub(r"\brq\b", "rc", _CTE["rows"]))
 _RUN = "{i} * 3 // (SELECT max(event_id) + 1 FROM e)"
 _CTE["ctg"] = _CTE["ctx"].replace("PARTITION BY user_id", f"PARTITION BY user_id, CASE user_id % 4 WHEN 0 THEN {_RUN.format(i='event_id')} >= 1 "
                                   f"WHEN 1 THEN {_RUN.format(i='event_id')} >= 2 ELSE FALSE END")
@@ -227,6 +231,11 @@ ORACLE = {
     "slots_of_events": _sql(f"SELECT * EXCLUDE (usd), {_iso('ts')} AS dt, round(usd, 6) AS usd FROM sl"),
     "slots_final": _sql(f"""SELECT ts // 300 * 300 AS ts, {_iso('ts // 300 * 300')} AS dt, 'm1' AS machine, folder, entrypoint, model, {_SLOT_SUMS},
         CAST(1706745600 AS BIGINT) AS written_ts FROM rows WHERE ts < {_END} GROUP BY ts // 300 * 300, folder, entrypoint, model"""),
+    "slots_in_three_runs": _sql(f"""SELECT ts // 300 * 300 AS ts, {_iso('ts // 300 * 300')} AS dt, 'm1' AS machine, folder, entrypoint, model, {_SLOT_SUMS}
+        FROM placed WHERE ts < {_END} GROUP BY ts // 300 * 300, folder, entrypoint, model"""),
+    "stores_rebuilt": _sql(f"""SELECT 'requests' AS what, count(*) AS old_rows, 0 AS missing, 0 AS different FROM rq WHERE ts <= 1706572500
+        UNION ALL SELECT what, count(*), differs, differs FROM (SELECT DISTINCT ts // 300 * 300, folder, entrypoint, model FROM placed WHERE ts < {_END}),
+          (VALUES ('slots', 0), ('spoiled slots', 1)) v(what, differs) GROUP BY what, differs"""),
     "slots_without_telemetry": _sql(f"""SELECT ts // 300 * 300 AS ts, {_iso('ts // 300 * 300')} AS dt, 'm1' AS machine, coalesce(folder, '') AS folder,
         coalesce(entrypoint, '') AS entrypoint, model, count(*) AS requests, {_sums(_RQ)}, CAST(0 AS BIGINT) AS cache_write_unknown_tokens,
         CAST(sum({' + '.join(_RQ)}) AS BIGINT) AS tokens_without_usd, CAST(1706745600 AS BIGINT) AS written_ts FROM rq WHERE ts < {_END}
@@ -234,17 +243,10 @@ ORACLE = {
     "requests_of_lines": _sql("SELECT * EXCLUDE (ingest_id) FROM rq"),
     "telemetry_once": _sql("SELECT * EXCLUDE (cost_usd), round(cost_usd, 6) AS cost_usd FROM tq"),
     "requests_with_costs": _sql("SELECT * EXCLUDE (usd), round(usd, 9) AS usd FROM ur"),
-    "totals_5m": _sql(f"""SELECT ts // 300 * 300 AS slot_ts, {_iso('ts // 300 * 300')} AS slot_dt, folder, CAST(entrypoint = 'cli' AS BIGINT) AS interactive,
-        count(*) AS requests, round(sum(usd), 9) AS usd, {_sums(['input_tokens', 'output_tokens', 'cache_read_tokens', 'cache_write_tokens'])},
-        CAST(ts // 300 * 300 + 300 <= (SELECT max(t) - 900 FROM e WHERE event_type = 'error') AS BIGINT) AS final
-        FROM ur GROUP BY ts // 300 * 300, folder, entrypoint = 'cli'"""),
     "repeats_dropped": _sql("""SELECT event_id, user_id, event_type, half FROM (SELECT *, lag(event_type) OVER o AS pt, lag(half) OVER o AS ph
         FROM (SELECT *, k // 50 AS half FROM e) WINDOW o AS (PARTITION BY user_id ORDER BY event_id)) WHERE pt IS NULL OR pt <> event_type OR ph <> half"""),
     "exact_copies_dropped": _sql("""SELECT min(event_id) AS event_id, raw, sha1(chr(10) || raw) AS row_hash
         FROM (SELECT event_id, user_id || '|' || event_type || '|' || props AS raw FROM e) GROUP BY raw"""),
-    "spend_per_interval": _sql("""SELECT ingest_id, session_id, ts, session_cost_usd, prev_cost,
-        CASE WHEN session_cost_usd < coalesce(prev_cost, 0) THEN session_cost_usd ELSE session_cost_usd - coalesce(prev_cost, 0) END AS spent_usd
-        FROM (SELECT *, lag(session_cost_usd) OVER (PARTITION BY session_id ORDER BY ts, ingest_id) AS prev_cost FROM sn)"""),
     "last_purchase_carried": _sql("""SELECT event_id, user_id, event_type, value, last_value(CASE WHEN event_type = 'purchase' THEN value END IGNORE NULLS)
         OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS last_purchase FROM e"""),
     "turns_of_sessions": _sql(f"""SELECT * EXCLUDE (rn, usd), round(usd, 9) AS usd FROM (SELECT *, {_usd()} AS usd FROM (
@@ -303,8 +305,6 @@ ORACLE = {
     "costs_and_refusals": _sql("""SELECT c.*, r.refused, r.resets_ts FROM (SELECT 's' || user_id AS session_id, arg_max(t + 5, event_id) AS ts, arg_max(k / 4.0::DOUBLE, event_id) AS usd
         FROM e WHERE event_type <> 'error' GROUP BY 1) c LEFT JOIN (SELECT 's' || user_id AS session_id, count(*) AS refused, max(t + k) AS resets_ts
         FROM e WHERE event_type = 'error' AND k % 2 = 0 GROUP BY 1) r USING (session_id)"""),
-    "payloads_dated": _sql("""SELECT event_id, user_id AS session, t, (SELECT max(a.t) FROM e a WHERE a.event_type = 'view' AND a.user_id = p.user_id AND a.t <= p.t) AS observed_at
-        FROM (SELECT * FROM e WHERE event_type = 'purchase') p"""),
     "payloads_to_lines": _sql("""SELECT e.event_id, a.t AS observed_at, CASE WHEN k % 3 <> 0 THEN k::DOUBLE ELSE 0.0 END AS pct, CASE WHEN k % 2 <> 0 THEN '2026-01-01T00:00:00Z' END AS resets_at,
         CASE WHEN k % 4 <> 0 THEN 's' || user_id END AS session_id, CASE WHEN k % 4 <> 0 THEN k / 4.0::DOUBLE END AS cost
         FROM e JOIN (SELECT user_id % 50 AS tr, arg_max(t, event_id) AS t, arg_max(user_id, event_id) AS u FROM e WHERE event_type = 'view' GROUP BY 1) a ON e.user_id % 60 = a.tr

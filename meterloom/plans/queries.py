@@ -1,6 +1,7 @@
 """Every operator as a query over the supplied tables. Each runs on whole tables; the feeds are derived by Spark."""
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
@@ -119,13 +120,6 @@ def requests_with_costs(spark, sf):
     return _r9(slot_ops.usage_requests(_priced(spark, sf), feeds.telemetry(spark, sf)))
 
 
-@query("A2 X2")
-def totals_5m(spark, sf):
-    used = slot_ops.usage_requests(_priced(spark, sf), feeds.telemetry(spark, sf))
-    scans = events(spark, sf).where("event_type = 'error'").select((F.col("t") - 900).alias("complete_through_ts"))
-    return _r9(_longs(slot_ops.usage_5m(used, scans)))
-
-
 @query("A2 X2")
 def totals_5m_of_all_scans(spark, sf):
     """Totals whose last completed scan is that of any event, not only of errors."""
@@ -149,12 +143,6 @@ def exact_copies_dropped(spark, sf):
     return once.select("event_id", "raw", "row_hash")
 
 
-@query("D10 W1")
-def spend_per_interval(spark, sf):
-    got = dedup.session_spend(feeds.snapshots(spark, sf))
-    return _r6(got.select("ingest_id", "session_id", "ts", "session_cost_usd", "prev_cost", "spent_usd"))
-
-
 @query("D10 W1")
 def spend_per_interval_of_all(spark, sf):
     """The spend between the snapshots of every event."""
@@ -320,22 +308,6 @@ def costs_and_refusals(spark, sf):
     return costs.join(full, "session_id", "left")
 
 
-def _payload_feed(spark, sf):
-    """Payloads: purchases, each naming its user's transcript; answers: views."""
-    e = events(spark, sf)
-    answers = e.where("event_type = 'view'").select(F.col("user_id").alias("session"), F.col("t").alias("answered"), "event_id")
-    shown = e.where("event_type = 'purchase'").select("event_id", F.col("user_id").alias("session"), "t", "k")
-    return answers, shown
-
-
-@query("C20 J6 J15")
-def payloads_dated(spark, sf):
-    """Each payload with the session's last answer at or before it: an as-of join per session."""
-    answers, shown = _payload_feed(spark, sf)
-    hit = asof(shown, answers, "t", "answered", ["answered"], "_a", keys=["session"], balanced=True)
-    return hit.select("event_id", "session", "t", F.col("_a.answered").alias("observed_at"))
-
-
 @query("C20 J6 J15")
 def payloads_of_all_dated(spark, sf):
     """Every event is a payload and, up to a few minutes later, an answer of its session."""
@@ -468,6 +440,43 @@ def requests_rebuilt(spark, sf):
     return maintenance.check_facts(old, new, reconcile.REQUEST_TOKENS)
 
 
+def _stores_in(spark, sf, batches):
+    """Requests stored, and slots written, in so many runs: the paths of both."""
+    paths = {n: scratch(spark, n) for n in ("requests", "telemetry", "scans", "slots")}
+    found = settle(transcripts.requests(log_lines.transcript_lines(spark, sf), COMPLETE_THROUGH), "found")
+    low, high = found.agg(F.min("ts"), F.max("ts") + 1).first()
+    ends = [low + (high - low) * (b + 1) // batches for b in range(batches)]
+    for start, end in zip([low, *ends], ends):
+        jobs.store_requests(found.where((F.col("ts") >= start) & (F.col("ts") < end)).drop("dt"), paths["requests"])
+        feeds.telemetry(spark, sf).where((F.col("ts") >= F.lit(start if start > low else 0)) & ((F.col("ts") < end) | F.lit(end == high))).write.mode(
+            "append").parquet(paths["telemetry"])
+    for end in [*ends[:-1], COMPLETE_THROUGH]:
+        gates.add_scan(spark, paths["scans"], NOW, end, 0)
+        jobs.write_slots(spark, paths["requests"], paths["telemetry"], paths["scans"], paths["slots"], "m1", NOW)
+    return stored(spark, paths["requests"], schemas.REQUESTS), stored(spark, paths["slots"], schemas.SLOTS)
+
+
+@query("X3 J1 J2 J3 K6 F2")
+def slots_in_three_runs(spark, sf):
+    """Each run reads the files of its own time range, and those that may hold its requests and sessions."""
+    return _r6(_stores_in(spark, sf, 3)[1].drop("written_ts"))
+
+
+@query("M1 M4")
+def stores_rebuilt(spark, sf):
+    """A store made by three runs beside one rebuilt from the raw logs in one; then the slots again after one was changed
+    and one taken out, which must be found."""
+    (requests, slots_), (again, slots_again) = _stores_in(spark, sf, 3), _stores_in(spark, sf, 1)
+    keyed = lambda df: df.withColumn("slot", F.to_json(F.struct(*schemas.SLOT_KEY)))
+    old, new = settle(keyed(slots_), "old-slots"), keyed(slots_again)
+    first, last = new.agg(F.min("slot"), F.max("slot")).first()
+    spoiled = new.where(F.col("slot") != last).withColumn("requests", F.col("requests") + F.when(F.col("slot") == first, 1).otherwise(0))
+    values = ["requests", *reconcile.REQUEST_TOKENS, "tokens_without_usd"]
+    told = {"requests": reconcile.compare_facts(requests, again, reconcile.REQUEST_TOKENS), "slots": reconcile.compare_facts(old, new, values, "slot"),
+            "spoiled slots": reconcile.compare_facts(old, spoiled, values, "slot")}
+    return reduce(DataFrame.unionByName, [reconcile.fact_counts(c).withColumn("what", F.lit(name)) for name, c in told.items()])
+
+
 @query("M6")
 def slots_moved(spark, sf):
     path = scratch(spark, "moved")
@@ -854,7 +863,7 @@ def _time_expressions(e):
                     numbers.whole_percent(F.col("k") + 0.5).cast("long").alias("rounded"), times.snap(F.col("k") * 100).alias("snapped"))
 
 
-@query("C1 C4 C6 C8 C24 F2")
+@query("F2")
 def time_expressions(spark, sf):
     """The expressions over a half-open range (F2)."""
     return _time_expressions(events(spark, sf).where((F.col("t") >= 1704153600) & (F.col("t") < 1705968000)))
