@@ -42,7 +42,7 @@ END = 2
 SHARD_IDS = 1 << 21
 LEVELS = 48
 #: Words whose ids a task keeps.
-KEPT = 700_000
+KEPT = 300_000
 DIGESTS = "shard int, part int, doc_id long, at long, n_tokens long, ids_crc32 long"
 
 

@@ -98,7 +98,7 @@ def test_top_k(spark, monkeypatch):
     vectors += [(5, vectors[5][1]), (300, None), (301, [0.1, None]), (302, [float("nan")] * 16), (303, [float("inf")] * 16), (None, vectors[1][1]),
                 (304, []), (305, [0.5, -0.25]), (310, [0.0] * 16)]
     # One id with more vectors than a block has places, best for many queries.
-    vectors += [(77, [3.0 - j / 10] * 16) for j in range(9)] + [(95, [0.4 + j / 10] * 16) for j in range(9)]
+    vectors += [(77, [3.0 - j / 10] * 16) for j in range(9)] + [(96, [0.4 + j / 10] * 16) for j in range(9)]
     check_top(spark, vectors)
 
 
