@@ -1,24 +1,27 @@
 """Line dedup by winnowing over line hashes.
 
 A line is what stands between line feeds; its hash is that of its words (A-Z lower-cased), so spacing does not tell lines
-apart. Lines without words belong to no run and are kept. Of every two neighbouring lines of a document the one with the
-smaller hash, the first if they are equal, is a fingerprint, so every run of RUN = 2 lines or more holds one at each of its
-lines or beside it. A fingerprint is joined, with the line before it and with the line after it, to the earliest place
-where the same two lines stand together; places are ordered by doc_id (null first), a hash of the text, and line. Matches
-that touch are one run: this is how a match extends both ways, line by line, as far as the lines were seen before. Runs
-matched to an earlier place are deleted; the first place keeps its lines. A line deleted is thus always one of two
-neighbours or more that stood together earlier, and every such line is deleted.
-
-With `words`, the guarantee also counts words: a line of so many words or more, and the only line of a document, is a run
-by itself, deleted if the line stood anywhere earlier, whatever its neighbours. So no passage of `words` words in whole
-lines stays a second time. The query takes WORDS. Without `words`, a single line that repeats without a neighbour stays.
-
-Only the earliest place of two lines, or of one, is joined, folded by partial sums, so a line that a third of all documents
-share makes as many rows as it has places and no pairs.
+apart. Lines without words belong to no run and are kept. A stretch is consecutive lines with words (those without are
+passed over) that hold `words` words or more together, or a whole document of fewer words. A line is deleted if it lies in
+a stretch that stood at an earlier place; places are ordered by doc_id (null first), a hash of the text, and line. The
+first place keeps its lines, and every deleted line stands undeleted at some earlier place. So no passage of `words` words
+in whole lines stays a second time, however it is cut into lines, and a short line that repeats among others stays.
+
+A window is the shortest stretch from a line on, or up to a line. The line with the smallest hash of each window, the first
+of equal ones, is a fingerprint: every stretch holds a window, hence one at the same line wherever it stands. Fingerprints
+whose line is one nowhere else end here, and their windows with them. The windows of the others are joined to the earliest
+place of a window of the same lines (two 64-bit hashes: of the fingerprint's line and of all lines). Where a stretch
+repeats, so do the windows from each of its lines on and up to each of its lines, as far as they fit in it: matches thus
+extend to both sides up to the first line that differs, and those that share lines are one run. All lines of a repeated
+stretch lie in such windows: what follows a line or what precedes it, itself included, holds a window, or else the one from
+the stretch's first line on reaches beyond that line.
+
+A window joins its earliest place alone, folded by partial sums, so a passage that a third of all documents share makes as
+many rows as it has places and no pairs; the places of one fingerprint or window are dealt over SALTS tasks.
 
 Null and empty texts have no lines (n_lines 0) and stay as they are. Rows that share a doc_id and a text are one document:
-each of them is returned with the same lines deleted. An empty table gives an empty one. Extra columns are carried by
-`clean`."""
+each of them is returned with the same lines deleted. A very long text is one array of windows in the task that reads it, in
+memory proportional to the text. An empty table gives an empty one. Only doc_id and text are read; extra columns are ignored."""
 
 from __future__ import annotations
 
@@ -29,10 +32,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from meterloom.llm import textkit
+from meterloom.session import settle
 
-RUN = 2
 WORDS = 50
-_ALONE = np.uint64(0xA0761D6478BD642F)  # stands for the second line of a line by itself
+SALTS = 16
 
 
 def _line_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -53,46 +56,65 @@ def _line_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
     return own, line_of[first], sizes, np.searchsorted(row[first], np.arange(len(parsed.rows)))
 
 
-def _keys(part: pa.RecordBatch, at: np.ndarray, row: np.ndarray, place: np.ndarray, ends: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-    """128-bit keys of the lines a and b, the document, the place of the first, and the last line to delete, if any."""
-    keys = [textkit.ids(textkit.mix(a * np.uint64(x) + textkit.mix(b ^ np.uint64(y)))) for x, y in ((0x9E3779B97F4A7C15, 1), (0xD1342543DE82EF95, 2))]
-    own = pa.array(row[at])
-    return pa.RecordBatch.from_arrays([pa.array(keys[0]), pa.array(keys[1]), part.column("doc_id").take(own), part.column("x").take(own),
-                                       pa.array(place.astype(np.int32)), pa.array(ends.astype(np.int32), mask=ends < 0)], ["p", "q", "doc_id", "x", "at", "end"])
-
-
-def _runs(batches: Iterator[pa.RecordBatch], words: int | None) -> Iterator[pa.RecordBatch]:
-    """Each fingerprint with its neighbours; with `words`, each line by itself too, to be deleted (`end`) if it is a run."""
+def _windows(sizes: np.ndarray, rows: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """First line and line after the last of every window, each once."""
+    sums = np.concatenate([[0], np.cumsum(sizes)])
+    lines = np.arange(len(sizes))
+    row = np.repeat(np.arange(len(rows) - 1), np.diff(rows))
+    begin, end = rows[:-1][row], rows[1:][row]
+    stop = np.searchsorted(sums, sums[:-1] + words)
+    first = np.searchsorted(sums, sums[1:] - words, side="right") - 1
+    onwards, upto = stop <= end, first >= begin
+    small = np.flatnonzero((np.diff(rows) > 0) & (np.diff(sums[rows]) < words))
+    ranges = np.concatenate([np.stack([lines[onwards], stop[onwards]], 1), np.stack([first[upto], lines[upto] + 1], 1),
+                             np.stack([rows[:-1][small], rows[1:][small]], 1)])
+    ranges = np.unique(ranges, axis=0)
+    return ranges[:, 0], ranges[:, 1]
+
+
+def _fingerprints(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
+    """Each fingerprint: its line's hash, the document, and the windows it stands for (hash, first line, last line)."""
     for part in textkit.cuts(batches):
         hashes, _, sizes, rows = _line_hashes(part.column("text"))
-        row = np.repeat(np.arange(part.num_rows), np.diff(rows))
-        at = np.flatnonzero(row[1:] == row[:-1]) if len(row) else np.zeros(0, np.int64)
-        a, b = hashes[at], hashes[at + 1]
-        chosen = np.zeros(len(hashes), bool)  # the smaller of every two neighbours
-        chosen[np.where(b < a, at + 1, at)] = True
-        kept = chosen[at] | chosen[at + 1]
-        at, a, b = at[kept], a[kept], b[kept]
-        place = at - rows[:-1][row[at]]
-        yield _keys(part, at, row, place, place + 1, a, b)
-        if words is not None:
-            at = np.arange(len(hashes))
-            place = at - rows[:-1][row]
-            alone = (sizes >= words) | (np.diff(rows)[row] == 1)
-            yield _keys(part, at, row, place, np.where(alone, place, -1), hashes, np.full(len(hashes), _ALONE))
-
-
-def repeats(documents: DataFrame, words: int | None = None) -> DataFrame:
-    """(doc_id, x, lines): the lines, numbered among those with words, of runs seen earlier. x: hash of the text."""
-    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _runs(batches, words)
+        first, stop = _windows(sizes, rows, words)
+        at = textkit.least(hashes, first, stop)
+        order = np.argsort(at, kind="stable")
+        first, stop, at = first[order], stop[order], at[order]
+        places, starts = np.unique(at, return_index=True)
+        row = np.searchsorted(rows, places, side="right") - 1
+        base = rows[np.searchsorted(rows, first, side="right") - 1]
+        offsets = pa.array(np.append(starts, len(at)).astype(np.int32))
+        lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (
+            textkit.ids(textkit.stretches(hashes, first, stop)), (first - base).astype(np.int32), (stop - base - 1).astype(np.int32))]
+        yield pa.RecordBatch.from_arrays([pa.array(textkit.ids(hashes[places])), *(part.column(c).take(pa.array(row)) for c in ("doc_id", "x")), *lists],
+                                         ["p", "doc_id", "x", "w", "lo", "hi"])
+
+
+def _dealt(many: DataFrame, few: DataFrame, keys: list[str]) -> DataFrame:
+    """`many` joined to `few`, one row per key, the rows of a key spread by document over SALTS tasks."""
+    salted = many.withColumn("salt", F.pmod(F.hash("doc_id", "x"), F.lit(SALTS)))
+    return salted.join(few.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), [*keys, "salt"]).drop("salt")
+
+
+def fingerprints(documents: DataFrame, words: int = WORDS) -> DataFrame:
+    """(p, doc_id, x, w, lo, hi): every fingerprint's line hash, document, and windows. x: hash of the text."""
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _fingerprints(batches, words)
 
     texts = _keyed(documents).select("doc_id", "x", F.col("text").cast("binary").alias("text"))
-    runs_ = texts.mapInArrow(runs, "p long, q long, doc_id long, x long, at int, end int")
-    place = F.struct("doc_id", "x", "at")
-    earliest = runs_.groupBy("p", "q").agg(F.min(place).alias("first"), F.count("*").alias("n"), F.count("end").alias("ends")).where(
-        "n > 1 and ends > 0").select("p", "q", "first")
-    later = runs_.where("end is not null").join(earliest, ["p", "q"]).where(place > F.col("first"))
-    return later.groupBy("doc_id", "x").agg(F.array_distinct(F.flatten(F.collect_set(F.array("at", "end")))).alias("lines"))
+    return texts.mapInArrow(found, "p long, doc_id long, x long, w array<long>, lo array<int>, hi array<int>")
+
+
+def repeats(documents: DataFrame, words: int = WORDS) -> DataFrame:
+    """(doc_id, x, runs): the windows (lo, hi: lines, numbered among those with words) of a document that stood earlier."""
+    prints = settle(fingerprints(documents, words), "fingerprints")
+    again = prints.groupBy("p").agg(F.count("*").alias("n")).where("n > 1").select("p")
+    windows = settle(_dealt(prints, again, ["p"]).select("p", "doc_id", "x", F.explode(F.arrays_zip("w", "lo", "hi")).alias("v")).select(
+        "p", "v.w", "doc_id", "x", "v.lo", "v.hi"), "windows")
+    place = F.struct("doc_id", "x", "lo")
+    earliest = windows.groupBy("p", "w").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").select("p", "w", "first")
+    later = _dealt(windows, earliest, ["p", "w"]).where(place > F.col("first"))
+    return later.groupBy("doc_id", "x").agg(F.collect_set(F.struct("lo", "hi")).alias("runs"))
 
 
 def _keyed(documents: DataFrame) -> DataFrame:
@@ -103,21 +125,25 @@ def _rewritten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in textkit.cuts(batches):
         _, number, _, rows = _line_hashes(part.column("text").cast(pa.binary()))
         texts, totals, gone = [], [], []
-        for i, (text, lines) in enumerate(zip(part.column("text").to_pylist(), part.column("lines").to_pylist())):
+        for i, (text, runs) in enumerate(zip(part.column("text").to_pylist(), part.column("runs").to_pylist())):
             own = number[rows[i]:rows[i + 1]]
+            within = np.zeros(len(own) + 1, np.int64)  # running sum: how many runs each line lies in
+            np.add.at(within, [r["lo"] for r in runs or ()], 1)
+            np.add.at(within, [r["hi"] + 1 for r in runs or ()], -1)
+            lines = np.flatnonzero(np.cumsum(within))
             totals.append(len(own))
-            gone.append(len(lines or ()))
-            if lines:
-                bad = set(own[np.array(lines)].tolist())
+            gone.append(len(lines))
+            if len(lines):
+                bad = set(own[lines].tolist())
                 text = "\n".join(x for j, x in enumerate(text.split("\n")) if j not in bad)
             texts.append(text)
         yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(texts, pa.string()), pa.array(totals, pa.int32()), pa.array(gone, pa.int32())],
                                          ["doc_id", "text", "n_lines", "n_removed"])
 
 
-def clean(documents: DataFrame, words: int | None = None) -> DataFrame:
+def clean(documents: DataFrame, words: int = WORDS) -> DataFrame:
     """doc_id, text without the runs that repeat, n_lines (with words) and n_removed, for every row of documents."""
     own = _keyed(documents.select("doc_id", "text")).alias("d")
-    gone = repeats(documents, words).select(F.col("doc_id").alias("_id"), F.col("x").alias("_x"), "lines").alias("g")
+    gone = repeats(documents, words).select(F.col("doc_id").alias("_id"), F.col("x").alias("_x"), "runs").alias("g")
     return own.join(gone, F.col("d.doc_id").eqNullSafe(F.col("_id")) & (F.col("x") == F.col("_x")), "left").select(
-        "doc_id", "text", "lines").mapInArrow(_rewritten, "doc_id long, text string, n_lines int, n_removed int")
+        "doc_id", "text", "runs").mapInArrow(_rewritten, "doc_id long, text string, n_lines int, n_removed int")

@@ -120,21 +120,30 @@ ORACLE["op9_line_dedup"] = rf"""
 WITH a AS (
   SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents)
 ), n AS (
-  SELECT *, count(*) OVER (PARTITION BY doc_id) AS n_lines, row_number() OVER (PARTITION BY w ORDER BY doc_id, i) AS place
-  FROM (SELECT *, len(found) AS n_words, array_to_string(found, ' ') AS w
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS k
+  FROM (SELECT doc_id, i, len(found) AS n_words, array_to_string(found, ' ') AS w
         FROM (SELECT *, regexp_extract_all({_LOWER.format("line")}, '{_WORDS}') AS found FROM a)) WHERE n_words > 0
+), d AS (
+  SELECT doc_id, list(w ORDER BY k) AS ws, count(*) AS n_lines, sum(n_words) AS total FROM n GROUP BY doc_id
+), s AS (
+  SELECT *, sum(n_words) OVER (PARTITION BY doc_id ORDER BY k) AS upto FROM n
+), r AS (
+  SELECT a.doc_id, a.k AS lo, min(b.k) AS hi FROM s a JOIN s b ON a.doc_id = b.doc_id AND b.k >= a.k AND b.upto - a.upto + a.n_words >= {WORDS}
+  GROUP BY a.doc_id, a.k
+  UNION SELECT b.doc_id, max(a.k), b.k FROM s a JOIN s b ON a.doc_id = b.doc_id AND b.k >= a.k AND b.upto - a.upto + a.n_words >= {WORDS}
+  GROUP BY b.doc_id, b.k
+  UNION SELECT doc_id, 1, n_lines FROM d WHERE total < {WORDS}
 ), p AS (
-  SELECT doc_id, i, lead(i) OVER o AS j, w || chr(10) || lead(w) OVER o AS pair FROM n WINDOW o AS (PARTITION BY doc_id ORDER BY i)
+  SELECT doc_id, lo, hi, row_number() OVER (PARTITION BY array_to_string(list_slice(ws, lo, hi), chr(10)) ORDER BY doc_id, lo) AS place
+  FROM r JOIN d USING (doc_id)
 ), gone AS (
-  SELECT DISTINCT doc_id, unnest([i, j]) AS i
-  FROM (SELECT *, row_number() OVER (PARTITION BY pair ORDER BY doc_id, i) AS place FROM p WHERE j IS NOT NULL) WHERE place > 1
-  UNION SELECT doc_id, i FROM n WHERE place > 1 AND (n_words >= {WORDS} OR n_lines = 1)
+  SELECT DISTINCT n.doc_id, i FROM n JOIN p ON n.doc_id = p.doc_id AND k BETWEEN lo AND hi WHERE place > 1
 ), kept AS (
   SELECT doc_id, string_agg(line, chr(10) ORDER BY i) AS text FROM a ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id
 ), sums AS (
-  SELECT doc_id, (SELECT count(*) FROM n WHERE n.doc_id = d.doc_id) AS n_lines, (SELECT count(*) FROM gone g WHERE g.doc_id = d.doc_id) AS n_removed,
-         CASE WHEN d.text IS NOT NULL THEN coalesce(kept.text, '') END AS text
-  FROM documents d LEFT JOIN kept USING (doc_id)
+  SELECT doc_id, coalesce(d.n_lines, 0) AS n_lines, (SELECT count(*) FROM gone g WHERE g.doc_id = documents.doc_id) AS n_removed,
+         CASE WHEN documents.text IS NOT NULL THEN coalesce(kept.text, '') END AS text
+  FROM documents LEFT JOIN kept USING (doc_id) LEFT JOIN d USING (doc_id)
 )
 SELECT doc_id, CAST(n_lines AS INTEGER) AS n_lines, CAST(n_removed AS INTEGER) AS n_removed, length(text) AS n_chars, md5(text) AS text_md5 FROM sums
 """

@@ -115,6 +115,30 @@ def windows(hashes: np.ndarray, rows: np.ndarray, k: int) -> tuple[np.ndarray, n
     return mix(total[at]), offsets
 
 
+def stretches(hashes: np.ndarray, first: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each hashes[first:stop], from running sums of hashes times powers."""
+    n = len(hashes)
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum(mix(hashes) * _power(_BASE, n), out=sums[1:])
+    inverse = _power(pow(_BASE, -1, 1 << 64), n + 1)
+    return mix((sums[stop] - sums[first]) * inverse[first] + (stop - first).astype(np.uint64) * _ODD[0])
+
+
+def least(hashes: np.ndarray, first: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """The place of the smallest of each hashes[first:stop], the first of equal ones. No range is empty."""
+    level = np.arange(len(hashes))
+    found = np.zeros(len(first), np.int64)
+    power = np.floor(np.log2(np.maximum(stop - first, 1))).astype(np.int64)
+    for k in range(int(power.max(initial=0)) + 1):
+        if k:  # the smallest of 2^k hashes from each place on
+            right = level[np.minimum(np.arange(len(level)) + (1 << (k - 1)), len(level) - 1)]
+            level = np.where(hashes[right] < hashes[level], right, level)
+        own = np.flatnonzero(power == k)
+        a, b = level[first[own]], level[stop[own] - (1 << k)]
+        found[own] = np.where(hashes[b] < hashes[a], b, a)
+    return found
+
+
 def distinct_per_row(values: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct values of each row, and the offsets of each row's."""
     values = values.copy()

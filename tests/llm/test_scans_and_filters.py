@@ -1,8 +1,10 @@
 import random
 import re
 
+import numpy as np
+
 from fixtures import awkward, documents, fold, prose
-from meterloom.llm import decontamination, license_scan, line_dedup, url_filter
+from meterloom.llm import decontamination, license_scan, line_dedup, textkit, url_filter
 
 PHRASES = {"mit": "under the mit license", "apache-2": "apache license version 2", "cc-by-nc": "cc by nc"}
 
@@ -38,60 +40,101 @@ def test_license_scan(spark):
     assert all(0 <= r.score <= 1 for r in got) and license_scan.scan(documents(spark, [])).count() == 0
 
 
-def test_line_dedup(spark):
-    rng = random.Random(6)
-    lines = [prose(i, 6) for i in range(12)]
-    rows = [(i, "\n".join(rng.choice(lines) if rng.random() < 0.5 else prose(1000 * i + j, 5) for j in range(rng.randrange(1, 9))), "a")
-            for i in range(60)]
-    rows += [(200, "a b\n\na b\n a B \na b", "a"), (201, "\n\n", "a"), (202, None, "a"), (203, "", "a"), (204, rows[5][1] + "\n" + rows[6][1], "a"),
-             (205, "x\r\ny z", "a"), (206, "x\ny z", "a"), (206, "x\ny z", "a")]
-    rng.shuffle(rows)
+def naive_stretches(rows, words):
+    """What `clean` should give for (doc_id, text) rows, by trying every stretch of every document, shortest or not."""
     seen, by_row = set(), {}
-    for d, t, _ in sorted(set(rows), key=lambda r: r[0]):
+    for d, t in sorted(set(rows), key=lambda r: (r[0] is not None, r[0] or 0, r[1] or "")):
         own = [(j, tuple(fold(x))) for j, x in enumerate((t or "").split("\n"))]
         own, gone = [(j, w) for j, w in own if w], set()
-        for (i, a), (j, b) in zip(own, own[1:]):
-            if (a, b) in seen:
-                gone |= {i, j}
-            seen.add((a, b))
+        for lo in range(len(own)):
+            for hi in range(len(own), lo, -1):
+                n = sum(len(w) for _, w in own[lo:hi])
+                if n < words and hi - lo < len(own):
+                    continue
+                # a stretch of fewer words counts as a whole document only
+                key = (n < words, tuple(w for _, w in own[lo:hi]))
+                if key in seen:
+                    gone |= {j for j, _ in own[lo:hi]}
+        for lo in range(len(own)):  # in order of the first line: within a document, a later stretch may repeat an earlier one
+            for hi in range(lo + 1, len(own) + 1):
+                key = tuple(w for _, w in own[lo:hi])
+                n = sum(map(len, key))
+                if n >= words and (False, key) in {(False, tuple(w for _, w in own[a:a + hi - lo])) for a in range(lo)}:
+                    gone |= {j for j, _ in own[lo:hi]}
+                if n >= words or hi - lo == len(own):
+                    seen.add((n < words, key))
         by_row[d, t] = (t if not gone else "\n".join(x for j, x in enumerate(t.split("\n")) if j not in gone), len(own), len(gone))
-    want = [(d, *by_row[d, t]) for d, t, _ in rows]
-    got = [tuple(r) for r in line_dedup.clean(documents(spark, rows)).collect()]
-    assert sorted(map(repr, got)) == sorted(map(repr, want)) and any(w[3] for w in want)
+    return [(d, *by_row[d, t]) for d, t in rows]
+
+
+def cleaned(spark, rows, words):
+    return [tuple(r) for r in line_dedup.clean(documents(spark, [(d, t, "a") for d, t in rows]), words).collect()]
+
+
+def test_line_dedup(spark):
+    """Stretches of any number of lines, within and across documents, against every stretch tried."""
+    rng = random.Random(6)
+    lines = [prose(i, 2 + i % 7) for i in range(14)]
+    passages = [[prose(500 + 10 * i + j, 3 + j) for j in range(4)] for i in range(3)]
+    rows = []
+    for i in range(70):
+        own = []
+        for j in range(rng.randrange(1, 9)):
+            own += rng.choice(passages)[rng.randrange(2):] if rng.random() < 0.2 else [rng.choice(lines) if rng.random() < 0.5 else prose(1000 * i + j, 5)]
+        rows.append((i, "\n".join(own)))
+    rows += [(200, "a b\n\na b\n a B \na b"), (201, "\n\n"), (202, None), (203, ""), (204, rows[5][1] + "\n" + rows[6][1]), (205, "x\r\ny z"), (206, "x\ny z"),
+             (206, "x\ny z"), (207, "\n".join(["one two three four"] * 12)), (208, rows[9][1].upper().replace(" ", "  ").replace("\n", "\n \n")), (None, rows[7][1])]
+    rng.shuffle(rows)
+    for words in (1, 12):
+        want, got = naive_stretches(rows, words), cleaned(spark, rows, words)
+        assert sorted(map(repr, got)) == sorted(map(repr, want)) and any(w[3] for w in want)
     assert line_dedup.clean(documents(spark, [])).count() == 0
 
 
 def test_line_dedup_keeps_null_ids(spark):
-    got = line_dedup.clean(documents(spark, [(None, "p q\nr s", "a"), (1, "p q\nr s\nt", "a"), (None, None, "a")])).collect()
-    assert sorted((repr(r.doc_id), repr(r.text)) for r in got) == [("1", "'t'"), ("None", "'p q\\nr s'"), ("None", "None")]
+    got = cleaned(spark, [(None, "p q\nr s"), (1, "P Q\n\nr s"), (2, "p q\nr s\nt"), (None, None)], 50)
+    assert sorted((repr(r[0]), repr(r[1])) for r in got) == [("1", "''"), ("2", "'p q\\nr s\\nt'"), ("None", "'p q\\nr s'"), ("None", "None")]
 
 
 def test_line_dedup_by_words(spark):
-    """A line of enough words, and the only line of a document, goes wherever it stood earlier."""
+    """A passage of enough words goes wherever it stood earlier, on one line or many; one of fewer words stays."""
     rng = random.Random(16)
     long, short = [prose(i, 50 + i) for i in range(4)], [prose(40 + i, 49) for i in range(3)]
-    rows = [(i, "\n".join(rng.choice(long + short) if rng.random() < 0.4 else prose(2000 * i + j, 5) for j in range(rng.randrange(1, 6))), "a") for i in range(50)]
-    rows += [(100, long[0], "a"), (101, long[0].upper(), "a"), (102, short[0], "a"), (103, "only", "a"), (104, "only", "a"), (105, "x y\nonly\nz", "a"),
-             (106, "\n z \n", "a"), (107, long[1] + "\nmore of it\n" + long[1], "a"), (None, "null first", "a"), (108, "null first", "a"), (108, "null first", "a"), (109, None, "a"), (110, "", "a")]
+    many = "\n".join(prose(70 + i, 9) for i in range(6))
+    rows = [(i, "\n".join(rng.choice(long + short) if rng.random() < 0.4 else prose(2000 * i + j, 5) for j in range(rng.randrange(1, 6)))) for i in range(50)]
+    rows += [(100, long[0]), (101, long[0].upper()), (102, short[0] + "\nnot whole"), (103, "only"), (104, "only"), (105, "x y\nonly\nz"), (106, "\n only \n"),
+             (107, long[1] + "\nmore of it\n" + long[1]), (None, "null first"), (108, "null first"), (108, "null first"), (109, None), (110, ""),
+             (111, "before\n" + many + "\nafter"), (112, "other\n" + many.replace("\n", "\n\n") + "\nend")]
     rng.shuffle(rows)
-    pairs, lines, by_row = set(), set(), {}
-    for d, t, _ in sorted(set(rows), key=lambda r: (r[0] is not None, r[0])):
-        own = [(j, tuple(fold(x))) for j, x in enumerate((t or "").split("\n"))]
-        own, gone = [(j, w) for j, w in own if w], set()
-        for (i, a), (j, b) in zip(own, own[1:]):
-            if (a, b) in pairs:
-                gone |= {i, j}
-            pairs.add((a, b))
-        for j, w in own:
-            if w in lines and (len(w) >= 50 or len(own) == 1):
-                gone.add(j)
-            lines.add(w)
-        by_row[d, t] = (t if not gone else "\n".join(x for j, x in enumerate(t.split("\n")) if j not in gone), len(own), len(gone))
-    want = [(d, *by_row[d, t]) for d, t, _ in rows]
-    got = [tuple(r) for r in line_dedup.clean(documents(spark, rows), line_dedup.WORDS).collect()]
+    want, got = naive_stretches(rows, 50), cleaned(spark, rows, line_dedup.WORDS)
     assert sorted(map(repr, got)) == sorted(map(repr, want))
     n_removed = {r[0]: r[3] for r in got}
-    assert n_removed[100] == n_removed[101] == n_removed[104] == n_removed[106] == n_removed[108] == 1 and n_removed[105] == 0 and n_removed[107] == 2
+    assert n_removed[101] == n_removed[104] == n_removed[106] == n_removed[108] == 1 and n_removed[102] == n_removed[105] == n_removed[111] == 0
+    assert n_removed[112] == 6
+
+
+def test_winnowing_leaves_most_lines_out(spark):
+    """Fingerprints of short lines are far fewer than lines, and a long text of distinct lines joins nothing."""
+    rows = [(i, "\n".join(prose(10_000 * i + j, 6) for j in range(400))) for i in range(5)]
+    found = line_dedup.fingerprints(documents(spark, [(d, t, "a") for d, t in rows]))
+    assert 2000 / 9 < found.count() < 2000 / 2
+    assert line_dedup.repeats(documents(spark, [(d, t, "a") for d, t in rows])).count() == 0
+
+
+def test_windows_hold_enough_words():
+    rng = np.random.default_rng(3)
+    sizes, rows = rng.integers(1, 30, 40), np.array([0, 0, 7, 8, 30, 40])
+    first, stop = line_dedup._windows(sizes, rows, 50)
+    want = set()
+    for a, b in zip(rows[:-1], rows[1:]):
+        fit = [(i, j) for i in range(a, b) for j in range(i + 1, b + 1) if sizes[i:j].sum() >= 50]
+        want |= {(i, j) for i, j in fit if (i, j - 1) not in fit or (i + 1, j) not in fit}
+        want |= {(a, b)} if not fit and b > a else set()
+    assert set(zip(first.tolist(), stop.tolist())) == want
+    hashes = rng.integers(0, 9, 40).astype(np.uint64)
+    assert textkit.least(hashes, first, stop).tolist() == [i + int(np.argmin(hashes[i:j])) for i, j in zip(first, stop)]
+    twice = textkit.stretches(np.tile(hashes, 2), np.concatenate([first, first + 40]), np.concatenate([stop, stop + 40]))
+    assert (twice[:len(first)] == twice[len(first):]).all()
 
 
 def naive_tiles(item, text, least):
