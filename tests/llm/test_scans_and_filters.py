@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 import numpy as np
 
@@ -151,6 +152,30 @@ def naive_tiles(item, text, least):
     return covered
 
 
+def test_tiles_equal_every_length_tried():
+    rng = np.random.default_rng(11)
+    for n in range(150):
+        size, least = int(rng.integers(1, 6)) if n % 3 else 30, int(rng.integers(1, 6))
+        item, text = (rng.integers(1, size + 1, int(rng.integers(1, 40))).astype(np.uint64) for _ in "ab")
+        found = decontamination.tiles(item, text, least)
+        assert sum(t[0] for t in found) == naive_tiles(item.tolist(), text.tolist(), least)
+        assert all((item[i:i + k] == text[j:j + k]).all() and k >= least for k, i, j in found)
+        places = [x for k, i, _ in found for x in range(i, i + k)], [x for k, _, j in found for x in range(j, j + k)]
+        assert all(len(p) == len(set(p)) for p in places)
+
+
+def test_tiles_of_very_long_texts():
+    rng = np.random.default_rng(12)
+    item = rng.integers(1, 51, 20_000).astype(np.uint64)
+    moved = np.concatenate([item[12_000:], rng.integers(1, 51, 500).astype(np.uint64), item[:12_000]])
+    for text, covered in ((moved, 20_000), (np.full(20_000, 3, np.uint64), 0), (item, 20_000)):
+        start = time.perf_counter()
+        found = decontamination.tiles(item, text, 5)
+        assert sum(k for k, _, _ in found) >= covered and time.perf_counter() - start < 5
+    same = np.full(20_000, 7, np.uint64)
+    assert decontamination.tiles(same, same[:15_000], 5) == [(15_000, 0, 0)]
+
+
 def alnum(text):
     return re.findall(r"[0-9a-z\x80-\U0010FFFF]+", low(text))
 
