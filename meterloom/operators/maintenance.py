@@ -3,7 +3,8 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from meterloom import schemas
-from meterloom.operators.reconcile import compare_facts, fact_counts, label_machine, missing_from
+from meterloom.operators import digests
+from meterloom.operators.reconcile import label_machine, missing_from
 from meterloom.session import settle
 from meterloom.sinks import gates
 from meterloom.sources.tables import stored
@@ -57,7 +58,7 @@ def move_slots(spark: SparkSession, slots: DataFrame, path: str, machine: str |
 
 def check_facts(old: DataFrame, new: DataFrame, values: list[str]) -> DataFrame:
     """Counts of old facts missing from or different in the new store; raises when there is any."""
-    counted = fact_counts(compare_facts(old, new, values))
+    counted = settle(digests.compare_stores(old, new, values), "compared")
     row = counted.first()
     if row["missing"] or row["different"]:
         raise ValueError(f"facts differ: {row.asDict()}")

@@ -412,6 +412,9 @@ ORACLE = {
     "merged_stores": _sql("""SELECT 'to b' AS way, ingest_id FROM sa WHERE machine = 'm0' AND ingest_id % 10 < 4 UNION ALL
         SELECT 'to a', ingest_id FROM sb WHERE machine = 'm1' AND ingest_id % 10 >= 7"""),
     "compared_facts": _sql("""SELECT count(*) AS old_rows, count(*) FILTER (ingest_id % 11 = 0) AS missing, count(*) FILTER (ingest_id % 11 <> 0 AND ingest_id % 13 = 0) AS different FROM rq"""),
+    "compared_by_digests": _sql("""SELECT count(*) AS old_rows, count(*) FILTER (ingest_id % 11 = 0) AS missing, count(*) FILTER (ingest_id % 11 <> 0 AND ingest_id % 13 = 0) AS different FROM rq"""),
+    "one_changed_fact": _sql("SELECT count(*) AS old_rows, 0 AS missing, 1 AS different FROM rq"),
+    "missing_by_digests": _sql("SELECT ingest_id, row_hash FROM sa WHERE row_hash NOT IN (SELECT row_hash FROM sb)"),
     "slots_recounted": _sql(f"""SELECT counted, count(*) AS requests, CAST(sum({_ALL}) AS BIGINT) AS tokens, round(coalesce(sum(cost_usd), 0), 6) AS usd,
         CAST(coalesce(sum(CASE WHEN cost_usd IS NULL THEN {_ALL} END), 0) AS BIGINT) AS tokens_without_usd
         FROM rows, (VALUES ('slots'), ('requests')) c(counted) WHERE ts < {_END} GROUP BY 1"""),

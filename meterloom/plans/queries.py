@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 from meterloom import schemas
 from meterloom.fixed_values import JUMP_PCT, JUMP_S
 from meterloom.functions import numbers, text, times
-from meterloom.operators import budgets, dedup, maintenance, quality, reconcile, slots as slot_ops, split, windows
+from meterloom.operators import budgets, dedup, digests, maintenance, quality, reconcile, slots as slot_ops, split, windows
 from meterloom.operators.chunks import DAY, asof, id_chunk, running
 from meterloom.operators.quantiles import exact_median
 from meterloom.plans import feeds, jobs, log_lines
@@ -795,6 +795,27 @@ def compared_facts(spark, sf):
     return reconcile.fact_counts(reconcile.compare_facts(*_copies(spark, sf), reconcile.REQUEST_TOKENS))
 
 
+@query("J12 M4")
+def compared_by_digests(spark, sf):
+    """As compared_facts; only buckets whose digests differ are joined."""
+    return digests.compare_stores(*_copies(spark, sf), reconcile.REQUEST_TOKENS)
+
+
+@query("J12 M4")
+def one_changed_fact(spark, sf):
+    """A store beside itself with one value changed."""
+    old = settle(_requests(spark, sf), "facts")
+    last = old.agg(F.max("ingest_id")).first()[0]
+    new = old.withColumn("output_tokens", F.col("output_tokens") + F.when(F.col("ingest_id") == last, 1).otherwise(0))
+    return digests.compare_stores(old, new, reconcile.REQUEST_TOKENS)
+
+
+@query("J11 U4")
+def missing_by_digests(spark, sf):
+    a, b = _stores(spark, sf)
+    return digests.missing(a, b).select("ingest_id", "row_hash")
+
+
 @query("A15 M4")
 def slots_recounted(spark, sf):
     r, t = _requests(spark, sf), feeds.telemetry(spark, sf)
