@@ -3,7 +3,8 @@
 Words are runs of letters, digits and non-ASCII characters, A-Z lower-cased. A document and a benchmark item are compared
 when they share a seed, SEED consecutive words (the whole item, if it has fewer). A pair is tiled: the longest matches of
 words not yet marked are marked first; none overlaps another and each has SEED words or more. Matches are seeds extended
-by running Karp-Rabin hashes in steps of falling powers of two, so two texts of 20,000 words take well under a second. The share of the item's words under tiles is its coverage, whatever the tiles' order in the
+by running Karp-Rabin hashes in steps of falling powers of two, so two texts of 20,000 words take well under a second
+(of 50 distinct words, 0.03 s; of only two, where most seeds match somewhere, 8 s and memory for some millions of matches). The share of the item's words under tiles is its coverage, whatever the tiles' order in the
 document, so reordered passages count. COVERAGE or more contaminates the document.
 
 The benchmark goes to the tasks in blocks of at most BLOCK_BYTES of text (an item larger than that is a block of its
