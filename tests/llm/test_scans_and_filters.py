@@ -41,6 +41,14 @@ def test_license_scan(spark):
     assert all(0 <= r.score <= 1 for r in got) and license_scan.scan(documents(spark, [])).count() == 0
 
 
+def test_license_named_without_under(spark):
+    """The contract's phrase counts places; the licence named by itself is still a notice, as it was before the phrase changed."""
+    rows = [(1, "The MIT License, and nothing else", "a"), (2, "mit license", "a"), (3, "under the MIT license", "a")]
+    got = {r.doc_id: r for r in license_scan.scan(documents(spark, rows)).collect()}
+    assert [(got[d].n_base, got[d].base_labels, got[d].labels) for d in (1, 2, 3)] == [(0, "", "mit"), (0, "", ""), (1, "mit", "mit")]
+    assert got[1].first_word is None and got[1].score == 1.0 and got[2].score == 0.0
+
+
 def naive_stretches(rows, words):
     """What `clean` should give for (doc_id, text) rows, by trying every stretch of every document, shortest or not."""
     seen, by_row = set(), {}
