@@ -4,42 +4,43 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 OUT = "path STRING, ingest_id LONG, value STRING, arrived LONG, observed_at LONG"
 _ROWS = 10_000
+#: Transcripts share state by buckets; what a bucket holds is what waits of its transcripts, and an answer of each.
+BUCKETS = 2048
+_ANSWER = pa.schema([("path", pa.string()), *[(c, pa.int64()) for c in ("at", "block", "line", "ts")]])
+_PAYLOAD = pa.schema([("path", pa.string()), ("at", pa.int64()), ("ingest_id", pa.int64()), ("value", pa.string())])
 
 
 class Dating(StatefulProcessor):
-    """Per transcript: answers and payloads wait until the watermark has passed them; then every answer up to there is
-    known, and the payloads up to there get the last one at or before their arrival (of two at one time the later line).
-    Of the answers passed only the last is kept. Lists are appended to frame by frame, so input comes in any order and in
-    frames of any size; when they are settled, answers stream past the waiting payloads' times, sorted."""
+    """Per bucket of transcripts: answers and payloads wait until the watermark has passed them; then every answer up to
+    there is known, and the payloads up to there get their transcript's last one at or before their arrival (of two at one
+    time the later line). Of the answers passed only each transcript's last is kept. Input comes in any order and in frames
+    of any size: a frame's rows are one entry of a list, so state is spoken to once a frame, not once a row."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.answers = handle.getListState("answers", "at long, block long, line long, ts long")
-        self.waiting = handle.getListState("waiting", "at long, ingest_id long, value string")
-        self.last = handle.getValueState("last", "at long, block long, line long, ts long")
+        self.answers = handle.getListState("answers", "rows binary")
+        self.waiting = handle.getListState("waiting", "rows binary")
+        self.last = handle.getListState("last", "rows binary")
         self.through = handle.getValueState("through", "at long")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         for frame in rows:
-            at = frame["at"].to_numpy("datetime64[us]").astype(np.int64)
+            frame = frame.assign(at=frame["at"].to_numpy("datetime64[us]").astype(np.int64))
             is_answer = frame["answer"].to_numpy(bool)
-            whole = lambda name, keep: [None if pd.isna(v) else int(v) for v in frame[name][keep]]
-            if is_answer.any():
-                self.answers.appendList(list(zip(at[is_answer].tolist(), whole("block", is_answer), whole("line", is_answer), whole("ts", is_answer))))
-            if not is_answer.all():
-                shown = ~is_answer
-                values = [None if v is None or pd.isna(v) else v for v in frame["value"][shown]]
-                self.waiting.appendList(list(zip(at[shown].tolist(), whole("ingest_id", shown), values)))
-                # One timer a second: the first that fires settles all that the watermark has passed.
-                for second in np.unique(at[shown] // 1_000_000).tolist():
-                    self.handle.registerTimer((second + 1) * 1000)
-            elif is_answer.any():
-                self.handle.registerTimer((int(at.max()) // 1_000_000 + 1) * 1000)
+            told, shown = frame[is_answer], frame[~is_answer]
+            if len(told):
+                self.answers.appendList(_packed(told, _ANSWER))
+            if len(shown):
+                self.waiting.appendList(_packed(shown, _PAYLOAD))
+                self._wake(int(shown["at"].min()))
+            elif len(told):
+                self._wake(int(told["at"].max()))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
@@ -47,53 +48,48 @@ class Dating(StatefulProcessor):
         if self.through.exists() and self.through.get()[0] >= now:
             return
         self.through.update((now,))
-        waiting = self.waiting.get() if self.waiting.exists() else iter(())
-        asked = np.sort(np.array([at for at, _, _ in waiting if at <= now], np.int64))
-        best: dict[int, tuple] = {}
-        late, newest = [], tuple(self.last.get()) if self.last.exists() else None
-        if newest is not None:
-            best[0] = newest
-        for answer in self.answers.get() if self.answers.exists() else iter(()):
-            if answer[0] > now:
-                late.append(tuple(answer))
-                continue
-            place = int(np.searchsorted(asked, answer[0]))  # the first payload it can date
-            if place not in best or best[place][:3] < answer[:3]:
-                best[place] = tuple(answer)
-            if newest is None or newest[:3] < answer[:3]:
-                newest = tuple(answer)
-        dates, held = [], None
-        for place in range(len(asked)):
-            if place in best and (held is None or held[:3] < best[place][:3]):
-                held = best[place]
-            dates.append(held[3] if held else None)
-        if newest is not None:
-            self.last.update(newest)
-        self._keep(self.answers, late)
-        kept, out = [], []
-        for at, ingest_id, value in list(self.waiting.get()) if self.waiting.exists() else []:
-            if at > now:
-                kept.append((at, ingest_id, value))
-                continue
-            out.append((key[0], ingest_id, value, at // 1_000_000, dates[int(np.searchsorted(asked, at))]))
-            if len(out) == _ROWS:
-                yield _frame(out)
-                out = []
-        self._keep(self.waiting, kept)
-        if out:
-            yield _frame(out)
-
-    @staticmethod
-    def _keep(state, rows: list[tuple]) -> None:
-        state.put(rows) if rows else state.clear()
+        waiting, answers = _rows(self.waiting, _PAYLOAD), _rows(self.answers, _ANSWER)
+        passed = answers["at"] <= now
+        known = pd.concat([_rows(self.last, _ANSWER), answers[passed]]).sort_values(["at", "block", "line"], kind="stable")
+        asked = waiting["at"] <= now
+        out = pd.merge_asof(waiting[asked].sort_values("at", kind="stable"), known[["path", "at", "ts"]], on="at", by="path")
+        kept = waiting[~asked]
+        _put(self.last, known.drop_duplicates("path", keep="last"), _ANSWER)
+        _put(self.answers, answers[~passed], _ANSWER)
+        _put(self.waiting, kept, _PAYLOAD)
+        if len(kept):
+            self._wake(int(kept["at"].min()))
+        out = out.assign(arrived=out["at"] // 1_000_000).rename(columns={"ts": "observed_at"})[["path", "ingest_id", "value", "arrived", "observed_at"]]
+        for start in range(0, len(out), _ROWS):
+            yield out[start:start + _ROWS]
+
+    def _wake(self, at: int) -> None:
+        """One timer a frame, for its first payload: it settles all that the watermark has passed and sets the next."""
+        self.handle.registerTimer((at // 1_000_000 + 1) * 1000)
 
     def close(self) -> None:
         pass
 
 
-def _frame(rows: list[tuple]) -> pd.DataFrame:
-    made = pd.DataFrame(rows, columns=["path", "ingest_id", "value", "arrived", "observed_at"])
-    return made.astype({"ingest_id": "Int64", "arrived": "Int64", "observed_at": "Int64"})
+def _packed(rows: pd.DataFrame, schema: pa.Schema) -> list[tuple]:
+    """The rows as Arrow streams of at most _ROWS each."""
+    out = []
+    for start in range(0, len(rows), _ROWS):
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, schema) as made:
+            made.write_table(pa.Table.from_pandas(rows[start:start + _ROWS][schema.names], schema=schema, preserve_index=False))
+        out.append((sink.getvalue().to_pybytes(),))
+    return out
+
+
+def _rows(state, schema: pa.Schema) -> pd.DataFrame:
+    parts = [pa.ipc.open_stream(bytes(rows)).read_all() for rows, in state.get()] if state.exists() else []
+    made = pa.concat_tables([schema.empty_table(), *parts]).to_pandas(types_mapper={pa.int64(): pd.Int64Dtype()}.get)
+    return made.astype({"at": "int64"})
+
+
+def _put(state, rows: pd.DataFrame, schema: pa.Schema) -> None:
+    state.put(_packed(rows, schema)) if len(rows) else state.clear()
 
 
 def dated(payloads: DataFrame, answers: DataFrame, delay: str = "10 minutes") -> DataFrame:
@@ -101,11 +97,11 @@ def dated(payloads: DataFrame, answers: DataFrame, delay: str = "10 minutes") ->
     ts), ts NULL where the answer's stamp is no UTC one, which dates nothing. Each payload once, with `observed_at`, as
     soon as the watermark, `delay` behind the newest row, has passed it. Needs the RocksDB store."""
     path = F.coalesce(F.col("path"), F.lit("")).alias("path")
-    none = lambda kind: F.lit(None).cast(kind)
+    zero = F.lit(0).cast("long")  # no NULL: pandas would make the column double
     a = answers.select(path, "at", F.lit(True).alias("answer"), F.col("block").cast("long"), F.col("line").cast("long"), F.col("ts").cast("long"),
-                       none("long").alias("ingest_id"), none("string").alias("value"))
-    p = payloads.select(path, F.col("arrived").alias("at"), F.lit(False).alias("answer"), none("long").alias("block"), none("long").alias("line"),
-                        none("long").alias("ts"), F.col("ingest_id").cast("long"), "value")
+                       zero.alias("ingest_id"), F.lit(None).cast("string").alias("value"))
+    p = payloads.select(path, F.col("arrived").alias("at"), F.lit(False).alias("answer"), zero.alias("block"), zero.alias("line"),
+                        F.lit(None).cast("long").alias("ts"), F.col("ingest_id").cast("long"), "value")
     both = a.unionByName(p).withWatermark("at", delay)
-    return both.groupBy("path").transformWithStateInPandas(
+    return both.withColumn("bucket", F.pmod(F.xxhash64("path"), F.lit(BUCKETS))).groupBy("bucket").transformWithStateInPandas(
         statefulProcessor=Dating(), outputStructType=OUT, outputMode="Append", timeMode="EventTime")

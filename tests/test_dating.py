@@ -4,9 +4,11 @@ import json
 import random
 from datetime import datetime, timezone
 
+import pandas as pd
+
 from meterloom import schemas
 from meterloom.sources.tables import stored
-from meterloom.streaming.dating import dated
+from meterloom.streaming.dating import Dating, dated
 from meterloom.streaming.repeats import rocksdb
 from meterloom.streaming.transcripts import follow_payloads
 
@@ -40,6 +42,58 @@ def test_equals_a_plain_look_up(spark, tmp_path):
     assert got == sorted((i, p or "", v, int(t.timestamp()), plain(answers, (p, t))) for p, t, i, v in payloads)
 
 
+class Held:
+    """A state variable or the handle itself in plain memory, counting what it is asked."""
+    def __init__(self):
+        self.rows, self.calls, self.timers = [], 0, []
+
+    def getListState(self, name, schema):
+        return self.__dict__.setdefault(name, Held())
+
+    getValueState = getListState
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+    def exists(self):
+        return bool(self.rows)
+
+    def get(self):
+        return self.rows
+
+    def appendList(self, rows):
+        self.calls, self.rows = self.calls + 1, self.rows + rows
+
+    def put(self, rows):
+        self.rows = rows
+
+    def update(self, row):
+        self.rows = list(row)
+
+    def clear(self):
+        self.rows = []
+
+    def getCurrentWatermarkInMs(self):
+        return self.now
+
+
+def test_state_is_asked_once_a_frame(spark):
+    handle, clock, d = Held(), Held(), Dating()
+    d.init(handle)
+    n = 1_000  # a payload and an answer of one second, each second
+    frame = pd.DataFrame({"path": "p", "at": pd.to_datetime([s for s in range(n)] * 2, unit="s"), "answer": [True] * n + [False] * n, "block": 0,
+                          "line": range(2 * n), "ts": list(range(n)) + [None] * n, "ingest_id": range(2 * n), "value": "v"})
+    d.handleInputRows((0,), iter([frame]), clock)
+    assert handle.timers == [1_000] and handle.answers.calls == handle.waiting.calls == 1
+    clock.now = 400_500
+    out = pd.concat(d.handleExpiredTimer((0,), clock, None))
+    assert out["arrived"].tolist() == out["observed_at"].tolist() == list(range(401)) and handle.timers == [1_000, 402_000]
+    clock.now = 2_000_000
+    out = pd.concat(d.handleExpiredTimer((0,), clock, None))
+    assert out["observed_at"].tolist() == list(range(401, n)) and not handle.answers.rows and not handle.waiting.rows and len(handle.last.rows) == 1
+    assert len(handle.timers) == 2 and list(d.handleExpiredTimer((0,), clock, None)) == []
+
+
 def test_from_growing_transcripts_to_the_gates(spark, tmp_path):
     logs = tmp_path / "logs"
     logs.mkdir()
