@@ -65,26 +65,26 @@ def plain_object(pairs: Column) -> Column:
 
 
 def _attribute(name: str, kind: str) -> Column:
-    """A scalar of the attribute list, found by its key's place (the last one, should a key come twice); no object is
-    built and no lambda runs for it."""
-    from_end = F.array_position(F.reverse(F.col("attributes.key")), name).cast("int")
-    place = F.when(from_end > 0, F.size("attributes") - from_end)
-    get = lambda field: F.get(F.col(f"attributes.value.{field}"), place)
+    """A scalar of the attribute list, found by its key's place in `keys`, the list's keys from the end (the last one,
+    should a key come twice); no object or list is built and no lambda runs for it."""
+    from_end = F.array_position("keys", name).cast("int")
+    value = F.get("attributes", F.when(from_end > 0, F.size("attributes") - from_end))["value"]
     if kind == "string":
-        return get("stringValue")
-    whole, real = get("intValue").try_cast("long"), get("doubleValue")
+        return value["stringValue"]
+    whole, real = value["intValue"].try_cast("long"), value["doubleValue"]
     return F.coalesce(whole, real.try_cast("long")) if kind == "long" else F.coalesce(whole.cast("double"), real)
 
 
 def usage_events(batches: DataFrame, value: str = "value", received: str = "received_ts") -> DataFrame:
-    """One row per usage event of the batches; every other event is dropped before its attributes are touched."""
+    """One row per usage event of the batches; every other event is dropped when its name is known. `keys`: the attributes'
+    keys from the end, listed once."""
     j = parsed(batches.withColumn("received_ts", F.col(received).cast("long")), schemas.OTLP_BATCH, "received_ts", value=value)
     r = j.select("received_ts", F.explode("resourceLogs").alias("r"))
     s = r.select("received_ts", F.col("r.resource.attributes").alias("resource"), F.explode("r.scopeLogs").alias("s"))
     e = s.select("received_ts", "resource", F.explode("s.logRecords").alias("e"))
     rec = e.select("received_ts", "resource", F.col("e.attributes").alias("attributes"), F.col("e.body.stringValue").alias("body"),
                    F.coalesce(F.col("e.timeUnixNano").try_cast("long"), F.lit(0)).alias("time_unix_nano"))
-    named = computed(rec, _name=_attribute("event.name", "string"))
+    named = computed(computed(rec, keys=F.reverse(F.col("attributes.key"))), _name=_attribute("event.name", "string"))
     name = F.when(F.col("_name") != "", F.col("_name")).otherwise(F.coalesce("body", F.lit("")))
     prefix = EVENT_PREFIX.replace(".", "[.]")
     return computed(named, event=F.regexp_replace(name, f"^{prefix}", "")).where(F.col("event").isin(USAGE_EVENTS))

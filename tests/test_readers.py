@@ -139,6 +139,17 @@ def test_telemetry_keeps_usage_events_and_unwraps_any_depth(spark):
     assert {k: raw["attributes"][k] for k in DEEP} == DEEP and raw["resource"] == {"host": "h"} and raw["time_unix_nano"] == DAY * 10 ** 9 + 250_000_000
 
 
+def test_attribute_keys_are_listed_once(spark):
+    """Of a key that comes twice the last value counts, and a batch's keys are turned round once, not once per attribute."""
+    twice = exported(("claude_code.api_request", {"request_id": "a", "n": 1})).replace('"n"', '"request_id"', 1)
+    assert twice.count("request_id") == 2
+    got = telemetry.telemetry(spark.createDataFrame([(twice.replace('"intValue": "1"', '"stringValue": "b"').replace('"intValue": 1', '"stringValue": "b"'), 33)],
+                                                    "value string, received_ts long"))
+    assert [r.request_id for r in got.collect()] == ["b"]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("reverse(") == 1
+
+
 def test_a_payload_has_the_time_of_its_transcripts_last_answer(spark, log, rows):
     quoted = compact({"type": "user", "timestamp": stamp(DAY + 900), "text": answer(DAY + 800, "q", 1)})
     lines = log({"a.jsonl": [answer(DAY, "q1", 1), answer(DAY + 60, "q2", 2), quoted], "b.jsonl": [compact({"type": "assistant", "timestamp": stamp(DAY, "+01:00")})]})
