@@ -1,9 +1,8 @@
-"""LM scoring by a probabilistic suffix tree.
+"""LM scoring by probabilistic suffix trees.
 
-Tokens are words (A-Z lower-cased), then one end per document. The tree models a token as its bytes followed by a space,
+Tokens are words (A-Z lower-cased), then one end per document. A tree of bytes models a token as its bytes followed by a space,
 and the end as a byte of its own where a word would begin. A context is the bytes before a symbol, back to the space before
-the word and DEPTH at most, so a word's probability does not hang on other words, and the model is learnt from the counts
-of distinct words and scores distinct words.
+the word and DEPTH at most, so this tree is learnt from the counts of distinct words and scores distinct words.
 
 A word met in training is also one symbol, with its count less DISCOUNT of all tokens; what the discounts free is the
 share of words spelled out by the tree, so a word's probability is the sum of both, and words never met have one.
@@ -19,6 +18,18 @@ are joined to the entries of their longest contexts; entries that make up one in
 SHARE of them) are broadcast instead, which changes no score. So it is with words: those that make up one in COMMON of all
 tokens or more (at most COMMON of them) are broadcast, the others' tokens are joined to their counts.
 
+Before that stands the tree over tokens, whose contexts are the WORDS words before a token, or fewer. It grows a word at a
+time: a token after a context is counted only if it was met LEAST times after the context without its first word, and the
+context itself was met LEAST times, since no other can be met so often; these two tests go through a bit set of hashes, which
+lets some more pass but none less, so the counts are exact. A context is kept by the divergence test too, its tokens met
+fewer times taken together; as they are many, each held token raises what the gain must reach by half the log of the
+context's count, which is what chance alone gives. In a kept context a token has its count there less DISCOUNT, over the context's count, plus its
+probability in the context one word shorter times what the discounts and the tokens met fewer times leave. So every token
+has the probability of its longest kept context, and the shares of all tokens add up to 1. A document's score is that of
+its words alone plus what every kept context and every token held in one adds wherever it stands, so these numbers are a
+table of sequences of words, which grows with the corpus; sequences that are one in PLACES of all tokens or more are
+broadcast, the others joined. A document begins without a context.
+
 `base_score` is the sum over tokens of log10((c + 0.1) / (N + 0.1 (V + 1))) as the caller's contract has it.
 
 Null and empty texts hold one token, the end. A null doc_id is held out and keeps its row; rows that repeat are counted and
@@ -28,6 +39,7 @@ one; extra columns are ignored."""
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -43,8 +55,15 @@ SMOOTH = 0.5
 DISCOUNT = 0.5
 SHARE = 1 << 19
 COMMON = 1 << 20
+PLACES = 1 << 21
+WORDS = 2
+LEAST = 64
+#: Bits of a sieve, and bytes of text a task takes at once.
+SIEVE = 1 << 25
+CUT = 1 << 20
 _SPACE, _END = 32, 3
 _END_CODE = 1 << 56 | _SPACE << 8 | _END
+_END_HASH = np.uint64(0xE703_7ED1_A0B4_28DB)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -53,13 +72,12 @@ def held_out(doc_id: Column) -> Column:
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The distinct words of each cut and how often they stand in training rows and in all."""
-    for part in textkit.cuts(batches):
+    for part in textkit.cuts(batches, limit=CUT):
         parsed = textkit.words(part.column("text"))
         values, first, inverse = np.unique(parsed.hashes(), return_index=True, return_inverse=True)
         learnt = np.asarray(part.column("learnt"), bool)[parsed.row_of()]
         counts = np.bincount(inverse, learnt, len(values)).astype(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(textkit.ids(values)), pa.array([parsed.word(i) for i in first.tolist()], pa.binary()),
-                                          pa.array(counts)], ["h", "word", "c"])
+        yield pa.RecordBatch.from_arrays([pa.array(textkit.ids(values)), parsed.texts(first), pa.array(counts)], ["h", "word", "c"])
 
 
 def _symbols(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -275,6 +293,96 @@ def spelled(words: DataFrame, leaves: DataFrame, total: int) -> DataFrame:
         "h", "word", "c", (F.col("lp") + F.coalesce("rare", F.lit(0.0))).alias("spelled"))
 
 
+def _sequences(parsed: textkit.Words, hashes: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(n, row, code, context, shorter) of every token that has n tokens before it in its row: hashes of the token with the n
+    before it, of these n alone, and of all but the first. For n = 0 there is only the code."""
+    sizes = np.diff(parsed.rows)
+    row = np.repeat(np.arange(len(sizes)), sizes + 1)
+    code = np.full(len(row), _END_HASH)
+    word = np.ones(len(row), bool)
+    word[np.cumsum(sizes + 1) - 1] = False
+    code[word] = hashes
+    yield 0, row, code, code[:0], code[:0]
+    for n in range(1, WORDS + 1):
+        joined = row[1:] == row[:-1]
+        context, shorter = code[:-1], code[1:]
+        code = textkit.mix(context * np.uint64(0xD6E8FEB86659FD93) + shorter * np.uint64(0x9FB21C651E98DF25) + np.uint64(n))
+        # what crosses rows is cut out, and stays out of longer ones: a row's first token is never a second one
+        row, code, context, shorter = row[1:][joined], code[joined], context[joined], shorter[joined]
+        yield n, row, code, context, shorter
+
+
+def _passes(sieve: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    at = codes & np.uint64(SIEVE - 1)
+    return sieve[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1 > 0
+
+
+def sieve_of(codes: DataFrame) -> np.ndarray:
+    """The bit set of hashes in the column `code`: of SIEVE bits, however many there are."""
+    at = F.col("code").bitwiseAND(SIEVE - 1) + 1
+    bits = np.zeros(SIEVE // 8, np.uint8)
+    for block, packed in codes.groupBy(F.bitmap_bucket_number(at)).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at))).collect():
+        bits[(block - 1) * len(packed):block * len(packed)] = np.frombuffer(packed, np.uint8)
+    return bits
+
+
+def _grown(learnt: DataFrame, n: int, shorter: DataFrame) -> DataFrame:
+    """What one reading of the texts tells: (code, context, shorter) of the sequences of n tokens in `shorter`, the column
+    `context` null otherwise, and (code, c) of those of n + 1 tokens that the texts hold LEAST times or more."""
+    held = learnt.sparkSession.sparkContext.broadcast(sieve_of(shorter))
+
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in textkit.cuts(batches, limit=CUT):
+            parsed = textkit.words(part.column("text"))
+            for m, row, code, context, short in islice(_sequences(parsed, parsed.hashes()), n - 1, n + 1):
+                if m == n:  # both parts are in `shorter`
+                    values, counts = np.unique(code[both], return_counts=True)
+                    empty = pa.nulls(len(values), pa.int64())
+                    columns = [pa.array(textkit.ids(values)), empty, empty, pa.array(counts.astype(np.int64))]
+                else:
+                    passed = _passes(held.value, code)
+                    both = (passed[:-1] & passed[1:])[row[1:] == row[:-1]]
+                    if m == 0:
+                        continue
+                    near = np.flatnonzero(passed)
+                    values, first = np.unique(code[near], return_index=True)
+                    columns = [pa.array(textkit.ids(x)) for x in (values, context[near][first], short[near][first])] + [pa.nulls(len(values), pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, ["code", "context", "shorter", "c"])
+
+    found = learnt.mapInArrow(parts, "code long, context long, shorter long, c long").groupBy("code")
+    if n == 1:
+        return found.agg(F.sum("c").alias("c")).where(F.col("c") >= LEAST)
+    return found.agg(*[F.max(x).alias(x) for x in ("context", "shorter")], F.sum("c").alias("c")).where(
+        F.col("context").isNotNull() | (F.col("c") >= LEAST))
+
+
+def contexts(learnt: DataFrame, tokens: DataFrame) -> DataFrame:
+    """(code, c, adds): what every place of a sequence of tokens adds to the score beside the tokens' own logs. `learnt` has
+    the training texts, `tokens` (code, c, lp) those met LEAST times or more, the end included."""
+    told = tokens.select("code", "c", F.lit(0.0).alias("adds")).limit(0)
+    counts = settle(_grown(learnt, 1, tokens), "sequences")
+    for n in range(1, WORDS + 1):
+        seen = settle(_grown(learnt, n + 1, counts), "sequences")
+        held = settle(counts.select("code", "c").join(seen.where("context is not null").select("code", "context", "shorter"), "code").join(
+            tokens.select(F.col("code").alias("shorter"), F.col("lp").alias("below")), "shorter"), "held")
+        counts = seen.where("context is null").select("code", "c")
+        c, share = F.col("c"), F.pow(F.lit(10.0), F.col("below"))
+        found = held.groupBy(F.col("context").alias("code")).agg(
+            F.sum("c").alias("held"), F.sum(c - DISCOUNT).alias("kept"), F.sum(share).alias("share"),
+            F.sum(c * (F.log(c) - F.log(share))).alias("gain"), F.count("*").alias("tokens"))
+        left = F.col("c") - F.col("held")
+        gain = F.col("gain") - F.col("held") * F.log("c") + F.when(
+            left > 0, left * (F.log(left / c) - F.log(F.greatest(1 - F.col("share"), F.lit(1e-12))))).otherwise(0.0)
+        kept = settle(found.join(tokens.select("code", "c"), "code").where(
+            gain >= GAIN + F.col("tokens") * F.log("c") / 2).select("code", "c", (1 - F.col("kept") / c).alias("rest")), "contexts")
+        inside = held.join(kept.select(F.col("code").alias("context"), F.col("c").alias("total"), "rest"), "context", "left")
+        lp = F.when(F.col("rest").isNull(), F.col("below")).otherwise(F.log10((c - DISCOUNT) / F.col("total") + F.col("rest") * share))
+        tokens = settle(inside.select("code", "c", lp.alias("lp"), (lp - F.col("below") - F.log10("rest")).alias("adds")), "tokens-in-contexts")
+        told = told.unionByName(kept.select("code", "c", F.log10("rest").alias("adds"))).unionByName(
+            tokens.where("adds is not null").select("code", "c", "adds"))
+    return settle(told.groupBy("code").agg(F.max("c").alias("c"), F.sum("adds").alias("adds")), "told")
+
+
 def score(documents: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score for every row of documents; see the module
     for each case."""
@@ -292,6 +400,15 @@ def score(documents: DataFrame) -> DataFrame:
     free = F.col("spelled") + (float(np.log10(DISCOUNT * v / n)) if n else 0.0)
     lp = F.when(F.col("c") > 0, F.log10((F.col("c") - DISCOUNT) / float(max(n, 1)) + F.pow(F.lit(10.0), free))).otherwise(free)
     scored = settle(spelled(words, leaves, total).select("h", "word", "c", lp.alias("lp")), "scored")
+    end_lp = float(blended(np.array([end]), np.array([n_docs]), n, v)[0])
+    ended = spark.createDataFrame([(int(textkit.ids(np.array([_END_HASH]))[0]), n_docs, end_lp)], "code long, c long, lp double")
+    told = contexts(texts.where("learnt").select("text"), settle(
+        scored.select(F.col("h").alias("code"), "c", "lp").unionByName(ended).where(F.col("c") >= LEAST), "tokens"))
+    often = told.where(F.col("c") * PLACES >= n).select("code", "adds").toArrow()
+    codes = np.asarray(often.column("code"), np.int64).view(np.uint64)
+    order = np.argsort(codes)
+    others = told.where(F.col("c") * PLACES < n)
+    near = spark.sparkContext.broadcast((codes[order], np.asarray(often.column("adds"), np.float64)[order], sieve_of(told)))
     common = scored.where((F.col("c") > 0) & (F.col("c") * COMMON >= n)).select("h", "c", "lp").toArrow()
     h = np.asarray(common.column("h"), np.int64).view(np.uint64)
     order = np.argsort(h)
@@ -300,12 +417,13 @@ def score(documents: DataFrame) -> DataFrame:
     def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Per row a row with the sums over common words, and one per distinct word that is not common."""
         hashes, counts, logs = top.value
-        names = ["row", "doc_id", "word", "n", "n_known", "base", "lp"]
+        codes, adds, sieve = near.value
+        names = ["row", "doc_id", "word", "n", "n_known", "base", "lp", "code"]
         task, seen = TaskContext.get().partitionId(), 0
-        for part in textkit.cuts(batches):
+        for part in textkit.cuts(batches, limit=CUT):
             parsed = textkit.words(part.column("text"))
-            own, of_row = parsed.hashes(), parsed.row_of()
-            values, first, inverse = np.unique(own, return_index=True, return_inverse=True)
+            own_hashes, of_row = parsed.hashes(), parsed.row_of()
+            values, first, inverse = np.unique(own_hashes, return_index=True, return_inverse=True)
             at = Tree._find(hashes, values)
             row_ids = (task << 40) + seen + np.arange(part.num_rows)
             seen += part.num_rows
@@ -313,29 +431,42 @@ def score(documents: DataFrame) -> DataFrame:
             base = np.where(known, np.log10(counts[np.maximum(at, 0)] + 0.1) if len(counts) else 0.0, 0.0)
             logged = np.where(known, logs[np.maximum(at, 0)] if len(logs) else 0.0, 0.0)
             sums = [np.bincount(of_row, x[inverse], part.num_rows) for x in (known.astype(float), base, logged)]
+            asked = []
+            for _, row, code, _, _ in _sequences(parsed, own_hashes):
+                own = np.flatnonzero(_passes(sieve, code))
+                row, code = row[own], code[own]
+                at = Tree._find(codes, code)
+                own = at >= 0
+                sums[2] += np.bincount(row[own], adds[at[own]], part.num_rows)
+                asked.append((row[~own], code[~own]))
             yield pa.RecordBatch.from_arrays([
                 pa.array(row_ids), part.column("doc_id"), pa.nulls(part.num_rows, pa.binary()), pa.array(np.diff(parsed.rows)),
-                pa.array(sums[0].astype(np.int64)), pa.array(sums[1]), pa.array(sums[2])], names)
+                pa.array(sums[0].astype(np.int64)), pa.array(sums[1]), pa.array(sums[2]), pa.nulls(part.num_rows, pa.int64())], names)
+            row, code = (np.concatenate(x) for x in zip(*asked))
+            k = len(row)
+            yield pa.RecordBatch.from_arrays([pa.array(row_ids[row]), pa.nulls(k, pa.int64()), pa.nulls(k, pa.binary()), pa.nulls(k, pa.int64()),
+                                              pa.nulls(k, pa.int64()), pa.nulls(k, pa.float64()), pa.nulls(k, pa.float64()), pa.array(textkit.ids(code))], names)
             rest = np.flatnonzero(~known[inverse])
             pairs, times = np.unique(of_row[rest] * len(values) + inverse[rest], return_counts=True)
             k = len(pairs)
-            texts_of = {i: parsed.word(first[i]) for i in np.unique(pairs % max(1, len(values))).tolist()}
             yield pa.RecordBatch.from_arrays([
                 pa.array(row_ids[pairs // max(1, len(values))]), pa.nulls(k, pa.int64()),
-                pa.array([texts_of[i] for i in (pairs % max(1, len(values))).tolist()], pa.binary()), pa.array(times.astype(np.int64)),
-                pa.nulls(k, pa.int64()), pa.nulls(k, pa.float64()), pa.nulls(k, pa.float64())], names)
+                parsed.texts(first[pairs % max(1, len(values))]), pa.array(times.astype(np.int64)),
+                pa.nulls(k, pa.int64()), pa.nulls(k, pa.float64()), pa.nulls(k, pa.float64()), pa.nulls(k, pa.int64())], names)
 
-    rows = texts.mapInArrow(parts, "row long, doc_id long, word binary, n long, n_known long, base double, lp double")
+    rows = texts.mapInArrow(parts, "row long, doc_id long, word binary, n long, n_known long, base double, lp double, code long")
     rows = settle(rows, "parts")
     rare = rows.where("word is not null").select("row", "word", "n").join(scored.select("word", "c", F.col("lp").alias("each")), "word").select(
         "row", F.when(F.col("c") > 0, F.col("n")).otherwise(0).alias("n_known"), (F.col("n") * F.log10(F.col("c") + 0.1)).alias("base"),
         (F.col("n") * F.col("each")).alias("lp"))
-    sums = rows.where("word is null").select("row", "n_known", "base", "lp").unionByName(rare).groupBy("row").agg(
+    placed = rows.where("code is not null").select("row", "code").join(others.select("code", F.col("adds").alias("lp")), "code").select(
+        "row", F.lit(0).cast("long").alias("n_known"), F.lit(0.0).alias("base"), "lp")
+    sums = rows.where("n is not null and word is null").select("row", "n_known", "base", "lp").unionByName(rare).unionByName(placed).groupBy("row").agg(
         *[F.sum(c).alias(c) for c in ("n_known", "base", "lp")])
     n_tokens = F.col("n") + 1
     end_count = float(np.log10(n_docs + 0.1))
-    return rows.where("word is null").select("row", "doc_id", "n").join(sums, "row").select(
+    return rows.where("n is not null and word is null").select("row", "doc_id", "n").join(sums, "row").select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), n_tokens.alias("n_tokens"),
         (F.col("n_known") + F.lit(int(n_docs > 0))).alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
         (F.col("base") + end_count - n_tokens * float(np.log10(n + 0.1 * (v + 1)))).alias("base_score"),
-        (F.col("lp") + float(blended(np.array([end]), np.array([n_docs]), n, v)[0])).alias("score"))
+        (F.col("lp") + end_lp).alias("score"))

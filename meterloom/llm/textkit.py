@@ -40,7 +40,7 @@ _ODD = mix(np.arange(1000, 1064, dtype=np.uint64)) | np.uint64(1)
 def _power(base: int, n: int) -> np.ndarray:
     kept = _powers.get(str(base))
     if kept is None or len(kept) < n:
-        size = max(n, CUT_BYTES + 65536)
+        size = max(n, min(n + n // 4, CUT_BYTES + 65536))
         steps = np.full(size, base, np.uint64)
         steps[0] = 1
         _powers[str(base)] = kept = np.cumprod(steps, dtype=np.uint64)
@@ -69,6 +69,13 @@ class Words:
     def word(self, i: int) -> bytes:
         return self.data[self.starts[i]:self.ends[i]].tobytes()
 
+    def texts(self, which: np.ndarray) -> pa.Array:
+        """The words numbered `which` as a binary column."""
+        lengths = self.ends[which] - self.starts[which]
+        offsets = np.concatenate([[0], np.cumsum(lengths)])
+        at = np.repeat(self.starts[which] - offsets[:-1], lengths) + np.arange(offsets[-1])
+        return pa.Array.from_buffers(pa.binary(), len(which), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(self.data[at])])
+
 
 def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a binary column and the offsets of its values."""

@@ -210,6 +210,63 @@ def test_lm_scores_are_those_of_the_whole_tree(spark, monkeypatch, share):
     assert sorted(want) == sorted((repr(r.doc_id), round(r.score, 6)) for r in got)
 
 
+def in_contexts(learnt, text, single, least, gain, longest):
+    """log10 of a text's probability by counts of whole contexts; `single`: each token's log10 without any."""
+    followers = collections.defaultdict(collections.Counter)
+    for t in learnt:
+        tokens = [*fold(t), None]
+        for i, x in enumerate(tokens):
+            for n in range(1, min(longest, i) + 1):
+                followers[tuple(tokens[i - n:i])][x] += 1
+
+    def log(context, x):
+        if not context:
+            return single[x]
+        below, total, seen = log(context[1:], x), sum(followers[context].values()), followers[context]
+        held = {y: c for y, c in seen.items() if c >= least}
+        if not held:
+            return below
+        shares = {y: 10 ** log(context[1:], y) for y in held}
+        told = sum(c * math.log(c / total / shares[y]) for y, c in held.items())
+        left = total - sum(held.values())
+        if left:
+            told += left * math.log(left / total / (1 - sum(shares.values())))
+        if told < gain + len(held) * math.log(total) / 2:
+            return below
+        rest = 1 - sum(c - lm_scoring.DISCOUNT for c in held.values()) / total
+        return math.log10((max(held.get(x, 0) - lm_scoring.DISCOUNT, 0)) / total + rest * 10 ** below)
+
+    tokens = [*fold(text), None]
+    return sum(log(tuple(tokens[max(0, i - longest):i]), x) for i, x in enumerate(tokens))
+
+
+@pytest.mark.parametrize("places", [2, 1 << 21])
+def test_lm_contexts_are_words_before(spark, monkeypatch, places):
+    """A text's score is that of each token after the words before it; shuffled, the same words score lower."""
+    monkeypatch.setattr(lm_scoring, "PLACES", places)
+    rng = random.Random(8)
+    phrases = ["the cat sat on the mat", "a dog ran to the cat", "the mat of a dog", "on the cat ran a mat", "a B the b"]
+    rows = [(i, " ".join(rng.choice(phrases) for _ in range(8)), "a") for i in range(60)]
+    rows += [(100, None, "a"), (None, "the cat the mat", None), (200, "the cat sat on zebra mat", "a"), (3, rows[3][1], "a")]
+    mixed = rows[5][1].split()
+    rng.shuffle(mixed)
+    held_out = [i for i in range(1000, 1400) if zlib.crc32(str(i).encode()) % 10 == 0]
+    single_words = sorted({x for _, t, _ in rows for x in fold(t)})
+    rows += [(held_out[0], rows[5][1], "a"), (held_out[1], " ".join(mixed), "a"), (held_out[2], "", "a")]
+    rows += [(i, w.decode(), "b") for i, w in zip(held_out[3:], single_words)]
+    learnt = [t for d, t, _ in rows if d is not None and zlib.crc32(str(d).encode()) % 10]
+    monkeypatch.setattr(lm_scoring, "LEAST", 10 ** 9)
+    alone = {r.doc_id: r.score for r in lm_scoring.score(documents(spark, rows)).collect()}
+    single = {None: alone[held_out[2]]} | {w: alone[i] - alone[held_out[2]] for i, w in zip(held_out[3:], single_words)}
+    assert abs(alone[held_out[0]] - alone[held_out[1]]) < 1e-9
+    monkeypatch.setattr(lm_scoring, "LEAST", 3)
+    got = lm_scoring.score(documents(spark, rows)).collect()
+    want = sorted((repr(d), round(in_contexts(learnt, t, single, 3, lm_scoring.GAIN, lm_scoring.WORDS), 6)) for d, t, _ in rows)
+    assert want == sorted((repr(r.doc_id), round(r.score, 6)) for r in got)
+    score = {r.doc_id: r.score for r in got}
+    assert score[held_out[0]] > score[held_out[1]] + 5
+
+
 def test_lm_of_nothing(spark):
     assert lm_scoring.score(documents(spark, [])).count() == 0
     [only] = lm_scoring.score(documents(spark, [(None, "a b", "a")])).collect()
