@@ -58,7 +58,7 @@ COMMON = 1 << 20
 PLACES = 1 << 21
 WORDS = 2
 LEAST = 64
-#: Bits of a sieve, and bytes of text a task takes at once.
+#: Bits of a sieve, and bytes of text a task takes at once; twice as many where it counts words or pairs only.
 SIEVE = 1 << 25
 CUT = 1 << 20
 _SPACE, _END = 32, 3
@@ -72,7 +72,7 @@ def held_out(doc_id: Column) -> Column:
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The distinct words of each cut and how often they stand in training rows and in all."""
-    for part in textkit.cuts(batches, limit=CUT):
+    for part in textkit.cuts(batches, limit=2 * CUT):
         parsed = textkit.words(part.column("text"))
         values, first, inverse = np.unique(parsed.hashes(), return_index=True, return_inverse=True)
         learnt = np.asarray(part.column("learnt"), bool)[parsed.row_of()]
@@ -332,7 +332,7 @@ def _grown(learnt: DataFrame, n: int, shorter: DataFrame) -> DataFrame:
     held = learnt.sparkSession.sparkContext.broadcast(sieve_of(shorter))
 
     def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in textkit.cuts(batches, limit=CUT):
+        for part in textkit.cuts(batches, limit=2 * CUT if n == 1 else CUT):
             parsed = textkit.words(part.column("text"))
             for m, row, code, context, short in islice(_sequences(parsed, parsed.hashes()), n - 1, n + 1):
                 if m == n:  # both parts are in `shorter`
@@ -418,7 +418,7 @@ def score(documents: DataFrame) -> DataFrame:
         """Per row a row with the sums over common words, and one per distinct word that is not common."""
         hashes, counts, logs = top.value
         codes, adds, sieve = near.value
-        names = ["row", "doc_id", "word", "n", "n_known", "base", "lp", "code"]
+        names = ["row", "doc_id", "h", "n", "n_known", "base", "lp", "code"]
         task, seen = TaskContext.get().partitionId(), 0
         for part in textkit.cuts(batches, limit=CUT):
             parsed = textkit.words(part.column("text"))
@@ -440,32 +440,32 @@ def score(documents: DataFrame) -> DataFrame:
                 sums[2] += np.bincount(row[own], adds[at[own]], part.num_rows)
                 asked.append((row[~own], code[~own]))
             yield pa.RecordBatch.from_arrays([
-                pa.array(row_ids), part.column("doc_id"), pa.nulls(part.num_rows, pa.binary()), pa.array(np.diff(parsed.rows)),
+                pa.array(row_ids), part.column("doc_id"), pa.nulls(part.num_rows, pa.int64()), pa.array(np.diff(parsed.rows)),
                 pa.array(sums[0].astype(np.int64)), pa.array(sums[1]), pa.array(sums[2]), pa.nulls(part.num_rows, pa.int64())], names)
             row, code = (np.concatenate(x) for x in zip(*asked))
             k = len(row)
-            yield pa.RecordBatch.from_arrays([pa.array(row_ids[row]), pa.nulls(k, pa.int64()), pa.nulls(k, pa.binary()), pa.nulls(k, pa.int64()),
+            yield pa.RecordBatch.from_arrays([pa.array(row_ids[row]), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()),
                                               pa.nulls(k, pa.int64()), pa.nulls(k, pa.float64()), pa.nulls(k, pa.float64()), pa.array(textkit.ids(code))], names)
             rest = np.flatnonzero(~known[inverse])
             pairs, times = np.unique(of_row[rest] * len(values) + inverse[rest], return_counts=True)
             k = len(pairs)
             yield pa.RecordBatch.from_arrays([
                 pa.array(row_ids[pairs // max(1, len(values))]), pa.nulls(k, pa.int64()),
-                parsed.texts(first[pairs % max(1, len(values))]), pa.array(times.astype(np.int64)),
+                pa.array(textkit.ids(values[pairs % max(1, len(values))])), pa.array(times.astype(np.int64)),
                 pa.nulls(k, pa.int64()), pa.nulls(k, pa.float64()), pa.nulls(k, pa.float64()), pa.nulls(k, pa.int64())], names)
 
-    rows = texts.mapInArrow(parts, "row long, doc_id long, word binary, n long, n_known long, base double, lp double, code long")
+    rows = texts.mapInArrow(parts, "row long, doc_id long, h long, n long, n_known long, base double, lp double, code long")
     rows = settle(rows, "parts")
-    rare = rows.where("word is not null").select("row", "word", "n").join(scored.select("word", "c", F.col("lp").alias("each")), "word").select(
+    rare = rows.where("h is not null").select("row", "h", "n").join(scored.select("h", "c", F.col("lp").alias("each")), "h").select(
         "row", F.when(F.col("c") > 0, F.col("n")).otherwise(0).alias("n_known"), (F.col("n") * F.log10(F.col("c") + 0.1)).alias("base"),
         (F.col("n") * F.col("each")).alias("lp"))
     placed = rows.where("code is not null").select("row", "code").join(others.select("code", F.col("adds").alias("lp")), "code").select(
         "row", F.lit(0).cast("long").alias("n_known"), F.lit(0.0).alias("base"), "lp")
-    sums = rows.where("n is not null and word is null").select("row", "n_known", "base", "lp").unionByName(rare).unionByName(placed).groupBy("row").agg(
+    sums = rows.where("n is not null and h is null").select("row", "n_known", "base", "lp").unionByName(rare).unionByName(placed).groupBy("row").agg(
         *[F.sum(c).alias(c) for c in ("n_known", "base", "lp")])
     n_tokens = F.col("n") + 1
     end_count = float(np.log10(n_docs + 0.1))
-    return rows.where("n is not null and word is null").select("row", "doc_id", "n").join(sums, "row").select(
+    return rows.where("n is not null and h is null").select("row", "doc_id", "n").join(sums, "row").select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), n_tokens.alias("n_tokens"),
         (F.col("n_known") + F.lit(int(n_docs > 0))).alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
         (F.col("base") + end_count - n_tokens * float(np.log10(n + 0.1 * (v + 1)))).alias("base_score"),
