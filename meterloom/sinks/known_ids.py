@@ -27,8 +27,12 @@ def _hash(key: Column, seed: int) -> Column:
     return F.xxhash64(F.lit(seed), key)
 
 
+def _position(key: Column, n: int) -> Column:
+    return F.pmod(_hash(key, n + 1), F.lit(BITS)).cast("int")
+
+
 def _positions(key: Column) -> Column:
-    return F.array(*[F.pmod(_hash(key, n + 1), F.lit(BITS)).cast("int") for n in range(HASHES)])
+    return F.array(*[_position(key, n) for n in range(HASHES)])
 
 
 def _segment(key: Column, segments: Column) -> Column:
@@ -55,13 +59,24 @@ class KnownIds:
         new = sorted(self.files() - self.filtered())
         if not new:
             return
-        rows = self._open(new).select(
+        self.filters_of(new).write.mode("append").parquet(self.path)
+
+    def filters_of(self, files: list[str]) -> DataFrame:
+        """The filters of some files, a row per segment."""
+        rows = self._open(files).select(
             F.input_file_name().alias("file"), F.col(self.key).alias("id"), "ingest_id")
-        sizes = rows.groupBy("file").agg(F.max("ingest_id").alias("top"), F.greatest(F.lit(1), F.pow(2, F.ceil(F.log2(F.count(F.lit(1)) * PER_ROW / BITS)))).cast("long").alias("segments"))
-        bits = (rows.join(sizes, "file").select("file", "segments", "top", _segment(F.col("id"), F.col("segments")).alias("segment"),
-                                                F.explode(_positions(F.col("id"))).alias("bit"))
-                .groupBy("file", "segments", "segment", "top").agg(F.bitmap_construct_agg(F.col("bit").cast("long")).alias("bits")))
-        bits.select(*[c.split()[0] for c in _FILTERS.split(", ")]).write.mode("append").parquet(self.path)
+        # A file travels as a number, and an id once, with all its bits: what a task sorts is a few longs a row.
+        sizes = settle(rows.groupBy("file").agg(
+            F.max("ingest_id").alias("top"),
+            F.greatest(F.lit(1), F.pow(2, F.ceil(F.log2(F.count(F.lit(1)) * PER_ROW / BITS)))).cast("long").alias("segments"))
+            .withColumn("file_no", F.monotonically_increasing_id()), "filter-sizes")
+        placed = rows.join(sizes.select("file", "file_no", "segments"), "file").select(
+            "file_no", _segment(F.col("id"), F.col("segments")).alias("segment"), "id")
+        each = placed.groupBy("file_no", "segment").agg(F.array(*[
+            F.bitmap_construct_agg(_position(F.col("id"), n).cast("long")) for n in range(HASHES)]).alias("each"))
+        bits = (each.select("file_no", "segment", F.explode("each").alias("one")).groupBy("file_no", "segment")
+                .agg(F.bitmap_or_agg("one").alias("bits")).join(sizes, "file_no"))
+        return bits.select(*[c.split()[0] for c in _FILTERS.split(", ")])
 
     def highest(self) -> int:
         """The highest arrival number of the store, 0 when it is empty. Only files without a filter are read."""

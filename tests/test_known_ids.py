@@ -50,3 +50,32 @@ def test_a_large_batch_reads_the_store(spark, tmp_path, monkeypatch, most):
     monkeypatch.setattr(known_ids, "MOST", most)
     assert known.holding(ids(spark, ["f1-7"])).where("id = 'f1-7'").count() == 1
     assert len(known.candidates(ids(spark, ["f1-7"]))) == (3 if most == 0 else 1)
+
+
+def test_an_id_is_sorted_once_for_all_its_bits(spark, tmp_path):
+    """Bits are taken apart above the aggregate that builds them, not below it; and they are those of every id."""
+    known = store(spark, tmp_path, files=2, per_file=2500)
+    got = known.filters_of(sorted(known.files()))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("bitmap_or_agg") < plan.index("Generate explode") < plan.index("bitmap_construct_agg") and plan.count("Generate") == 1
+    wanted = set()
+    asked = known._open(sorted(known.files())).select(
+        "id", known_ids._segment(known_ids.F.col("id"), known_ids.F.lit(4)).alias("segment"), known_ids._positions(known_ids.F.col("id")).alias("bits"))
+    for r in asked.collect():
+        wanted |= {(r["id"].split("-")[0], r["segment"], bit) for bit in r["bits"]}
+    held, tops = set(), set()
+    for r in got.collect():
+        assert r["segments"] == 4
+        tops.add(r["top"])
+        name = "f0" if r["top"] == 2499 else "f1"
+        held |= {(name, r["segment"], 8 * i + b) for i, byte in enumerate(r["bits"]) for b in range(8) if byte >> b & 1}
+    assert held == wanted and tops == {2499, 4999}
+
+
+def test_ids_that_are_null_repeat_or_all_miss_a_file(spark, tmp_path):
+    path = str(tmp_path / "odd")
+    spark.createDataFrame([(1, None), (2, None), (3, "a"), (4, "a")], SCHEMA).coalesce(1).write.parquet(path)
+    known = KnownIds(spark, path, SCHEMA, "id")
+    known.update()
+    known.update()
+    assert known.highest() == 4 and len(known.candidates(ids(spark, ["a", None]))) == 1 and known.candidates(ids(spark, ["b"])) == []
