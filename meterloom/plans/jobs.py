@@ -1,6 +1,6 @@
 """The jobs a scheduler starts: logs to slots, payloads to readings, one store to another."""
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from meterloom import schemas
 from meterloom.fixed_values import FINAL_AFTER_S
@@ -8,7 +8,7 @@ from meterloom.functions.times import iso
 from meterloom.operators.slots import Near, final_slots
 from meterloom.sinks import gates
 from meterloom.sinks.known_ids import KnownIds
-from meterloom.sources.lines import number_rows, read_lines
+from meterloom.sources.lines import read_lines
 from meterloom.sources.tables import stored
 from meterloom.sources.transcripts import last_answers, observed_at, requests, turns
 from meterloom.sources.readings import payload_rows
@@ -17,14 +17,17 @@ from meterloom.session import scratch, settle
 
 def in_order(rows: DataFrame, after: int, order: list[str]) -> DataFrame:
     """Rows numbered in an order, such as requests in time order: sorted across the cluster, written, then numbered by
-    file and place in it."""
+    file and place in it. A row's place is known to the file, so only one row per file is added up and no row moves again."""
     spark = rows.sparkSession
     path = scratch(spark, "landed")
     rows.orderBy(*order).write.parquet(path)
     text = spark.read.schema(rows.schema).parquet(path)
-    placed = text.select("*", F.col("_metadata.file_name").alias("path"), F.lit(0).cast("long").alias("block"),
-                         F.col("_metadata.row_index").alias("line"))
-    return number_rows(placed, after).drop("path", "block", "line")
+    placed = text.select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_place"))
+    earlier = W.orderBy("_file").rowsBetween(W.unboundedPreceding, -1)
+    starts = settle(placed.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))
+                    .select("_file", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start")), "starts")
+    return (placed.join(starts, "_file").withColumn("ingest_id", F.lit(after) + F.col("_start") + F.col("_place") + 1)
+            .drop("_file", "_place", "_start"))
 
 
 def store_requests(found: DataFrame, requests_path: str) -> int:

@@ -221,12 +221,12 @@ def known_requests(spark: SparkSession, path: str, schema: str = schemas.REQUEST
 
 def add_requests(rows: DataFrame, path: str, schema: str = schemas.REQUESTS, new: bool = False) -> int:
     """Appends requests whose id is new; a missing id or a negative or missing count refuses the batch. `new`: the caller
-    has asked the table already, once, for ids that do not repeat."""
+    has asked the table already, once, for ids that do not repeat, and the rows are written and numbered (`jobs.in_order`)."""
     counts = ["input_tokens", "output_tokens", "cache_read_tokens", "cache_write_5m_tokens", "cache_write_1h_tokens"]
     bad = F.coalesce("request_id", F.lit("")) == ""
     for c in counts:
         bad = bad | F.coalesce(F.col(c) < 0, F.lit(True))
-    settled = settle(rows, "requests")
+    settled = rows if new else settle(rows, "requests")
     first = settled.where(bad).select("request_id", *counts).first()
     if first is not None:
         raise ValueError(f"a request needs an id and non-negative counts: {first.asDict()}")

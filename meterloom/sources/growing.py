@@ -15,6 +15,7 @@ import json
 import os
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -23,6 +24,8 @@ from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPart
 SPLIT = 32 << 20
 HEAD = 256
 ROWS = 8192
+#: Bytes of a file read at once.
+READ = 1 << 20
 #: `block` is where the piece starts in its file, `line` where the line does.
 LINES = "value STRING, path STRING, epoch LONG, block LONG, line LONG"
 RANGES = "version LONG, path STRING, inode LONG, epoch LONG, head STRING, head_bytes LONG, changed LONG, start LONG, stop LONG"
@@ -37,40 +40,42 @@ def local_path(path: str) -> str:
     return path
 
 
-def last_line_end(path: str, start: int, size: int) -> int:
+def last_line_end(fd: int, start: int, size: int) -> int:
     """The byte after the last line feed in [start, size), or start; read backwards from the end."""
-    with open(path, "rb") as f:
-        end = size
-        while end > start:
-            begin = max(start, end - 65536)
-            f.seek(begin)
-            at = f.read(end - begin).rfind(b"\n")
-            if at >= 0:
-                return begin + at + 1
-            end = begin
+    end = size
+    while end > start:
+        begin = max(start, end - 65536)
+        at = os.pread(fd, end - begin, begin).rfind(b"\n")
+        if at >= 0:
+            return begin + at + 1
+        end = begin
     return start
 
 
-def head_digest(path: str, n: int) -> str:
-    with open(path, "rb") as f:
-        return hashlib.sha1(f.read(n)).hexdigest()
+def head_digest(head: bytes, n: int) -> str:
+    return hashlib.sha1(head[:n]).hexdigest()
 
 
 def next_state(path: str, held: dict | None) -> dict | None:
-    """What the ledger says of a file now; None when it is gone."""
+    """What the ledger says of a file now; None when it is gone. A changed file is opened once."""
     try:
         stat = os.stat(path)
         if held and (stat.st_ino, stat.st_mtime_ns, stat.st_size) == (held["inode"], held["changed"], held["size"]):
             return held | {"start": held["stop"]}
+        fd = os.open(path, os.O_RDONLY)
+    except FileNotFoundError:
+        return None
+    try:
+        stat, head = os.fstat(fd), os.pread(fd, HEAD, 0)
         again = held is not None and (stat.st_ino != held["inode"] or stat.st_size < held["stop"]
-                                      or head_digest(path, held["head_bytes"]) != held["head"])
+                                      or head_digest(head, held["head_bytes"]) != held["head"])
         start = 0 if held is None or again else held["stop"]
-        stop = last_line_end(path, start, stat.st_size)
+        stop = last_line_end(fd, start, stat.st_size)
         head_bytes = min(HEAD, stop)
         return {"path": path, "inode": stat.st_ino, "epoch": (held["epoch"] + again) if held else 0, "changed": stat.st_mtime_ns,
-                "size": stat.st_size, "head_bytes": head_bytes, "head": head_digest(path, head_bytes), "start": start, "stop": stop}
-    except FileNotFoundError:
-        return None
+                "size": stat.st_size, "head_bytes": head_bytes, "head": head_digest(head, head_bytes), "start": start, "stop": stop}
+    finally:
+        os.close(fd)
 
 
 class Ledger:
@@ -138,12 +143,22 @@ class GrowingLinesReader(DataSourceStreamReader):
         return packed
 
     def read(self, partition: Pieces) -> Iterator[pa.RecordBatch]:
+        """The lines of many small pieces in one batch, those of a large one in several."""
+        made, rows, size = [], 0, 0
         for file, a, b in partition.pieces:
-            yield from lines_of(file, a, b)
-
-
-def lines_of(file: dict, a: int, b: int) -> Iterator[pa.RecordBatch]:
-    """The lines that start in [a, b). A file replaced since it was listed has none; its new bytes are listed anew."""
+            for lines, places in lines_of(file, a, b):
+                made.append((file, a, lines, places))
+                rows, size = rows + len(lines), size + places[-1] - places[0]
+                if rows >= ROWS or size >= READ:
+                    yield batch_of(made)
+                    made, rows, size = [], 0, 0
+        if made:
+            yield batch_of(made)
+
+
+def lines_of(file: dict, a: int, b: int) -> Iterator[tuple[list[bytes], list[int]]]:
+    """The lines that start in [a, b) and their places, a stretch of about READ bytes at a time. A file replaced since it was
+    listed has none; its new bytes are listed anew."""
     try:
         f = open(file["path"], "rb")
     except FileNotFoundError:
@@ -160,16 +175,27 @@ def lines_of(file: dict, a: int, b: int) -> Iterator[pa.RecordBatch]:
         else:
             f.seek(a)
         while at < b:
-            values, places = [], []
-            while at < b and len(values) < ROWS:
-                line = f.readline()
-                values.append(line.rstrip(b"\n").removesuffix(b"\r").decode(errors="replace"))
-                places.append(at)
-                at += len(line)
-            n = len(values)
-            yield pa.RecordBatch.from_arrays([
-                pa.array(values, pa.string()), pa.array([file["path"]] * n, pa.string()), pa.array([file["epoch"]] * n, pa.int64()),
-                pa.array([a] * n, pa.int64()), pa.array(places, pa.int64())], ["value", "path", "epoch", "block", "line"])
+            text = f.read(min(READ, b - at))
+            if not text:
+                return
+            if not text.endswith(b"\n"):
+                text += f.readline()
+            lines = text.removesuffix(b"\n").split(b"\n")
+            places = list(accumulate((len(line) + 1 for line in lines[:-1]), initial=at))
+            yield [line.removesuffix(b"\r") for line in lines], places
+            at += len(text)
+
+
+def batch_of(made: list[tuple[dict, int, list[bytes], list[int]]]) -> pa.RecordBatch:
+    """Lines of several pieces as columns; bytes that are no UTF-8 are replaced."""
+    lines = [line for _, _, own, _ in made for line in own]
+    values = pa.array([line.decode(errors="replace") for line in lines], pa.string())
+    n = [len(own) for _, _, own, _ in made]
+    repeated = lambda column: [v for v, times in zip(column, n) for _ in range(times)]
+    return pa.RecordBatch.from_arrays([
+        values, pa.array(repeated([f["path"] for f, _, _, _ in made]), pa.string()), pa.array(repeated([f["epoch"] for f, _, _, _ in made]), pa.int64()),
+        pa.array(repeated([a for _, a, _, _ in made]), pa.int64()), pa.array([p for _, _, _, places in made for p in places], pa.int64())],
+        ["value", "path", "epoch", "block", "line"])
 
 
 class GrowingLines(DataSource):

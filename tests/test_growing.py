@@ -90,3 +90,28 @@ def test_reads_only_what_is_new(spark, tmp_path):
     assert run() == sorted(told, key=json.loads)
     got = [tuple(r) for r in bytes_read(spark, ledger).orderBy("version").collect()]
     assert got == [(n + 1, 6, sizes[n], sum(sizes[:n + 1])) for n in range(3)]
+
+
+def test_small_files_share_a_batch_and_a_changed_file_is_opened_once(tmp_path, monkeypatch):
+    for n in range(40):
+        (tmp_path / f"{n:02}.jsonl").write_bytes(b"a\xff%d\n\r\nlast" % n)
+    r, opened, real = reader(tmp_path, tmp_path / "ledger"), [], os.open
+    monkeypatch.setattr(growing.os, "open", lambda path, *more: opened.append(path) or real(path, *more))
+    monkeypatch.setattr(growing, "open", lambda path, *more: opened.append(path) or open(path, *more), raising=False)
+    end = r.latestOffset()
+    assert sorted(p for p in opened if p.endswith(".jsonl") and "ledger" not in p) == [f"{tmp_path}/{n:02}.jsonl" for n in range(40)]
+    parts = r.partitions(r.initialOffset(), end)
+    batches = [b for p in parts for b in r.read(p)]
+    assert len(parts) == 1 and [b.num_rows for b in batches] == [80]
+    assert batches[0].column("value").to_pylist()[:3] == ["a�0", "", "a�1"] and batches[0].column("line").to_pylist()[:3] == [0, 4, 0]
+
+
+@pytest.mark.parametrize("read", [1, 5, 64])
+def test_lines_longer_than_a_read_stay_whole(tmp_path, monkeypatch, read):
+    wanted = ["x" * n for n in (0, 1, 90, 3, 200, 0)]
+    (tmp_path / "logs").mkdir()
+    (tmp_path / "logs" / "a.jsonl").write_text("".join(v + "\n" for v in wanted))
+    monkeypatch.setattr(growing, "READ", read)
+    for split in (8, 1 << 20):
+        r = reader(tmp_path / "logs", tmp_path / f"ledger-{split}", split)
+        assert [v for _, _, _, v in lines(r, r.initialOffset(), r.latestOffset())] == wanted

@@ -89,3 +89,13 @@ def test_no_window_runs(spark, rows):
     data = [(i, ts, "claude_api", end) for i, (ts, end) in enumerate([(1, None), (2, 9), (3, None), (4, None), (5, 9), (6, None), (7, 9), (8, None), (9, None)])]
     read = spark.createDataFrame(data, "ingest_id long, ts long, source string, end_7d long")
     assert rows(no_window_runs(read)) == [(1, 2, 1, True), (3, 5, 2, False), (6, 7, 1, True), (8, 8, 2, False)]
+
+
+def test_rows_are_numbered_where_they_were_written(spark):
+    """No window over the rows: only one row per file is added up."""
+    from meterloom.plans.jobs import in_order
+    rows = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("ts"), F.col("id").cast("string").alias("v")).repartition(7)
+    got = in_order(rows, 40, ["ts", "v"])
+    assert "Window" not in got._jdf.queryExecution().executedPlan().toString()
+    assert [(r.ts, r.ingest_id) for r in got.orderBy("ts").collect()] == [(n, 41 + n) for n in range(1000)]
+    assert in_order(rows.limit(0), 5, ["ts"]).count() == 0
