@@ -42,18 +42,23 @@ END = 2
 SHARD_IDS = 1 << 21
 LEVELS = 48
 #: Words whose ids a task keeps.
-KEPT = 300_000
+KEPT = 500_000
+#: Words that are encoded as one text.
+JOINED = 1_000
 DIGESTS = "shard int, part int, doc_id long, at long, n_tokens long, ids_crc32 long"
 
 
 _encoders: dict[tuple[str, str], "Encoder"] = {}
 _RUN = re.compile(r" (?:\s|\Z)")
+#: How byte-level tokens spell a space.
+_SPACE = "\u0120"
 
 
 class Encoder:
     """Ids as bytes, by the tokenizers library. Byte-level pieces begin before each single space that a word follows, and
     before a comma or full stop that ends a word's letters. So a text's ids are those of its words, each with the space
-    before it, and a word the task met before isn't encoded again. Other tokenizers get whole texts."""
+    before it, and a word the task met before isn't encoded again. New words are encoded as one text, whose ids are cut
+    where a token begins with a space. Other tokenizers get whole texts."""
 
     def __init__(self, path: str, dtype: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -62,10 +67,23 @@ class Encoder:
         self.splits = '"ByteLevel"' in self.tokenizer.to_str() and self.tokenizer.normalizer is None
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.end = np.array([END], dtype).tobytes()
+        vocabulary = self.tokenizer.get_vocab()
+        self.begins = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.begins[[i for token, i in vocabulary.items() if token.startswith(_SPACE)]] = True
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _spaced(self, words: list[str]) -> list[bytes]:
+        """The ids of each word with the space before it, for words without a space of their own."""
+        out, width = [], np.dtype(self.dtype).itemsize
+        for i in range(0, len(words), JOINED):
+            part = words[i:i + JOINED]
+            ids = self._ids([" " + " ".join(part)])[0]
+            cuts = [*(np.flatnonzero(self.begins[np.frombuffer(ids, self.dtype)]) * width).tolist(), len(ids)]
+            out += [ids[a:b] for a, b in zip(cuts, cuts[1:])] if len(cuts) == len(part) + 1 else self._ids([" " + w for w in part])
+        return out
+
     @classmethod
     def of_process(cls, path: str, dtype: str) -> "Encoder":
         """One encoder for all tasks of a Python worker, so that its words stay known."""
@@ -91,21 +109,23 @@ class Encoder:
         if not self.splits or any(s in text for s in self.special for text in texts):
             return [ids + self.end for ids in self._ids(texts)]
         split = [self._words(text) for text in texts]
-        self._learn({w for words in split for w in words[1:]})
-        heads, known = self._ids([words[0] for words in split]), self.known
-        return [head + b"".join([known[w] for w in words[1:]]) + self.end for head, words in zip(heads, split)]
+        heads = self._ids([words.pop(0) for words in split])
+        self._learn(set().union(*split))
+        return [b"".join([head, *map(self.known.__getitem__, words), self.end]) for head, words in zip(heads, split)]
 
     def _learn(self, words: set[str]) -> None:
         """Makes all words known. What was not met for KEPT words is forgotten."""
         if len(self.known) > KEPT:
             self.known, self.older = {}, self.known
-        missing = words - self.known.keys()
+        missing = words.difference(self.known)
         old = missing & self.older.keys()
         self.known.update((w, self.older[w]) for w in old)
         missing -= old
         ending = {w for w in missing if w[-1] in ",." and w[-2:-1].isalpha()}
-        bare = list(((missing - ending) | {w[:-1] for w in ending}) - self.known.keys())
-        self.known.update(zip(bare, self._ids([" " + w for w in bare])))
+        bare = ((missing - ending) | {w[:-1] for w in ending}).difference(self.known)
+        odd, plain = [w for w in bare if " " in w], [w for w in bare if " " not in w]
+        self.known.update(zip(odd, self._ids([" " + w for w in odd])))
+        self.known.update(zip(plain, self._spaced(plain)))
         if ending:
             marks = dict(zip(",.", self._ids([",", "."])))
             self.known.update((w, self.known[w[:-1]] + marks[w[-1]]) for w in ending)

@@ -108,6 +108,28 @@ def test_token_ids(spark):
     assert not any(s.documents(d) for s in shards for d in (8, 10 ** 12, -1))
 
 
+def test_new_words_are_encoded_together():
+    """Calls of the tokenizer grow with the texts and with thousands of new words, not with each word."""
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abdeimnorstuäéß'7,.#\n") for _ in range(rng.randrange(2, 12))).strip() or "x" for _ in range(6_000)]
+    texts = [" ".join(words[i:i + 500]) for i in range(0, 6_000, 500)] + ["", " ", "a  b\n c  d e.,  ", " lead \n x", "z\t y"]
+    encoder, calls = token_store.Encoder(TOKENIZER, "<u2"), []
+    ids = encoder._ids
+    encoder._ids = lambda own: (calls.append(len(own)), ids(own))[1]
+    got = encoder.encode(texts)
+    assert sum(calls) < 100
+    assert got == [own + encoder.end for own in ids(texts)] == encoder.encode(texts)
+
+
+def test_words_cut_by_tokens_that_do_not_fit():
+    """Words whose number of spaced tokens is not theirs are encoded one by one."""
+    encoder = token_store.Encoder(TOKENIZER, "<u2")
+    wanted = encoder.encode(["a bcd efg. h"])
+    other = token_store.Encoder(TOKENIZER, "<u2")
+    other.begins[:] = False
+    assert other.encode(["a bcd efg. h"]) == wanted == [encoder._ids(["a bcd efg. h"])[0] + encoder.end]
+
+
 def test_perfect_hash_is_minimal():
     keys = token_store._keys(np.random.default_rng(1).permutation(50_000).astype(np.int64), np.zeros(50_000, bool))
     sizes, bits = token_store.build(keys)
