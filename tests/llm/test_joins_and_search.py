@@ -106,3 +106,33 @@ def test_top_k_of_few_and_none(spark):
     check_top(spark, [(0, [0.1, 0.2]), (5, [0.3, -0.2]), (7, [1e-9, 3.0])])
     check_top(spark, [(0, [0.1, 0.2])])
     check_top(spark, [])
+
+
+def test_top_k_copies_no_index(spark, monkeypatch):
+    """Batches meet a block's index without a join, which Spark would broadcast with a copy of every batch for every block."""
+    monkeypatch.setattr(topk_search, "BLOCK", 2)  # some blocks are empty
+    monkeypatch.setattr(topk_search, "BATCH", 2)
+    rng = random.Random(4)
+    vectors = [(i, [rng.gauss(0, 0.3) for _ in range(4)]) for i in range(40)]
+    check_top(spark, vectors)
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<float>")
+    plan = topk_search.top_k(df, F.col("vec_id") % 5 == 0)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "Join" not in plan
+
+
+def test_block_is_opened_once_for_its_batches():
+    """One opened index serves batches of wider and narrower queries, of impacts held by all vectors of the block or by few."""
+    import numpy as np
+    import pyarrow as pa
+    rng = random.Random(5)
+    vectors = {i: [rng.randrange(-9, 9) * 10 ** (i % 3) for _ in range(6)] for i in range(30)}
+    table = pa.table({"block": pa.array([0] * 30, pa.int32()), "vec_id": list(vectors), "v": list(vectors.values())})
+    index = topk_search.opened(topk_search.build(table).to_pylist()[0])
+    for width in (3, 6, 8):
+        queries = np.array([[rng.randrange(-99, 99) for _ in range(width)] for _ in range(20)])
+        got = list(zip(*map(np.ndarray.tolist, topk_search.search(index, np.arange(20), queries, 4))))
+        want = []
+        for q, a in enumerate(queries.tolist()):
+            best = sorted((-sum(x * y for x, y in zip(a, v)), i) for i, v in vectors.items() if i != q)[:4]
+            want += [(q, i, -s) for s, i in best]
+        assert got == want
