@@ -40,8 +40,9 @@ def targets(rows: DataFrame) -> DataFrame:
     """Per source: s, source_size, target, and the words it gives, `whole`. rows: those of `sized`."""
     sources = rows.groupBy("s").agg(F.first("source").alias("source"), F.sum("size").alias("source_size")).withColumn("one", F.lit(1))
     ranked = running(sources, [F.col("source").asc_nulls_last()], "one", name="sources")
-    weighed = ranked.withColumn("weight", F.element_at(F.array(*map(F.lit, WEIGHTS)), (F.col("one_before") % len(WEIGHTS) + 1).cast("int"))
-                                ).withColumn("limit", F.col("source_size") * EPOCHS)
+    # As a long: a weight times the words of all sources passes an int.
+    weight = F.element_at(F.array(*map(F.lit, WEIGHTS)), (F.col("one_before") % len(WEIGHTS) + 1).cast("int")).cast("long")
+    weighed = ranked.withColumn("weight", weight).withColumn("limit", F.col("source_size") * EPOCHS)
     order = [(F.col("limit") / F.col("weight")), F.col("s")]
     filled = running(running(weighed, order, "limit", name="limits"), order, "weight", name="weights")
     exact = "decimal(38,0)"

@@ -57,6 +57,18 @@ def test_mixing(spark, rows):
     assert sorted(map(repr, got)) == sorted(map(repr, mixing.taken(documents(spark, rows[::-1])).collect()))
 
 
+def test_targets_of_more_words_than_an_int_holds(spark):
+    """A weight times the words that are shared passes 2^31, though the words do not."""
+    sizes = {"=a": 300_000_000, "=b": 900_000_000, "=c": 40_000_000, "=d": 700_000_000}
+    rows = spark.createDataFrame([(s, s[1:], part) for s, n in sizes.items() for part in (n // 4, n - n // 4)], "s string, source string, size long")
+    got = {r.s: (r.source_size, r.target, r.whole) for r in mixing.targets(rows).collect()}
+    words, full = sum(sizes.values()), 3 * sizes["=c"]
+    assert 3 * sizes["=a"] > (words - full) * 5 / 12 and words < 2 ** 31 < 5 * (words - full)
+    want = {"=a": (words - full) * 5 / 12, "=b": (words - full) * 2 / 12, "=c": full, "=d": (words - full) * 5 / 12}
+    assert {s: t[0] for s, t in got.items()} == sizes and all(abs(got[s][1] - want[s]) < 1e-3 for s in want)
+    assert all(got[s][2] == math.floor(want[s] + 0.5) for s in want)
+
+
 def test_schedule_is_even(spark):
     rows = mixing.sized(documents(spark, MIXED))
     sources = settle(mixing.targets(rows), "targets")
