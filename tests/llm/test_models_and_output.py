@@ -339,3 +339,14 @@ def test_tree_is_a_distribution():
 
 def test_rows_helper():
     assert len(row(1, "x")) == 16
+
+
+def test_mix_of_weights_that_pass_an_int(spark, monkeypatch):
+    """The pipeline's stage 4: weights times words may pass 2^31; equal ratios give equal documents."""
+    import corpus_pipeline
+    docs = documents(spark, MIXED)
+    stage = dict(corpus_pipeline.STAGES)["mixing sources to target weights"]
+    want = stage(spark, docs, "").collect()
+    monkeypatch.setattr(mixing, "WEIGHTS", tuple(w * 10 ** 8 for w in mixing.WEIGHTS))
+    got = stage(spark, docs, "").collect()
+    assert want and sorted(map(repr, got)) == sorted(map(repr, want))
